@@ -1,0 +1,17 @@
+"""Statistical aggregate expressions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def pairwise_corr(a: str, b: str) -> Column:
+    """Pearson r over rows where both columns are non-null (pairwise complete).
+
+    Written as covar_samp / (stddev_samp * stddev_samp) with ``try_divide`` so a
+    constant column yields NULL instead of an ANSI divide-by-zero error.
+    """
+    x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
+    y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
