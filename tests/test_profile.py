@@ -1,0 +1,93 @@
+import numpy as np
+import pandas as pd
+import pytest
+
+from tierline.operators import profile
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, 400)
+    y = 2 * x + rng.normal(0, 0.1, 400)           # strongly correlated with x
+    z = -x + rng.normal(0, 0.2, 400)              # strongly anti-correlated
+    w = rng.normal(5, 1, 400)
+    pdf = pd.DataFrame({"x": x, "y": y, "z": z, "w": w, "k": np.ones(400)})
+    pdf.loc[::9, "y"] = np.nan
+    pdf.loc[::13, "w"] = np.nan
+    rows = [tuple(None if pd.isna(v) else float(v) for v in r) for r in pdf.itertuples(index=False)]
+    return pdf, spark.createDataFrame(rows, "x double, y double, z double, w double, k double")
+
+
+def test_corr_long_matches_pandas(frame):
+    pdf, df = frame
+    expected = pdf.corr()
+    got = profile.corr_long(df).toPandas()
+    for r in got.itertuples():
+        e = expected.loc[r.var1, r.var2]
+        if np.isnan(e):
+            assert r.r is None or np.isnan(r.r)
+        else:
+            assert r.r == pytest.approx(e, abs=1e-9)
+
+
+def test_corr_pairs_and_strong(frame):
+    pdf, df = frame
+    m = pdf.corr()
+    t = 0.8
+    upper = m.where(np.triu(np.ones(m.shape), k=1).astype(bool)).stack().reset_index()
+    upper.columns = ["v1", "v2", "r"]
+    exp_pairs = set(map(tuple, upper[upper.r > t][["v1", "v2"]].values))
+    got_pairs = {(r.var1, r.var2) for r in profile.corr_pairs(df, t).collect()}
+    assert got_pairs == exp_pairs == {("x", "y")}
+    strong = (m.abs() > t) & (m.abs() < 1)
+    chosen = set(m.columns[strong.any(axis=1)])
+    got = profile.corr_strong_matrix(df, t).collect()
+    assert {r.var1 for r in got} == chosen == {"x", "y", "z"}
+    assert len(got) == len(chosen) ** 2
+
+
+def test_null_profiles(frame):
+    pdf, df = frame
+    got = {r.column_name: (r.n_null, r.pct_null) for r in profile.null_profile(df).collect()}
+    for c in pdf.columns:
+        assert got[c][0] == pdf[c].isnull().sum()
+        assert got[c][1] == pytest.approx(100 * pdf[c].isnull().sum() / len(pdf))
+    r = profile.rows_with_nulls(df).first()
+    assert r.n_rows_with_null == pdf.isnull().any(axis=1).sum()
+    hist = profile.row_null_histogram(df).collect()
+    exp = (pdf.isnull().sum(axis=1) / pdf.shape[1]).value_counts()
+    assert {h.null_fraction: h.n_rows for h in hist} == pytest.approx(exp.head(5).to_dict())
+
+
+def test_dup_profile_and_pct(spark):
+    rows = [(1, "a", None), (2, "a", None), (2, "b", 1.0), (2, "b", 1.0), (3, None, -0.0), (4, None, 0.0)]
+    df = spark.createDataFrame(rows, "i int, s string, v double")
+    pdf = pd.DataFrame(rows, columns=["i", "s", "v"])
+    got = {r.column_name: r.n_duplicates for r in profile.dup_profile(df).collect()}
+    assert got == {c: int(pdf[c].duplicated().sum()) for c in pdf.columns}
+    r = profile.dup_rows_pct(df).first()
+    assert r.n_dup_rows == pdf.duplicated(keep=False).sum() == 2
+    assert r.pct_dup_rows == pytest.approx(100 * 2 / 6)
+
+
+def test_describe_numeric(frame):
+    pdf, df = frame
+    got = {r.column_name: r for r in profile.describe_numeric(df).collect()}
+    d = pdf.describe()
+    for c in pdf.columns:
+        g = got[c]
+        assert g["count"] == d.loc["count", c]
+        for stat, name in (("mean", "mean"), ("std", "std"), ("min", "min"), ("25%", "q25"),
+                           ("50%", "q50"), ("75%", "q75"), ("max", "max")):
+            assert g[name] == pytest.approx(d.loc[stat, c], abs=1e-9)
+
+
+def test_value_counts_and_topk(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x"), (None, "y"), ("a", "y")], "p string, q string")
+    vc = {(r.column_name, r.value): r.n for r in profile.value_counts(df).collect()}
+    assert vc == {("p", "a"): 3, ("p", "b"): 1, ("q", "x"): 2, ("q", "y"): 2}
+    top = [(r.p, r.n) for r in profile.group_size_topk(df, "p", 1).collect()]
+    assert top == [("a", 3)]
+    rvc = {(r.p, r.q): r.n for r in profile.row_value_counts(df).collect()}
+    assert rvc == {("a", "x"): 1, ("b", "x"): 1, ("a", "y"): 1}

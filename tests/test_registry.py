@@ -1,0 +1,61 @@
+"""Every registered query against its DuckDB oracle on the smallest tables."""
+
+import hashlib
+import math
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as entry
+from tierline.sources.files import TABLE_NAMES
+
+SF = "/root/testdata/sf0.001"
+NO_ORACLE: set[str] = set()
+
+
+def _canon(v):
+    if v is None or v is pd.NA or v is pd.NaT:
+        return "NULL"
+    if hasattr(v, "item") and not isinstance(v, (str, bytes)):
+        v = v.item()
+    if isinstance(v, bool):
+        return str(v)
+    if isinstance(v, (int, float)):
+        return "NULL" if isinstance(v, float) and math.isnan(v) else repr(round(float(v), 6) + 0.0)
+    return str(v)
+
+
+def _digest(pdf):
+    cols = sorted(pdf.columns)
+    rows = sorted("\x1f".join(_canon(v) for v in r) for r in pdf[cols].itertuples(index=False, name=None))
+    return cols, hashlib.sha256("\n".join(rows).encode()).hexdigest(), len(rows)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLE_NAMES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
+
+
+def test_every_query_has_oracle():
+    assert set(entry.queries()) - set(entry.oracle_sql()) == NO_ORACLE
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["id_league", "id_period", "id_match", "id_betting_office", "id_event",
+                          "home_odd", "draw_odd", "visitor_odd", "spread"]
+    assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_query_matches_oracle(spark, duck, key):
+    got = entry.queries()[key](spark, SF).toPandas()
+    if key in NO_ORACLE:
+        return
+    want = duck.sql(entry.oracle_sql()[key]).df()
+    assert _digest(got) == _digest(want)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .numeric import inverse, round_half_even
+from .numeric import inverse, py_round
 
 
 def _implied_sum(home: Column, draw: Column, away: Column) -> Column:
@@ -24,10 +24,10 @@ def spread_fraction(home: Column, draw: Column, away: Column) -> Column:
 
 
 def spread_pct2(home: Column, draw: Column, away: Column) -> Column:
-    return round_half_even((_implied_sum(home, draw, away) - F.lit(1.0)) * F.lit(100.0), 2)
+    return py_round((_implied_sum(home, draw, away) - F.lit(1.0)) * F.lit(100.0), 2)
 
 
 def overround_pct3(home: Column, draw: Column, away: Column) -> Column:
     valid = (home != 0) & (draw != 0) & (away != 0)
     value = _implied_sum(home, draw, away) * F.lit(100.0) - F.lit(100.0)
-    return F.when(valid, round_half_even(value, 3))
+    return F.when(valid, py_round(value, 3))

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.stats import pairwise_corr
 from .columns import columns_by_family
 from .quantiles import exact_quantiles
 
@@ -133,23 +132,63 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None,
 
 
 def corr_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Pearson matrix in long form (var1, var2, i, j, r): one aggregate pass for
-    all pairs (pairwise complete), mirrored; diagonal 1, NULL for a constant column."""
+    """Pearson matrix in long form (var1, var2, i, j, r), pairwise complete,
+    mirrored; diagonal 1, NULL for a constant column.
+
+    Two passes of plain sums (codegen friendly, unlike dozens of moment
+    aggregates): the column means first, then sums of the centred values and
+    their products (the shifted two-pass form, numerically stable). Pairs
+    involving a column that holds NULLs get their own masked sums so each pair
+    uses exactly the rows where both values are present.
+    """
     cols = cols if cols is not None else columns_by_family(df, "number")
+    k = len(cols)
+    xs = [F.col(f"`{c}`").cast("double") for c in cols]
+    first = df.agg(F.count(F.lit(1)).alias("__n"),
+                   *[F.count(x).alias(f"n{i}") for i, x in enumerate(xs)],
+                   *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]).first()
+    n_all = first["__n"]
+    full = [first[f"n{i}"] == n_all for i in range(k)]
+    us = [x - F.lit(first[f"m{i}"] if first[f"m{i}"] is not None else 0.0) for i, x in enumerate(xs)]
     aggs = []
-    for i, a in enumerate(cols):
-        x = F.col(f"`{a}`").cast("double")
-        aggs.append((F.stddev_samp(x) > 0).alias(f"v{i}"))
-        for j in range(i + 1, len(cols)):
-            aggs.append(pairwise_corr(a, cols[j]).alias(f"r{i}_{j}"))
+    for i, u in enumerate(us):
+        aggs += [F.sum(u).alias(f"s{i}"), F.sum(u * u).alias(f"q{i}"), F.count(u).alias(f"c{i}")]
+    for i in range(k):
+        for j in range(i + 1, k):
+            aggs.append(F.sum(us[i] * us[j]).alias(f"p{i}_{j}"))
+            if not (full[i] and full[j]):
+                both = us[i].isNotNull() & us[j].isNotNull()
+                aggs += [F.count_if(both).alias(f"n{i}_{j}"),
+                         F.sum(F.when(both, us[i])).alias(f"si{i}_{j}"),
+                         F.sum(F.when(both, us[j])).alias(f"sj{i}_{j}"),
+                         F.sum(F.when(both, us[i] * us[i])).alias(f"qi{i}_{j}"),
+                         F.sum(F.when(both, us[j] * us[j])).alias(f"qj{i}_{j}")]
     row = df.agg(*aggs)
+
+    def r_expr(n, si, sj, qi, qj, p):
+        vi = qi - si * si / n
+        vj = qj - sj * sj / n
+        cov = p - si * sj / n
+        return F.when(n > 1, F.try_divide(cov, F.sqrt(vi * vj)))
+
     cells = []
     for i, a in enumerate(cols):
+        n = F.col(f"c{i}").cast("double")
+        var = F.col(f"q{i}") - F.col(f"s{i}") * F.col(f"s{i}") / n
+        diag = F.when((n > 1) & (var > 0), F.lit(1.0))
         cells.append(F.struct(F.lit(a).alias("var1"), F.lit(a).alias("var2"), F.lit(i).alias("i"),
-                              F.lit(i).alias("j"), F.when(F.col(f"v{i}"), F.lit(1.0)).alias("r")))
-        for j in range(i + 1, len(cols)):
+                              F.lit(i).alias("j"), diag.alias("r")))
+        for j in range(i + 1, k):
             b = cols[j]
-            r = F.col(f"r{i}_{j}")
+            if full[i] and full[j]:
+                r = r_expr(F.lit(float(n_all)), F.col(f"s{i}"), F.col(f"s{j}"), F.col(f"q{i}"),
+                           F.col(f"q{j}"), F.col(f"p{i}_{j}"))
+            else:
+                r = r_expr(F.col(f"n{i}_{j}").cast("double"), F.col(f"si{i}_{j}"), F.col(f"sj{i}_{j}"),
+                           F.col(f"qi{i}_{j}"), F.col(f"qj{i}_{j}"), F.col(f"p{i}_{j}"))
+            # clamp rounding overshoot; NULL (constant column) stays NULL
+            r = (F.when(r.isNull() | F.isnan(r), F.lit(None).cast("double"))
+                 .when(r > 1, F.lit(1.0)).when(r < -1, F.lit(-1.0)).otherwise(r))
             cells.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.lit(i).alias("i"),
                                   F.lit(j).alias("j"), r.alias("r")))
             cells.append(F.struct(F.lit(b).alias("var1"), F.lit(a).alias("var2"), F.lit(j).alias("i"),
