@@ -69,31 +69,54 @@ CHECKS = [
     "edge_spaces_short_name",
     "short_name_casing",
 ]
+_FLAG = {name: f"__f{i}" for i, name in enumerate(CHECKS)}
+
+
+def annotate_consistency(df: DataFrame, id_col: str = "team_api_id",
+                         long_col: str = "team_long_name", short_col: str = "team_short_name",
+                         alt_id_col: str = "team_fifa_api_id") -> DataFrame:
+    """``df`` plus one boolean column per check (see :data:`CHECKS`).
+
+    All id-keyed checks come from one aggregate on the id (three distinct
+    counts, combined map-side) and the name-keyed check from one aggregate on
+    the name; each result is joined back once. Edge-space flags are per row.
+    """
+    by_id = (df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+        (_distinct_count(long_col, True) > 1).alias(_FLAG[CHECKS[0]]),
+        (_distinct_count(short_col, True) > 1).alias(_FLAG[CHECKS[1]]),
+        (F.count_distinct(alt_id_col) > 1).alias(_FLAG[CHECKS[2]]),
+        (F.count_distinct(F.upper(short_col)) > 1).alias(_FLAG[CHECKS[6]])))
+    by_name = (df.where(F.col(long_col).isNotNull()).groupBy(long_col)
+               .agg((_distinct_count(id_col, True) > 1).alias(_FLAG[CHECKS[3]])))
+    out = df.join(by_id, id_col, "left").join(by_name, long_col, "left")
+    flags = {n: F.coalesce(F.col(_FLAG[n]), F.lit(False)) for n in (CHECKS[0], CHECKS[1], CHECKS[2],
+                                                                      CHECKS[3], CHECKS[6])}
+    flags[CHECKS[4]] = has_edge_whitespace(F.col(long_col))
+    flags[CHECKS[5]] = has_edge_whitespace(F.col(short_col))
+    return out.select(*df.columns, *[flags[n].alias(_FLAG[n]) for n in CHECKS])
 
 
 def check_consistency(df: DataFrame, id_col: str = "team_api_id",
                       long_col: str = "team_long_name", short_col: str = "team_short_name",
                       alt_id_col: str = "team_fifa_api_id") -> dict[str, DataFrame]:
-    """The seven checks keyed by :data:`CHECKS`, plus ``summary``."""
-    res = {
-        CHECKS[0]: fd_violation_rows(df, id_col, long_col),
-        CHECKS[1]: fd_violation_rows(df, id_col, short_col),
-        CHECKS[2]: fd_violation_rows(df, id_col, alt_id_col, nulls_as_value=False,
-                                     drop_null_values=True),
-        CHECKS[3]: fd_violation_rows(df, long_col, id_col),
-        CHECKS[4]: edge_whitespace_rows(df, id_col, long_col),
-        CHECKS[5]: edge_whitespace_rows(df, id_col, short_col),
-        CHECKS[6]: casing_rows(df, id_col, short_col),
-    }
-    res["summary"] = consistency_summary(df.sparkSession, res)
+    """The seven checks keyed by :data:`CHECKS` (affected rows), plus ``summary``."""
+    ann = annotate_consistency(df, id_col, long_col, short_col, alt_id_col)
+    res = {n: ann.where(F.col(_FLAG[n])).select(*df.columns) for n in CHECKS[:4]}
+    res[CHECKS[4]] = ann.where(F.col(_FLAG[CHECKS[4]])).select(id_col, long_col)
+    res[CHECKS[5]] = ann.where(F.col(_FLAG[CHECKS[5]])).select(id_col, short_col)
+    res[CHECKS[6]] = ann.where(F.col(_FLAG[CHECKS[6]])).select(id_col, short_col)
+    res["summary"] = (ann.agg(*[F.count_if(F.col(_FLAG[n])).alias(n) for n in CHECKS])
+                      .unpivot([], CHECKS, "check_name", "n_affected"))
+    res["annotated"] = ann
     return res
 
 
-def fd_violations(df: DataFrame, checks: dict[str, DataFrame] | None = None, **kw) -> DataFrame:
-    """The four functional-dependency checks as one frame tagged by ``check``."""
-    checks = checks or check_consistency(df, **kw)
-    parts = [checks[name].select(F.lit(name).alias("check_name"), *df.columns) for name in CHECKS[:4]]
-    return reduce(DataFrame.unionByName, parts)
+def fd_violations(df: DataFrame, **kw) -> DataFrame:
+    """Rows breaking any of the four functional dependencies, one row per
+    (check, row), tagged by ``check_name``; one pass over the annotated frame."""
+    ann = check_consistency(df, **kw)["annotated"]
+    names = F.array(*[F.when(F.col(_FLAG[n]), F.lit(n)) for n in CHECKS[:4]])
+    return (ann.select(F.explode(F.filter(names, lambda x: x.isNotNull())).alias("check_name"), *df.columns))
 
 
 def whitespace_check(df: DataFrame, id_col: str = "team_api_id",
@@ -103,14 +126,6 @@ def whitespace_check(df: DataFrame, id_col: str = "team_api_id",
     return reduce(DataFrame.unionByName, parts)
 
 
-def consistency_summary(spark, checks: dict[str, DataFrame]) -> DataFrame:
-    """(check, n_affected) for every check, zero included; one job for all counts."""
-    counts = reduce(DataFrame.unionByName, [
-        checks[name].groupBy().agg(F.count(F.lit(1)).alias("n_affected"))
-        .select(F.lit(name).alias("check_name"), "n_affected") for name in CHECKS])
-    return counts
-
-
 def key_checks(fk: DataFrame, fk_col: str, pk: DataFrame, pk_col: str) -> DataFrame:
     """Uniqueness of both key columns, equality of their value sets, orphan and
     unreferenced counts, all from one union + groupBy on the key."""
@@ -133,16 +148,16 @@ def orphan_keys(fk: DataFrame, fk_col: str, pk: DataFrame, pk_col: str) -> DataF
             .unionByName(unref.select(F.lit("pk_unreferenced").alias("side"), F.col(pk_col).alias("key"))))
 
 
-def _has_repeated_key(df: DataFrame, col: str) -> bool:
-    return df.groupBy(col).count().where(F.col("count") > 1).limit(1).count() > 0
-
-
 def join_one_to_one(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """Inner join that first proves both key columns unique; raises ValueError otherwise."""
-    bad = [side for side, df, c in (("left", left, left_on), ("right", right, right_on))
-           if _has_repeated_key(df, c)]
+    """Inner join that first proves both key columns unique (one job over both
+    sides); raises ValueError naming the side(s) with a repeated key."""
+    keys = (left.select(F.lit("left").alias("side"), F.col(left_on).alias("k"))
+            .unionByName(right.select(F.lit("right").alias("side"), F.col(right_on).alias("k"))))
+    bad = (keys.groupBy("side", "k").count().where(F.col("count") > 1)
+           .groupBy("side").count().collect())  # at most two rows
     if bad:
-        raise ValueError(f"join is not one-to-one: repeated keys on {' and '.join(bad)} side")
+        sides = sorted(r.side for r in bad)
+        raise ValueError(f"join is not one-to-one: repeated keys on {' and '.join(sides)} side")
     if left_on == right_on:
         return left.join(right, left_on, "inner")
     return left.join(right, left[left_on] == right[right_on], "inner")

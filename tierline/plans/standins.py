@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast
 
 N_SLOTS = 6
 # Offices of the stand-in odds and the line number feeding each.
@@ -42,7 +41,8 @@ def m_match(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     home_goal = (F.when(ok % 97 == 0, F.lit(None).cast("bigint"))
                  .when(ok % 89 == 0, F.lit(-1).cast("bigint")).otherwise(ok % 5))
-    nat = bounded_broadcast(nation.select("n_nationkey", "n_regionkey"), 10_000)
+    # nation is a small file: the planner broadcasts it from its size statistics
+    nat = nation.select("n_nationkey", "n_regionkey")
     base = (orders.join(customer.select("c_custkey", "c_nationkey"), ck == F.col("c_custkey"))
             .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(ok.alias("id"), (ok + 480000).alias("match_api_id"),

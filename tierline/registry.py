@@ -114,6 +114,28 @@ def _write_csvs(spark, sf, names):
     return folder
 
 
+def _streamed(spark, sf, build):
+    """Land the bronze match rows as files, run ``build`` over them as a
+    stream (available-now trigger) into a checkpointed sink, read the sink."""
+    from .streaming import ingest
+    base = shared_scratch(spark, "stream")
+    matches = bronze_match(spark, sf)
+    matches.write.mode("overwrite").parquet(f"{base}/landing")
+    stream = ingest.landing_stream(spark, f"{base}/landing", matches.schema, max_files_per_trigger=4)
+    ingest.run_available_now(build(stream), f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
+
+
+def q_events_long_stream(spark, sf):
+    from .streaming import ingest
+    return _streamed(spark, sf, ingest.events_long_stream)
+
+
+def q_dim_period_stream(spark, sf):
+    from .streaming import ingest
+    return _streamed(spark, sf, ingest.dim_period_stream)
+
+
 def q_csv_roundtrip(spark, sf):
     folder = _write_csvs(spark, sf, ["supplier"])
     listing = files.list_files(spark, folder, ".csv")
@@ -204,7 +226,7 @@ def _build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # consistency
     q["fd_violations"] = lambda s, sf: quality.fd_violations(_m_part(s, sf))
     q["whitespace_check"] = lambda s, sf: quality.whitespace_check(_m_part(s, sf))
-    q["casing_check"] = lambda s, sf: quality.casing_rows(_m_part(s, sf), "team_api_id", "team_short_name")
+    q["casing_check"] = lambda s, sf: quality.check_consistency(_m_part(s, sf))["short_name_casing"]
     q["casing_check_strict"] = lambda s, sf: quality.casing_rows_strict(
         _m_part(s, sf), "team_api_id", "team_short_name")
     q["consistency_summary"] = lambda s, sf: quality.check_consistency(_m_part(s, sf))["summary"]
@@ -213,6 +235,9 @@ def _build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["orphan_keys"] = lambda s, sf: quality.orphan_keys(_t(s, sf, "labels"), "doc_id", _t(s, sf, "documents"), "doc_id")
     q["join_one_to_one"] = lambda s, sf: quality.join_one_to_one(
         _t(s, sf, "documents"), _t(s, sf, "labels"), "doc_id", "doc_id")
+    # incremental (streaming) variants
+    q["events_long_stream"] = q_events_long_stream
+    q["dim_period_stream"] = q_dim_period_stream
     # sources and sinks
     q["scan_profile"] = q_scan_profile
     q["rows_to_json"] = q_rows_to_json
