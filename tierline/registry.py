@@ -136,6 +136,35 @@ def q_dim_period_stream(spark, sf):
     return _streamed(spark, sf, ingest.dim_period_stream)
 
 
+def medallion_sources(spark, sf):
+    """The football source tables, as stand-ins on the driver's tables."""
+    region = _t(spark, sf, "region")
+    return {
+        "match": bronze_match(spark, sf),
+        "team": standins.m_team(_t(spark, sf, "nation")),
+        "player": standins.m_player(_t(spark, sf, "part")),
+        "player_attributes": _m_dates(spark, sf),
+        "team_attributes": _m_dups(spark, sf),
+        "league": standins.m_league(region),
+        "country": region.select(region["r_regionkey"].alias("id"), region["r_name"].alias("name")),
+    }
+
+
+def _medallion(spark, sf):
+    import uuid
+    from .plans import medallion
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
+    return medallion.run_all(spark, medallion_sources(spark, sf), shared_scratch(spark, "medallion"), prefix)
+
+
+def q_medallion_fact_events(spark, sf):
+    return _medallion(spark, sf)["gold"].table("fact_events")
+
+
+def q_medallion_view(spark, sf):
+    return _medallion(spark, sf)["gold"].table("v_match_lineup_names")
+
+
 def q_csv_roundtrip(spark, sf):
     folder = _write_csvs(spark, sf, ["supplier"])
     listing = files.list_files(spark, folder, ".csv")
@@ -235,6 +264,9 @@ def _build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["orphan_keys"] = lambda s, sf: quality.orphan_keys(_t(s, sf, "labels"), "doc_id", _t(s, sf, "documents"), "doc_id")
     q["join_one_to_one"] = lambda s, sf: quality.join_one_to_one(
         _t(s, sf, "documents"), _t(s, sf, "labels"), "doc_id", "doc_id")
+    # layered run into saved tables; read back from the gold layer
+    q["medallion_fact_events"] = q_medallion_fact_events
+    q["medallion_view"] = q_medallion_view
     # incremental (streaming) variants
     q["events_long_stream"] = q_events_long_stream
     q["dim_period_stream"] = q_dim_period_stream
