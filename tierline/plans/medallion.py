@@ -63,32 +63,79 @@ def run_silver(bronze: Layer, silver_layer: Layer) -> None:
             silver_layer.save("events_long", ev)
 
 
-def run_gold(silver_layer: Layer, gold_layer: Layer) -> None:
-    """Dimensions, line-up tables, facts and the serving view."""
+# gold objects and what they are built from (gold names, or silver tables as "silver.<t>")
+GOLD_INPUTS = {
+    "dim_team": ["silver.team"],
+    "dim_player": ["silver.player"],
+    "league": ["silver.league"],
+    "dim_betting_office": [],
+    "dim_event": [],
+    "dim_match": ["silver.match"],
+    "dim_period": ["silver.match", "silver.events_long"],
+    "fact_events": ["silver.events_long", "dim_period", "dim_betting_office"],
+    "lineups_map": ["silver.match"],
+    "id_lineup": ["lineups_map"],
+    "id_bridge_lineup": ["id_lineup"],
+    "lineup_names": ["id_bridge_lineup", "dim_player"],
+    "fact_match": ["silver.match", "lineups_map"],
+    "v_match_lineup_names": ["fact_match", "lineup_names", "dim_team"],
+}
+
+
+def gold_closure(targets) -> set[str]:
+    """Gold objects needed to build ``targets`` (all of them when None)."""
+    if targets is None:
+        return set(GOLD_INPUTS)
+    out: set[str] = set()
+
+    def add(name):
+        if name in out or name.startswith("silver."):
+            return
+        out.add(name)
+        for dep in GOLD_INPUTS[name]:
+            add(dep)
+
+    for t in targets:
+        add(t)
+    return out
+
+
+def run_gold(silver_layer: Layer, gold_layer: Layer, targets=None) -> None:
+    """Dimensions, line-up tables, facts and the serving view (only those
+    ``targets`` depend on, when given); a step runs when its inputs exist."""
     s, g = silver_layer, gold_layer
     spark = g.spark
-    if s.exists("team"):
+    want = gold_closure(targets)
+    if "dim_team" in want and s.exists("team"):
         g.save("dim_team", gold.dim_team(s.table("team")))
-    if s.exists("player"):
+    if "dim_player" in want and s.exists("player"):
         g.save("dim_player", gold.dim_player(s.table("player")))
-    if s.exists("league"):
+    if "league" in want and s.exists("league"):
         g.save("league", gold.dim_league(s.table("league")))
-    g.save("dim_betting_office", gold.dim_betting_office(spark))
-    g.save("dim_event", gold.dim_event(spark))
+    if "dim_betting_office" in want:
+        g.save("dim_betting_office", gold.dim_betting_office(spark))
+    if "dim_event" in want:
+        g.save("dim_event", gold.dim_event(spark))
     if not s.exists("match"):
         return
     match = s.table("match")
-    g.save("dim_match", gold.dim_match(match))
-    if s.exists("events_long"):
+    if "dim_match" in want:
+        g.save("dim_match", gold.dim_match(match))
+    if "dim_period" in want and s.exists("events_long"):
         periods = g.save("dim_period", gold.dim_period(match, s.table("events_long")))
-        g.save("fact_events", gold.fact_events(s.table("events_long"), periods, g.table("dim_betting_office")))
-    lmap = g.save("lineups_map", gold.lineup_map(gold.lineups_base(match)))
-    dim = g.save("id_lineup", gold.lineup_dim(lmap))
-    bridge = g.save("id_bridge_lineup", gold.lineup_bridge(dim))
-    if g.exists("dim_player"):
-        g.save("lineup_names", gold.lineup_names(bridge, g.table("dim_player")))
-    g.save("fact_match", gold.fact_match(match, lmap))
-    if g.exists("lineup_names") and g.exists("dim_team"):
+        if "fact_events" in want:
+            g.save("fact_events", gold.fact_events(s.table("events_long"), periods,
+                                                   g.table("dim_betting_office")))
+    if "lineups_map" in want:
+        lmap = g.save("lineups_map", gold.lineup_map(gold.lineups_base(match)))
+        if "id_lineup" in want:
+            dim = g.save("id_lineup", gold.lineup_dim(lmap))
+            bridge = g.save("id_bridge_lineup", gold.lineup_bridge(dim))
+            if "lineup_names" in want and g.exists("dim_player"):
+                g.save("lineup_names", gold.lineup_names(bridge, g.table("dim_player")))
+        if "fact_match" in want:
+            g.save("fact_match", gold.fact_match(match, lmap))
+    if "v_match_lineup_names" in want and g.exists("lineup_names") and g.exists("dim_team"):
         create_persistent_view(
             spark, g.qualified("v_match_lineup_names"),
             f"SELECT f.id_match, f.local, f.id_lineup, dt.team_name, ln.players_names "
@@ -98,11 +145,12 @@ def run_gold(silver_layer: Layer, gold_layer: Layer) -> None:
 
 
 def run_all(spark: SparkSession, sources: dict[str, DataFrame], location: str,
-            prefix: str = "", fmt: str = "parquet") -> dict[str, Layer]:
-    """Bronze, silver and gold in order under ``location``; returns the layers."""
+            prefix: str = "", fmt: str = "parquet", targets=None) -> dict[str, Layer]:
+    """Bronze, silver and gold in order under ``location``; returns the layers.
+    ``targets`` limits the gold layer to those objects and their inputs."""
     layers = {n: Layer(spark, f"{prefix}{n}", f"{location.rstrip('/')}/{n}", fmt)
               for n in ("bronze", "silver", "gold")}
     run_bronze(layers["bronze"], sources)
     run_silver(layers["bronze"], layers["silver"])
-    run_gold(layers["silver"], layers["gold"])
+    run_gold(layers["silver"], layers["gold"], targets)
     return layers

@@ -121,7 +121,7 @@ def _streamed(spark, sf, build):
     base = shared_scratch(spark, "stream")
     matches = bronze_match(spark, sf)
     matches.write.mode("overwrite").parquet(f"{base}/landing")
-    stream = ingest.landing_stream(spark, f"{base}/landing", matches.schema, max_files_per_trigger=4)
+    stream = ingest.landing_stream(spark, f"{base}/landing", matches.schema)
     ingest.run_available_now(build(stream), f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out")
 
@@ -150,19 +150,21 @@ def medallion_sources(spark, sf):
     }
 
 
-def _medallion(spark, sf):
+def _medallion(spark, sf, sources, target):
     import uuid
     from .plans import medallion
     prefix = f"t{uuid.uuid4().hex[:8]}_"
-    return medallion.run_all(spark, medallion_sources(spark, sf), shared_scratch(spark, "medallion"), prefix)
+    wanted = {k: v for k, v in medallion_sources(spark, sf).items() if k in sources}
+    layers = medallion.run_all(spark, wanted, shared_scratch(spark, "medallion"), prefix, targets=[target])
+    return layers["gold"].table(target)
 
 
 def q_medallion_fact_events(spark, sf):
-    return _medallion(spark, sf)["gold"].table("fact_events")
+    return _medallion(spark, sf, {"match"}, "fact_events")
 
 
 def q_medallion_view(spark, sf):
-    return _medallion(spark, sf)["gold"].table("v_match_lineup_names")
+    return _medallion(spark, sf, {"match", "team", "player"}, "v_match_lineup_names")
 
 
 def q_csv_roundtrip(spark, sf):
