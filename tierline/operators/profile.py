@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .columns import columns_by_family
 from .quantiles import exact_quantiles
+from ..session import cut_lineage
 
 
 def _null_flags(df: DataFrame):
@@ -105,10 +106,23 @@ def dup_rows_pct(df: DataFrame, base_rows: int | None = None) -> DataFrame:
                       F.try_divide(F.col("n_dup_rows") * 100.0, base).alias("pct_dup_rows"))
 
 
+def narrow_input(df: DataFrame, cols: list[str], materialize: bool) -> DataFrame:
+    """The columns a multi-pass profile reads; with ``materialize`` they are
+    written once to the shared checkpoint folder so later passes read them
+    instead of recomputing an expensive input plan (joins, aggregates)."""
+    narrow = df.select(*[F.col(f"`{c}`") for c in cols])
+    return cut_lineage(narrow) if materialize else narrow
+
+
 def describe_numeric(df: DataFrame, cols: list[str] | None = None,
-                     probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles, max per numeric column."""
+                     probs=(0.25, 0.5, 0.75), materialize: bool = False) -> DataFrame:
+    """count, mean, sample std, min, exact quartiles, max per numeric column.
+
+    Three to four passes (moments, quantile brackets, ranks); set
+    ``materialize`` when ``df`` is an expensive plan rather than a table scan.
+    """
     cols = cols if cols is not None else columns_by_family(df, "number")
+    df = narrow_input(df, cols, materialize)
     spark = df.sparkSession
     aggs = []
     for i, c in enumerate(cols):
@@ -131,7 +145,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None,
     return spark.createDataFrame(rows, schema)
 
 
-def corr_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def corr_long(df: DataFrame, cols: list[str] | None = None, materialize: bool = False) -> DataFrame:
     """Pearson matrix in long form (var1, var2, i, j, r), pairwise complete,
     mirrored; diagonal 1, NULL for a constant column.
 
@@ -142,6 +156,7 @@ def corr_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     uses exactly the rows where both values are present.
     """
     cols = cols if cols is not None else columns_by_family(df, "number")
+    df = narrow_input(df, cols, materialize)
     k = len(cols)
     xs = [F.col(f"`{c}`").cast("double") for c in cols]
     first = df.agg(F.count(F.lit(1)).alias("__n"),
@@ -165,35 +180,37 @@ def corr_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                          F.sum(F.when(both, us[j] * us[j])).alias(f"qj{i}_{j}")]
     row = df.agg(*aggs)
 
-    def r_expr(n, si, sj, qi, qj, p):
-        vi = qi - si * si / n
-        vj = qj - sj * sj / n
-        cov = p - si * sj / n
-        return F.when(n > 1, F.try_divide(cov, F.sqrt(vi * vj)))
+    # one struct of raw sums per ordered pair; r is then one shared expression
+    def cell(a_name, b_name, i, j, n, si, sj, qi, qj, p):
+        return F.struct(F.lit(a_name).alias("var1"), F.lit(b_name).alias("var2"), F.lit(i).alias("i"),
+                        F.lit(j).alias("j"), n.cast("double").alias("n"), si.alias("si"), sj.alias("sj"),
+                        qi.alias("qi"), qj.alias("qj"), p.alias("p"))
 
     cells = []
     for i, a in enumerate(cols):
-        n = F.col(f"c{i}").cast("double")
-        var = F.col(f"q{i}") - F.col(f"s{i}") * F.col(f"s{i}") / n
-        diag = F.when((n > 1) & (var > 0), F.lit(1.0))
-        cells.append(F.struct(F.lit(a).alias("var1"), F.lit(a).alias("var2"), F.lit(i).alias("i"),
-                              F.lit(i).alias("j"), diag.alias("r")))
+        s_i, q_i = F.col(f"s{i}"), F.col(f"q{i}")
+        cells.append(cell(a, a, i, i, F.col(f"c{i}"), s_i, s_i, q_i, q_i, q_i))
         for j in range(i + 1, k):
             b = cols[j]
             if full[i] and full[j]:
-                r = r_expr(F.lit(float(n_all)), F.col(f"s{i}"), F.col(f"s{j}"), F.col(f"q{i}"),
-                           F.col(f"q{j}"), F.col(f"p{i}_{j}"))
+                args = (F.lit(n_all), s_i, F.col(f"s{j}"), q_i, F.col(f"q{j}"), F.col(f"p{i}_{j}"))
             else:
-                r = r_expr(F.col(f"n{i}_{j}").cast("double"), F.col(f"si{i}_{j}"), F.col(f"sj{i}_{j}"),
-                           F.col(f"qi{i}_{j}"), F.col(f"qj{i}_{j}"), F.col(f"p{i}_{j}"))
-            # clamp rounding overshoot; NULL (constant column) stays NULL
-            r = (F.when(r.isNull() | F.isnan(r), F.lit(None).cast("double"))
-                 .when(r > 1, F.lit(1.0)).when(r < -1, F.lit(-1.0)).otherwise(r))
-            cells.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.lit(i).alias("i"),
-                                  F.lit(j).alias("j"), r.alias("r")))
-            cells.append(F.struct(F.lit(b).alias("var1"), F.lit(a).alias("var2"), F.lit(j).alias("i"),
-                                  F.lit(i).alias("j"), r.alias("r")))
-    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+                args = (F.col(f"n{i}_{j}"), F.col(f"si{i}_{j}"), F.col(f"sj{i}_{j}"),
+                        F.col(f"qi{i}_{j}"), F.col(f"qj{i}_{j}"), F.col(f"p{i}_{j}"))
+            n, si, sj, qi, qj, pp = args
+            cells.append(cell(a, b, i, j, n, si, sj, qi, qj, pp))
+            cells.append(cell(b, a, j, i, n, sj, si, qj, qi, pp))
+    long = row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    n, si, sj, qi, qj, pp = (F.col(c) for c in ("n", "si", "sj", "qi", "qj", "p"))
+    vi = qi - si * si / n
+    vj = qj - sj * sj / n
+    cov = pp - si * sj / n
+    r = F.when(n > 1, F.try_divide(cov, F.sqrt(vi * vj)))
+    # diagonal: 1 unless constant; clamp rounding overshoot; NULL stays NULL
+    r = (F.when(F.col("i") == F.col("j"), F.when((n > 1) & (vi > 0), F.lit(1.0)))
+         .when(r.isNull() | F.isnan(r), F.lit(None).cast("double"))
+         .when(r > 1, F.lit(1.0)).when(r < -1, F.lit(-1.0)).otherwise(r))
+    return long.select("var1", "var2", "i", "j", r.alias("r"))
 
 
 def corr_pairs(df: DataFrame, threshold: float, cols: list[str] | None = None) -> DataFrame:

@@ -67,7 +67,9 @@ def spread_describe(match: DataFrame, team: int, office: str = "B365") -> DataFr
     s = with_spread(match, office)
     both = s.select(F.col("spread").alias("all_matches"),
                     F.when(team_filter(team), F.col("spread")).alias(f"team_{team}"))
-    return describe_numeric(both, ["all_matches", f"team_{team}"])
+    # the spread comes from joined stand-in tables: materialise the two
+    # columns once instead of recomputing the joins in every pass
+    return describe_numeric(both, ["all_matches", f"team_{team}"], materialize=True)
 
 
 def top_spread_matches(match: DataFrame, k: int = 10, office: str = "B365") -> DataFrame:
