@@ -22,9 +22,13 @@ def split_last_char(col: Column) -> tuple[Column, Column]:
 def pivot_mean(df: DataFrame, index: list[str], column: str, value: str,
                pivot_values: list[str]) -> DataFrame:
     """Mean of ``value`` per index row and pivot value; rows whose pivoted
-    cells are all NULL are dropped. Passing ``pivot_values`` avoids the extra
-    job that would discover them, and the aggregate is combined map-side."""
-    wide = df.groupBy(*index).pivot(column, pivot_values).agg(F.avg(value))
+    cells are all NULL are dropped.
+
+    Written as one conditional average per pivot value: a single aggregate
+    with one shuffle, combined map-side (``groupBy().pivot()`` plans a second
+    aggregation and shuffle), and no job to discover the pivot values."""
+    wide = df.groupBy(*index).agg(*[F.avg(F.when(F.col(column) == v, F.col(value))).alias(v)
+                                    for v in pivot_values])
     any_value = reduce(lambda a, b: a | b, [F.col(f"`{v}`").isNotNull() for v in pivot_values])
     return wide.where(any_value)
 

@@ -21,7 +21,11 @@ def odds_melt(match: DataFrame, id_col: str = "match_api_id", sort: bool = True)
     long = melt(match.select(id_col, *cols), [id_col], cols, "bookie_odds_type", "odds")
     bookie, local = split_last_char(F.col("bookie_odds_type"))
     out = long.withColumn("local", local).withColumn("bookie", bookie)
-    return out.orderBy(id_col, "bookie_odds_type") if sort else out
+    if not sort:
+        return out
+    # ties (repeated ids) are broken by a deterministic row hash so the range
+    # partitioner can split a hot id across tasks
+    return out.orderBy(id_col, "bookie_odds_type", F.xxhash64(*out.columns))
 
 
 def odds_offices(match: DataFrame) -> DataFrame:

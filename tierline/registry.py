@@ -133,7 +133,12 @@ def q_events_long_stream(spark, sf):
 
 def q_dim_period_stream(spark, sf):
     from .streaming import ingest
-    return _streamed(spark, sf, ingest.dim_period_stream)
+    base = shared_scratch(spark, "stream")
+    matches = bronze_match(spark, sf)
+    matches.write.mode("overwrite").parquet(f"{base}/landing")
+    stream = ingest.landing_stream(spark, f"{base}/landing", matches.schema, max_files_per_trigger=8)
+    ingest.dim_period_stream(stream, f"{base}/dim_period", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/dim_period")
 
 
 def medallion_sources(spark, sf):

@@ -5,12 +5,14 @@ here the same transformations run as Structured Streaming queries over a file
 source, so each file is processed once:
 
 * ``events_long_stream``: silver typing + odds explode, stateless (append).
-* ``dim_period_stream``: new calendar days only, via ``dropDuplicates`` on the
-  date; the state is one entry per distinct day (bounded by the calendar,
-  not by the data volume).
+* ``dim_period_stream``: new calendar days only. Each micro-batch reduces its
+  rows to distinct days (map-side combined, so a day holding most rows costs
+  one row per partition), drops days already in the target table (NULL-safe
+  anti join) and appends the rest. The target table is the only state and is
+  bounded by the calendar; replaying a batch after a failure adds nothing.
 
 Sinks are parquet files with a checkpoint in the shared checkpoint folder, so a
-restarted query resumes where it stopped and writes each batch exactly once.
+restarted query resumes where it stopped.
 """
 
 from __future__ import annotations
@@ -41,11 +43,8 @@ def events_long_stream(matches: DataFrame) -> DataFrame:
     return ev
 
 
-def dim_period_stream(matches: DataFrame) -> DataFrame:
-    """Calendar rows for dates not seen before (match dates and odds dates are
-    the same days here, plus the all-NULL row of odds without a date)."""
-    typed = silver.silver_match(matches)
-    dates = typed.select(F.to_date("match_date").alias("date")).dropDuplicates(["date"])
+def period_rows(dates: DataFrame) -> DataFrame:
+    """Calendar columns for a frame of distinct ``date`` values."""
     return dates.select(F.col("date").cast("string").alias("id_period"),
                         F.year("date").alias("year"), F.month("date").alias("month"),
                         F.dayofmonth("date").alias("day"), "date",
@@ -53,6 +52,31 @@ def dim_period_stream(matches: DataFrame) -> DataFrame:
                         F.col("date").cast("timestamp").alias("timestamp"))
 
 
+def new_periods_writer(target: str):
+    """foreachBatch function appending the batch's unseen days to ``target``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        days = silver.silver_match(batch).select(F.to_date("match_date").alias("date")).distinct()
+        try:
+            known = spark.read.parquet(target).select(F.col("date").alias("known"))
+            days = days.join(known, days["date"].eqNullSafe(known["known"]), "left_anti")
+        except Exception:  # first batch: no target yet (AnalysisException: path does not exist)
+            pass
+        period_rows(days).write.mode("append").parquet(target)
+
+    return write
+
+
+def dim_period_stream(matches: DataFrame, target: str, checkpoint: str):
+    """Maintain the calendar dimension at ``target`` from a match stream
+    (match dates; odds rows share the same days, plus the all-NULL day)."""
+    query = (matches.writeStream.foreachBatch(new_periods_writer(target))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
+
+
 def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet"):
     """Process everything that has landed, then stop (incremental batch run)."""
     query = (stream.writeStream.format(fmt).outputMode("append")
