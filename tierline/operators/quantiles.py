@@ -5,13 +5,16 @@ Spark's exact ``percentile`` merges a value->count map of the whole column in
 a single task, and ``percentile_approx`` is only approximate. Here:
 
 1. counts per column (one aggregate) give the ranks needed for each quantile;
-2. one ``percentile_approx`` pass, with accuracy scaled to the row count,
-   brackets every needed rank by a value interval [lo, hi] holding roughly
-   ``window_target`` rows;
-3. one pass counts rows below ``lo`` and pre-aggregates the distinct values
-   inside [lo, hi]; a running sum over that bounded set finds the exact value
-   at each rank. Brackets that miss (the sketch guarantee is probabilistic in
-   practice) are widened and the pass repeats for those ranks only.
+2. when a column is larger than ``window_target``, one ``percentile_approx``
+   pass with accuracy scaled to the row count brackets every needed rank by a
+   value interval [lo, hi] holding roughly ``window_target`` rows;
+3. one pass tags every value with its segment of the column - the gap before
+   a bracket, or a bracket (brackets of a column are merged into disjoint
+   intervals, so no value is duplicated) - and counts (segment, value) pairs
+   with map-side combine; values in gaps only contribute a count. A running
+   sum over that bounded set, ordered by segment and value, is the exact rank
+   of each bracketed value. Brackets that miss their rank are widened and
+   only those ranks are recomputed.
 
 Only bounded facts reach the driver: one number per column and target.
 """
@@ -27,50 +30,83 @@ from pyspark.sql import types as T
 _TARGETS = T.StructType([
     T.StructField("tid", T.IntegerType()),
     T.StructField("col_name", T.StringType()),
+    T.StructField("seg", T.IntegerType()),
     T.StructField("rank", T.LongType()),
-    T.StructField("lo", T.DoubleType()),
-    T.StructField("hi", T.DoubleType()),
 ])
 
 
-def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    return (wide.unpivot([], cols, "col_name", "v").where(F.col("v").isNotNull()))
+def _merge(intervals):
+    """Disjoint sorted intervals covering the given [lo, hi] (None = unbounded)."""
+    key = [(-math.inf if lo is None else lo, math.inf if hi is None else hi) for lo, hi in intervals]
+    key.sort()
+    out = []
+    for lo, hi in key:
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return out
+
 
+def _segment(x, groups):
+    """Segment of value ``x``: 2g for the gap before group g, 2g+1 inside group g."""
+    expr = F.when(F.lit(False), F.lit(0))
+    for g, (lo, hi) in enumerate(groups):
+        if lo != -math.inf:
+            expr = expr.when(x < F.lit(lo), F.lit(2 * g))
+        if hi != math.inf:
+            expr = expr.when(x <= F.lit(hi), F.lit(2 * g + 1))
+        else:
+            expr = expr.when(F.lit(True), F.lit(2 * g + 1))
+    return expr.otherwise(F.lit(2 * len(groups)))
 
-def _rank_values(df: DataFrame, cols: list[str], targets: list[tuple]) -> dict:
-    """targets: (tid, col, rank, lo, hi) -> {tid: (value_at_rank, below, total)}."""
+
+def _rank_values(df: DataFrame, bounds: dict) -> dict:
+    """bounds: {(col, rank): (lo, hi)} -> {(col, rank): (value, below, total)}."""
     spark = df.sparkSession
-    tdf = F.broadcast(spark.createDataFrame(targets, _TARGETS))
-    j = (_long_values(df, cols).join(tdf, "col_name")
-         .where(F.col("hi").isNull() | (F.col("v") <= F.col("hi"))))
-    inside = F.col("lo").isNull() | (F.col("v") >= F.col("lo"))
-    grouped = (j.groupBy("tid", "rank", F.when(inside, F.col("v")).alias("cv"))
+    by_col: dict[str, list] = {}
+    for (c, r), b in bounds.items():
+        by_col.setdefault(c, []).append((r, b))
+    groups = {c: _merge([b for _, b in items]) for c, items in by_col.items()}
+    cols = list(by_col)
+    targets, tid = [], {}
+    for c, items in by_col.items():
+        for r, (lo, hi) in items:
+            lo_k = -math.inf if lo is None else lo
+            g = next(i for i, (glo, ghi) in enumerate(groups[c]) if glo <= lo_k <= ghi)
+            tid[(c, r)] = len(targets)
+            targets.append((len(targets), c, 2 * g + 1, r))
+
+    tagged = df.select(*[F.struct(F.col(f"`{c}`").cast("double").alias("v"),
+                                  _segment(F.col(f"`{c}`").cast("double"), groups[c]).alias("seg")).alias(c)
+                         for c in cols])
+    long = (tagged.unpivot([], cols, "col_name", "x")
+            .select("col_name", "x.v", "x.seg").where(F.col("v").isNotNull()))
+    odd = F.col("seg") % 2 == 1
+    counted = (long.groupBy("col_name", "seg", F.when(odd, F.col("v")).alias("cv"))
                .agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy("tid").orderBy("cv").rowsBetween(Window.unboundedPreceding, 0)
-    below = (grouped.where(F.col("cv").isNull())
-             .select("tid", F.col("c").alias("below")))
-    cand = (grouped.where(F.col("cv").isNotNull())
-            .withColumn("cum", F.sum("c").over(w))
-            .join(below, "tid", "left")
-            .withColumn("below", F.coalesce("below", F.lit(0)))
-            .groupBy("tid").agg(
-                F.min(F.when(F.col("below") + F.col("cum") >= F.col("rank") + 1, F.col("cv"))).alias("value"),
-                F.first("below").alias("below"),
-                (F.first("below") + F.sum("c")).alias("total")))
-    found = {r.tid: (r.value, r.below, r.total) for r in cand.collect()}
-    for t in targets:  # ranks whose bracket held no value at all
-        found.setdefault(t[0], (None, None, 0))
-    return found
+    w = (Window.partitionBy("col_name").orderBy("seg", "cv")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("cum", F.sum("c").over(w))
+    # rows before a segment = running count at its start
+    seg_stats = ranked.groupBy("col_name", "seg").agg((F.max("cum") - F.sum("c")).alias("below"),
+                                                       F.max("cum").alias("total"))
+    tdf = F.broadcast(spark.createDataFrame(targets, _TARGETS))
+    hits = (ranked.where(F.col("cv").isNotNull()).join(tdf, ["col_name", "seg"])
+            .where(F.col("cum") >= F.col("rank") + 1)
+            .groupBy("tid").agg(F.min("cv").alias("value")))
+    stats = tdf.join(seg_stats, ["col_name", "seg"], "left").join(hits, "tid", "left")
+    found = {r.tid: (r.value, r.below, r.total) for r in stats.collect()}
+    return {key: found.get(i, (None, None, None)) for key, i in tid.items()}
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    counts: dict[str, int] | None = None, window_target: int = 100_000,
+                    counts: dict[str, int] | None = None, window_target: int = 200_000,
                     min_accuracy: int = 10_000, max_accuracy: int = 10_000_000) -> dict:
     """{col: {p: quantile}} with linear interpolation between order statistics."""
     if counts is None:
-        row = df.agg(*[F.count(c).alias(c) for c in cols]).first()
-        counts = {c: row[c] for c in cols}
+        row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+        counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
     needed: dict[tuple[str, int], None] = {}
     plan: dict[tuple[str, float], tuple[int, float]] = {}
     for c in cols:
@@ -89,44 +125,31 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
     big = max(counts[c] or 0 for c in cols)
     accuracy = int(min(max_accuracy, max(min_accuracy, math.ceil(4 * big / window_target))))
-    margin = 3.0 / accuracy
     keys = list(needed)
     bounds = {key: (None, None) for key in keys}
-    if big > window_target:  # bracket ranks with one sketch pass
-        fracs = {}
-        for c, r in keys:
-            f = (r + 1) / counts[c]
-            fracs.setdefault(c, []).extend([max(0.0, f - margin), min(1.0, f + margin)])
-        aggs = [F.percentile_approx(F.col(c).cast("double"), fracs[c], accuracy).alias(c)
-                for c in fracs]
-        row = df.agg(*aggs).first()
-        pos_in_list = {c: 0 for c in fracs}
-        for c, r in keys:
-            i = pos_in_list[c]
-            pos_in_list[c] += 2
-            f = (r + 1) / counts[c]
-            lo = row[c][i] if f - margin > 0 else None
-            hi = row[c][i + 1] if f + margin < 1 else None
-            bounds[(c, r)] = (lo, hi)
+    sketched = [c for c in {c for c, _ in keys} if counts[c] > window_target]
+    if sketched:  # bracket ranks of large columns with one sketch pass
+        bounds.update(_brackets(df, [k for k in keys if k[0] in sketched], counts, accuracy, 3.0))
 
     values: dict[tuple[str, int], float] = {}
-    pending = keys
-    widen = 0
+    pending, attempt = keys, 0
     while pending:
-        targets = [(i, c, r, *bounds[(c, r)]) for i, (c, r) in enumerate(pending)]
-        found = _rank_values(df, cols, targets)
+        found = _rank_values(df, {k: bounds[k] for k in pending})
         retry = []
-        for i, (c, r) in enumerate(pending):
-            value, below, total = found[i]
-            lo, hi = bounds[(c, r)]
-            ok = value is not None and (lo is None or below <= r) and (hi is None or total >= r + 1)
+        for key in pending:
+            value, below, total = found[key]
+            lo, hi = bounds[key]
+            ok = (value is not None and below is not None
+                  and (lo is None or below <= key[1]) and (hi is None or total >= key[1] + 1))
             if ok:
-                values[(c, r)] = value
+                values[key] = value
             else:
-                retry.append((c, r))
-        widen += 1
-        for key in retry:  # widen the bracket, finally to the whole column
-            bounds[key] = (None, None) if widen >= 2 else _wider(df, key, counts, accuracy, widen)
+                retry.append(key)
+        attempt += 1
+        if retry:  # widen the missed brackets, finally to the whole column
+            wider = (_brackets(df, retry, counts, accuracy, 30.0 * attempt) if attempt < 2
+                     else {k: (None, None) for k in retry})
+            bounds.update(wider)
         pending = retry
 
     out = {}
@@ -139,17 +162,29 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
             k, frac = plan[(c, p)]
             lo_v = values[(c, k)]
             if frac > 0 and (c, k + 1) in values:
-                hi_v = values[(c, k + 1)]
-                out[c][p] = lo_v + (hi_v - lo_v) * frac
+                out[c][p] = lo_v + (values[(c, k + 1)] - lo_v) * frac
             else:
                 out[c][p] = lo_v
     return out
 
 
-def _wider(df: DataFrame, key, counts, accuracy, widen):
-    c, r = key
-    margin = 30.0 * widen / accuracy
-    f = (r + 1) / counts[c]
-    probs = [max(0.0, f - margin), min(1.0, f + margin)]
-    lo, hi = df.agg(F.percentile_approx(F.col(c).cast("double"), probs, accuracy)).first()[0]
-    return (lo if probs[0] > 0 else None, hi if probs[1] < 1 else None)
+def _brackets(df: DataFrame, keys, counts, accuracy: int, spread: float) -> dict:
+    """[lo, hi] around each (col, rank) from ``percentile_approx`` at
+    rank fraction -/+ spread/accuracy (one pass for all columns)."""
+    margin = spread / accuracy
+    fracs: dict[str, list[float]] = {}
+    for c, r in keys:
+        f = (r + 1) / counts[c]
+        fracs.setdefault(c, []).extend([max(0.0, f - margin), min(1.0, f + margin)])
+    names = list(fracs)
+    row = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), fracs[c], accuracy).alias(f"b{i}")
+                   for i, c in enumerate(names)]).first()
+    pos = {c: 0 for c in names}
+    out = {}
+    for c, r in keys:
+        i = pos[c]
+        pos[c] += 2
+        f = (r + 1) / counts[c]
+        arr = row[f"b{names.index(c)}"]
+        out[(c, r)] = (arr[i] if f - margin > 0 else None, arr[i + 1] if f + margin < 1 else None)
+    return out
