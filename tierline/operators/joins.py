@@ -36,9 +36,63 @@ def null_safe_condition(left: DataFrame, right: DataFrame, cols: list[str]):
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def semi_join_null_safe(df: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows of ``df`` whose ``cols`` equal (NULL-safe) a row of ``keys``."""
+def _null_safe(df: DataFrame, keys: DataFrame, cols: list[str], how: str) -> DataFrame:
     k = keys.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(cols)])
     cond = reduce(lambda a, b: a & b,
                   [df[c].eqNullSafe(k[f"__k_{i}"]) for i, c in enumerate(cols)])
-    return df.join(k, cond, "left_semi")
+    return df.join(k, cond, how)
+
+
+def semi_join_null_safe(df: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``cols`` equal (NULL-safe) a row of ``keys``."""
+    return _null_safe(df, keys, cols, "left_semi")
+
+
+def semi_anti_null_safe(df: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``cols`` equal (NULL-safe) no row of ``keys``."""
+    return _null_safe(df, keys, cols, "left_anti")
+
+
+# Rows of the big side per key above which a key is treated as hot. Sized for a
+# cluster task (~tens of millions of narrow rows); tests lower it.
+HOT_ROWS = 20_000_000
+MAX_HOT_KEYS = 10_000
+
+
+def hot_key_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str,
+                 key_counts: DataFrame, hot_rows: int | None = None,
+                 max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+    """``big.join(lookup, on, how)`` that does not hand a hot key to one task.
+
+    ``lookup`` must hold at most one row per key (an aggregate); ``key_counts``
+    gives (on..., ``__n``) = rows of ``big`` per key, usually from an aggregate
+    the caller computes anyway. Keys with more than ``hot_rows`` rows are hot:
+    their lookup rows (at most ``max_hot``, proven by a ``limit`` count) are
+    broadcast and joined map-side, so the hot rows are never shuffled by key;
+    all other keys join by shuffle. Rows with a NULL key cannot match and skip
+    the join. Beyond ``max_hot`` hot keys the plain join is used (AQE).
+    """
+    if how not in ("left", "inner", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how}")
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+    hot = key_counts.where((F.col("__n") > hot_rows) & ~null_key).select(*on)
+    n_hot = hot.limit(max_hot + 1).count()
+    if n_hot == 0 or n_hot > max_hot:
+        return big.join(lookup, on, how)
+    hot_b = F.broadcast(hot)                       # proven <= max_hot rows
+    keyed = big.where(~null_key)
+    lookup_hot = lookup.join(hot_b, on, "left_semi")
+    if lookup_hot.limit(4 * max_hot + 1).count() > 4 * max_hot:  # lookup not keyed as promised
+        return big.join(lookup, on, how)
+    lookup_hot = F.broadcast(lookup_hot)
+    parts = [keyed.join(hot_b, on, "left_semi").join(lookup_hot, on, how),
+             keyed.join(hot_b, on, "left_anti").join(lookup, on, how)]
+    if how == "left":
+        extra = [f for f in lookup.schema.fields if f.name not in on]
+        parts.append(big.where(null_key).select(
+            *on, *[c for c in big.columns if c not in on],
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]))
+    elif how == "left_anti":
+        parts.append(big.where(null_key))
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import has_edge_whitespace
-from .joins import semi_join_null_safe
+from ..session import cut_lineage
+from .joins import MAX_HOT_KEYS, HOT_ROWS, hot_key_join, semi_anti_null_safe, semi_join_null_safe
 
 
 def _distinct_count(col: str, nulls_as_value: bool):
@@ -74,21 +75,26 @@ _FLAG = {name: f"__f{i}" for i, name in enumerate(CHECKS)}
 
 def annotate_consistency(df: DataFrame, id_col: str = "team_api_id",
                          long_col: str = "team_long_name", short_col: str = "team_short_name",
-                         alt_id_col: str = "team_fifa_api_id") -> DataFrame:
+                         alt_id_col: str = "team_fifa_api_id", hot_rows: int | None = None) -> DataFrame:
     """``df`` plus one boolean column per check (see :data:`CHECKS`).
 
     All id-keyed checks come from one aggregate on the id (three distinct
     counts, combined map-side) and the name-keyed check from one aggregate on
-    the name; each result is joined back once. Edge-space flags are per row.
+    the name; each is saved once to the checkpoint folder and joined back with
+    :func:`hot_key_join`, so an id or name holding a large share of the rows
+    is joined map-side instead of in one task. Edge-space flags are per row.
     """
-    by_id = (df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+    by_id = cut_lineage(df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(
         (_distinct_count(long_col, True) > 1).alias(_FLAG[CHECKS[0]]),
         (_distinct_count(short_col, True) > 1).alias(_FLAG[CHECKS[1]]),
         (F.count_distinct(alt_id_col) > 1).alias(_FLAG[CHECKS[2]]),
-        (F.count_distinct(F.upper(short_col)) > 1).alias(_FLAG[CHECKS[6]])))
-    by_name = (df.where(F.col(long_col).isNotNull()).groupBy(long_col)
-               .agg((_distinct_count(id_col, True) > 1).alias(_FLAG[CHECKS[3]])))
-    out = df.join(by_id, id_col, "left").join(by_name, long_col, "left")
+        (F.count_distinct(F.upper(short_col)) > 1).alias(_FLAG[CHECKS[6]]),
+        F.count(F.lit(1)).alias("__n")))
+    by_name = cut_lineage(df.where(F.col(long_col).isNotNull()).groupBy(long_col)
+                          .agg((_distinct_count(id_col, True) > 1).alias(_FLAG[CHECKS[3]]),
+                               F.count(F.lit(1)).alias("__n")))
+    out = hot_key_join(df, by_id.drop("__n"), [id_col], "left", by_id, hot_rows)
+    out = hot_key_join(out, by_name.drop("__n"), [long_col], "left", by_name, hot_rows)
     flags = {n: F.coalesce(F.col(_FLAG[n]), F.lit(False)) for n in (CHECKS[0], CHECKS[1], CHECKS[2],
                                                                       CHECKS[3], CHECKS[6])}
     flags[CHECKS[4]] = has_edge_whitespace(F.col(long_col))
@@ -98,9 +104,9 @@ def annotate_consistency(df: DataFrame, id_col: str = "team_api_id",
 
 def check_consistency(df: DataFrame, id_col: str = "team_api_id",
                       long_col: str = "team_long_name", short_col: str = "team_short_name",
-                      alt_id_col: str = "team_fifa_api_id") -> dict[str, DataFrame]:
+                      alt_id_col: str = "team_fifa_api_id", hot_rows: int | None = None) -> dict[str, DataFrame]:
     """The seven checks keyed by :data:`CHECKS` (affected rows), plus ``summary``."""
-    ann = annotate_consistency(df, id_col, long_col, short_col, alt_id_col)
+    ann = annotate_consistency(df, id_col, long_col, short_col, alt_id_col, hot_rows)
     res = {n: ann.where(F.col(_FLAG[n])).select(*df.columns) for n in CHECKS[:4]}
     res[CHECKS[4]] = ann.where(F.col(_FLAG[CHECKS[4]])).select(id_col, long_col)
     res[CHECKS[5]] = ann.where(F.col(_FLAG[CHECKS[5]])).select(id_col, short_col)
@@ -163,13 +169,26 @@ def join_one_to_one(left: DataFrame, right: DataFrame, left_on: str, right_on: s
     return left.join(right, left[left_on] == right[right_on], "inner")
 
 
-def duplicate_rows(df: DataFrame, subset: list[str] | None = None, sort: bool = False) -> DataFrame:
+def duplicate_rows(df: DataFrame, subset: list[str] | None = None, sort: bool = False,
+                   hot_rows: int | None = None) -> DataFrame:
     """Every member of a group of rows equal on ``subset`` (all columns by
-    default; NULLs equal), optionally sorted by those columns."""
+    default; NULLs equal), optionally sorted by those columns.
+
+    The duplicated key set comes from one aggregate (saved once); a group
+    larger than ``hot_rows`` is matched map-side against a broadcast of the
+    hot keys, the rest by a shuffled semi join."""
     cols = subset or df.columns
-    keys = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__c"))
-            .where(F.col("__c") > 1).select(*cols))
-    out = semi_join_null_safe(df, keys, cols)
+    keys = cut_lineage(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+                       .where(F.col("__n") > 1))
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    hot = keys.where(F.col("__n") > limit).select(*cols)
+    n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
+    if 0 < n_hot <= MAX_HOT_KEYS:
+        hot_b = F.broadcast(hot)  # proven <= MAX_HOT_KEYS rows
+        out = semi_join_null_safe(df, hot_b, cols).unionByName(
+            semi_join_null_safe(semi_anti_null_safe(df, hot_b, cols), keys.select(*cols), cols))
+    else:
+        out = semi_join_null_safe(df, keys.select(*cols), cols)
     return out.orderBy(*cols) if sort else out
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.lineup import lineup_hash
 from ..functions.odds import spread_fraction
 from ..functions.text import extract_player_id
+from ..operators.joins import bounded_broadcast, hot_key_join
+from ..session import cut_lineage
 from . import reference_data
 
 SENTINEL_PLAYER = (0, "Unknown / Not Available")
@@ -111,7 +113,13 @@ def lineup_names(bridge: DataFrame, players: DataFrame) -> DataFrame:
     not by how many variants share a hash; the counts are expanded again in
     the final array.
     """
-    named = (bridge.join(players, "id_player", "left")
+    # slot 0 (unknown player) is the natural hot key: those rows join a
+    # broadcast of the id-0 player rows (size proven), the rest by shuffle
+    zero = F.col("id_player") == 0
+    players0 = bounded_broadcast(players.where(zero), 10_000)
+    joined = (bridge.where(zero).join(players0, "id_player", "left")
+              .unionByName(bridge.where(~zero | F.col("id_player").isNull()).join(players, "id_player", "left")))
+    named = (joined
              .select("id_lineup", "position",
                      F.when(F.col("id_player") == 0, F.lit("0"))
                      .when(F.col("player_name").isNull() | (F.trim("player_name") == ""), F.lit("0"))
@@ -127,7 +135,7 @@ def _match_result(home_goals, away_goals):
             .when(home_goals < away_goals, F.lit("A")).otherwise(F.lit("D")))
 
 
-def fact_match(match: DataFrame, lmap: DataFrame) -> DataFrame:
+def fact_match(match: DataFrame, lmap: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Two rows per match (home local=1, away local=0) with the home-side
     result H/D/A, goals for/against, and the side's line-up; rows with a
     missing or negative goal count are dropped."""
@@ -144,8 +152,12 @@ def fact_match(match: DataFrame, lmap: DataFrame) -> DataFrame:
             .select("id_league", "id_period", "id_match", "s.local", "s.id_team", "match_result",
                     "s.num_goals_favor", "s.num_goals_against")
             .where((F.col("num_goals_favor") >= 0) & (F.col("num_goals_against") >= 0)))
-    m = lmap.select("id_match", "local", "id_lineup").distinct()
-    return base.join(m, ["id_match", "local"], "left").select(
+    # distinct map with its row counts, saved once: the counts find keys
+    # holding a large share of the rows, which join map-side (hot_key_join)
+    m = cut_lineage(lmap.groupBy("id_match", "local", "id_lineup").agg(F.count(F.lit(1)).alias("__n")))
+    counts = m.groupBy("id_match", "local").agg(F.sum("__n").alias("__n"))
+    joined = hot_key_join(base, m.drop("__n"), ["id_match", "local"], "left", counts, hot_rows)
+    return joined.select(
         "id_league", "id_period", "id_match", "local", "id_team", "match_result",
         "num_goals_favor", "num_goals_against", "id_lineup")
 
