@@ -48,6 +48,8 @@ def test_save_audit_views_json(spark):
     assert js == '{"k":1,"s":"x","v":1.5}'
     prof = catalog.scan_profile({"t1": df}).first()
     assert (prof.table_name, prof.n_rows, prof.n_columns) == ("t1", 1, 3)
+    inv = [tuple(r) for r in catalog.catalog_inventory(spark, "gold_t").collect()]
+    assert inv == [("t1", 1, 3)]  # the view is not a table
 
 
 def test_shared_scratch_under_checkpoint_dir(spark):

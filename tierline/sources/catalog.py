@@ -116,3 +116,13 @@ def scan_profile(tables: dict[str, DataFrame]) -> DataFrame:
                      F.lit(len(df.columns)).alias("n_columns"))
              for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def catalog_inventory(spark: SparkSession, database: str) -> DataFrame:
+    """(table_name, n_rows, n_columns) for every table of ``database``:
+    the catalog lists the tables, one job counts them all."""
+    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary
+             and (t.tableType or "").upper() != "VIEW"]
+    if not names:
+        return spark.createDataFrame([], "table_name string, n_rows long, n_columns int")
+    return scan_profile({n: spark.table(f"`{database}`.`{n}`") for n in sorted(names)})
