@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.lineup import lineup_hash
 from ..functions.odds import spread_fraction
@@ -29,8 +30,8 @@ def dim_player(player: DataFrame) -> DataFrame:
     dim = (player.where(F.col("player_api_id").isNotNull())
            .select(F.col("player_api_id").alias("id_player"), "player_name").distinct())
     id_type = dim.schema["id_player"].dataType
-    sentinel = dim.sparkSession.createDataFrame([SENTINEL_PLAYER], "id_player long, player_name string") \
-        .select(F.col("id_player").cast(id_type).alias("id_player"), "player_name")
+    sentinel = reference_data.literal_rows(dim.sparkSession, [SENTINEL_PLAYER], T.StructType([
+        T.StructField("id_player", id_type), T.StructField("player_name", T.StringType())]))
     missing = sentinel.join(dim.where(F.col("id_player") == SENTINEL_PLAYER[0]).select("id_player"),
                             "id_player", "left_anti")
     return dim.unionByName(missing)

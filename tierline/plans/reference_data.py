@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Betting offices (id, abbreviation, name, url, country).
@@ -45,15 +46,29 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
+def literal_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """Rows as a plan node (inline of literal structs over a one-row range)
+    rather than an RDD scan, so the optimizer knows they are tiny: size
+    estimates, broadcast decisions and constant folding all work."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+               for row in rows]
+    out = spark.range(1).select(F.inline(F.array(*structs)))
+    return out.select(*[F.col(f.name) for f in schema.fields])
+
+
 def dim_betting_office(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(BETTING_OFFICES, OFFICE_SCHEMA)
+    return literal_rows(spark, BETTING_OFFICES, OFFICE_SCHEMA)
 
 
 def dim_event(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ODDS_EVENTS, EVENT_SCHEMA)
+    return literal_rows(spark, ODDS_EVENTS, EVENT_SCHEMA)
+
+
+BOOKMAKER_SCHEMA = T.StructType([T.StructField("code", T.StringType(), False),
+                                 T.StructField("id", T.IntegerType(), False)])
 
 
 def bookmakers(spark: SparkSession) -> DataFrame:
     """(code, id) with id = 1-based catalogue position."""
     rows = [(code, i + 1) for i, code in enumerate(BOOKMAKER_CODES)]
-    return spark.createDataFrame(rows, "code string, id int")
+    return literal_rows(spark, rows, BOOKMAKER_SCHEMA)

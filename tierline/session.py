@@ -73,13 +73,19 @@ def shared_scratch(spark: SparkSession, label: str) -> str:
     return f"{base}/tierline-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable checkpoint).
-
-    Survives executor loss, unlike a local checkpoint, and truncates the plan.
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and continue from the written files.
+
+    Survives executor loss (unlike a local checkpoint), truncates the plan, and
+    the re-read scan carries file-size statistics, so the planner can still
+    broadcast a small result (an RDD checkpoint has none) - and parquet is
+    columnar and compressed rather than Java-serialised rows.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    path = shared_scratch(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_path(path: str) -> str:
