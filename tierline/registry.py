@@ -61,8 +61,9 @@ def _events(spark, sf):
     return silver.events_long(silver_match_df(spark, sf))
 
 
-def _lineup_map(spark, sf):
-    return gold.lineup_map(gold.lineups_base(silver_match_df(spark, sf)))
+def _lineup_map(spark, sf, sm=None):
+    sm = sm if sm is not None else silver_match_df(spark, sf)
+    return gold.lineup_map(gold.lineups_base(sm))
 
 
 def _dim_player(spark, sf):
@@ -70,16 +71,32 @@ def _dim_player(spark, sf):
 
 
 def _dim_period(spark, sf):
-    return gold.dim_period(silver_match_df(spark, sf), _events(spark, sf))
+    sm = silver_match_df(spark, sf)
+    return gold.dim_period(sm, silver.events_long(sm))
 
 
-def _lineup_names(spark, sf):
-    dim = gold.lineup_dim(_lineup_map(spark, sf))
-    return gold.lineup_names(gold.lineup_bridge(dim), _dim_player(spark, sf))
+def _fact_events(spark, sf):
+    sm = silver_match_df(spark, sf)
+    ev = silver.events_long(sm)
+    return gold.fact_events(ev, gold.dim_period(sm, ev), dim_betting_office(spark))
 
 
-def _fact_match(spark, sf):
-    return gold.fact_match(silver_match_df(spark, sf), _lineup_map(spark, sf))
+def _lineup_names(spark, sf, lmap=None):
+    lmap = lmap if lmap is not None else _lineup_map(spark, sf)
+    return gold.lineup_names(gold.lineup_bridge(gold.lineup_dim(lmap)), _dim_player(spark, sf))
+
+
+def _fact_match(spark, sf, sm=None, lmap=None):
+    sm = sm if sm is not None else silver_match_df(spark, sf)
+    lmap = lmap if lmap is not None else _lineup_map(spark, sf, sm)
+    return gold.fact_match(sm, lmap)
+
+
+def _view(spark, sf):
+    sm = silver_match_df(spark, sf)
+    lmap = _lineup_map(spark, sf, sm)
+    return gold.v_match_lineup_names(_fact_match(spark, sf, sm, lmap), _lineup_names(spark, sf, lmap),
+                                     gold.dim_team(standins.m_team(_t(spark, sf, "nation"))))
 
 
 def _m_dups(spark, sf):
@@ -222,9 +239,8 @@ def _build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["lineup_names"] = _lineup_names
     # facts and view
     q["fact_match"] = _fact_match
-    q["fact_events"] = lambda s, sf: gold.fact_events(_events(s, sf), _dim_period(s, sf), dim_betting_office(s))
-    q["v_match_lineup_names"] = lambda s, sf: gold.v_match_lineup_names(
-        _fact_match(s, sf), _lineup_names(s, sf), gold.dim_team(standins.m_team(_t(s, sf, "nation"))))
+    q["fact_events"] = _fact_events
+    q["v_match_lineup_names"] = _view
     # odds analytics
     q["odds_offices"] = lambda s, sf: odds.odds_offices(bronze_match(s, sf))
     q["odds_melt"] = lambda s, sf: odds.odds_melt(bronze_match(s, sf))
