@@ -43,8 +43,9 @@ def run_bronze(bronze: Layer, sources: dict[str, DataFrame]) -> None:
         bronze.save(name, df)
 
 
-def run_silver(bronze: Layer, silver_layer: Layer) -> None:
-    """Typing and cleaning; each step runs only when its bronze table exists."""
+def run_silver(bronze: Layer, silver_layer: Layer, with_events: bool = True) -> None:
+    """Typing and cleaning; each step runs only when its bronze table exists
+    (``events_long`` only when ``with_events``)."""
     steps = {
         "match": silver.silver_match,
         "team": lambda df: df,
@@ -57,7 +58,7 @@ def run_silver(bronze: Layer, silver_layer: Layer) -> None:
     for name, step in steps.items():
         if bronze.exists(name):
             silver_layer.save(name, step(bronze.table(name)))
-    if silver_layer.exists("match"):
+    if with_events and silver_layer.exists("match"):
         ev = silver.events_long(silver_layer.table("match"))
         if ev is not None:
             silver_layer.save("events_long", ev)
@@ -151,6 +152,8 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], location: str,
     layers = {n: Layer(spark, f"{prefix}{n}", f"{location.rstrip('/')}/{n}", fmt)
               for n in ("bronze", "silver", "gold")}
     run_bronze(layers["bronze"], sources)
-    run_silver(layers["bronze"], layers["silver"])
+    gold_needs = gold_closure(targets)
+    run_silver(layers["bronze"], layers["silver"],
+               with_events=bool(gold_needs & {"dim_period", "fact_events"}))
     run_gold(layers["silver"], layers["gold"], targets)
     return layers
