@@ -107,3 +107,10 @@ def m_player_birthdays(orders: DataFrame) -> DataFrame:
     """Players with a text birthday (some malformed or missing), from ``m_dates``."""
     d = m_dates(orders)
     return d.select(F.col("id").alias("player_api_id"), F.col("date").alias("birthday"), "rating")
+
+
+def m_order_lines(lineitem: DataFrame) -> DataFrame:
+    """Order-level summary of the lines (numeric, with real correlations)."""
+    return lineitem.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("total_quantity"),
+        F.sum("l_extendedprice").alias("total_price"), F.avg("l_discount").alias("avg_discount"))

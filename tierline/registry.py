@@ -115,6 +115,10 @@ def _m_dates(spark, sf):
     return standins.m_dates(_t(spark, sf, "orders"))
 
 
+def _order_lines(spark, sf):
+    return standins.m_order_lines(_t(spark, sf, "lineitem")).drop("l_orderkey")
+
+
 def _lineitem_numeric(spark, sf):
     li = _t(spark, sf, "lineitem")
     return li.select(*columns_by_family(li, "number"))
@@ -273,6 +277,8 @@ def _build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["corr_matrix"] = lambda s, sf: profile.corr_long(_lineitem_numeric(s, sf)).select("var1", "var2", "r")
     q["corr_pairs"] = lambda s, sf: profile.corr_pairs(_lineitem_numeric(s, sf), CORR_THRESHOLD)
     q["corr_strong_matrix"] = lambda s, sf: profile.corr_strong_matrix(_lineitem_numeric(s, sf), CORR_THRESHOLD)
+    q["corr_pairs_orders"] = lambda s, sf: profile.corr_pairs(_order_lines(s, sf), CORR_THRESHOLD)
+    q["corr_strong_matrix_orders"] = lambda s, sf: profile.corr_strong_matrix(_order_lines(s, sf), CORR_THRESHOLD)
     q["group_size_topk"] = lambda s, sf: profile.group_size_topk(_t(s, sf, "part"), "p_name", 5)
     q["value_counts"] = lambda s, sf: profile.value_counts(_t(s, sf, "orders"))
     # consistency
