@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from .columns import columns_by_family
 from .quantiles import exact_quantiles
 from ..session import cut_lineage
+from ..plans.reference_data import literal_rows
 
 
 def _null_flags(df: DataFrame):
@@ -142,7 +143,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None,
                           + [T.StructField("max", T.DoubleType())])
     rows = [(c, counts[c], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"],
              *[q[c][p] for p in probs], row[f"hi{i}"]) for i, c in enumerate(cols)]
-    return spark.createDataFrame(rows, schema)
+    return literal_rows(spark, rows, schema)
 
 
 def corr_long(df: DataFrame, cols: list[str] | None = None, materialize: bool = False) -> DataFrame:

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.reference_data import literal_rows
+
 _TARGETS = T.StructType([
     T.StructField("tid", T.IntegerType()),
     T.StructField("col_name", T.StringType()),
@@ -91,7 +93,7 @@ def _rank_values(df: DataFrame, bounds: dict) -> dict:
     # rows before a segment = running count at its start
     seg_stats = ranked.groupBy("col_name", "seg").agg((F.max("cum") - F.sum("c")).alias("below"),
                                                        F.max("cum").alias("total"))
-    tdf = F.broadcast(spark.createDataFrame(targets, _TARGETS))
+    tdf = F.broadcast(literal_rows(spark, targets, _TARGETS))  # one row per target rank
     hits = (ranked.where(F.col("cv").isNotNull()).join(tdf, ["col_name", "seg"])
             .where(F.col("cum") >= F.col("rank") + 1)
             .groupBy("tid").agg(F.min("cv").alias("value")))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.reference_data import literal_rows
 from .files import list_files, read_named_csv
 
 
@@ -78,7 +79,7 @@ def bronze_load(spark: SparkSession, folder: str, names: list[str], database: st
         parts.append(_count_tables(spark, saved).select(
             "table_name", F.lit("loaded").alias("status"), "n_rows"))
     if skipped:
-        parts.append(spark.createDataFrame(skipped, _LOAD_SCHEMA))
+        parts.append(literal_rows(spark, skipped, _LOAD_SCHEMA))
     if not parts:
         return spark.createDataFrame([], _LOAD_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
