@@ -56,3 +56,12 @@ def test_shared_scratch_under_checkpoint_dir(spark):
     ckpt = spark.sparkContext.getCheckpointDir()
     assert ckpt and shared_scratch(spark, "x").startswith(ckpt.rstrip("/"))
     assert os.path.basename(shared_scratch(spark, "x")).startswith("tierline-x-")
+
+
+def test_scale_conf():
+    from tierline.session import scale_conf
+    c = scale_conf(100 * 2**40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    small = scale_conf(10 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

@@ -23,6 +23,30 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized to the data: scan splits and shuffle partitions of about
+    ``target_partition_bytes`` so each task's working set fits executor memory,
+    at least two tasks per core, and AQE targets that coalesce small
+    partitions and split skewed ones at the same size.
+
+    For 100 TB on 1000 executors x 8 cores: ~400k shuffle partitions of 256 MB.
+    """
+    import math
+    parts = max(2 * total_cores, math.ceil(input_bytes / target_partition_bytes))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        # broadcast only sides proven small by statistics / AQE measurements
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "tierline",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict | None = None) -> SparkSession:
