@@ -100,3 +100,9 @@ def test_streaming_matches_batch(spark, tmp_path):
     stream4 = ingest.landing_stream(spark, landing, m.schema)
     ingest.dim_period_stream(stream4, str(tmp_path / "per"), str(tmp_path / "ck3"))
     assert spark.read.parquet(str(tmp_path / "per")).count() == 3
+
+
+def test_events_long_generates_ids_without_id_column(spark):
+    m = silver.silver_match(_match(spark, ROWS).drop("id"))
+    ev = silver.events_long(m).collect()
+    assert len(ev) == 3 and len({r.id_match for r in ev}) == 3 and all(r.id_match is not None for r in ev)
