@@ -144,3 +144,18 @@ def test_saved_tables_get_aqe_skew_split(spark, tmp_path, hot):
         plan = _final_plan(j)
     assert len(rows) == 20000
     assert "skew=true" in plan
+
+
+def test_hot_lineup_view(spark):
+    facts = spark.range(3000).select(
+        (F.col("id") % 1500).alias("id_match"), (F.col("id") % 2).cast("int").alias("local"),
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("l"), F.col("id").cast("string")))
+        .alias("id_lineup"), (F.col("id") % 10).alias("id_team"))
+    names = facts.select("id_lineup").distinct().select("id_lineup", F.array(F.col("id_lineup")).alias("players_names"))
+    teams = spark.range(10).select(F.col("id").alias("id_team"), F.col("id").cast("string").alias("team_name"))
+    want = sorted(map(tuple, gold.v_match_lineup_names(facts, names, teams).collect()), key=str)
+    with conf(spark, SKEW_CONF):
+        v = gold.v_match_lineup_names(facts, names, teams, hot_rows=100)
+        got = sorted(map(tuple, v.collect()), key=str)
+        plan = _final_plan(v)
+    assert got == want and "BroadcastHashJoin" in plan

@@ -180,6 +180,14 @@ def fact_events(events: DataFrame, periods: DataFrame, offices: DataFrame,
                     spread_fraction(h, d, a).alias("spread")))
 
 
-def v_match_lineup_names(facts: DataFrame, names: DataFrame, teams: DataFrame) -> DataFrame:
-    return (facts.join(names, "id_lineup", "left").join(teams, "id_team", "left")
+def v_match_lineup_names(facts: DataFrame, names: DataFrame, teams: DataFrame,
+                         hot_rows: int | None = None) -> DataFrame:
+    """Match sides with their team name and line-up names.
+
+    ``names`` is one row per line-up (an aggregate), so a line-up shared by a
+    large share of the facts is joined map-side (:func:`hot_key_join`); teams
+    are a small dimension (statistics/AQE broadcast)."""
+    counts = facts.groupBy("id_lineup").agg(F.count(F.lit(1)).alias("__n"))
+    with_names = hot_key_join(facts, names, ["id_lineup"], "left", counts, hot_rows)
+    return (with_names.join(teams, "id_team", "left")
             .select("id_match", "local", "id_lineup", "team_name", "players_names"))
