@@ -68,19 +68,28 @@ def new_periods_writer(target: str):
     return write
 
 
-def dim_period_stream(matches: DataFrame, target: str, checkpoint: str):
+def _finish(query, timeout_s: float):
+    """Wait for an available-now query; stop it and fail if it does not end in time."""
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
+    if query.exception() is not None:
+        raise RuntimeError(f"streaming query failed: {query.exception()}")
+    return query
+
+
+def dim_period_stream(matches: DataFrame, target: str, checkpoint: str, timeout_s: float = 3600):
     """Maintain the calendar dimension at ``target`` from a match stream
     (match dates; odds rows share the same days, plus the all-NULL day)."""
     query = (matches.writeStream.foreachBatch(new_periods_writer(target))
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    query.awaitTermination()
-    return query
+    return _finish(query, timeout_s)
 
 
-def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet"):
+def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
+                      timeout_s: float = 3600):
     """Process everything that has landed, then stop (incremental batch run)."""
     query = (stream.writeStream.format(fmt).outputMode("append")
              .option("path", out_path).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return query
+    return _finish(query, timeout_s)
