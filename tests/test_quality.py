@@ -85,3 +85,14 @@ def test_duplicate_rows_null_safe(spark):
     assert allcols == pdf.duplicated(keep=False).sum() == 2
     rest = quality.duplicate_rows(df, ["s", "t"], sort=True).collect()
     assert len(rest) == pdf.duplicated(subset=["s", "t"], keep=False).sum() == 4
+
+
+def test_single_check_helpers(teams):
+    from tierline.operators import profile
+    res = quality.check_consistency(teams)
+    one = quality.fd_violation_rows(teams, "team_api_id", "team_long_name")
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, res["id_to_long_name"].collect()), key=str)
+    case = quality.casing_rows(teams, "team_api_id", "team_short_name")
+    assert sorted(map(tuple, case.collect()), key=str) == sorted(map(tuple, res["short_name_casing"].collect()), key=str)
+    cols = {r.column_name: r.n_null for r in profile.columns_with_nulls(teams).collect()}
+    assert cols == {"team_api_id": 1, "team_long_name": 2, "team_short_name": 1, "team_fifa_api_id": 2}

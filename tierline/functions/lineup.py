@@ -6,10 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def players_array(cols: list[Column]) -> Column:
-    return F.array(*cols)
-
-
 def lineup_hash(players: Column, id_match: Column, local: Column, min_known: int = 3) -> Column:
     """SHA-256 of the sorted non-zero player ids joined by ``|`` when at least
     ``min_known`` are known; otherwise SHA-256 of ``id_match|local``."""

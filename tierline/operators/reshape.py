@@ -31,16 +31,3 @@ def pivot_mean(df: DataFrame, index: list[str], column: str, value: str,
                                     for v in pivot_values])
     any_value = reduce(lambda a, b: a | b, [F.col(f"`{v}`").isNotNull() for v in pivot_values])
     return wide.where(any_value)
-
-
-def explode_structs(df: DataFrame, keep: list[Column], structs: list[Column],
-                    alias: str = "s") -> DataFrame:
-    """Single scan emitting one row per struct (a UNION ALL of the struct
-    branches without reading the input twice)."""
-    return df.select(*keep, F.explode(F.array(*structs)).alias(alias))
-
-
-def positions(df: DataFrame, keep: list[str], array_col: str, pos_name: str = "position",
-              value_name: str = "value") -> DataFrame:
-    """(keep..., position from 0, element) for every array element."""
-    return df.select(*keep, F.posexplode(array_col).alias(pos_name, value_name))

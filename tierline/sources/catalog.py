@@ -85,10 +85,6 @@ def bronze_load(spark: SparkSession, folder: str, names: list[str], database: st
     return reduce(DataFrame.unionByName, parts)
 
 
-def table_exists(spark: SparkSession, qualified: str) -> bool:
-    return spark.catalog.tableExists(qualified)
-
-
 def create_view(df: DataFrame, name: str) -> str:
     """Session-scoped view (``CREATE OR REPLACE TEMP VIEW``)."""
     df.createOrReplaceTempView(name)
