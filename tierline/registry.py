@@ -28,6 +28,7 @@ DUP_SUBSET = ["id", "l_returnflag"]
 
 
 def finish(df: DataFrame) -> DataFrame:
+    """Normalise a result for comparison with the SQL oracle (see module doc)."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
