@@ -148,8 +148,10 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
             else:
                 retry.append(key)
         attempt += 1
-        if retry:  # widen the missed brackets, finally to the whole column
-            wider = (_brackets(df, retry, counts, accuracy, 30.0 * attempt) if attempt < 2
+        if retry:  # widen the missed brackets tenfold per attempt; the whole
+            # column (one window per column) only after that, i.e. never for
+            # a working sketch
+            wider = (_brackets(df, retry, counts, accuracy, 3.0 * 10 ** attempt) if attempt <= 4
                      else {k: (None, None) for k in retry})
             bounds.update(wider)
         pending = retry
