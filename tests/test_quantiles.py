@@ -22,3 +22,23 @@ def test_exact_quantiles_match_numpy(spark, window):
 def test_exact_quantiles_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     assert exact_quantiles(df, ["a"], [0.5]) == {"a": {0.5: None}}
+
+
+def test_missed_bracket_is_widened(spark, monkeypatch):
+    from tierline.operators import quantiles
+    values = [float(i % 97) for i in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    real = quantiles._brackets
+    calls = []
+
+    def first_wrong(df_, keys, counts, accuracy, spread):
+        calls.append(spread)
+        if len(calls) == 1:  # a bracket far away from every rank
+            return {k: (1000.0, 2000.0) for k in keys}
+        return real(df_, keys, counts, accuracy, spread)
+
+    monkeypatch.setattr(quantiles, "_brackets", first_wrong)
+    got = quantiles.exact_quantiles(df, ["a"], [0.25, 0.5, 0.75], window_target=100, min_accuracy=100)["a"]
+    for p in (0.25, 0.5, 0.75):
+        assert got[p] == pytest.approx(np.percentile(values, p * 100))
+    assert len(calls) >= 2  # the miss was detected and the bracket widened
