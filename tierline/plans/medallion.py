@@ -157,3 +157,24 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], location: str,
                with_events=bool(gold_needs & {"dim_period", "fact_events"}))
     run_gold(layers["silver"], layers["gold"], targets)
     return layers
+
+
+# The source tables of the workload, as named in the CSV volume.
+SOURCE_TABLES = ["match", "team", "player", "player_attributes", "team_attributes", "league", "country"]
+
+
+def run_from_csv(spark: SparkSession, folder: str, location: str, prefix: str = "",
+                 fmt: str = "parquet", semicolon: bool = False, targets=None):
+    """CSV volume -> bronze (guarded load: a missing or unreadable table is
+    reported and skipped) -> silver -> gold. Returns (layers, load report)."""
+    from ..sources.catalog import bronze_load
+    base = location.rstrip("/")
+    layers = {n: Layer(spark, f"{prefix}{n}", f"{base}/{n}", fmt) for n in ("bronze", "silver", "gold")}
+    report = bronze_load(spark, folder, SOURCE_TABLES, database=layers["bronze"].name, fmt=fmt,
+                         location=layers["bronze"].location, semicolon=semicolon)
+    report = report.collect()  # one row per source table: the load outcome
+    gold_needs = gold_closure(targets)
+    run_silver(layers["bronze"], layers["silver"],
+               with_events=bool(gold_needs & {"dim_period", "fact_events"}))
+    run_gold(layers["silver"], layers["gold"], targets)
+    return layers, report
