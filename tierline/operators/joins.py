@@ -1,4 +1,5 @@
-"""Join helpers: size-checked broadcast, suffixing of clashing columns."""
+"""Join helpers: size-checked broadcast, hot-key split, NULL-safe semi/anti
+joins, suffixing of clashing columns."""
 
 from __future__ import annotations
 
@@ -31,11 +32,6 @@ def join_with_suffixes(left: DataFrame, right: DataFrame, left_on: str, right_on
     return l.join(r, l[lk] == r[rk], how)
 
 
-def null_safe_condition(left: DataFrame, right: DataFrame, cols: list[str]):
-    """``left.c <=> right.c`` for all ``cols`` (NULLs compare equal)."""
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def _null_safe(df: DataFrame, keys: DataFrame, cols: list[str], how: str) -> DataFrame:
     k = keys.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(cols)])
     cond = reduce(lambda a, b: a & b,
@@ -70,7 +66,9 @@ def hot_key_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str,
     their lookup rows (at most ``max_hot``, proven by a ``limit`` count) are
     broadcast and joined map-side, so the hot rows are never shuffled by key;
     all other keys join by shuffle. Rows with a NULL key cannot match and skip
-    the join. Beyond ``max_hot`` hot keys the plain join is used (AQE).
+    the join. With more than ``max_hot`` hot keys the plain join is used: the
+    keys then spread over many partitions, and a key below ``hot_rows`` fits
+    one task by construction.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
