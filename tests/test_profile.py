@@ -91,3 +91,16 @@ def test_value_counts_and_topk(spark):
     assert top == [("a", 3)]
     rvc = {(r.p, r.q): r.n for r in profile.row_value_counts(df).collect()}
     assert rvc == {("a", "x"): 1, ("b", "x"): 1, ("a", "y"): 1}
+
+
+def test_profiles_accept_any_column_names(spark):
+    df = spark.createDataFrame([(1.0, "a", None), (2.0, "a", 3), (2.0, None, 3)], "`x.y` double, `s t` string, `q`` r` int")
+    nulls = {r.column_name: r.n_null for r in profile.null_profile(df).collect()}
+    assert nulls == {"x.y": 0, "s t": 1, "q` r": 1}
+    assert {(r.column_name, r.value, r.n) for r in profile.value_counts(df).collect()} == {("s t", "a", 2)}
+    dups = {r.column_name: r.n_duplicates for r in profile.dup_profile(df).collect()}
+    assert dups == {"x.y": 1, "s t": 1, "q` r": 1}
+    d = {r.column_name: r.q50 for r in profile.describe_numeric(df).collect()}
+    assert d == {"x.y": 2.0, "q` r": 3.0}
+    assert profile.corr_long(df).count() == 4
+    assert profile.rows_with_nulls(df).first().n_rows_with_null == 2

@@ -54,3 +54,25 @@ def discover_odds_triples(columns: list[str]) -> list[tuple[str, str, str, str]]
 def suffix_columns(columns: list[str], suffixes=("A", "D", "H")) -> list[str]:
     """Columns whose name ends with one of ``suffixes`` (case-sensitive)."""
     return [c for c in columns if c.endswith(tuple(suffixes))]
+
+
+def quoted(name: str):
+    """Column reference that takes ``name`` literally (dots, spaces)."""
+    from pyspark.sql import functions as F
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def to_long(df: DataFrame, items: list, value_name: str, ids: list[str] | None = None,
+            name_col: str = "column_name") -> DataFrame:
+    """Unpivot ``items`` = [(name, Column), ...] into (ids..., name_col, value_name).
+
+    The values are unpivoted under positional aliases and the names mapped back
+    afterwards, so any column name (dots, spaces, backticks) is safe.
+    """
+    from pyspark.sql import functions as F
+    ids = ids or []
+    aliases = [f"__v{i}" for i in range(len(items))]
+    wide = df.select(*[quoted(i) for i in ids], *[e.alias(a) for (_, e), a in zip(items, aliases)])
+    long = wide.unpivot(ids, aliases, "__k", value_name)
+    names = F.create_map(*[x for a, (n, _) in zip(aliases, items) for x in (F.lit(a), F.lit(n))])
+    return long.select(*[quoted(i) for i in ids], names[F.col("__k")].alias(name_col), value_name)

@@ -14,22 +14,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .columns import columns_by_family
+from .columns import columns_by_family, quoted, to_long
 from .quantiles import exact_quantiles
 from ..session import cut_lineage
 from ..plans.reference_data import literal_rows
 
 
 def _null_flags(df: DataFrame):
-    return [F.col(f"`{c}`").isNull().cast("int") for c in df.columns]
+    return [quoted(c).isNull().cast("int") for c in df.columns]
 
 
 def null_profile(df: DataFrame) -> DataFrame:
     """(column_name, n_null, pct_null, has_null) for every column, one pass."""
     cols = df.columns
     row = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(c) for c in cols])
-    long = row.unpivot(["__n"], cols, "column_name", "n_null")
+                 *[F.sum(quoted(c).isNull().cast("long")).alias(f"__c{i}") for i, c in enumerate(cols)])
+    long = to_long(row, [(c, F.col(f"__c{i}")) for i, c in enumerate(cols)], "n_null", ids=["__n"])
     return long.select(
         "column_name", "n_null",
         (F.try_divide(F.col("n_null") * 100.0, F.col("__n"))).alias("pct_null"),
@@ -51,7 +51,7 @@ def row_null_histogram(df: DataFrame, top: int = 5) -> DataFrame:
 
 def rows_with_nulls(df: DataFrame) -> DataFrame:
     """(n_rows, n_rows_with_null, pct_rows_with_null) in one pass."""
-    any_null = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in df.columns])
+    any_null = reduce(lambda a, b: a | b, [quoted(c).isNull() for c in df.columns])
     row = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(any_null).alias("n_rows_with_null"))
     return row.select("n_rows", "n_rows_with_null",
                       F.try_divide(F.col("n_rows_with_null") * 100.0, F.col("n_rows"))
@@ -61,8 +61,8 @@ def rows_with_nulls(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(column_name, value, n) for every text column; NULL values excluded."""
     cols = cols if cols is not None else columns_by_family(df, "object")
-    long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-            .unpivot([], cols, "column_name", "value").where(F.col("value").isNotNull()))
+    long = (to_long(df, [(c, quoted(c).cast("string")) for c in cols], "value")
+            .where(F.col("value").isNotNull()))
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -79,17 +79,16 @@ def group_size_topk(df: DataFrame, col: str, k: int = 5) -> DataFrame:
 
 def _as_group_value(df: DataFrame, c: str):
     dt = df.schema[c].dataType
-    col = F.col(f"`{c}`")
+    col = quoted(c)
     if isinstance(dt, (T.FloatType, T.DoubleType)):
         col = col + F.lit(0.0)  # -0.0 and 0.0 are one value, as in equality
-    return col.cast("string").alias(c)
+    return col.cast("string")
 
 
 def dup_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(column_name, n_rows, n_distinct, n_duplicates) with NULL counted as one value."""
     cols = cols if cols is not None else df.columns
-    long = (df.select(*[_as_group_value(df, c) for c in cols])
-            .unpivot([], cols, "column_name", "value"))
+    long = to_long(df, [(c, _as_group_value(df, c)) for c in cols], "value")
     per_value = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     return (per_value.groupBy("column_name")
             .agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"))
@@ -111,7 +110,7 @@ def narrow_input(df: DataFrame, cols: list[str], materialize: bool) -> DataFrame
     """The columns a multi-pass profile reads; with ``materialize`` they are
     written once to the shared checkpoint folder so later passes read them
     instead of recomputing an expensive input plan (joins, aggregates)."""
-    narrow = df.select(*[F.col(f"`{c}`") for c in cols])
+    narrow = df.select(*[quoted(c) for c in cols])
     return cut_lineage(narrow) if materialize else narrow
 
 
@@ -127,7 +126,7 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None,
     spark = df.sparkSession
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(f"`{c}`").cast("double")
+        x = quoted(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     row = df.agg(*aggs).first()
@@ -159,7 +158,7 @@ def corr_long(df: DataFrame, cols: list[str] | None = None, materialize: bool =
     cols = cols if cols is not None else columns_by_family(df, "number")
     df = narrow_input(df, cols, materialize)
     k = len(cols)
-    xs = [F.col(f"`{c}`").cast("double") for c in cols]
+    xs = [quoted(c).cast("double") for c in cols]
     first = df.agg(F.count(F.lit(1)).alias("__n"),
                    *[F.count(x).alias(f"n{i}") for i, x in enumerate(xs)],
                    *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]).first()

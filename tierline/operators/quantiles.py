@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.reference_data import literal_rows
+from .columns import quoted, to_long
 
 _TARGETS = T.StructType([
     T.StructField("tid", T.IntegerType()),
@@ -79,10 +80,9 @@ def _rank_values(df: DataFrame, bounds: dict) -> dict:
             tid[(c, r)] = len(targets)
             targets.append((len(targets), c, 2 * g + 1, r))
 
-    tagged = df.select(*[F.struct(F.col(f"`{c}`").cast("double").alias("v"),
-                                  _segment(F.col(f"`{c}`").cast("double"), groups[c]).alias("seg")).alias(c)
-                         for c in cols])
-    long = (tagged.unpivot([], cols, "col_name", "x")
+    items = [(c, F.struct(quoted(c).cast("double").alias("v"),
+                          _segment(quoted(c).cast("double"), groups[c]).alias("seg"))) for c in cols]
+    long = (to_long(df, items, "x", name_col="col_name")
             .select("col_name", "x.v", "x.seg").where(F.col("v").isNotNull()))
     odd = F.col("seg") % 2 == 1
     counted = (long.groupBy("col_name", "seg", F.when(odd, F.col("v")).alias("cv"))
@@ -107,7 +107,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     min_accuracy: int = 10_000, max_accuracy: int = 10_000_000) -> dict:
     """{col: {p: quantile}} with linear interpolation between order statistics."""
     if counts is None:
-        row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+        row = df.agg(*[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
         counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
     needed: dict[tuple[str, int], None] = {}
     plan: dict[tuple[str, float], tuple[int, float]] = {}
@@ -181,7 +181,7 @@ def _brackets(df: DataFrame, keys, counts, accuracy: int, spread: float) -> dict
         f = (r + 1) / counts[c]
         fracs.setdefault(c, []).extend([max(0.0, f - margin), min(1.0, f + margin)])
     names = list(fracs)
-    row = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), fracs[c], accuracy).alias(f"b{i}")
+    row = df.agg(*[F.percentile_approx(quoted(c).cast("double"), fracs[c], accuracy).alias(f"b{i}")
                    for i, c in enumerate(names)]).first()
     pos = {c: 0 for c in names}
     out = {}

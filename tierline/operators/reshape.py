@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import quoted
+
 
 def melt(df: DataFrame, ids: list[str], values: list[str], var_name: str,
          value_name: str) -> DataFrame:
@@ -29,5 +31,5 @@ def pivot_mean(df: DataFrame, index: list[str], column: str, value: str,
     aggregation and shuffle), and no job to discover the pivot values."""
     wide = df.groupBy(*index).agg(*[F.avg(F.when(F.col(column) == v, F.col(value))).alias(v)
                                     for v in pivot_values])
-    any_value = reduce(lambda a, b: a | b, [F.col(f"`{v}`").isNotNull() for v in pivot_values])
+    any_value = reduce(lambda a, b: a | b, [quoted(v).isNotNull() for v in pivot_values])
     return wide.where(any_value)

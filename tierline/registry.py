@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .functions.numeric import round_half_even
 from .operators import clean, profile, quality
-from .operators.columns import columns_by_family
+from .operators.columns import columns_by_family, quoted
 from .plans import gold, odds, silver, standins
 from .plans.reference_data import dim_betting_office
 from .session import shared_scratch
@@ -31,7 +31,7 @@ def finish(df: DataFrame) -> DataFrame:
     """Normalise a result for comparison with the SQL oracle (see module doc)."""
     out = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = quoted(f.name)
         dt = f.dataType
         if isinstance(dt, T.ArrayType):
             c = F.array_join(F.transform(c, lambda x: x.cast("string")), "|")
