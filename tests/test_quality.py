@@ -96,3 +96,15 @@ def test_single_check_helpers(teams):
     assert sorted(map(tuple, case.collect()), key=str) == sorted(map(tuple, res["short_name_casing"].collect()), key=str)
     cols = {r.column_name: r.n_null for r in profile.columns_with_nulls(teams).collect()}
     assert cols == {"team_api_id": 1, "team_long_name": 2, "team_short_name": 1, "team_fifa_api_id": 2}
+
+
+def test_checks_accept_dotted_names(spark):
+    from tierline.operators import clean
+    df = spark.createDataFrame([(1, "a.x", 5), (1, "b", 5), (2, "c", None), (2, "c", 7)], "`t.id` int, `t.name` string, `t.v` int")
+    fd = quality.fd_violation_rows(df, "t.id", "t.name").count()
+    assert fd == 2
+    dup = quality.duplicate_rows(df, ["t.id"]).count()
+    assert dup == 4
+    assert clean.dedupe_keep_min_id(df, "t.v").count() == 3
+    assert [r[0] for r in clean.fill_with_mean(df).select("`t.v`").collect()][2] == 17 / 3
+    assert quality.key_checks(df, "t.id", df, "t.id").first().pk_is_unique is False

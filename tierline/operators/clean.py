@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import columns_by_family
+from .columns import columns_by_family, quoted
 
 
 def drop_null_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -23,14 +23,15 @@ def fill_with_mean(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = cols if cols is not None else columns_by_family(df, "number")
     if not cols:
         return df
-    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
+    row = df.agg(*[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    means = {c: row[f"m{i}"] for i, c in enumerate(cols)}
     out = []
     for c in df.columns:
         if c in cols:
             fill = F.lit(means[c]).cast("double")
-            out.append(F.coalesce(F.col(c).cast("double"), fill).alias(c))
+            out.append(F.coalesce(quoted(c).cast("double"), fill).alias(c))
         else:
-            out.append(F.col(c))
+            out.append(quoted(c))
     return df.select(*out)
 
 
@@ -54,12 +55,13 @@ def dedupe_keep_min_id(df: DataFrame, id_col: str = "id") -> DataFrame:
     rest = [c for c in df.columns if c != id_col]
     if not rest:
         return df.agg(F.min(id_col).alias(id_col))
-    return df.groupBy(*rest).agg(F.min(id_col).alias(id_col)).select(*df.columns)
+    return (df.groupBy(*[quoted(c) for c in rest]).agg(F.min(quoted(id_col)).alias(id_col))
+            .select(*[quoted(c) for c in df.columns]))
 
 
 def parse_timestamp(df: DataFrame, col: str, target: str | None = None) -> DataFrame:
     """Text -> TIMESTAMP; unparsable text becomes NULL (no ANSI error)."""
-    return df.withColumn(target or col, F.try_to_timestamp(F.col(col).cast("string")))
+    return df.withColumn(target or col, F.try_to_timestamp(quoted(col).cast("string")))
 
 
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -68,5 +70,5 @@ def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     Planned as a top-k (per-partition heaps, then one merge of n rows per
     partition), not a global sort. An empty input gives an empty result.
     """
-    return (df.withColumn("__h", F.md5(F.col(key).cast("string")))
-            .orderBy("__h", key).limit(n).drop("__h"))
+    return (df.withColumn("__h", F.md5(quoted(key).cast("string")))
+            .orderBy("__h", quoted(key)).limit(n).drop("__h"))

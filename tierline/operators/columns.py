@@ -56,10 +56,15 @@ def suffix_columns(columns: list[str], suffixes=("A", "D", "H")) -> list[str]:
     return [c for c in columns if c.endswith(tuple(suffixes))]
 
 
+def qname(name: str) -> str:
+    """``name`` as a quoted identifier (dots, spaces and backticks taken literally)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str):
     """Column reference that takes ``name`` literally (dots, spaces)."""
     from pyspark.sql import functions as F
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(qname(name))
 
 
 def to_long(df: DataFrame, items: list, value_name: str, ids: list[str] | None = None,

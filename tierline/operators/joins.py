@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import qname, quoted
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
@@ -25,17 +27,17 @@ def join_with_suffixes(left: DataFrame, right: DataFrame, left_on: str, right_on
                        how: str = "inner", suffixes=("_left", "_right")) -> DataFrame:
     """Equi-join where columns present on both sides get ``suffixes``; the rest keep their names."""
     clash = set(left.columns) & set(right.columns)
-    l = left.select(*[F.col(c).alias(c + suffixes[0] if c in clash else c) for c in left.columns])
-    r = right.select(*[F.col(c).alias(c + suffixes[1] if c in clash else c) for c in right.columns])
+    l = left.select(*[quoted(c).alias(c + suffixes[0] if c in clash else c) for c in left.columns])
+    r = right.select(*[quoted(c).alias(c + suffixes[1] if c in clash else c) for c in right.columns])
     lk = left_on + suffixes[0] if left_on in clash else left_on
     rk = right_on + suffixes[1] if right_on in clash else right_on
-    return l.join(r, l[lk] == r[rk], how)
+    return l.join(r, l[qname(lk)] == r[qname(rk)], how)
 
 
 def _null_safe(df: DataFrame, keys: DataFrame, cols: list[str], how: str) -> DataFrame:
-    k = keys.select(*[F.col(c).alias(f"__k_{i}") for i, c in enumerate(cols)])
+    k = keys.select(*[quoted(c).alias(f"__k_{i}") for i, c in enumerate(cols)])
     cond = reduce(lambda a, b: a & b,
-                  [df[c].eqNullSafe(k[f"__k_{i}"]) for i, c in enumerate(cols)])
+                  [df[qname(c)].eqNullSafe(k[f"__k_{i}"]) for i, c in enumerate(cols)])
     return df.join(k, cond, how)
 
 
@@ -73,8 +75,8 @@ def hot_key_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str,
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    hot = key_counts.where((F.col("__n") > hot_rows) & ~null_key).select(*on)
+    null_key = reduce(lambda a, b: a | b, [quoted(k).isNull() for k in on])
+    hot = key_counts.where((F.col("__n") > hot_rows) & ~null_key).select(*[quoted(k) for k in on])
     n_hot = hot.limit(max_hot + 1).count()
     if n_hot == 0 or n_hot > max_hot:
         return big.join(lookup, on, how)
@@ -89,7 +91,7 @@ def hot_key_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str,
     if how == "left":
         extra = [f for f in lookup.schema.fields if f.name not in on]
         parts.append(big.where(null_key).select(
-            *on, *[c for c in big.columns if c not in on],
+            *[quoted(k) for k in on], *[quoted(c) for c in big.columns if c not in on],
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]))
     elif how == "left_anti":
         parts.append(big.where(null_key))

@@ -16,22 +16,23 @@ from pyspark.sql import types as T
 
 from ..functions.text import has_edge_whitespace
 from ..session import cut_lineage
+from .columns import qname, quoted
 from .joins import MAX_HOT_KEYS, HOT_ROWS, hot_key_join, semi_anti_null_safe, semi_join_null_safe
 
 
 def _distinct_count(col: str, nulls_as_value: bool):
-    c = F.col(col)
+    c = quoted(col)
     return F.count_distinct(F.struct(c)) if nulls_as_value else F.count_distinct(c)
 
 
 def fd_violation_keys(df: DataFrame, key: str, value: str, nulls_as_value: bool = True,
                       drop_null_values: bool = False) -> DataFrame:
     """Keys (non-null) mapped to more than one distinct ``value``."""
-    base = df.where(F.col(key).isNotNull())
+    base = df.where(quoted(key).isNotNull())
     if drop_null_values:
-        base = base.where(F.col(value).isNotNull())
-    return (base.groupBy(key).agg(_distinct_count(value, nulls_as_value).alias("__n"))
-            .where(F.col("__n") > 1).select(key))
+        base = base.where(quoted(value).isNotNull())
+    return (base.groupBy(quoted(key)).agg(_distinct_count(value, nulls_as_value).alias("__n"))
+            .where(F.col("__n") > 1).select(quoted(key)))
 
 
 def fd_violation_rows(df: DataFrame, key: str, value: str, **kw) -> DataFrame:
@@ -40,24 +41,24 @@ def fd_violation_rows(df: DataFrame, key: str, value: str, **kw) -> DataFrame:
 
 
 def edge_whitespace_rows(df: DataFrame, id_col: str, col: str) -> DataFrame:
-    return df.where(has_edge_whitespace(F.col(col))).select(id_col, col)
+    return df.where(has_edge_whitespace(quoted(col))).select(quoted(id_col), quoted(col))
 
 
 def casing_rows(df: DataFrame, id_col: str, col: str) -> DataFrame:
     """Rows of ids whose upper-cased ``col`` takes more than one value (NULLs ignored)."""
-    bad = (df.where(F.col(id_col).isNotNull())
-           .groupBy(id_col).agg(F.count_distinct(F.upper(col)).alias("__n"))
-           .where(F.col("__n") > 1).select(id_col))
-    return df.join(bad, id_col, "left_semi").select(id_col, col)
+    bad = (df.where(quoted(id_col).isNotNull())
+           .groupBy(quoted(id_col)).agg(F.count_distinct(F.upper(quoted(col))).alias("__n"))
+           .where(F.col("__n") > 1).select(quoted(id_col)))
+    return df.join(bad, id_col, "left_semi").select(quoted(id_col), quoted(col))
 
 
 def casing_rows_strict(df: DataFrame, id_col: str, col: str) -> DataFrame:
     """Rows of ids whose ``col`` differs only by letter case (more raw than upper-cased values)."""
-    bad = (df.where(F.col(id_col).isNotNull())
-           .groupBy(id_col).agg(F.count_distinct(col).alias("__raw"),
-                                F.count_distinct(F.upper(col)).alias("__up"))
-           .where(F.col("__raw") > F.col("__up")).select(id_col))
-    return df.join(bad, id_col, "left_semi").select(id_col, col)
+    bad = (df.where(quoted(id_col).isNotNull())
+           .groupBy(quoted(id_col)).agg(F.count_distinct(quoted(col)).alias("__raw"),
+                                F.count_distinct(F.upper(quoted(col))).alias("__up"))
+           .where(F.col("__raw") > F.col("__up")).select(quoted(id_col)))
+    return df.join(bad, id_col, "left_semi").select(quoted(id_col), quoted(col))
 
 
 # Names of the seven consistency checks, in report order.
@@ -84,22 +85,22 @@ def annotate_consistency(df: DataFrame, id_col: str = "team_api_id",
     :func:`hot_key_join`, so an id or name holding a large share of the rows
     is joined map-side instead of in one task. Edge-space flags are per row.
     """
-    by_id = cut_lineage(df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+    by_id = cut_lineage(df.where(quoted(id_col).isNotNull()).groupBy(quoted(id_col)).agg(
         (_distinct_count(long_col, True) > 1).alias(_FLAG[CHECKS[0]]),
         (_distinct_count(short_col, True) > 1).alias(_FLAG[CHECKS[1]]),
-        (F.count_distinct(alt_id_col) > 1).alias(_FLAG[CHECKS[2]]),
-        (F.count_distinct(F.upper(short_col)) > 1).alias(_FLAG[CHECKS[6]]),
+        (F.count_distinct(quoted(alt_id_col)) > 1).alias(_FLAG[CHECKS[2]]),
+        (F.count_distinct(F.upper(quoted(short_col))) > 1).alias(_FLAG[CHECKS[6]]),
         F.count(F.lit(1)).alias("__n")))
-    by_name = cut_lineage(df.where(F.col(long_col).isNotNull()).groupBy(long_col)
+    by_name = cut_lineage(df.where(quoted(long_col).isNotNull()).groupBy(quoted(long_col))
                           .agg((_distinct_count(id_col, True) > 1).alias(_FLAG[CHECKS[3]]),
                                F.count(F.lit(1)).alias("__n")))
     out = hot_key_join(df, by_id.drop("__n"), [id_col], "left", by_id, hot_rows)
     out = hot_key_join(out, by_name.drop("__n"), [long_col], "left", by_name, hot_rows)
     flags = {n: F.coalesce(F.col(_FLAG[n]), F.lit(False)) for n in (CHECKS[0], CHECKS[1], CHECKS[2],
                                                                       CHECKS[3], CHECKS[6])}
-    flags[CHECKS[4]] = has_edge_whitespace(F.col(long_col))
-    flags[CHECKS[5]] = has_edge_whitespace(F.col(short_col))
-    return out.select(*df.columns, *[flags[n].alias(_FLAG[n]) for n in CHECKS])
+    flags[CHECKS[4]] = has_edge_whitespace(quoted(long_col))
+    flags[CHECKS[5]] = has_edge_whitespace(quoted(short_col))
+    return out.select(*[quoted(c) for c in df.columns], *[flags[n].alias(_FLAG[n]) for n in CHECKS])
 
 
 def check_consistency(df: DataFrame, id_col: str = "team_api_id",
@@ -107,10 +108,10 @@ def check_consistency(df: DataFrame, id_col: str = "team_api_id",
                       alt_id_col: str = "team_fifa_api_id", hot_rows: int | None = None) -> dict[str, DataFrame]:
     """The seven checks keyed by :data:`CHECKS` (affected rows), plus ``summary``."""
     ann = annotate_consistency(df, id_col, long_col, short_col, alt_id_col, hot_rows)
-    res = {n: ann.where(F.col(_FLAG[n])).select(*df.columns) for n in CHECKS[:4]}
-    res[CHECKS[4]] = ann.where(F.col(_FLAG[CHECKS[4]])).select(id_col, long_col)
-    res[CHECKS[5]] = ann.where(F.col(_FLAG[CHECKS[5]])).select(id_col, short_col)
-    res[CHECKS[6]] = ann.where(F.col(_FLAG[CHECKS[6]])).select(id_col, short_col)
+    res = {n: ann.where(F.col(_FLAG[n])).select(*[quoted(c) for c in df.columns]) for n in CHECKS[:4]}
+    res[CHECKS[4]] = ann.where(F.col(_FLAG[CHECKS[4]])).select(quoted(id_col), quoted(long_col))
+    res[CHECKS[5]] = ann.where(F.col(_FLAG[CHECKS[5]])).select(quoted(id_col), quoted(short_col))
+    res[CHECKS[6]] = ann.where(F.col(_FLAG[CHECKS[6]])).select(quoted(id_col), quoted(short_col))
     res["summary"] = (ann.agg(*[F.count_if(F.col(_FLAG[n])).alias(n) for n in CHECKS])
                       .unpivot([], CHECKS, "check_name", "n_affected"))
     res["annotated"] = ann
@@ -122,21 +123,22 @@ def fd_violations(df: DataFrame, **kw) -> DataFrame:
     (check, row), tagged by ``check_name``; one pass over the annotated frame."""
     ann = check_consistency(df, **kw)["annotated"]
     names = F.array(*[F.when(F.col(_FLAG[n]), F.lit(n)) for n in CHECKS[:4]])
-    return (ann.select(F.explode(F.filter(names, lambda x: x.isNotNull())).alias("check_name"), *df.columns))
+    return (ann.select(F.explode(F.filter(names, lambda x: x.isNotNull())).alias("check_name"),
+                       *[quoted(c) for c in df.columns]))
 
 
 def whitespace_check(df: DataFrame, id_col: str = "team_api_id",
                      cols=("team_long_name", "team_short_name")) -> DataFrame:
     parts = [edge_whitespace_rows(df, id_col, c)
-             .select(F.lit(c).alias("column_name"), id_col, F.col(c).alias("value")) for c in cols]
+             .select(F.lit(c).alias("column_name"), quoted(id_col), quoted(c).alias("value")) for c in cols]
     return reduce(DataFrame.unionByName, parts)
 
 
 def key_checks(fk: DataFrame, fk_col: str, pk: DataFrame, pk_col: str) -> DataFrame:
     """Uniqueness of both key columns, equality of their value sets, orphan and
     unreferenced counts, all from one union + groupBy on the key."""
-    u = (fk.select(F.col(fk_col).alias("k"), F.lit(1).alias("in_fk"), F.lit(0).alias("in_pk"))
-         .unionByName(pk.select(F.col(pk_col).alias("k"), F.lit(0).alias("in_fk"), F.lit(1).alias("in_pk"))))
+    u = (fk.select(quoted(fk_col).alias("k"), F.lit(1).alias("in_fk"), F.lit(0).alias("in_pk"))
+         .unionByName(pk.select(quoted(pk_col).alias("k"), F.lit(0).alias("in_fk"), F.lit(1).alias("in_pk"))))
     g = u.groupBy("k").agg(F.sum("in_fk").alias("n_fk"), F.sum("in_pk").alias("n_pk"))
     return g.agg(
         F.coalesce(F.max("n_fk") <= 1, F.lit(True)).alias("fk_is_unique"),
@@ -148,17 +150,17 @@ def key_checks(fk: DataFrame, fk_col: str, pk: DataFrame, pk_col: str) -> DataFr
 
 def orphan_keys(fk: DataFrame, fk_col: str, pk: DataFrame, pk_col: str) -> DataFrame:
     """(side, key): foreign-key rows without a match, and unreferenced key rows."""
-    orphans = fk.join(pk.select(F.col(pk_col).alias(fk_col)), fk_col, "left_anti")
-    unref = pk.join(fk.select(F.col(fk_col).alias(pk_col)), pk_col, "left_anti")
-    return (orphans.select(F.lit("fk_orphan").alias("side"), F.col(fk_col).alias("key"))
-            .unionByName(unref.select(F.lit("pk_unreferenced").alias("side"), F.col(pk_col).alias("key"))))
+    orphans = fk.join(pk.select(quoted(pk_col).alias(fk_col)), fk_col, "left_anti")
+    unref = pk.join(fk.select(quoted(fk_col).alias(pk_col)), pk_col, "left_anti")
+    return (orphans.select(F.lit("fk_orphan").alias("side"), quoted(fk_col).alias("key"))
+            .unionByName(unref.select(F.lit("pk_unreferenced").alias("side"), quoted(pk_col).alias("key"))))
 
 
 def join_one_to_one(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
     """Inner join that first proves both key columns unique (one job over both
     sides); raises ValueError naming the side(s) with a repeated key."""
-    keys = (left.select(F.lit("left").alias("side"), F.col(left_on).alias("k"))
-            .unionByName(right.select(F.lit("right").alias("side"), F.col(right_on).alias("k"))))
+    keys = (left.select(F.lit("left").alias("side"), quoted(left_on).alias("k"))
+            .unionByName(right.select(F.lit("right").alias("side"), quoted(right_on).alias("k"))))
     bad = (keys.groupBy("side", "k").count().where(F.col("count") > 1)
            .groupBy("side").count().collect())  # at most two rows
     if bad:
@@ -166,7 +168,7 @@ def join_one_to_one(left: DataFrame, right: DataFrame, left_on: str, right_on: s
         raise ValueError(f"join is not one-to-one: repeated keys on {' and '.join(sides)} side")
     if left_on == right_on:
         return left.join(right, left_on, "inner")
-    return left.join(right, left[left_on] == right[right_on], "inner")
+    return left.join(right, left[qname(left_on)] == right[qname(right_on)], "inner")
 
 
 def duplicate_rows(df: DataFrame, subset: list[str] | None = None, sort: bool = False,
@@ -178,18 +180,18 @@ def duplicate_rows(df: DataFrame, subset: list[str] | None = None, sort: bool =
     larger than ``hot_rows`` is matched map-side against a broadcast of the
     hot keys, the rest by a shuffled semi join."""
     cols = subset or df.columns
-    keys = cut_lineage(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    keys = cut_lineage(df.groupBy(*[quoted(c) for c in cols]).agg(F.count(F.lit(1)).alias("__n"))
                        .where(F.col("__n") > 1))
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    hot = keys.where(F.col("__n") > limit).select(*cols)
+    hot = keys.where(F.col("__n") > limit).select(*[quoted(c) for c in cols])
     n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
     if 0 < n_hot <= MAX_HOT_KEYS:
         hot_b = F.broadcast(hot)  # proven <= MAX_HOT_KEYS rows
         out = semi_join_null_safe(df, hot_b, cols).unionByName(
-            semi_join_null_safe(semi_anti_null_safe(df, hot_b, cols), keys.select(*cols), cols))
+            semi_join_null_safe(semi_anti_null_safe(df, hot_b, cols), keys.select(*[quoted(c) for c in cols]), cols))
     else:
-        out = semi_join_null_safe(df, keys.select(*cols), cols)
-    return out.orderBy(*cols) if sort else out
+        out = semi_join_null_safe(df, keys.select(*[quoted(c) for c in cols]), cols)
+    return out.orderBy(*[quoted(c) for c in cols]) if sort else out
 
 
 CHECK_SCHEMA = T.StructType([T.StructField("check_name", T.StringType()),
