@@ -7,6 +7,7 @@ floating values rounded half-even to 6 decimals, dates and timestamps as text.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,8 +44,17 @@ def finish(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def _t(spark, sf, name):
-    return files.read_table(spark, sf, name)
+    """The driver's (read-only) table as a DataFrame, resolved once per session:
+    the file listing and footer read are not repeated for every query."""
+    per_session = _TABLES.setdefault(spark, {})
+    key = (sf.rstrip("/"), name)
+    if key not in per_session:
+        per_session[key] = files.read_table(spark, sf, name)
+    return per_session[key]
 
 
 # ---- shared inputs -------------------------------------------------------
