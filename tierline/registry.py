@@ -59,13 +59,23 @@ def _t(spark, sf, name):
 
 # ---- shared inputs -------------------------------------------------------
 
+def _plan(spark, sf, name, build):
+    """A derived lazy plan built once per session and shared by the keys that
+    start from it (each key still runs it in full)."""
+    per_session = _TABLES.setdefault(spark, {})
+    key = (sf.rstrip("/"), "plan:" + name)
+    if key not in per_session:
+        per_session[key] = build()
+    return per_session[key]
+
+
 def bronze_match(spark, sf):
-    return standins.m_match(_t(spark, sf, "orders"), _t(spark, sf, "customer"),
-                            _t(spark, sf, "nation"), _t(spark, sf, "lineitem"))
+    return _plan(spark, sf, "bronze_match", lambda: standins.m_match(
+        _t(spark, sf, "orders"), _t(spark, sf, "customer"), _t(spark, sf, "nation"), _t(spark, sf, "lineitem")))
 
 
 def silver_match_df(spark, sf):
-    return silver.silver_match(bronze_match(spark, sf))
+    return _plan(spark, sf, "silver_match", lambda: silver.silver_match(bronze_match(spark, sf)))
 
 
 def _events(spark, sf):
