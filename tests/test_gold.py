@@ -106,3 +106,15 @@ def test_events_long_generates_ids_without_id_column(spark):
     m = silver.silver_match(_match(spark, ROWS).drop("id"))
     ev = silver.events_long(m).collect()
     assert len(ev) == 3 and len({r.id_match for r in ev}) == 3 and all(r.id_match is not None for r in ev)
+
+
+def test_streaming_from_csv_landing(spark, tmp_path):
+    from tierline.streaming import ingest
+    m = _match(spark, ROWS)
+    landing = str(tmp_path / "csv_landing")
+    m.repartition(2).write.option("header", True).csv(landing)
+    stream = ingest.landing_stream(spark, landing, m.schema, fmt="csv")
+    ingest.run_available_now(ingest.events_long_stream(stream), str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    want = silver.events_long(silver.silver_match(m))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
