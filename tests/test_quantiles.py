@@ -42,3 +42,25 @@ def test_missed_bracket_is_widened(spark, monkeypatch):
     for p in (0.25, 0.5, 0.75):
         assert got[p] == pytest.approx(np.percentile(values, p * 100))
     assert len(calls) >= 2  # the miss was detected and the bracket widened
+
+
+def test_exact_quantiles_with_reused_sketch(spark):
+    from pyspark.sql import functions as F
+    from tierline.operators import quantiles
+    rng = np.random.default_rng(5)
+    values = np.round(rng.exponential(10, 5000), 2)
+    df = spark.createDataFrame([(float(v),) for v in values], "a double")
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    row = df.agg(F.count("a").alias("n"), quantiles.sketch_exprs(F.col("a"), probs).alias("b")).first()
+    sketch = {"a": quantiles.sketch_bounds(row.b, probs)}
+    calls = []
+    real = quantiles._brackets
+    quantiles._brackets = lambda *a, **k: calls.append(1) or real(*a, **k)
+    try:
+        got = quantiles.exact_quantiles(df, ["a"], probs, counts={"a": row.n}, window_target=100,
+                                        sketch=sketch)["a"]
+    finally:
+        quantiles._brackets = real
+    for p in probs:
+        assert got[p] == pytest.approx(np.percentile(values, p * 100), abs=1e-9)
+    assert calls == []  # the sketch from the earlier pass was enough

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .columns import columns_by_family, quoted, to_long
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, sketch_bounds, sketch_exprs
 from ..session import cut_lineage
 from ..plans.reference_data import literal_rows
 
@@ -118,8 +118,9 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None,
                      probs=(0.25, 0.5, 0.75), materialize: bool = False) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max per numeric column.
 
-    Three to four passes (moments, quantile brackets, ranks); set
-    ``materialize`` when ``df`` is an expensive plan rather than a table scan.
+    Two passes: moments together with the quantile brackets, then the exact
+    ranks; set ``materialize`` when ``df`` is an expensive plan rather than a
+    table scan.
     """
     cols = cols if cols is not None else columns_by_family(df, "number")
     df = narrow_input(df, cols, materialize)
@@ -128,10 +129,13 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None,
     for i, c in enumerate(cols):
         x = quoted(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 sketch_exprs(x, list(probs)).alias(f"b{i}")]
+    # one pass: moments and the quantile brackets together; then the rank pass
     row = df.agg(*aggs).first()
     counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
-    q = exact_quantiles(df, cols, list(probs), counts=counts)
+    sketch = {c: sketch_bounds(row[f"b{i}"], list(probs)) for i, c in enumerate(cols) if row[f"b{i}"]}
+    q = exact_quantiles(df, cols, list(probs), counts=counts, sketch=sketch)
     names = ["q" + str(int(round(p * 100))) for p in probs]
     schema = T.StructType([T.StructField("column_name", T.StringType()),
                            T.StructField("count", T.LongType()),

@@ -102,15 +102,39 @@ def _rank_values(df: DataFrame, bounds: dict) -> dict:
     return {key: found.get(i, (None, None, None)) for key, i in tid.items()}
 
 
+SKETCH_ACCURACY = 10_000
+SKETCH_MARGIN = 3.0
+
+
+def sketch_exprs(x, probs: list[float], accuracy: int = SKETCH_ACCURACY):
+    """``percentile_approx`` at each p -/+ margin: brackets that a caller can
+    compute in the same pass as its other aggregates (see ``sketch``)."""
+    m = SKETCH_MARGIN / accuracy
+    fr = [v for p in probs for v in (max(0.0, p - m), min(1.0, p + m))]
+    return F.percentile_approx(x, fr, accuracy)
+
+
+def sketch_bounds(values, probs: list[float], accuracy: int = SKETCH_ACCURACY) -> dict:
+    """{p: (lo, hi)} from the array returned by :func:`sketch_exprs` (None = open end)."""
+    m = SKETCH_MARGIN / accuracy
+    return {p: (values[2 * i] if p - m > 0 else None, values[2 * i + 1] if p + m < 1 else None)
+            for i, p in enumerate(probs)}
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     counts: dict[str, int] | None = None, window_target: int = 200_000,
-                    min_accuracy: int = 10_000, max_accuracy: int = 10_000_000) -> dict:
-    """{col: {p: quantile}} with linear interpolation between order statistics."""
+                    min_accuracy: int = 10_000, max_accuracy: int = 10_000_000,
+                    sketch: dict | None = None) -> dict:
+    """{col: {p: quantile}} with linear interpolation between order statistics.
+
+    ``sketch`` = {col: {p: (lo, hi)}} from :func:`sketch_exprs` evaluated in an
+    earlier pass saves the bracketing pass when its accuracy suffices."""
     if counts is None:
         row = df.agg(*[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
         counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
     needed: dict[tuple[str, int], None] = {}
     plan: dict[tuple[str, float], tuple[int, float]] = {}
+    origin: dict[tuple[str, int], float] = {}
     for c in cols:
         n = counts[c]
         if not n:
@@ -120,8 +144,10 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
             k = math.floor(pos)
             plan[(c, p)] = (k, pos - k)
             needed[(c, k)] = None
+            origin.setdefault((c, k), p)
             if pos - k > 0 and k + 1 < n:
                 needed[(c, k + 1)] = None
+                origin.setdefault((c, k + 1), p)
     if not needed:
         return {c: {p: None for p in probs} for c in cols}
 
@@ -130,8 +156,14 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     keys = list(needed)
     bounds = {key: (None, None) for key in keys}
     sketched = [c for c in {c for c, _ in keys} if counts[c] > window_target]
-    if sketched:  # bracket ranks of large columns with one sketch pass
-        bounds.update(_brackets(df, [k for k in keys if k[0] in sketched], counts, accuracy, 3.0))
+    # a sketch from an earlier pass serves while its accuracy keeps brackets small
+    reuse = [c for c in sketched if sketch and c in sketch and accuracy <= SKETCH_ACCURACY]
+    for key in keys:
+        if key[0] in reuse:
+            bounds[key] = sketch[key[0]][origin[key]]
+    fresh = [c for c in sketched if c not in reuse]
+    if fresh:  # bracket ranks of large columns with one sketch pass
+        bounds.update(_brackets(df, [k for k in keys if k[0] in fresh], counts, accuracy, 3.0))
 
     values: dict[tuple[str, int], float] = {}
     pending, attempt = keys, 0
