@@ -88,3 +88,18 @@ def test_layered_run_from_csv(spark, tmp_path):
         assert (g.id_period, g.home_odd, g.spread) == (w.id_period, w.home_odd, w.spread)
     view = spark.table(layers["gold"].qualified("v_match_lineup_names"))
     assert view.count() == registry.RAW_QUERIES["v_match_lineup_names"](spark, sf).count()
+
+
+def test_cli(spark, tmp_path, capsys):
+    from tierline.__main__ import main
+    from tierline import registry
+    sf = "/root/testdata/sf0.001"
+    registry.medallion_sources(spark, sf)["league"].write.option("header", True) \
+        .csv(str(tmp_path / "csv" / "league.csv"))
+    assert main(["medallion", "--csv", str(tmp_path / "csv"), "--out", str(tmp_path / "lake"),
+                 "--prefix", "cli_"]) == 0
+    out = capsys.readouterr().out
+    assert "bronze.league: loaded (5 rows)" in out and "bronze.match: skipped" in out
+    assert main(["profile", f"{sf}/region.parquet", "--report", "nulls", "--report", "dups"]) == 0
+    out = capsys.readouterr().out
+    assert "== nulls" in out and "r_regionkey" in out
