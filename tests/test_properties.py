@@ -90,3 +90,17 @@ def test_consistency_property(spark, rows):
     assert res["edge_spaces_long_name"].count() == edge.sum()
     up = pdf.assign(u=pdf.team_short_name.str.upper()).groupby("team_api_id")["u"].nunique()
     assert res["short_name_casing"].count() == pdf.team_api_id.isin(up[up > 1].index).sum()
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 3)), min_size=1, max_size=80),
+       st.lists(st.integers(0, 7), unique=True, max_size=8), st.integers(0, 30))
+def test_hot_key_join_property(spark, big_rows, lookup_keys, hot_rows):
+    from tierline.operators.joins import hot_key_join
+    big = spark.createDataFrame(big_rows, "k int, v int")
+    lookup = spark.createDataFrame([(k, f"n{k}") for k in lookup_keys], "k int, name string")
+    counts = big.groupBy("k").agg(F.count(F.lit(1)).alias("__n"))
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        want = sorted(map(tuple, big.join(lookup, ["k"], how).collect()), key=str)
+        got = sorted(map(tuple, hot_key_join(big, lookup, ["k"], how, counts, hot_rows=hot_rows).collect()), key=str)
+        assert got == want, how
