@@ -104,3 +104,36 @@ def test_hot_key_join_property(spark, big_rows, lookup_keys, hot_rows):
         want = sorted(map(tuple, big.join(lookup, ["k"], how).collect()), key=str)
         got = sorted(map(tuple, hot_key_join(big, lookup, ["k"], how, counts, hot_rows=hot_rows).collect()), key=str)
         assert got == want, how
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.integers(0, 4), min_size=3, max_size=3), min_size=1, max_size=40),
+       st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["A", "B", " ", "C"])), max_size=8))
+def test_lineup_names_property(spark, lineups, player_rows):
+    import hashlib
+    from tierline.plans import gold
+    base = spark.createDataFrame([(i // 2, i % 2, p) for i, p in enumerate(lineups)],
+                                 "id_match long, local int, players array<int>")
+    players = spark.createDataFrame(player_rows, "player_api_id long, player_name string") if player_rows \
+        else spark.createDataFrame([], "player_api_id long, player_name string")
+    got = {r.id_lineup: list(r.players_names) for r in
+           gold.lineup_names(gold.lineup_bridge(gold.lineup_dim(gold.lineup_map(base))),
+                             gold.dim_player(players)).collect()}
+    # brute force of the reference semantics
+    def lid(i, p):
+        nz = sorted(x for x in p if x != 0)
+        text = "|".join(map(str, nz)) if len(nz) >= 3 else f"{i // 2}|{i % 2}"
+        return hashlib.sha256(text.encode()).hexdigest()
+    dim = {(lid(i, p), tuple(p)) for i, p in enumerate(lineups)}
+    dplayers = set(player_rows)
+    if not any(k == 0 for k, _ in dplayers):
+        dplayers.add((0, "Unknown / Not Available"))
+    want = {}
+    for lineup_id, ps in dim:
+        for pos, pid in enumerate(ps):
+            matches = [n for k, n in dplayers if k == pid] or [None]
+            for n in matches:
+                nm = "0" if pid == 0 or n is None or n.strip(" ") == "" else n
+                want.setdefault(lineup_id, []).append((pos, nm))
+    want = {k: [nm for _, nm in sorted(v)] for k, v in want.items()}
+    assert got == want
