@@ -137,3 +137,34 @@ def test_lineup_names_property(spark, lineups, player_rows):
                 want.setdefault(lineup_id, []).append((pos, nm))
     want = {k: [nm for _, nm in sorted(v)] for k, v in want.items()}
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 6), st.one_of(st.none(), st.integers(-1, 3)), st.one_of(st.none(), st.integers(-1, 3)),
+                          st.lists(st.integers(0, 3), min_size=6, max_size=6)), min_size=1, max_size=30))
+def test_fact_match_property(spark, rows):
+    import datetime
+    import hashlib
+    from tierline.plans import gold
+    data = [(mid, 1, datetime.datetime(2012, 1, 1), mid % 5, (mid + 1) % 5, hg, ag, *p) for mid, hg, ag, p in rows]
+    match = spark.createDataFrame(data, "id long, league_id int, match_date timestamp, home_team_api_id long, "
+                                        "away_team_api_id long, home_team_goal long, away_team_goal long, "
+                                        + ", ".join(f"{s}_player_{i} long" for s in ("home", "away") for i in (1, 2, 3)))
+    got = sorted(((r.id_match, r.local, r.id_team, r.match_result, r.num_goals_favor, r.num_goals_against, r.id_lineup)
+                  for r in gold.fact_match(match, gold.lineup_map(gold.lineups_base(match))).collect()), key=str)
+
+    def lid(mid, local, p):
+        nz = sorted(x for x in p if x != 0)
+        text = "|".join(map(str, nz)) if len(nz) >= 3 else f"{mid}|{local}"
+        return hashlib.sha256(text.encode()).hexdigest()
+    lmap = {(mid, 1, lid(mid, 1, p[:3])) for mid, _, _, p in rows} | {(mid, 0, lid(mid, 0, p[3:])) for mid, _, _, p in rows}
+    want = []
+    for mid, hg, ag, p in rows:
+        res = "H" if hg is not None and ag is not None and hg > ag else (
+            "A" if hg is not None and ag is not None and hg < ag else "D")
+        for local, team, fav, against in ((1, mid % 5, hg, ag), (0, (mid + 1) % 5, ag, hg)):
+            if fav is None or against is None or fav < 0 or against < 0:
+                continue
+            ids = [l for m, lo, l in lmap if m == mid and lo == local] or [None]
+            want += [(mid, local, team, res, fav, against, l) for l in ids]
+    assert got == sorted(want, key=str)
