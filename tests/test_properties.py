@@ -168,3 +168,41 @@ def test_fact_match_property(spark, rows):
             ids = [l for m, lo, l in lmap if m == mid and lo == local] or [None]
             want += [(mid, local, team, res, fav, against, l) for l in ids]
     assert got == sorted(want, key=str)
+
+
+odds_value = st.one_of(st.none(), st.just(0.0), st.floats(1.01, 15.0, allow_nan=False).map(lambda v: round(v, 2)))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 5), odds_value, odds_value, odds_value, odds_value, odds_value, odds_value),
+                min_size=1, max_size=25))
+def test_bookie_pivot_matches_pandas(spark, rows):
+    from tierline.plans import odds
+    from tierline.plans.reference_data import BOOKMAKER_CODES
+    cols = ["match_api_id", "B365H", "B365D", "B365A", "BWH", "BWD", "BWA"]
+    df = spark.createDataFrame(rows, "match_api_id long, " + ", ".join(f"{c} double" for c in cols[1:]))
+    got = {(r.id_match, r.id_bookmaker): (r.A, r.D, r.H, r.overround) for r in odds.bookie_odds_pivot(df).collect()}
+    # the notebook's pandas pipeline
+    pdf = pd.DataFrame(rows, columns=cols)
+    long = pdf.melt(id_vars=["match_api_id"], value_vars=cols[1:], var_name="bookie_odds_type", value_name="odds")
+    long["local"] = long["bookie_odds_type"].str[-1]
+    long["bookie"] = long["bookie_odds_type"].str[:-1]
+    piv = long.pivot_table(index=["match_api_id", "bookie"], columns="local", values="odds").reset_index()
+
+    def over(h, d, a):
+        if h and d and a:
+            return round(((1 / h + 1 / d + 1 / a) * 100) - 100, 3)
+        return None
+    want = {}
+    for r in piv.to_dict("records"):
+        vals = [r.get(k) for k in ("A", "D", "H")]
+        vals = [None if v is None or (isinstance(v, float) and np.isnan(v)) else v for v in vals]
+        o = over(vals[2], vals[1], vals[0])
+        o = None if o is None or (isinstance(o, float) and np.isnan(o)) else o
+        want[(r["match_api_id"], BOOKMAKER_CODES.index(r["bookie"]) + 1)] = (*vals, o)
+    assert set(got) == set(want)
+    for k, (a, d, h, o) in want.items():
+        ga, gd, gh, go = got[k]
+        for x, y in ((ga, a), (gd, d), (gh, h)):
+            assert (x is None and y is None) or x == pytest.approx(y, abs=1e-12)
+        assert go == o
