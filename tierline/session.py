@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,8 +71,10 @@ def build_session(master: str | None = None, app_name: str = "tierline",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when nothing is set
-    (local tests) a private folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
+    (local tests) a folder inside Spark's warehouse is registered instead: the
+    warehouse is shared by the driver and all executors, a temporary folder of
+    one machine is not.
     """
     try:
         sc = spark.sparkContext
@@ -87,7 +87,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tierline-ckpt-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = f"{warehouse}/tierline-scratch"
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)
@@ -117,12 +118,3 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     path = shared_scratch(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def default_cpus() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
