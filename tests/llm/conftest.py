@@ -1,0 +1,15 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tierline.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = build_session("local[4]", app_name="tierline-tests", shuffle_partitions=4)
+    yield s
+    s.stop()
