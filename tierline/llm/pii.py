@@ -83,10 +83,14 @@ def base_spans(text: Column) -> Column:
     for k, (pattern, there, valid) in enumerate(by_kind):
         found = F.when(there, located(text, pattern)).otherwise(none)
         found = F.filter(found, valid) if valid else found
-        parts.append(F.transform(found, lambda x, k=k: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"))))
+        parts.append(F.transform(found, _of_kind(k)))
     return F.concat(*parts)
 
 
+def _of_kind(k: int):
+    return lambda x: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"))
+
+
 def contexts(text: Column, span: Column) -> Column:
     """array<struct<s, e, v>>: the whole terms before and after a span, with their places in the text."""
     lo = F.greatest(span["s"] - CONTEXT, F.lit(0))

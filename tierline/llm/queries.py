@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, license, near, pieces, pii, quality, secrets
+from . import decontaminate, exact, license, near, pieces, pii, quality, repeats, secrets
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -46,7 +50,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op3_quality, op4_license_scan, op5_secret_scan, op6_minhash,
+    f.__name__: f for f in (op1_pii, op2_repeats, op3_quality, op4_license_scan, op5_secret_scan, op6_minhash,
                             op7_decontamination, op8_exact_dedup, op10_sentencepiece)}
 
 SQL = {
