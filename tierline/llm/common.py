@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -51,22 +52,55 @@ def scan(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = to_arrow_schema(struct)
         work = make()
-        for batch in batches:
-            *rest, last = batch.columns
-            kind = pa.large_binary() if pa.types.is_large_string(last.type) else pa.binary()
-            last = last.cast(kind)
-            lengths = [range(n or 0) for n in pa.compute.binary_length(last).to_pylist()]
-            for lo, hi in slices(lengths):
-                texts = [x or b"" for x in last.slice(lo, hi - lo).to_pylist()]
-                columns = [c.slice(lo, hi - lo).to_pylist() for c in rest]
-                made = work(columns, texts)
-                yield pa.RecordBatch.from_arrays(
-                    [x if isinstance(x, pa.Array) else pa.array(x, f.type)
-                     for x, f in ((made[f.name], f) for f in out)], schema=out)
+        for columns, texts in _sliced(batches):
+            made = work(columns, texts)
+            yield pa.RecordBatch.from_arrays(
+                [x if isinstance(x, pa.Array) else pa.array(x, f.type)
+                 for x, f in ((made[f.name], f) for f in out)], schema=out)
 
     return df.mapInArrow(run, struct)
 
 
+def fold(df: DataFrame, make: Callable[[], tuple[Callable, Callable]], schema: str) -> DataFrame:
+    """Fold whole texts within a task.
+
+    ``make()`` runs once per task and returns ``add(columns, texts)``, true if what is
+    held should go out now, and ``flush() -> dict of columns``.
+    """
+    struct: StructType = _parse_datatype_string(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = to_arrow_schema(struct)
+        add, flush = make()
+        held = False
+
+        def batch_of():
+            made = flush()
+            return pa.RecordBatch.from_arrays(
+                [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in ((made[f.name], f) for f in out)], schema=out)
+
+        for columns, texts in _sliced(batches):
+            held = True
+            if add(columns, texts):
+                yield batch_of()
+                held = False
+        if held:
+            yield batch_of()
+
+    return df.mapInArrow(run, struct)
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """(other columns as lists, the last column as UTF-8 bytes) of bounded slices."""
+    for batch in batches:
+        *rest, last = batch.columns
+        last = last.cast(pa.large_binary() if pa.types.is_large_string(last.type) else pa.binary())
+        lengths = [range(n or 0) for n in pc.binary_length(last).to_pylist()]
+        for lo, hi in slices(lengths):
+            texts = [x or b"" for x in last.slice(lo, hi - lo).to_pylist()]
+            yield [c.slice(lo, hi - lo).to_pylist() for c in rest], texts
+
+
 def ship(df: DataFrame, value):
     """A read-only value of bounded size for all tasks (``.value`` in the task)."""
     return df.sparkSession.sparkContext.broadcast(value)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, license, near, pieces, pii, quality, repeats, secrets
+from . import decontaminate, exact, hmm, license, near, pieces, pii, quality, repeats, secrets
 from .common import table
 
 
@@ -45,13 +45,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.find_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_repeats, op3_quality, op4_license_scan, op5_secret_scan, op6_minhash,
-                            op7_decontamination, op8_exact_dedup, op10_sentencepiece)}
+                            op7_decontamination, op8_exact_dedup, op9_language_model, op10_sentencepiece)}
 
 SQL = {
     "op8_exact_dedup": r"""
