@@ -54,6 +54,12 @@ class Vocabulary:
                 continue
             self.spelling[i] = piece.replace(MARK, " ").encode()
         self.byte_score = -log(len(pieces) + 2) - BYTE_PENALTY
+        self.ends: dict = {}            # trie of the body pieces read backwards; at key 0 the piece's (score, ids)
+        for piece, (score, i) in self.body.items():
+            node = self.ends
+            for c in reversed(piece):
+                node = node.setdefault(c, {})
+            node[0] = (score, (i,))
         self.longest = max(map(len, chain(self.head, self.body)), default=1)
 
 
@@ -73,7 +79,7 @@ def segment(words: list[str], v: Vocabulary) -> dict[str, tuple[int, ...]]:
     best: list[float] = [0.0]                     # best[j]: score of the best path to character j
     back: list[tuple[int, tuple[int, ...]]] = [(0, ())]
     before = ""
-    head, body, longest = v.head, v.body, v.longest
+    head, body, ends, longest = v.head, v.body, v.ends, v.longest
     for word in sorted(words):
         shared = 0
         for a, b in zip(before, word):
@@ -83,10 +89,19 @@ def segment(words: list[str], v: Vocabulary) -> dict[str, tuple[int, ...]]:
         del best[shared + 1:], back[shared + 1:]
         for j in range(shared + 1, len(word) + 1):
             top, came = -1e300, None
-            for i in range(max(0, j - longest), j):
-                hit = (body if i else head).get(word[i:j])
+            node, i = ends, j
+            while i > 1:                              # pieces that end here, from the shortest on
+                i -= 1
+                node = node.get(word[i])
+                if node is None:
+                    break
+                hit = node.get(0)
                 if hit is not None and best[i] + hit[0] > top:
-                    top, came = best[i] + hit[0], (i, (hit[1],))
+                    top, came = best[i] + hit[0], (i, hit[1])
+            if j <= longest:                          # a piece that starts the word
+                hit = head.get(word[:j])
+                if hit is not None and hit[0] > top:
+                    top, came = hit[0], (0, (hit[1],))
             if (body if j > 1 else head).get(word[j - 1]) is None:      # no piece of its own: spelt in bytes
                 raw = word[j - 1].encode("utf-8", "surrogateescape")
                 if best[j - 1] + v.byte_score * len(raw) > top:
