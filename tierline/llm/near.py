@@ -4,14 +4,15 @@
    hashes, ``BANDS`` band keys, a 128-bit sketch (one bit of each minimum) and a
    128-bit fingerprint of the set. Texts with equal sets are one class at once,
    so thousands of copies are one node from here on.
-2. Classes that share a band key are compared with the smallest class of that key
-   (a star, never all pairs). Pairs whose sketches are far apart are left out (a
+2. Classes that share a band key are compared with one class of that key, the one that shares
+   keys with the most others (a star, never all pairs). Pairs whose sketches are far apart are left out (a
    pair at the threshold is that far apart with odds under 1e-8), the others
    are verified on their full shingle sets.
 3. Components by alternating large-star and small-star.
 4. Where the classes of a band key are still in different components, the pairs
-   between those components are verified too (one join, in the join's condition
-   held to near sketches); pairs inside one component cannot change the result.
+   between those components are verified too; pairs inside one component cannot change
+   the result. One join makes them, its condition held to near sketches and to what the
+   sets can have in common at most: the shingles that any other of these classes has.
    Then components once more. So no link that matters is lost to the star.
 
 With 32 bands of 4 rows a pair at similarity 0.8 shares a key but for odds of 5e-8.
@@ -28,6 +29,7 @@ from __future__ import annotations
 from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -150,6 +152,27 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) ->
     return scan(sides.select("u", "v", "left", "right"), make, "u long, v long")
 
 
+def core_sizes(texts: DataFrame, width: int) -> DataFrame:
+    """id, n, core: the size of a text's set, and how many of it some other of these texts has too."""
+
+    def make():
+        hashes = WordHashes()
+
+        def work(columns, texts):
+            sets = [shingles(t, width, hashes).view(np.int64) for t in texts]
+            lens = [len(s) for s in sets]
+            return {"id": np.repeat(np.array(columns[0], np.int64), lens).tolist(), "n": np.repeat(lens, lens).tolist(),
+                    "shingle": pa.array(np.concatenate([np.empty(0, np.int64), *sets]))}
+        return work
+
+    rows = scan(texts.select("id", "text"), make, "id long, n long, shingle long")
+    found = rows.groupBy("shingle").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    alone = found.where("lo = hi").groupBy("lo").agg(F.count("*").alias("alone"))
+    size = rows.groupBy("id").agg(F.max("n").alias("n"))
+    return (size.join(alone, size["id"] == alone["lo"], "left")
+            .select(F.col("id").alias("rep"), "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("core")))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node -> component (its smallest node) for every node of an edge."""
     def state(e):
@@ -187,9 +210,15 @@ def find_near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = T
                           .agg(F.min(F.struct("doc_id", "k0", "k1", "bands")).alias("r"))
                           .select("f1", "f2", "n", F.col("r.doc_id").alias("rep"), "r.k0", "r.k1", "r.bands"), "classes")
     members = classes.select(F.explode("bands").alias("key"), "rep", "k0", "k1")
-    centres = (members.groupBy("key").agg(F.min(F.struct("rep", "k0", "k1")).alias("c"), F.count("*").alias("size"))
-               .where("size > 1").select("key", F.col("c.rep").alias("centre"), F.col("c.k0").alias("ck0"), F.col("c.k1").alias("ck1")))
-    shared = cut_lineage(members.join(centres, "key"), "buckets")
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = cut_lineage(members.join(sizes, "key"), "buckets")
+    # the centre of a key: its class that shares keys with the most classes, in a group of
+    # near copies the one that the others were made from
+    fame = shared.groupBy("rep").agg(F.sum("size").alias("fame"))
+    famous = shared.join(fame, "rep")
+    centres = (famous.groupBy("key").agg(F.max(F.struct("fame", "rep", "k0", "k1")).alias("c"))
+               .select("key", F.col("c.rep").alias("centre"), F.col("c.k0").alias("ck0"), F.col("c.k1").alias("ck1")))
+    shared = cut_lineage(shared.join(centres, "key"), "stars")
     pairs = cut_lineage(shared.where((F.col("rep") != F.col("centre")) & (_far("", "c") <= MAX_SKETCH_BITS))
                         .select(F.col("rep").alias("u"), F.col("centre").alias("v")).distinct(), "pairs")
     # whole texts of the classes that share a key with another class
@@ -203,9 +232,15 @@ def find_near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = T
     split = (labelled.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size"))
              .where("lo <> hi and size > 2").select("key"))
     mixed = cut_lineage(labelled.join(split, "key", "left_semi").where("rep <> centre"), "mixed")
-    x = mixed.select(*(F.col(c).alias("x" + c) for c in ("key", "rep", "k0", "k1", "part")))
-    y = mixed.select(*(F.col(c).alias("y" + c) for c in ("key", "rep", "k0", "k1", "part")))
-    across = x.join(y, (F.col("xkey") == F.col("ykey")) & (F.col("xpart") < F.col("ypart")) & (_far("x", "y") <= MAX_SKETCH_BITS))
+    cores = cut_lineage(core_sizes(texts.join(mixed.select(F.col("rep").alias("id")).distinct(), "id"), width), "cores")
+    mixed = mixed.join(cores, "rep")
+    names = ("key", "rep", "k0", "k1", "part", "size", "core")
+    mixed = mixed.select("key", "rep", "k0", "k1", "part", F.col("n").alias("size"), "core")
+    x = mixed.select(*(F.col(c).alias("x" + c) for c in names))
+    y = mixed.select(*(F.col(c).alias("y" + c) for c in names))
+    core = F.least("xcore", "ycore")                  # the two sets have no more than this in common
+    across = x.join(y, (F.col("xkey") == F.col("ykey")) & (F.col("xpart") < F.col("ypart")) & (_far("x", "y") <= MAX_SKETCH_BITS)
+                    & (100 * core >= threshold * (F.col("xsize") + F.col("ysize") - core)))
     more = verified(across.select(F.col("xrep").alias("u"), F.col("yrep").alias("v")).distinct(), texts, width, threshold)
     label = components(edges.union(more))
     nodes = (classes.select("f1", "f2", "n", "rep").join(label, F.col("rep") == F.col("node"), "left")

@@ -110,7 +110,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     n_e = found.groupBy("entity").agg(F.count_distinct("doc_id", "key").alias("n_e"))
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)))
     n_t = (docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-           .join(candidates.select("term").distinct(), "term", "left_semi"))
+           .join(candidates.select("term").distinct(), "term"))         # an inner join stays above the map-side sums
     total = docs.count()
     share = (F.log(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
              / F.log(F.lit(float(total)) / F.col("n_e")))
