@@ -11,8 +11,8 @@
 3. Components by alternating large-star and small-star.
 4. Where the classes of a band key are still in different components, the pairs
    between those components are verified too; pairs inside one component cannot change
-   the result. One join makes them, its condition held to near sketches and to what the
-   sets can have in common at most: the shingles that any other of these classes has.
+   the result. One join makes them, its condition held to near sketches and to an upper
+   bound of what the sets can have in common (:func:`_most`).
    Then components once more. So no link that matters is lost to the star.
 
 With 32 bands of 4 rows a pair at similarity 0.8 shares a key but for odds of 5e-8.
@@ -123,33 +123,40 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return scan(id_and_text(docs), make, "doc_id long, n long, f1 long, f2 long, bands array<long>, k0 long, k1 long")
 
 
-def similar(texts: list[tuple[bytes, bytes]], width: int, threshold: int, hashes: dict) -> list[bool]:
-    """Exact comparison of the full sets; runs of an equal second text are hashed once."""
-    out = []
-    for right, run in groupby(texts, key=lambda x: x[1]):
-        b = shingles(right, width, hashes)
-        for left, _ in run:
-            a = shingles(left, width, hashes)
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(100 * both >= threshold * (len(a) + len(b) - both))
-    return out
+def compare(a: np.ndarray, b: np.ndarray, threshold: int) -> tuple[bool, int, int, list[int]]:
+    """Whether two sets are linked, what they have in common, the size of the second, and where
+    in 256 places (by hash) lie those of the second that the first lacks."""
+    lacks = np.setdiff1d(b, a, assume_unique=True)
+    both = len(b) - len(lacks)
+    places = np.zeros(256, np.uint8)
+    places[(lacks & np.uint64(255)).astype(np.int64)] = 1
+    return (100 * both >= threshold * (len(a) + len(b) - both), both, len(b), np.packbits(places).view(np.int64).tolist())
+
 
+_COMPARED = "u long, v long, linked boolean, both long, n_v long, p0 long, p1 long, p2 long, p3 long"
 
-def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
-    """The pairs (u, v) whose texts' full sets reach the threshold."""
+
+def compared(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) -> DataFrame:
+    """Every pair (u, v) with the comparison of its texts' full sets."""
 
     def make():
         hashes = WordHashes()
 
         def work(columns, texts):
-            u, v, left = columns
-            ok = similar([(a.encode("utf-8", "surrogateescape"), b) for a, b in zip(left, texts)], width, threshold, hashes)
-            return {"u": [x for x, k in zip(u, ok) if k], "v": [x for x, k in zip(v, ok) if k]}
+            out = {k: [] for k in ("u", "v", "linked", "both", "n_v", "p0", "p1", "p2", "p3")}
+            for right, run in groupby(zip(*columns, texts), key=lambda x: x[-1]):      # the second set once a run
+                b = shingles(right, width, hashes)
+                for u, v, left, _ in run:
+                    a = shingles(left.encode("utf-8", "surrogateescape"), width, hashes)
+                    linked, both, n_v, places = compare(a, b, threshold)
+                    for k, x in zip(out, (u, v, linked, both, n_v, *places)):
+                        out[k].append(x)
+            return out
         return work
 
     sides = (pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("left")), "u")
                   .join(texts.select(F.col("id").alias("v"), F.col("text").alias("right")), "v"))
-    return scan(sides.select("u", "v", "left", "right"), make, "u long, v long")
+    return scan(sides.select("u", "v", "left", "right"), make, _COMPARED)
 
 
 def core_sizes(texts: DataFrame, width: int) -> DataFrame:
@@ -168,9 +175,10 @@ def core_sizes(texts: DataFrame, width: int) -> DataFrame:
     rows = scan(texts.select("id", "text"), make, "id long, n long, shingle long")
     found = rows.groupBy("shingle").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
     alone = found.where("lo = hi").groupBy("lo").agg(F.count("*").alias("alone"))
-    size = rows.groupBy("id").agg(F.max("n").alias("n"))
+    # an id with several texts: the smallest size, and no less than the core of any of them
+    size = rows.groupBy("id").agg(F.min("n").alias("n"), F.count("*").alias("all"))
     return (size.join(alone, size["id"] == alone["lo"], "left")
-            .select(F.col("id").alias("rep"), "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("core")))
+            .select(F.col("id").alias("rep"), "n", (F.col("all") - F.coalesce("alone", F.lit(0))).alias("core")))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -200,6 +208,22 @@ def _far(a: str, b: str) -> Column:
             + F.bit_count(F.col(f"{a}k1").bitwiseXOR(F.col(f"{b}k1"))))
 
 
+def _most() -> Column:
+    """An upper bound of what the sets of x and y have in common.
+
+    Shingles that no other class has are not common. Within the centre's set, of
+    the n_c shingles x lacks some and y lacks some; both lack at most what is left of x's when the
+    places that only x lacks are taken off, and the same for y. Outside of it, each has
+    its core less what it shares with the centre.
+    """
+    core = F.least("xcore", "ycore")
+    only = lambda a, b: sum((F.bit_count(F.col(f"{a}p{i}").bitwiseAND(F.bitwise_not(f"{b}p{i}"))) for i in range(4)), F.lit(0))
+    both_lack = F.least(F.col("xlacks") - only("x", "y"), F.col("ylacks") - only("y", "x"))
+    inside = F.col("xn_c") - F.col("xlacks") - F.col("ylacks") + both_lack
+    outside = F.least(F.col("xcore") - F.col("xboth"), F.col("ycore") - F.col("yboth"))
+    return F.least(core, F.coalesce(inside + outside, core))
+
+
 def find_near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
     base = id_and_text(docs)
@@ -224,7 +248,8 @@ def find_near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = T
     # whole texts of the classes that share a key with another class
     involved = shared.select(F.col("rep").alias("id")).distinct()
     texts = cut_lineage(base.withColumnRenamed("doc_id", "id").join(involved, "id", "left_semi"), "texts")
-    edges = cut_lineage(verified(pairs, texts, width, threshold), "links")
+    to_centre = cut_lineage(compared(pairs, texts, width, threshold), "links")
+    edges = to_centre.where("linked").select("u", "v")
     label = components(edges)
     # keys whose classes are in several components: pairs between those
     labelled = shared.join(label, shared["rep"] == label["node"], "left").select(
@@ -232,16 +257,19 @@ def find_near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = T
     split = (labelled.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size"))
              .where("lo <> hi and size > 2").select("key"))
     mixed = cut_lineage(labelled.join(split, "key", "left_semi").where("rep <> centre"), "mixed")
-    cores = cut_lineage(core_sizes(texts.join(mixed.select(F.col("rep").alias("id")).distinct(), "id"), width), "cores")
-    mixed = mixed.join(cores, "rep")
-    names = ("key", "rep", "k0", "k1", "part", "size", "core")
-    mixed = mixed.select("key", "rep", "k0", "k1", "part", F.col("n").alias("size"), "core")
+    named = mixed.select(F.col("rep").alias("id")).union(mixed.select("centre")).distinct()
+    cores = cut_lineage(core_sizes(texts.join(named, "id"), width), "cores")
+    # of rows that share a doc_id, the greatest counts: they only have to bound from above
+    lie = to_centre.groupBy(F.col("u").alias("rep"), F.col("v").alias("centre")).agg(
+        F.max("both").alias("both"), F.max("n_v").alias("n_c"), F.count("*").alias("times"), *(F.max(p).alias(p) for p in ("p0", "p1", "p2", "p3")))
+    mixed = mixed.join(cores, "rep").join(lie, ["rep", "centre"], "left").withColumn("lacks", F.when(F.col("times") == 1, F.col("n_c") - F.col("both")))
+    names = ("key", "rep", "k0", "k1", "part", "n", "core", "both", "n_c", "lacks", "p0", "p1", "p2", "p3")
     x = mixed.select(*(F.col(c).alias("x" + c) for c in names))
     y = mixed.select(*(F.col(c).alias("y" + c) for c in names))
-    core = F.least("xcore", "ycore")                  # the two sets have no more than this in common
     across = x.join(y, (F.col("xkey") == F.col("ykey")) & (F.col("xpart") < F.col("ypart")) & (_far("x", "y") <= MAX_SKETCH_BITS)
-                    & (100 * core >= threshold * (F.col("xsize") + F.col("ysize") - core)))
-    more = verified(across.select(F.col("xrep").alias("u"), F.col("yrep").alias("v")).distinct(), texts, width, threshold)
+                    & (100 * _most() >= threshold * (F.col("xn") + F.col("yn") - _most())))
+    found = cut_lineage(across.select(F.col("xrep").alias("u"), F.col("yrep").alias("v")).distinct(), "across")
+    more = compared(found, texts, width, threshold).where("linked").select("u", "v")
     label = components(edges.union(more))
     nodes = (classes.select("f1", "f2", "n", "rep").join(label, F.col("rep") == F.col("node"), "left")
              .select("f1", "f2", "n", F.coalesce("component", "rep").alias("component_id")))
