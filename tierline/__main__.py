@@ -46,7 +46,8 @@ def main(argv: list[str] | None = None) -> int:
                 "values": profile.value_counts}
     for name in args.report or REPORTS:
         print(f"== {name}")
-        builders[name](df).show(200, truncate=False)
+        report = builders[name](df)
+        report.show(report.count(), truncate=False)
     return 0
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import columns_by_family, quoted
+from .columns import columns_by_family, present, quoted
 
 
 def drop_null_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -14,7 +14,7 @@ def drop_null_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
 
 
 def fill_with_mean(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Replace NULLs of numeric ``cols`` by the column mean (NULLs skipped).
+    """Replace NULL and NaN of numeric ``cols`` by the column mean (both skipped).
 
     The means are one aggregate row (one value per column, a bounded plan-time
     fact), applied as literals so the fill stays a narrow projection. Filled
@@ -23,13 +23,13 @@ def fill_with_mean(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = cols if cols is not None else columns_by_family(df, "number")
     if not cols:
         return df
-    row = df.agg(*[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.avg(present(df, c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
     means = {c: row[f"m{i}"] for i, c in enumerate(cols)}
     out = []
     for c in df.columns:
         if c in cols:
             fill = F.lit(means[c]).cast("double")
-            out.append(F.coalesce(quoted(c).cast("double"), fill).alias(c))
+            out.append(F.coalesce(present(df, c).cast("double"), fill).alias(c))
         else:
             out.append(quoted(c))
     return df.select(*out)

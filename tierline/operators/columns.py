@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _FAMILIES = {
@@ -30,25 +31,31 @@ def columns_by_family(df: DataFrame, *families: str) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, types)]
 
 
-_TRIPLE = re.compile(r"^([a-z0-9]+)(h|d|a)$")
-
-
 def discover_odds_triples(columns: list[str]) -> list[tuple[str, str, str, str]]:
-    """(PREFIX, home_col, draw_col, away_col) for every prefix that has all three
-    of the ``h``/``d``/``a`` suffixes once spaces/underscores are removed and
-    the name is lower-cased. Two columns normalising to the same name is an error."""
-    normalised: dict[str, str] = {}
-    for c in columns:
-        key = re.sub(r"[ _]+", "", c).lower()
-        if key in normalised and _TRIPLE.match(key):
-            raise ValueError(f"columns {normalised[key]!r} and {c!r} both normalise to {key!r}")
-        normalised[key] = c
-    groups: dict[str, dict[str, str]] = {}
-    for key, original in normalised.items():
-        m = _TRIPLE.match(key)
-        if m:
-            groups.setdefault(m.group(1).upper(), {})[m.group(2)] = original
-    return [(p, g["h"], g["d"], g["a"]) for p, g in groups.items() if {"h", "d", "a"} <= g.keys()]
+    """(PREFIX, home_col, draw_col, away_col) of every odds family, in schema order.
+
+    Names are compared without case, blanks and underscores. A family is an
+    alphanumeric prefix with an ``h``, a ``d`` and an ``a`` column; only within a
+    family must each of the three be one column.
+    """
+    named = [("".join(ch for ch in c.lower() if ch not in " _"), c) for c in columns]
+    prefixes = dict.fromkeys(n[:-1] for n, _ in named if n[-1:] in tuple("hda") and re.fullmatch("[a-z0-9]+", n[:-1]))
+    triples = []
+    for prefix in prefixes:
+        family = [[c for n, c in named if n == prefix + end] for end in "hda"]
+        if not all(family):
+            continue
+        twice = [same for same in family if len(same) > 1]
+        if twice:
+            raise ValueError(f"several columns are the same odds column of {prefix!r}: {twice}")
+        triples.append((prefix.upper(), *(same[0] for same in family)))
+    return triples
+
+
+def present(df: DataFrame, name: str):
+    """The column with NaN, a missing value like NULL, as NULL."""
+    c = quoted(name)
+    return F.nanvl(c, F.lit(None).cast(df.schema[name].dataType)) if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)) else c
 
 
 def suffix_columns(columns: list[str], suffixes=("A", "D", "H")) -> list[str]:
@@ -63,7 +70,6 @@ def qname(name: str) -> str:
 
 def quoted(name: str):
     """Column reference that takes ``name`` literally (dots, spaces)."""
-    from pyspark.sql import functions as F
     return F.col(qname(name))
 
 
@@ -74,7 +80,6 @@ def to_long(df: DataFrame, items: list, value_name: str, ids: list[str] | None =
     The values are unpivoted under positional aliases and the names mapped back
     afterwards, so any column name (dots, spaces, backticks) is safe.
     """
-    from pyspark.sql import functions as F
     ids = ids or []
     aliases = [f"__v{i}" for i in range(len(items))]
     wide = df.select(*[quoted(i) for i in ids], *[e.alias(a) for (_, e), a in zip(items, aliases)])

@@ -14,21 +14,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .columns import columns_by_family, quoted, to_long
+from .columns import columns_by_family, present, quoted, to_long
 from .quantiles import exact_quantiles, sketch_bounds, sketch_exprs
 from ..session import cut_lineage
 from ..plans.reference_data import literal_rows
 
 
 def _null_flags(df: DataFrame):
-    return [quoted(c).isNull().cast("int") for c in df.columns]
+    return [present(df, c).isNull().cast("int") for c in df.columns]
 
 
 def null_profile(df: DataFrame) -> DataFrame:
     """(column_name, n_null, pct_null, has_null) for every column, one pass."""
     cols = df.columns
     row = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.sum(quoted(c).isNull().cast("long")).alias(f"__c{i}") for i, c in enumerate(cols)])
+                 *[F.sum(present(df, c).isNull().cast("long")).alias(f"__c{i}") for i, c in enumerate(cols)])
     long = to_long(row, [(c, F.col(f"__c{i}")) for i, c in enumerate(cols)], "n_null", ids=["__n"])
     return long.select(
         "column_name", "n_null",
@@ -51,7 +51,7 @@ def row_null_histogram(df: DataFrame, top: int = 5) -> DataFrame:
 
 def rows_with_nulls(df: DataFrame) -> DataFrame:
     """(n_rows, n_rows_with_null, pct_rows_with_null) in one pass."""
-    any_null = reduce(lambda a, b: a | b, [quoted(c).isNull() for c in df.columns])
+    any_null = reduce(lambda a, b: a | b, [present(df, c).isNull() for c in df.columns])
     row = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(any_null).alias("n_rows_with_null"))
     return row.select("n_rows", "n_rows_with_null",
                       F.try_divide(F.col("n_rows_with_null") * 100.0, F.col("n_rows"))
@@ -110,7 +110,7 @@ def narrow_input(df: DataFrame, cols: list[str], materialize: bool) -> DataFrame
     """The columns a multi-pass profile reads; with ``materialize`` they are
     written once to the shared checkpoint folder so later passes read them
     instead of recomputing an expensive input plan (joins, aggregates)."""
-    narrow = df.select(*[quoted(c) for c in cols])
+    narrow = df.select(*[present(df, c).alias(c) for c in cols])
     return cut_lineage(narrow) if materialize else narrow
 
 

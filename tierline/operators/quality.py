@@ -150,10 +150,12 @@ def key_checks(fk: DataFrame, fk_col: str, pk: DataFrame, pk_col: str) -> DataFr
 
 def orphan_keys(fk: DataFrame, fk_col: str, pk: DataFrame, pk_col: str) -> DataFrame:
     """(side, key): foreign-key rows without a match, and unreferenced key rows."""
-    orphans = fk.join(pk.select(quoted(pk_col).alias(fk_col)), fk_col, "left_anti")
-    unref = pk.join(fk.select(quoted(fk_col).alias(pk_col)), pk_col, "left_anti")
-    return (orphans.select(F.lit("fk_orphan").alias("side"), quoted(fk_col).alias("key"))
-            .unionByName(unref.select(F.lit("pk_unreferenced").alias("side"), quoted(pk_col).alias("key"))))
+    of_fk, of_pk = fk.select(quoted(fk_col).alias("key")), pk.select(quoted(pk_col).alias("key"))
+    # a NULL key on both sides is a match, as in key_checks
+    orphans = of_fk.join(of_pk, of_fk["key"].eqNullSafe(of_pk["key"]), "left_anti")
+    unref = of_pk.join(of_fk, of_pk["key"].eqNullSafe(of_fk["key"]), "left_anti")
+    return (orphans.select(F.lit("fk_orphan").alias("side"), "key")
+            .unionByName(unref.select(F.lit("pk_unreferenced").alias("side"), "key")))
 
 
 def join_one_to_one(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:

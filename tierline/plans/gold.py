@@ -69,9 +69,14 @@ def dim_event(spark) -> DataFrame:
 
 
 def _slots(columns: list[str], side: str) -> list[str]:
-    pat = re.compile(rf"^{side}_player_(\d+)$")
-    found = sorted(((int(m.group(1)), c) for c in columns if (m := pat.match(c))))
-    return [c for _, c in found]
+    """The side's player columns by slot number, names in any case; none is an error."""
+    numbered = {}
+    for c in columns:
+        if m := re.fullmatch(rf"{side}_player_(\d+)", c, re.IGNORECASE):
+            numbered[int(m.group(1))] = c
+    if not numbered:
+        raise ValueError(f"the match table has no {side}_player_<n> column")
+    return [numbered[n] for n in sorted(numbered)]
 
 
 def lineups_base(match: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The driver-provided test tables.
 TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -27,45 +28,35 @@ def _strip_scheme(path: str) -> str:
 
 
 def list_files(spark: SparkSession, folder: str, extension: str = ".csv") -> dict[str, str]:
-    """Map lower-cased table file name -> path for entries of ``folder`` ending
-    in ``extension``: plain files, or folders of part files as Spark writes them.
+    """Lower-cased entry name -> path of the entries of ``folder`` with this extension (any case).
 
-    Listing goes through the ``binaryFile`` source with only the ``path`` column
-    selected, so no file content is read. An unlistable folder is an error.
-    The extension test is case-insensitive (the glob itself is not).
+    An entry is a file, or a folder of part files as Spark writes them. The
+    folder is resolved by its own file system, so relative and dotted paths list
+    like absolute ones; part files are reduced to entries before anything is collected.
     """
-    glob = "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
-    try:
-        paths = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-                 .option("recursiveFileLookup", "true")
-                 .load(folder).select("path").collect())
-    except Exception as exc:  # the listing itself failed: report the folder
-        raise RuntimeError(f"cannot list {folder}: {exc}") from exc
-    root = _strip_scheme(folder)
-    found: dict[str, str] = {}
-    for row in paths:
-        full = _strip_scheme(row.path)
-        first = full[len(root):].lstrip("/").split("/", 1)[0]
-        if first.lower().endswith(extension.lower()):
-            found[first.lower()] = f"{folder.rstrip('/')}/{first}"
-    return found
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    root = system.makeQualified(root)
+    if not system.exists(root):
+        raise RuntimeError(f"cannot list {folder}: no such folder")
+    root = root.toString().rstrip("/")
+    any_case = "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
+    files = (spark.read.format("binaryFile").options(pathGlobFilter=f"*{any_case}", recursiveFileLookup=True)
+             .load(root).select(F.regexp_replace("path", "^[A-Za-z0-9+.-]+:(//[^/]*)?", "").alias("path")))
+    below = F.substring("path", len(_strip_scheme(root)) + 2, 2**31 - 1)
+    entries = files.select(F.substring_index(below, "/", 1).alias("entry")).distinct()
+    names = [r["entry"] for r in entries.collect() if r["entry"].lower().endswith(extension.lower())]
+    return {name.lower(): f"{root}/{name}" for name in sorted(names)}
 
 
 def read_csv(spark: SparkSession, path: str, semicolon: bool = False,
-             infer_schema: bool = True, sampling_ratio: float | None = None) -> DataFrame:
-    """CSV with a header row and inferred types; optional ``;`` separator.
-
-    Schema inference costs one extra pass over the file. For very large
-    volumes, ``sampling_ratio`` infers from a fraction of the rows (a value
-    outside the inferred type then reads as NULL), or pass a schema via
-    ``spark.read.schema(...)`` where the layout is fixed.
-    """
-    reader = spark.read.option("header", True).option("inferSchema", infer_schema)
-    if sampling_ratio is not None:
-        reader = reader.option("samplingRatio", sampling_ratio)
-    if semicolon:
-        reader = reader.option("sep", ";")
-    return reader.csv(path)
+             infer_schema: bool = True, schema=None) -> DataFrame:
+    """CSV with a header row. Types are inferred from all rows (one more pass over
+    the file), or given as ``schema``."""
+    options = {"header": True, "sep": ";" if semicolon else ","}
+    if schema is not None:
+        return spark.read.schema(schema).options(**options).csv(path)
+    return spark.read.options(inferSchema=infer_schema, **options).csv(path)
 
 
 def read_named_csv(spark: SparkSession, files: dict[str, str], name: str,

@@ -58,38 +58,34 @@ def new_periods_writer(target: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         days = silver.silver_match(batch).select(F.to_date("match_date").alias("date")).distinct()
-        try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(target)
+        if path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
             known = spark.read.parquet(target).select(F.col("date").alias("known"))
             days = days.join(known, days["date"].eqNullSafe(known["known"]), "left_anti")
-        except Exception:  # first batch: no target yet (AnalysisException: path does not exist)
-            pass
         period_rows(days).write.mode("append").parquet(target)
 
     return write
 
 
-def _finish(query, timeout_s: float):
-    """Wait for an available-now query; stop it and fail if it does not end in time."""
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s}s")
+def _finish(query):
+    """Wait for an available-now query to end; raise what ended it otherwise."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"streaming query failed: {query.exception()}")
     return query
 
 
-def dim_period_stream(matches: DataFrame, target: str, checkpoint: str, timeout_s: float = 3600):
+def dim_period_stream(matches: DataFrame, target: str, checkpoint: str):
     """Maintain the calendar dimension at ``target`` from a match stream
     (match dates; odds rows share the same days, plus the all-NULL day)."""
     query = (matches.writeStream.foreachBatch(new_periods_writer(target))
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    return _finish(query, timeout_s)
+    return _finish(query)
 
 
-def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
-                      timeout_s: float = 3600):
+def run_available_now(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet"):
     """Process everything that has landed, then stop (incremental batch run)."""
     query = (stream.writeStream.format(fmt).outputMode("append")
              .option("path", out_path).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
-    return _finish(query, timeout_s)
+    return _finish(query)
