@@ -25,7 +25,7 @@ def _null_flags(df: DataFrame):
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """(column_name, n_null, pct_null, has_null) for every column, one pass."""
+    """(column_name, n_null, pct_null, has_null) for every column, one pass, most missing first."""
     cols = df.columns
     row = df.agg(F.count(F.lit(1)).alias("__n"),
                  *[F.sum(present(df, c).isNull().cast("long")).alias(f"__c{i}") for i, c in enumerate(cols)])
@@ -33,7 +33,7 @@ def null_profile(df: DataFrame) -> DataFrame:
     return long.select(
         "column_name", "n_null",
         (F.try_divide(F.col("n_null") * 100.0, F.col("__n"))).alias("pct_null"),
-        (F.col("n_null") > 0).alias("has_null"))
+        (F.col("n_null") > 0).alias("has_null")).orderBy(F.desc("n_null"), "column_name")
 
 
 def columns_with_nulls(df: DataFrame) -> DataFrame:
@@ -86,13 +86,15 @@ def _as_group_value(df: DataFrame, c: str):
 
 
 def dup_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(column_name, n_rows, n_distinct, n_duplicates) with NULL counted as one value."""
+    """(column_name, n_rows, n_distinct, n_duplicates) with NULL counted as one value,
+    most duplicates first."""
     cols = cols if cols is not None else df.columns
     long = to_long(df, [(c, _as_group_value(df, c)) for c in cols], "value")
     per_value = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     return (per_value.groupBy("column_name")
             .agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_distinct"))
-            .withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct")))
+            .withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct"))
+            .orderBy(F.desc("n_duplicates"), "column_name"))
 
 
 def dup_rows_pct(df: DataFrame, base_rows: int | None = None) -> DataFrame:
