@@ -229,3 +229,14 @@ def test_quality_odd_cases(spark):
     assert {r["score"] for r in none} == {0.5} and {r["predicted"] for r in none} == {0}
     assert quality.score(empty(spark), w).collect() == []
     assert quality.accepted(odd(spark), w).columns == odd(spark).columns
+
+
+def test_sql_agrees(spark):
+    """The queries that have SQL, against DuckDB on the same table."""
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for key, sql in queries.oracle_sql().items():
+        got = queries.queries()[key](spark, SF)
+        want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({sql})").fetchall()
+        assert by_id(got) == sorted(want, key=repr)
