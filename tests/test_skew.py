@@ -1,7 +1,6 @@
-"""A key holding a large share of the rows: results stay exact, and the hot
-key is joined map-side against a broadcast of its lookup row instead of being
-shuffled into one task. (AQE's skew-join rule does not apply when the lookup
-side is an aggregate, which is the shape of these joins.)"""
+"""A key holding a large share of the rows: results stay exact, and adaptive
+execution splits its partition. (It cannot where the lookup side is an aggregate of
+the same plan, which is why the joins save their lookup first.)"""
 
 import contextlib
 import io
@@ -60,15 +59,14 @@ def test_hot_key_checks_exact_and_split(spark, hot):
     want = {r.check_name: r.n_affected for r in plain["summary"].collect()}
     want_rows = sorted(map(tuple, plain["annotated"].collect()), key=str)
     with conf(spark, SKEW_CONF):
-        res = quality.check_consistency(hot, hot_rows=2000)  # id 0 holds 8000 of 20000 rows
+        res = quality.check_consistency(hot)  # id 0 holds 8000 of 20000 rows
         got = {r.check_name: r.n_affected for r in res["summary"].collect()}
         ann = res["annotated"]
         got_rows = sorted(map(tuple, ann.collect()), key=str)
         plan = _final_plan(ann)
     assert got == want
     assert got_rows == want_rows
-    # hot id: broadcast join, map-side; the other ids: shuffled sort-merge join
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan and "Union" in plan
+    assert "skew=true" in plan
 
 
 def test_hot_player_lineups(spark):
@@ -91,22 +89,34 @@ def test_hot_group_dedupe(spark, hot):
     want = hot.join(hot.groupBy("team_api_id").count().where("count > 1"), "team_api_id", "left_semi")
     with conf(spark, SKEW_CONF):
         got = clean.dedupe_keep_min_id(hot.withColumn("id", F.monotonically_increasing_id()), "id").count()
-        dups = sorted(map(tuple, quality.duplicate_rows(hot, ["team_api_id"], hot_rows=2000).collect()), key=str)
+        dups = sorted(map(tuple, quality.duplicate_rows(hot, ["team_api_id"]).collect()), key=str)
     assert got == hot.distinct().count()
     assert dups == sorted(map(tuple, want.collect()), key=str)
 
 
 def test_hot_null_keys_left_join(spark):
-    from tierline.operators.joins import hot_key_join
+    from tierline.operators.joins import split_join
     big = spark.createDataFrame([(None, 1)] * 50 + [(1, 2)] * 60 + [(2, 3)] * 5, "k int, v int")
     lookup = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, name string")
-    counts = big.groupBy("k").agg(F.count(F.lit(1)).alias("__n"))
     for how in ("left", "inner", "left_semi", "left_anti"):
         want = sorted(map(tuple, big.join(lookup, ["k"], how).collect()), key=str)
-        got = sorted(map(tuple, hot_key_join(big, lookup, ["k"], how, counts, hot_rows=10).collect()), key=str)
+        got = sorted(map(tuple, split_join(big, lookup, ["k"], how).collect()), key=str)
         assert got == want, how
 
 
+def test_many_hot_keys_at_once(spark):
+    """100,000 keys of four rows each beside one key with a third of all rows."""
+    from tierline.operators.joins import split_join
+    big = spark.range(600_000).select(F.when(F.col("id") < 400_000, F.col("id") % 100_000).otherwise(7).alias("k"),
+                                      F.xxhash64("id").alias("v"))
+    lookup = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    with conf(spark, SKEW_CONF):
+        j = split_join(big, lookup, ["k"], "left")
+        assert j.agg(F.sum("n")).first()[0] == 99_999 * 4 * 4 + 200_004 ** 2
+        j.collect()
+        assert "skew=true" in _final_plan(j)
+
+
 def test_hot_match_id_fact(spark):
     from tierline.plans import silver
     # one match id repeated on half of the rows, with different line-ups
@@ -121,11 +131,11 @@ def test_hot_match_id_fact(spark):
     lmap = gold.lineup_map(gold.lineups_base(m))
     want = sorted(map(tuple, gold.fact_match(m, lmap).collect()), key=str)
     with conf(spark, SKEW_CONF):
-        fm = gold.fact_match(m, lmap, hot_rows=100)
+        fm = gold.fact_match(m, lmap)
         got = sorted(map(tuple, fm.collect()), key=str)
         plan = _final_plan(fm)
     assert got == want
-    assert "BroadcastHashJoin" in plan
+    assert "skew=true" in plan
 
 
 def test_saved_tables_get_aqe_skew_split(spark, tmp_path, hot):
@@ -155,7 +165,7 @@ def test_hot_lineup_view(spark):
     teams = spark.range(10).select(F.col("id").alias("id_team"), F.col("id").cast("string").alias("team_name"))
     want = sorted(map(tuple, gold.v_match_lineup_names(facts, names, teams).collect()), key=str)
     with conf(spark, SKEW_CONF):
-        v = gold.v_match_lineup_names(facts, names, teams, hot_rows=100)
+        v = gold.v_match_lineup_names(facts, names, teams)
         got = sorted(map(tuple, v.collect()), key=str)
         plan = _final_plan(v)
-    assert got == want and "BroadcastHashJoin" in plan
+    assert got == want and "skew=true" in plan

@@ -32,7 +32,8 @@ def test_bronze_load_reports_and_skips(spark, tmp_path):
     out = catalog.bronze_load(spark, str(tmp_path), ["a", "b"], database="bronze_t",
                               location=shared_scratch(spark, "t-bronze"))
     got = {r.table_name: (r.status, r.n_rows) for r in out.collect()}
-    assert got == {"a": ("loaded", 2), "b": ("skipped: FileNotFoundError", None)}
+    assert got == {"a": ("loaded", 2),
+                   "b": ("skipped: FileNotFoundError: b.csv not found; found: ['a.csv']", None)}
     assert spark.catalog.tableExists("bronze_t.a")
 
 

@@ -1,28 +1,16 @@
-"""Join helpers: size-checked broadcast, hot-key split, NULL-safe semi/anti
-joins, suffixing of clashing columns."""
+"""Join helpers: joins that frequent keys do not hold up, NULL-safe semi joins,
+suffixing of clashing columns."""
 
 from __future__ import annotations
 
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .columns import qname, quoted
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1)`` count, which stops scanning once the
-    bound is exceeded; above it the plain frame is returned and the planner
-    (with AQE's measured sizes) chooses a shuffle join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def join_with_suffixes(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                        how: str = "inner", suffixes=("_left", "_right")) -> DataFrame:
     """Equi-join where columns present on both sides get ``suffixes``; the rest keep their names."""
@@ -34,65 +22,23 @@ def join_with_suffixes(left: DataFrame, right: DataFrame, left_on: str, right_on
     return l.join(r, l[qname(lk)] == r[qname(rk)], how)
 
 
-def _null_safe(df: DataFrame, keys: DataFrame, cols: list[str], how: str) -> DataFrame:
-    k = keys.select(*[quoted(c).alias(f"__k_{i}") for i, c in enumerate(cols)])
+def semi_join_null_safe(df: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``cols`` equal (NULL-safe) a row of ``keys``; the keys are saved
+    first, as in :func:`split_join`."""
+    k = cut_lineage(keys.select(*[quoted(c).alias(f"__k_{i}") for i, c in enumerate(cols)]))
     cond = reduce(lambda a, b: a & b,
                   [df[qname(c)].eqNullSafe(k[f"__k_{i}"]) for i, c in enumerate(cols)])
-    return df.join(k, cond, how)
-
-
-def semi_join_null_safe(df: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows of ``df`` whose ``cols`` equal (NULL-safe) a row of ``keys``."""
-    return _null_safe(df, keys, cols, "left_semi")
-
-
-def semi_anti_null_safe(df: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows of ``df`` whose ``cols`` equal (NULL-safe) no row of ``keys``."""
-    return _null_safe(df, keys, cols, "left_anti")
-
-
-# Rows of the big side per key above which a key is treated as hot. Sized for a
-# cluster task (~tens of millions of narrow rows); tests lower it.
-HOT_ROWS = 20_000_000
-MAX_HOT_KEYS = 10_000
+    return df.join(k, cond, "left_semi")
 
 
-def hot_key_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str,
-                 key_counts: DataFrame, hot_rows: int | None = None,
-                 max_hot: int = MAX_HOT_KEYS) -> DataFrame:
-    """``big.join(lookup, on, how)`` that does not hand a hot key to one task.
+def split_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str) -> DataFrame:
+    """``big.join(lookup, on, how)`` in which no key is the load of one task.
 
-    ``lookup`` must hold at most one row per key (an aggregate); ``key_counts``
-    gives (on..., ``__n``) = rows of ``big`` per key, usually from an aggregate
-    the caller computes anyway. Keys with more than ``hot_rows`` rows are hot:
-    their lookup rows (at most ``max_hot``, proven by a ``limit`` count) are
-    broadcast and joined map-side, so the hot rows are never shuffled by key;
-    all other keys join by shuffle. Rows with a NULL key cannot match and skip
-    the join. With more than ``max_hot`` hot keys the plain join is used: the
-    keys then spread over many partitions, and a key below ``hot_rows`` fits
-    one task by construction.
+    Adaptive execution splits a partition that a frequent key (or the NULL key of
+    an outer join) makes large, but only where each side is a shuffle of its own; an
+    aggregate in the same plan already has the join's partitioning and forbids it. So the
+    lookup is written once to the shared folder and joined from there. It is the
+    same plan at every size: the planner broadcasts the lookup by the size of its files
+    or splits the big side by the sizes it measures, for any number of frequent keys.
     """
-    if how not in ("left", "inner", "left_semi", "left_anti"):
-        raise ValueError(f"unsupported join type {how}")
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    null_key = reduce(lambda a, b: a | b, [quoted(k).isNull() for k in on])
-    hot = key_counts.where((F.col("__n") > hot_rows) & ~null_key).select(*[quoted(k) for k in on])
-    n_hot = hot.limit(max_hot + 1).count()
-    if n_hot == 0 or n_hot > max_hot:
-        return big.join(lookup, on, how)
-    hot_b = F.broadcast(hot)                       # proven <= max_hot rows
-    keyed = big.where(~null_key)
-    lookup_hot = lookup.join(hot_b, on, "left_semi")
-    if lookup_hot.limit(4 * max_hot + 1).count() > 4 * max_hot:  # lookup not keyed as promised
-        return big.join(lookup, on, how)
-    lookup_hot = F.broadcast(lookup_hot)
-    parts = [keyed.join(hot_b, on, "left_semi").join(lookup_hot, on, how),
-             keyed.join(hot_b, on, "left_anti").join(lookup, on, how)]
-    if how == "left":
-        extra = [f for f in lookup.schema.fields if f.name not in on]
-        parts.append(big.where(null_key).select(
-            *[quoted(k) for k in on], *[quoted(c) for c in big.columns if c not in on],
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]))
-    elif how == "left_anti":
-        parts.append(big.where(null_key))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return big.join(cut_lineage(lookup), on, how)

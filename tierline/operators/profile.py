@@ -8,14 +8,17 @@ column.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .columns import columns_by_family, present, quoted, to_long
-from .quantiles import exact_quantiles, sketch_bounds, sketch_exprs
+from .quantiles import exact_quantiles, finite
 from ..session import cut_lineage
 from ..plans.reference_data import literal_rows
 
@@ -120,9 +123,8 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None,
                      probs=(0.25, 0.5, 0.75), materialize: bool = False) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max per numeric column.
 
-    Two passes: moments together with the quantile brackets, then the exact
-    ranks; set ``materialize`` when ``df`` is an expensive plan rather than a
-    table scan.
+    One pass for the moments, then the counting rounds of :mod:`.quantiles`; set
+    ``materialize`` when ``df`` is an expensive plan rather than a table scan.
     """
     cols = cols if cols is not None else columns_by_family(df, "number")
     df = narrow_input(df, cols, materialize)
@@ -132,12 +134,11 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None,
         x = quoted(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 sketch_exprs(x, list(probs)).alias(f"b{i}")]
-    # one pass: moments and the quantile brackets together; then the rank pass
+                 F.min(finite(x)).alias(f"flo{i}"), F.max(finite(x)).alias(f"fhi{i}")]
     row = df.agg(*aggs).first()
     counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
-    sketch = {c: sketch_bounds(row[f"b{i}"], list(probs)) for i, c in enumerate(cols) if row[f"b{i}"]}
-    q = exact_quantiles(df, cols, list(probs), counts=counts, sketch=sketch)
+    ends = {c: (row[f"flo{i}"], row[f"fhi{i}"]) for i, c in enumerate(cols)}
+    q = exact_quantiles(df, cols, list(probs), counts=counts, ends=ends)
     names = ["q" + str(int(round(p * 100))) for p in probs]
     schema = T.StructType([T.StructField("column_name", T.StringType()),
                            T.StructField("count", T.LongType()),
@@ -151,83 +152,76 @@ def describe_numeric(df: DataFrame, cols: list[str] | None = None,
     return literal_rows(spark, rows, schema)
 
 
+_SUMS = ["n", "si", "sj", "qi", "qj", "p"]
+
+
+def _pair_sums(batches, k: int):
+    """Sums over a partition for every pair i <= j of the ``k`` centred columns, over the
+    rows where both are present: count, values, squares and products. Blocks of rows
+    are added up by matrix products; a partition ends as k(k+1)/2 rows."""
+    total = np.zeros((4, k, k))
+    for block in batches:
+        x = block.to_numpy(dtype="float64", na_value=np.nan)
+        here = ~np.isnan(x)
+        x, here = np.where(here, x, 0.0), here.astype("float64")
+        total += [here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x]
+    i, j = np.triu_indices(k)
+    n, s, q, p = total
+    yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "n": n[i, j], "si": s[i, j], "sj": s[j, i],
+                        "qi": q[i, j], "qj": q[j, i], "p": p[i, j]})
+
+
 def corr_long(df: DataFrame, cols: list[str] | None = None, materialize: bool = False) -> DataFrame:
     """Pearson matrix in long form (var1, var2, i, j, r), pairwise complete,
-    mirrored; diagonal 1, NULL for a constant column.
+    mirrored; diagonal 1, NULL for a constant column or one with infinities.
 
-    Two passes of plain sums (codegen friendly, unlike dozens of moment
-    aggregates): the column means first, then sums of the centred values and
-    their products (the shifted two-pass form, numerically stable). Pairs
-    involving a column that holds NULLs get their own masked sums so each pair
-    uses exactly the rows where both values are present.
+    Two passes: the column means, then per partition the sums of the centred
+    values, squares and products of all pairs (the shifted form, numerically
+    stable) as matrix products over blocks of rows. The plan has the same size
+    for three columns and for a hundred; what is shuffled is k(k+1)/2 rows a partition.
     """
     cols = cols if cols is not None else columns_by_family(df, "number")
+    if not cols:
+        return df.sparkSession.createDataFrame([], "var1 string, var2 string, i int, j int, r double")
     df = narrow_input(df, cols, materialize)
     k = len(cols)
     xs = [quoted(c).cast("double") for c in cols]
-    first = df.agg(F.count(F.lit(1)).alias("__n"),
-                   *[F.count(x).alias(f"n{i}") for i, x in enumerate(xs)],
-                   *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]).first()
-    n_all = first["__n"]
-    full = [first[f"n{i}"] == n_all for i in range(k)]
-    us = [x - F.lit(first[f"m{i}"] if first[f"m{i}"] is not None else 0.0) for i, x in enumerate(xs)]
-    aggs = []
-    for i, u in enumerate(us):
-        aggs += [F.sum(u).alias(f"s{i}"), F.sum(u * u).alias(f"q{i}"), F.count(u).alias(f"c{i}")]
-    for i in range(k):
-        for j in range(i + 1, k):
-            aggs.append(F.sum(us[i] * us[j]).alias(f"p{i}_{j}"))
-            if not (full[i] and full[j]):
-                both = us[i].isNotNull() & us[j].isNotNull()
-                aggs += [F.count_if(both).alias(f"n{i}_{j}"),
-                         F.sum(F.when(both, us[i])).alias(f"si{i}_{j}"),
-                         F.sum(F.when(both, us[j])).alias(f"sj{i}_{j}"),
-                         F.sum(F.when(both, us[i] * us[i])).alias(f"qi{i}_{j}"),
-                         F.sum(F.when(both, us[j] * us[j])).alias(f"qj{i}_{j}")]
-    row = df.agg(*aggs)
-
-    # one struct of raw sums per ordered pair; r is then one shared expression
-    def cell(a_name, b_name, i, j, n, si, sj, qi, qj, p):
-        return F.struct(F.lit(a_name).alias("var1"), F.lit(b_name).alias("var2"), F.lit(i).alias("i"),
-                        F.lit(j).alias("j"), n.cast("double").alias("n"), si.alias("si"), sj.alias("sj"),
-                        qi.alias("qi"), qj.alias("qj"), p.alias("p"))
-
-    cells = []
-    for i, a in enumerate(cols):
-        s_i, q_i = F.col(f"s{i}"), F.col(f"q{i}")
-        cells.append(cell(a, a, i, i, F.col(f"c{i}"), s_i, s_i, q_i, q_i, q_i))
-        for j in range(i + 1, k):
-            b = cols[j]
-            if full[i] and full[j]:
-                args = (F.lit(n_all), s_i, F.col(f"s{j}"), q_i, F.col(f"q{j}"), F.col(f"p{i}_{j}"))
-            else:
-                args = (F.col(f"n{i}_{j}"), F.col(f"si{i}_{j}"), F.col(f"sj{i}_{j}"),
-                        F.col(f"qi{i}_{j}"), F.col(f"qj{i}_{j}"), F.col(f"p{i}_{j}"))
-            n, si, sj, qi, qj, pp = args
-            cells.append(cell(a, b, i, j, n, si, sj, qi, qj, pp))
-            cells.append(cell(b, a, j, i, n, sj, si, qj, qi, pp))
-    long = row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-    n, si, sj, qi, qj, pp = (F.col(c) for c in ("n", "si", "sj", "qi", "qj", "p"))
-    vi = qi - si * si / n
-    vj = qj - sj * sj / n
-    cov = pp - si * sj / n
-    r = F.when(n > 1, F.try_divide(cov, F.sqrt(vi * vj)))
+    mean = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]).first()
+    shift = [m if m is not None and math.isfinite(m) else 0.0 for m in mean]
+    centred = df.select(*[(x - F.lit(m)).alias(f"c{i}") for i, (x, m) in enumerate(zip(xs, shift))])
+    parts = centred.mapInPandas(lambda it: _pair_sums(it, k),
+                                "i int, j int, " + ", ".join(f"{c} double" for c in _SUMS))
+    # every pair once with zero sums, so that a table without rows has its pairs too
+    first = F.col("id").cast("int")
+    none = (df.sparkSession.range(k).select(first.alias("i"), F.explode(F.sequence(first, F.lit(k - 1))).alias("j"))
+            .select("i", "j", *[F.lit(0.0).alias(c) for c in _SUMS]))
+    sums = parts.unionByName(none).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    n, si, sj, qi, qj, p = (F.col(c) for c in _SUMS)
+    some = F.nullif(n, F.lit(0.0))
+    vi, vj = qi - si * si / some, qj - sj * sj / some
+    r = F.when(n > 1, F.try_divide(p - si * sj / some, F.sqrt(vi * vj)))
     # diagonal: 1 unless constant; clamp rounding overshoot; NULL stays NULL
     r = (F.when(F.col("i") == F.col("j"), F.when((n > 1) & (vi > 0), F.lit(1.0)))
          .when(r.isNull() | F.isnan(r), F.lit(None).cast("double"))
          .when(r > 1, F.lit(1.0)).when(r < -1, F.lit(-1.0)).otherwise(r))
-    return long.select("var1", "var2", "i", "j", r.alias("r"))
+    both = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    cells = F.when(F.col("i") == F.col("j"), F.slice(both, 1, 1)).otherwise(both)
+    names = F.array(*[F.lit(c) for c in cols])
+    return (sums.select(r.alias("r"), F.explode(cells).alias("at")).select("r", "at.i", "at.j")
+            .select(F.get(names, F.col("i")).alias("var1"), F.get(names, F.col("j")).alias("var2"), "i", "j", "r"))
 
 
-def corr_pairs(df: DataFrame, threshold: float, cols: list[str] | None = None) -> DataFrame:
+def corr_pairs(df: DataFrame, threshold: float, cols: list[str] | None = None,
+               materialize: bool = False) -> DataFrame:
     """Upper-triangle pairs with r > threshold (signed), strongest first."""
-    return (corr_long(df, cols).where((F.col("i") < F.col("j")) & (F.col("r") > threshold))
+    return (corr_long(df, cols, materialize).where((F.col("i") < F.col("j")) & (F.col("r") > threshold))
             .select("var1", "var2", "r").orderBy(F.desc("r"), "var1", "var2"))
 
 
-def corr_strong_matrix(df: DataFrame, threshold: float, cols: list[str] | None = None) -> DataFrame:
+def corr_strong_matrix(df: DataFrame, threshold: float, cols: list[str] | None = None,
+                       materialize: bool = False) -> DataFrame:
     """Sub-matrix of the variables having some |r| in (threshold, 1)."""
-    m = corr_long(df, cols)
+    m = corr_long(df, cols, materialize)
     strong = F.when((F.abs("r") > threshold) & (F.abs("r") < 1), 1)
     # the matrix is symmetric, so a variable's flag is the same over var1 or var2
     return (m.withColumn("f1", F.max(strong).over(Window.partitionBy("var1")))

@@ -1,9 +1,9 @@
 """Consistency and key-relationship checks.
 
-Each check returns the affected rows as a DataFrame; the violating keys are
-found with one aggregate (map-side combined, so a hot key costs one row per
-partition) and the rows are fetched with a semi join, which AQE broadcasts when
-the key set is small and splits when a key is skewed.
+Whether a key has several values is read off the smallest and largest value and
+the counts of a plain aggregate (one row per key and partition before the shuffle);
+the rows are then fetched with a join against the saved key set, which adaptive
+execution broadcasts or splits by measured sizes (:func:`.joins.split_join`).
 """
 
 from __future__ import annotations
@@ -12,32 +12,37 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import has_edge_whitespace
-from ..session import cut_lineage
 from .columns import qname, quoted
-from .joins import MAX_HOT_KEYS, HOT_ROWS, hot_key_join, semi_anti_null_safe, semi_join_null_safe
+from .joins import semi_join_null_safe, split_join
 
 
-def _distinct_count(col: str, nulls_as_value: bool):
-    c = quoted(col)
-    return F.count_distinct(F.struct(c)) if nulls_as_value else F.count_distinct(c)
+def _several(c, nulls_as_value: bool):
+    """Aggregate: ``c`` takes more than one value (NULL being one, if so asked)."""
+    differ = F.coalesce(F.min(c) != F.max(c), F.lit(False))
+    if not nulls_as_value:
+        return differ
+    return differ | ((F.count(c) > 0) & (F.count(c) < F.count(F.lit(1))))
+
+
+def _with_key(df: DataFrame, key: str) -> DataFrame:
+    return df.where(quoted(key).isNotNull())
 
 
 def fd_violation_keys(df: DataFrame, key: str, value: str, nulls_as_value: bool = True,
                       drop_null_values: bool = False) -> DataFrame:
     """Keys (non-null) mapped to more than one distinct ``value``."""
-    base = df.where(quoted(key).isNotNull())
+    base = _with_key(df, key)
     if drop_null_values:
         base = base.where(quoted(value).isNotNull())
-    return (base.groupBy(quoted(key)).agg(_distinct_count(value, nulls_as_value).alias("__n"))
-            .where(F.col("__n") > 1).select(quoted(key)))
+    return (base.groupBy(quoted(key)).agg(_several(quoted(value), nulls_as_value).alias("__bad"))
+            .where("__bad").select(quoted(key)))
 
 
 def fd_violation_rows(df: DataFrame, key: str, value: str, **kw) -> DataFrame:
     """All rows whose ``key`` maps to several ``value``s."""
-    return df.join(fd_violation_keys(df, key, value, **kw), key, "left_semi")
+    return split_join(df, fd_violation_keys(df, key, value, **kw), [key], "left_semi")
 
 
 def edge_whitespace_rows(df: DataFrame, id_col: str, col: str) -> DataFrame:
@@ -46,19 +51,17 @@ def edge_whitespace_rows(df: DataFrame, id_col: str, col: str) -> DataFrame:
 
 def casing_rows(df: DataFrame, id_col: str, col: str) -> DataFrame:
     """Rows of ids whose upper-cased ``col`` takes more than one value (NULLs ignored)."""
-    bad = (df.where(quoted(id_col).isNotNull())
-           .groupBy(quoted(id_col)).agg(F.count_distinct(F.upper(quoted(col))).alias("__n"))
-           .where(F.col("__n") > 1).select(quoted(id_col)))
-    return df.join(bad, id_col, "left_semi").select(quoted(id_col), quoted(col))
+    bad = (_with_key(df, id_col).groupBy(quoted(id_col))
+           .agg(_several(F.upper(quoted(col)), False).alias("__bad")).where("__bad").select(quoted(id_col)))
+    return split_join(df, bad, [id_col], "left_semi").select(quoted(id_col), quoted(col))
 
 
 def casing_rows_strict(df: DataFrame, id_col: str, col: str) -> DataFrame:
-    """Rows of ids whose ``col`` differs only by letter case (more raw than upper-cased values)."""
-    bad = (df.where(quoted(id_col).isNotNull())
-           .groupBy(quoted(id_col)).agg(F.count_distinct(quoted(col)).alias("__raw"),
-                                F.count_distinct(F.upper(quoted(col))).alias("__up"))
-           .where(F.col("__raw") > F.col("__up")).select(quoted(id_col)))
-    return df.join(bad, id_col, "left_semi").select(quoted(id_col), quoted(col))
+    """Rows of ids whose ``col`` differs only by letter case: one upper-cased form with several raw ones."""
+    forms = (_with_key(df, id_col).groupBy(quoted(id_col), F.upper(quoted(col)).alias("__form"))
+             .agg(_several(quoted(col), False).alias("__bad")))
+    bad = forms.groupBy(quoted(id_col)).agg(F.max("__bad").alias("__bad")).where("__bad").select(quoted(id_col))
+    return split_join(df, bad, [id_col], "left_semi").select(quoted(id_col), quoted(col))
 
 
 # Names of the seven consistency checks, in report order.
@@ -76,44 +79,52 @@ _FLAG = {name: f"__f{i}" for i, name in enumerate(CHECKS)}
 
 def annotate_consistency(df: DataFrame, id_col: str = "team_api_id",
                          long_col: str = "team_long_name", short_col: str = "team_short_name",
-                         alt_id_col: str = "team_fifa_api_id", hot_rows: int | None = None) -> DataFrame:
-    """``df`` plus one boolean column per check (see :data:`CHECKS`).
-
-    All id-keyed checks come from one aggregate on the id (three distinct
-    counts, combined map-side) and the name-keyed check from one aggregate on
-    the name; each is saved once to the checkpoint folder and joined back with
-    :func:`hot_key_join`, so an id or name holding a large share of the rows
-    is joined map-side instead of in one task. Edge-space flags are per row.
+                         alt_id_col: str = "team_fifa_api_id", checks: list[str] | None = None) -> DataFrame:
+    """``df`` plus one boolean column per check asked for (default: all of :data:`CHECKS`).
+
+    The checks keyed by id share one aggregate and one join, the check keyed by
+    name has its own; a key set nobody asked for is not built. Edge-space flags are per row.
     """
-    by_id = cut_lineage(df.where(quoted(id_col).isNotNull()).groupBy(quoted(id_col)).agg(
-        (_distinct_count(long_col, True) > 1).alias(_FLAG[CHECKS[0]]),
-        (_distinct_count(short_col, True) > 1).alias(_FLAG[CHECKS[1]]),
-        (F.count_distinct(quoted(alt_id_col)) > 1).alias(_FLAG[CHECKS[2]]),
-        (F.count_distinct(F.upper(quoted(short_col))) > 1).alias(_FLAG[CHECKS[6]]),
-        F.count(F.lit(1)).alias("__n")))
-    by_name = cut_lineage(df.where(quoted(long_col).isNotNull()).groupBy(quoted(long_col))
-                          .agg((_distinct_count(id_col, True) > 1).alias(_FLAG[CHECKS[3]]),
-                               F.count(F.lit(1)).alias("__n")))
-    out = hot_key_join(df, by_id.drop("__n"), [id_col], "left", by_id, hot_rows)
-    out = hot_key_join(out, by_name.drop("__n"), [long_col], "left", by_name, hot_rows)
-    flags = {n: F.coalesce(F.col(_FLAG[n]), F.lit(False)) for n in (CHECKS[0], CHECKS[1], CHECKS[2],
-                                                                      CHECKS[3], CHECKS[6])}
+    checks = CHECKS if checks is None else checks
+    per_key = [(id_col, {CHECKS[0]: _several(quoted(long_col), True), CHECKS[1]: _several(quoted(short_col), True),
+                         CHECKS[2]: _several(quoted(alt_id_col), False),
+                         CHECKS[6]: _several(F.upper(quoted(short_col)), False)}),
+               (long_col, {CHECKS[3]: _several(quoted(id_col), True)})]
+    out, flags = df, {}
+    for key, tests in per_key:
+        asked = {n: t for n, t in tests.items() if n in checks}
+        if not asked:
+            continue
+        found = _with_key(df, key).groupBy(quoted(key)).agg(*[t.alias(_FLAG[n]) for n, t in asked.items()])
+        # only violating keys are saved and joined; all others have no flag
+        found = found.where(reduce(lambda a, b: a | b, [F.col(_FLAG[n]) for n in asked]))
+        out = split_join(out, found, [key], "left")
+        flags |= {n: F.coalesce(F.col(_FLAG[n]), F.lit(False)) for n in asked}
     flags[CHECKS[4]] = has_edge_whitespace(quoted(long_col))
     flags[CHECKS[5]] = has_edge_whitespace(quoted(short_col))
-    return out.select(*[quoted(c) for c in df.columns], *[flags[n].alias(_FLAG[n]) for n in CHECKS])
+    return out.select(*[quoted(c) for c in df.columns], *[flags[n].alias(_FLAG[n]) for n in CHECKS if n in checks])
 
 
 def check_consistency(df: DataFrame, id_col: str = "team_api_id",
                       long_col: str = "team_long_name", short_col: str = "team_short_name",
-                      alt_id_col: str = "team_fifa_api_id", hot_rows: int | None = None) -> dict[str, DataFrame]:
-    """The seven checks keyed by :data:`CHECKS` (affected rows), plus ``summary``."""
-    ann = annotate_consistency(df, id_col, long_col, short_col, alt_id_col, hot_rows)
-    res = {n: ann.where(F.col(_FLAG[n])).select(*[quoted(c) for c in df.columns]) for n in CHECKS[:4]}
-    res[CHECKS[4]] = ann.where(F.col(_FLAG[CHECKS[4]])).select(quoted(id_col), quoted(long_col))
-    res[CHECKS[5]] = ann.where(F.col(_FLAG[CHECKS[5]])).select(quoted(id_col), quoted(short_col))
-    res[CHECKS[6]] = ann.where(F.col(_FLAG[CHECKS[6]])).select(quoted(id_col), quoted(short_col))
-    res["summary"] = (ann.agg(*[F.count_if(F.col(_FLAG[n])).alias(n) for n in CHECKS])
-                      .unpivot([], CHECKS, "check_name", "n_affected"))
+                      alt_id_col: str = "team_fifa_api_id", checks: list[str] | None = None) -> dict[str, DataFrame]:
+    """The affected rows of each check asked for (default: all of :data:`CHECKS`), ordered by
+    key and value, plus ``summary`` and the ``annotated`` rows."""
+    checks = CHECKS if checks is None else checks
+    ann = annotate_consistency(df, id_col, long_col, short_col, alt_id_col, checks)
+    shown = {CHECKS[0]: (id_col, long_col), CHECKS[1]: (id_col, short_col), CHECKS[2]: (id_col, alt_id_col),
+             CHECKS[3]: (long_col, id_col), CHECKS[4]: (id_col, long_col), CHECKS[5]: (id_col, short_col),
+             CHECKS[6]: (id_col, short_col)}
+    res = {}
+    for n in (n for n in CHECKS if n in checks):
+        by = [quoted(c) for c in shown[n]]
+        whole = n in CHECKS[:4]             # these report whole rows, the others key and value
+        rows = ann.where(F.col(_FLAG[n])).select(*([quoted(c) for c in df.columns] if whole else by))
+        # the row's hash as last key lets the range partitioning split a frequent pair
+        res[n] = rows.orderBy(*by, *([F.xxhash64(*[quoted(c) for c in df.columns])] if whole else []))
+    names = [n for n in CHECKS if n in checks]
+    res["summary"] = (ann.agg(*[F.count_if(F.col(_FLAG[n])).alias(n) for n in names])
+                      .unpivot([], names, "check_name", "n_affected"))
     res["annotated"] = ann
     return res
 
@@ -121,7 +132,7 @@ def check_consistency(df: DataFrame, id_col: str = "team_api_id",
 def fd_violations(df: DataFrame, **kw) -> DataFrame:
     """Rows breaking any of the four functional dependencies, one row per
     (check, row), tagged by ``check_name``; one pass over the annotated frame."""
-    ann = check_consistency(df, **kw)["annotated"]
+    ann = annotate_consistency(df, checks=CHECKS[:4], **kw)
     names = F.array(*[F.when(F.col(_FLAG[n]), F.lit(n)) for n in CHECKS[:4]])
     return (ann.select(F.explode(F.filter(names, lambda x: x.isNotNull())).alias("check_name"),
                        *[quoted(c) for c in df.columns]))
@@ -173,28 +184,17 @@ def join_one_to_one(left: DataFrame, right: DataFrame, left_on: str, right_on: s
     return left.join(right, left[qname(left_on)] == right[qname(right_on)], "inner")
 
 
-def duplicate_rows(df: DataFrame, subset: list[str] | None = None, sort: bool = False,
-                   hot_rows: int | None = None) -> DataFrame:
+def duplicate_rows(df: DataFrame, subset: list[str] | None = None, sort: bool = False) -> DataFrame:
     """Every member of a group of rows equal on ``subset`` (all columns by
     default; NULLs equal), optionally sorted by those columns.
 
-    The duplicated key set comes from one aggregate (saved once); a group
-    larger than ``hot_rows`` is matched map-side against a broadcast of the
-    hot keys, the rest by a shuffled semi join."""
+    The repeated keys come from one aggregate, saved once, and the rows from a
+    semi join against them. The sort's last key is a hash of the whole row, so
+    that a large group of different rows is dealt to several sort tasks."""
     cols = subset or df.columns
-    keys = cut_lineage(df.groupBy(*[quoted(c) for c in cols]).agg(F.count(F.lit(1)).alias("__n"))
-                       .where(F.col("__n") > 1))
-    limit = HOT_ROWS if hot_rows is None else hot_rows
-    hot = keys.where(F.col("__n") > limit).select(*[quoted(c) for c in cols])
-    n_hot = hot.limit(MAX_HOT_KEYS + 1).count()
-    if 0 < n_hot <= MAX_HOT_KEYS:
-        hot_b = F.broadcast(hot)  # proven <= MAX_HOT_KEYS rows
-        out = semi_join_null_safe(df, hot_b, cols).unionByName(
-            semi_join_null_safe(semi_anti_null_safe(df, hot_b, cols), keys.select(*[quoted(c) for c in cols]), cols))
-    else:
-        out = semi_join_null_safe(df, keys.select(*[quoted(c) for c in cols]), cols)
-    return out.orderBy(*[quoted(c) for c in cols]) if sort else out
-
-
-CHECK_SCHEMA = T.StructType([T.StructField("check_name", T.StringType()),
-                             T.StructField("n_affected", T.LongType())])
+    keys = (df.groupBy(*[quoted(c) for c in cols]).agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") > 1).select(*[quoted(c) for c in cols]))
+    out = semi_join_null_safe(df, keys, cols)
+    if not sort:
+        return out
+    return out.orderBy(*[quoted(c) for c in cols], F.xxhash64(*[quoted(c) for c in df.columns]))

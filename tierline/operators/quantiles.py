@@ -1,22 +1,17 @@
 """Exact quantiles (linear interpolation, as pandas ``describe`` / SQL
-``percentile``) without gathering a column into one task.
-
-Spark's exact ``percentile`` merges a value->count map of the whole column in
-a single task, and ``percentile_approx`` is only approximate. Here:
-
-1. counts per column (one aggregate) give the ranks needed for each quantile;
-2. when a column is larger than ``window_target``, one ``percentile_approx``
-   pass with accuracy scaled to the row count brackets every needed rank by a
-   value interval [lo, hi] holding roughly ``window_target`` rows;
-3. one pass tags every value with its segment of the column - the gap before
-   a bracket, or a bracket (brackets of a column are merged into disjoint
-   intervals, so no value is duplicated) - and counts (segment, value) pairs
-   with map-side combine; values in gaps only contribute a count. A running
-   sum over that bounded set, ordered by segment and value, is the exact rank
-   of each bracketed value. Brackets that miss their rank are widened and
-   only those ranks are recomputed.
-
-Only bounded facts reach the driver: one number per column and target.
+``percentile``) by counting in bins, without gathering a column into one task.
+
+Each needed rank starts with the interval [min, max] of its column. A round
+cuts every open interval into ``BINS`` equal bins, counts the values of each bin
+(combined map-side, so a task sends at most one row per bin whatever the number
+of rows) and notes the smallest and largest value of the bin. The bin that holds the rank is the next
+interval, from that smallest to that largest value, so one far outlier costs a
+round, not a long chain of halvings. A rank is found when its interval holds a
+single value, or when it is the first or the last of its interval.
+
+A round always shrinks an interval (its two ends fall into different bins), and
+the same steps run at every size. Only one row per open rank reaches the driver.
+NULL and NaN are missing; infinities have bins of their own.
 """
 
 from __future__ import annotations
@@ -28,199 +23,111 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.reference_data import literal_rows
-from .columns import quoted, to_long
-
-_TARGETS = T.StructType([
-    T.StructField("tid", T.IntegerType()),
-    T.StructField("col_name", T.StringType()),
-    T.StructField("seg", T.IntegerType()),
-    T.StructField("rank", T.LongType()),
-])
+from .columns import present, to_long
 
+BINS = 1024
 
-def _merge(intervals):
-    """Disjoint sorted intervals covering the given [lo, hi] (None = unbounded)."""
-    key = [(-math.inf if lo is None else lo, math.inf if hi is None else hi) for lo, hi in intervals]
-    key.sort()
-    out = []
-    for lo, hi in key:
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi)
-        else:
-            out.append([lo, hi])
-    return out
+_RANKS = T.StructType([
+    T.StructField("rank_no", T.IntegerType()),
+    T.StructField("interval_no", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+])
 
 
-def _segment(x, groups):
-    """Segment of value ``x``: 2g for the gap before group g, 2g+1 inside group g."""
-    expr = F.when(F.lit(False), F.lit(0))
-    for g, (lo, hi) in enumerate(groups):
-        if lo != -math.inf:
-            expr = expr.when(x < F.lit(lo), F.lit(2 * g))
-        if hi != math.inf:
-            expr = expr.when(x <= F.lit(hi), F.lit(2 * g + 1))
-        else:
-            expr = expr.when(F.lit(True), F.lit(2 * g + 1))
-    return expr.otherwise(F.lit(2 * len(groups)))
-
-
-def _rank_values(df: DataFrame, bounds: dict) -> dict:
-    """bounds: {(col, rank): (lo, hi)} -> {(col, rank): (value, below, total)}."""
-    spark = df.sparkSession
-    by_col: dict[str, list] = {}
-    for (c, r), b in bounds.items():
-        by_col.setdefault(c, []).append((r, b))
-    groups = {c: _merge([b for _, b in items]) for c, items in by_col.items()}
-    cols = list(by_col)
-    targets, tid = [], {}
-    for c, items in by_col.items():
-        for r, (lo, hi) in items:
-            lo_k = -math.inf if lo is None else lo
-            g = next(i for i, (glo, ghi) in enumerate(groups[c]) if glo <= lo_k <= ghi)
-            tid[(c, r)] = len(targets)
-            targets.append((len(targets), c, 2 * g + 1, r))
-
-    items = [(c, F.struct(quoted(c).cast("double").alias("v"),
-                          _segment(quoted(c).cast("double"), groups[c]).alias("seg"))) for c in cols]
-    long = (to_long(df, items, "x", name_col="col_name")
-            .select("col_name", "x.v", "x.seg").where(F.col("v").isNotNull()))
-    odd = F.col("seg") % 2 == 1
-    counted = (long.groupBy("col_name", "seg", F.when(odd, F.col("v")).alias("cv"))
-               .agg(F.count(F.lit(1)).alias("c")))
-    w = (Window.partitionBy("col_name").orderBy("seg", "cv")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.withColumn("cum", F.sum("c").over(w))
-    # rows before a segment = running count at its start
-    seg_stats = ranked.groupBy("col_name", "seg").agg((F.max("cum") - F.sum("c")).alias("below"),
-                                                       F.max("cum").alias("total"))
-    tdf = F.broadcast(literal_rows(spark, targets, _TARGETS))  # one row per target rank
-    hits = (ranked.where(F.col("cv").isNotNull()).join(tdf, ["col_name", "seg"])
-            .where(F.col("cum") >= F.col("rank") + 1)
-            .groupBy("tid").agg(F.min("cv").alias("value")))
-    stats = tdf.join(seg_stats, ["col_name", "seg"], "left").join(hits, "tid", "left")
-    found = {r.tid: (r.value, r.below, r.total) for r in stats.collect()}
-    return {key: found.get(i, (None, None, None)) for key, i in tid.items()}
-
-
-SKETCH_ACCURACY = 10_000
-SKETCH_MARGIN = 3.0
-
-
-def sketch_exprs(x, probs: list[float], accuracy: int = SKETCH_ACCURACY):
-    """``percentile_approx`` at each p -/+ margin: brackets that a caller can
-    compute in the same pass as its other aggregates (see ``sketch``)."""
-    m = SKETCH_MARGIN / accuracy
-    fr = [v for p in probs for v in (max(0.0, p - m), min(1.0, p + m))]
-    return F.percentile_approx(x, fr, accuracy)
-
-
-def sketch_bounds(values, probs: list[float], accuracy: int = SKETCH_ACCURACY) -> dict:
-    """{p: (lo, hi)} from the array returned by :func:`sketch_exprs` (None = open end)."""
-    m = SKETCH_MARGIN / accuracy
-    return {p: (values[2 * i] if p - m > 0 else None, values[2 * i + 1] if p + m < 1 else None)
-            for i, p in enumerate(probs)}
+def finite(x):
+    """``x`` without infinities (for the ends of the first interval)."""
+    return F.when(F.abs(x) < F.lit(math.inf), x)
+
+
+def _bin(x, lo: float, hi: float):
+    """Bin of a value of [lo, hi]; monotone in ``x``, 0 for ``lo`` and BINS - 1 for ``hi``."""
+    half = 1.0 if math.isfinite(hi - lo) else 0.5          # hi - lo may be beyond the largest double
+    width = hi * half - lo * half
+    if width == 0:
+        return F.lit(0)
+    part = F.floor((x * F.lit(half) - F.lit(lo * half)) / F.lit(width) * F.lit(float(BINS)))
+    return F.least(part, F.lit(BINS - 1)).cast("int")
+
+
+def _first_bin(x, lo: float | None, hi: float | None):
+    """Bins of a whole column: -1 and BINS hold the infinities."""
+    inner = _bin(x, lo, hi) if lo is not None else F.lit(0)
+    return (F.when(x == F.lit(-math.inf), F.lit(-1)).when(x == F.lit(math.inf), F.lit(BINS)).otherwise(inner))
+
+
+def _round(df: DataFrame, intervals: list[tuple], ranks: list[tuple]) -> list:
+    """One counting round. ``intervals``: (col, lo, hi, whole column?); ``ranks``:
+    (rank_no, interval_no, offset of the rank from the interval's start). Returns per
+    rank its bin's smallest and largest value, count, and the rows before the bin."""
+    cells = []
+    for col, lo, hi, whole in intervals:
+        x = present(df, col).cast("double")
+        inside = x.isNotNull() if whole else x.between(F.lit(lo), F.lit(hi))
+        cells.append(F.when(inside, F.struct((_first_bin(x, lo, hi) if whole else _bin(x, lo, hi)).alias("bin"),
+                                             x.alias("v"))))
+    long = (to_long(df, [(str(i), c) for i, c in enumerate(cells)], "cell", name_col="interval_name")
+            .where(F.col("cell").isNotNull())
+            .select(F.col("interval_name").cast("int").alias("interval_no"), "cell.bin", "cell.v"))
+    counted = long.groupBy("interval_no", "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    # at most BINS + 2 rows per interval
+    upto = Window.partitionBy("interval_no").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    summed = counted.withColumn("before", F.sum("n").over(upto) - F.col("n"))
+    wanted = F.broadcast(literal_rows(df.sparkSession, ranks, _RANKS))      # one row per open rank
+    return (summed.join(wanted, "interval_no")
+            .where((F.col("before") <= F.col("offset")) & (F.col("offset") < F.col("before") + F.col("n")))
+            .select("rank_no", "lo", "hi", "n", "before").collect())
+
+
+def exact_order_statistics(df: DataFrame, needed: list[tuple[str, int]],
+                           ends: dict[str, tuple]) -> dict[tuple[str, int], float]:
+    """{(col, rank): value}, ranks from 0 among the column's present values."""
+    found: dict[tuple[str, int], float] = {}
+    # open rank -> (lo, hi, whole column?, offset of the rank from the start of the interval)
+    open_ranks = {(c, r): (*ends[c], True, r) for c, r in needed}
+    while open_ranks:
+        intervals = list(dict.fromkeys((c, lo, hi, whole) for (c, _), (lo, hi, whole, _) in open_ranks.items()))
+        keys = list(open_ranks)
+        ranks = [(i, intervals.index((k[0], *open_ranks[k][:3])), open_ranks[k][3]) for i, k in enumerate(keys)]
+        nxt = {}
+        for row in _round(df, intervals, ranks):
+            key = keys[row.rank_no]
+            offset = open_ranks[key][3] - row.before
+            if row.lo == row.hi or offset == 0:
+                found[key] = row.lo
+            elif offset == row.n - 1:
+                found[key] = row.hi
+            else:
+                nxt[key] = (row.lo, row.hi, False, offset)
+        open_ranks = nxt
+    return found
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    counts: dict[str, int] | None = None, window_target: int = 200_000,
-                    min_accuracy: int = 10_000, max_accuracy: int = 10_000_000,
-                    sketch: dict | None = None) -> dict:
+                    counts: dict[str, int] | None = None, ends: dict[str, tuple] | None = None) -> dict:
     """{col: {p: quantile}} with linear interpolation between order statistics.
 
-    ``sketch`` = {col: {p: (lo, hi)}} from :func:`sketch_exprs` evaluated in an
-    earlier pass saves the bracketing pass when its accuracy suffices."""
-    if counts is None:
-        row = df.agg(*[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    ``counts`` and ``ends`` ({col: (smallest, largest finite value)}) save a pass
+    when the caller has them."""
+    if counts is None or ends is None:
+        xs = [present(df, c).cast("double") for c in cols]
+        row = df.agg(*[f(x).alias(f"{name}{i}") for i, x in enumerate(xs) for name, f in
+                       (("n", F.count), ("lo", lambda x: F.min(finite(x))), ("hi", lambda x: F.max(finite(x))))]).first()
         counts = {c: row[f"n{i}"] for i, c in enumerate(cols)}
-    needed: dict[tuple[str, int], None] = {}
-    plan: dict[tuple[str, float], tuple[int, float]] = {}
-    origin: dict[tuple[str, int], float] = {}
-    for c in cols:
-        n = counts[c]
-        if not n:
-            continue
-        for p in probs:
-            pos = p * (n - 1)
-            k = math.floor(pos)
-            plan[(c, p)] = (k, pos - k)
-            needed[(c, k)] = None
-            origin.setdefault((c, k), p)
-            if pos - k > 0 and k + 1 < n:
-                needed[(c, k + 1)] = None
-                origin.setdefault((c, k + 1), p)
-    if not needed:
-        return {c: {p: None for p in probs} for c in cols}
-
-    big = max(counts[c] or 0 for c in cols)
-    accuracy = int(min(max_accuracy, max(min_accuracy, math.ceil(4 * big / window_target))))
-    keys = list(needed)
-    bounds = {key: (None, None) for key in keys}
-    sketched = [c for c in {c for c, _ in keys} if counts[c] > window_target]
-    # a sketch from an earlier pass serves while its accuracy keeps brackets small
-    reuse = [c for c in sketched if sketch and c in sketch and accuracy <= SKETCH_ACCURACY]
-    for key in keys:
-        if key[0] in reuse:
-            bounds[key] = sketch[key[0]][origin[key]]
-    fresh = [c for c in sketched if c not in reuse]
-    if fresh:  # bracket ranks of large columns with one sketch pass
-        bounds.update(_brackets(df, [k for k in keys if k[0] in fresh], counts, accuracy, 3.0))
-
-    values: dict[tuple[str, int], float] = {}
-    pending, attempt = keys, 0
-    while pending:
-        found = _rank_values(df, {k: bounds[k] for k in pending})
-        retry = []
-        for key in pending:
-            value, below, total = found[key]
-            lo, hi = bounds[key]
-            ok = (value is not None and below is not None
-                  and (lo is None or below <= key[1]) and (hi is None or total >= key[1] + 1))
-            if ok:
-                values[key] = value
-            else:
-                retry.append(key)
-        attempt += 1
-        if retry:  # widen the missed brackets tenfold per attempt; the whole
-            # column (one window per column) only after that, i.e. never for
-            # a working sketch
-            wider = (_brackets(df, retry, counts, accuracy, 3.0 * 10 ** attempt) if attempt <= 4
-                     else {k: (None, None) for k in retry})
-            bounds.update(wider)
-        pending = retry
-
-    out = {}
+        ends = {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}
+    plan, needed = {}, {}
     for c in cols:
-        out[c] = {}
         for p in probs:
-            if (c, p) not in plan:
-                out[c][p] = None
+            if not counts[c]:
                 continue
-            k, frac = plan[(c, p)]
-            lo_v = values[(c, k)]
-            if frac > 0 and (c, k + 1) in values:
-                out[c][p] = lo_v + (values[(c, k + 1)] - lo_v) * frac
-            else:
-                out[c][p] = lo_v
-    return out
-
-
-def _brackets(df: DataFrame, keys, counts, accuracy: int, spread: float) -> dict:
-    """[lo, hi] around each (col, rank) from ``percentile_approx`` at
-    rank fraction -/+ spread/accuracy (one pass for all columns)."""
-    margin = spread / accuracy
-    fracs: dict[str, list[float]] = {}
-    for c, r in keys:
-        f = (r + 1) / counts[c]
-        fracs.setdefault(c, []).extend([max(0.0, f - margin), min(1.0, f + margin)])
-    names = list(fracs)
-    row = df.agg(*[F.percentile_approx(quoted(c).cast("double"), fracs[c], accuracy).alias(f"b{i}")
-                   for i, c in enumerate(names)]).first()
-    pos = {c: 0 for c in names}
-    out = {}
-    for c, r in keys:
-        i = pos[c]
-        pos[c] += 2
-        f = (r + 1) / counts[c]
-        arr = row[f"b{names.index(c)}"]
-        out[(c, r)] = (arr[i] if f - margin > 0 else None, arr[i + 1] if f + margin < 1 else None)
+            pos = p * (counts[c] - 1)
+            k = math.floor(pos)
+            up = k + 1 if pos > k and k + 1 < counts[c] else k
+            plan[c, p] = (k, up, pos - k)
+            needed |= {(c, k): None, (c, up): None}
+    value = exact_order_statistics(df, list(needed), ends)
+    out: dict = {c: {p: None for p in probs} for c in cols}
+    for (c, p), (k, up, frac) in plan.items():
+        low, high = value[c, k], value[c, up]
+        out[c][p] = low if low == high else low + (high - low) * frac
     return out

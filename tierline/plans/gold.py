@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.lineup import lineup_hash
 from ..functions.odds import spread_fraction
 from ..functions.text import extract_player_id
-from ..operators.joins import bounded_broadcast, hot_key_join
+from ..operators.joins import split_join
 from ..session import cut_lineage
 from . import reference_data
 
@@ -117,20 +117,16 @@ def lineup_names(bridge: DataFrame, players: DataFrame) -> DataFrame:
     Equal (id_lineup, position, name) entries are counted before the per-line-up
     collection, so the collected list is bounded by distinct slot/name pairs,
     not by how many variants share a hash; the counts are expanded again in
-    the final array.
+    the final array. The unknown player 0 needs no join: its name is '0' whatever
+    the player table says, once per row that table has for it.
     """
-    # slot 0 (unknown player) is the natural hot key: those rows join a
-    # broadcast of the id-0 player rows (size proven), the rest by shuffle
-    zero = F.col("id_player") == 0
-    players0 = bounded_broadcast(players.where(zero), 10_000)
-    joined = (bridge.where(zero).join(players0, "id_player", "left")
-              .unionByName(bridge.where(~zero | F.col("id_player").isNull()).join(players, "id_player", "left")))
-    named = (joined
-             .select("id_lineup", "position",
-                     F.when(F.col("id_player") == 0, F.lit("0"))
-                     .when(F.col("player_name").isNull() | (F.trim("player_name") == ""), F.lit("0"))
-                     .otherwise(F.col("player_name")).alias("nm")))
-    counted = named.groupBy("id_lineup", "position", "nm").agg(F.count(F.lit(1)).alias("c"))
+    known = cut_lineage(players.select("id_player", "player_name"))
+    unknown = F.col("id_player") == 0
+    n_unknown = max(known.where(unknown).count(), 1)
+    named = (split_join(bridge, known.where(~unknown), ["id_player"], "left")
+             .select("id_lineup", "position", F.when(unknown, F.lit(n_unknown)).otherwise(F.lit(1)).alias("times"),
+                     F.when(F.trim("player_name") != "", F.col("player_name")).otherwise(F.lit("0")).alias("nm")))
+    counted = named.groupBy("id_lineup", "position", "nm").agg(F.sum("times").alias("c"))
     entries = F.array_sort(F.collect_list(F.struct(F.col("position").alias("pos"), "nm", "c")))
     expanded = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["nm"], e["c"].cast("int"))))
     return counted.groupBy("id_lineup").agg(expanded.alias("players_names"))
@@ -141,7 +137,7 @@ def _match_result(home_goals, away_goals):
             .when(home_goals < away_goals, F.lit("A")).otherwise(F.lit("D")))
 
 
-def fact_match(match: DataFrame, lmap: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def fact_match(match: DataFrame, lmap: DataFrame) -> DataFrame:
     """Two rows per match (home local=1, away local=0) with the home-side
     result H/D/A, goals for/against, and the side's line-up; rows with a
     missing or negative goal count are dropped."""
@@ -158,11 +154,7 @@ def fact_match(match: DataFrame, lmap: DataFrame, hot_rows: int | None = None) -
             .select("id_league", "id_period", "id_match", "s.local", "s.id_team", "match_result",
                     "s.num_goals_favor", "s.num_goals_against")
             .where((F.col("num_goals_favor") >= 0) & (F.col("num_goals_against") >= 0)))
-    # distinct map with its row counts, saved once: the counts find keys
-    # holding a large share of the rows, which join map-side (hot_key_join)
-    m = cut_lineage(lmap.groupBy("id_match", "local", "id_lineup").agg(F.count(F.lit(1)).alias("__n")))
-    counts = m.groupBy("id_match", "local").agg(F.sum("__n").alias("__n"))
-    joined = hot_key_join(base, m.drop("__n"), ["id_match", "local"], "left", counts, hot_rows)
+    joined = split_join(base, lmap.select("id_match", "local", "id_lineup").distinct(), ["id_match", "local"], "left")
     return joined.select(
         "id_league", "id_period", "id_match", "local", "id_team", "match_result",
         "num_goals_favor", "num_goals_against", "id_lineup")
@@ -172,27 +164,21 @@ def fact_events(events: DataFrame, periods: DataFrame, offices: DataFrame,
                 id_event: int = 10001) -> DataFrame:
     """Odds facts keyed to period and office, with the spread as a fraction;
     only rows whose three odds all exceed 1."""
-    # periods: one row per calendar day, small but data-derived; AQE turns the
-    # join into a broadcast from the measured size. Offices are literal rows.
+    # the calendar has one row a day and is saved, so that the planner knows its
+    # size before it would deal the facts out by day. Offices are literal rows.
     per = periods.select(F.col("date").alias("date_key"), "id_period")
     off = F.broadcast(offices.select(F.col("abbr").alias("betting_office"), "id_betting_office"))
     h, d, a = F.col("home_odd"), F.col("draw_odd"), F.col("visitor_odd")
-    return (events.where((h > 1) & (d > 1) & (a > 1))
-            .join(per, "date_key", "left")
+    return (split_join(events.where((h > 1) & (d > 1) & (a > 1)), per, ["date_key"], "left")
             .join(off, "betting_office", "left")
             .select("id_league", "id_period", "id_match", "id_betting_office",
                     F.lit(id_event).alias("id_event"), "home_odd", "draw_odd", "visitor_odd",
                     spread_fraction(h, d, a).alias("spread")))
 
 
-def v_match_lineup_names(facts: DataFrame, names: DataFrame, teams: DataFrame,
-                         hot_rows: int | None = None) -> DataFrame:
-    """Match sides with their team name and line-up names.
-
-    ``names`` is one row per line-up (an aggregate), so a line-up shared by a
-    large share of the facts is joined map-side (:func:`hot_key_join`); teams
-    are a small dimension (statistics/AQE broadcast)."""
-    counts = facts.groupBy("id_lineup").agg(F.count(F.lit(1)).alias("__n"))
-    with_names = hot_key_join(facts, names, ["id_lineup"], "left", counts, hot_rows)
-    return (with_names.join(teams, "id_team", "left")
-            .select("id_match", "local", "id_lineup", "team_name", "players_names"))
+def v_match_lineup_names(facts: DataFrame, names: DataFrame, teams: DataFrame) -> DataFrame:
+    """Match sides with their team name and line-up names; names and teams are
+    saved once and joined with :func:`split_join`."""
+    sides = facts.select("id_match", "local", "id_lineup", "id_team")
+    named = split_join(split_join(sides, names, ["id_lineup"], "left"), teams, ["id_team"], "left")
+    return named.select("id_match", "local", "id_lineup", "team_name", "players_names")

@@ -100,7 +100,8 @@ def m_league(region: DataFrame) -> DataFrame:
 
 
 def m_player(part: DataFrame) -> DataFrame:
-    return part.select(F.col("p_partkey").alias("player_api_id"), F.col("p_name").alias("player_name"))
+    """Players from id 1 on, so the 'unknown' player 0 is not among them."""
+    return part.select((F.col("p_partkey") + 1).alias("player_api_id"), F.col("p_name").alias("player_name"))
 
 
 def m_player_birthdays(orders: DataFrame) -> DataFrame:

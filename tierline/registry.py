@@ -298,14 +298,14 @@ def _build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["corr_matrix"] = lambda s, sf: profile.corr_long(_lineitem_numeric(s, sf)).select("var1", "var2", "r")
     q["corr_pairs"] = lambda s, sf: profile.corr_pairs(_lineitem_numeric(s, sf), CORR_THRESHOLD)
     q["corr_strong_matrix"] = lambda s, sf: profile.corr_strong_matrix(_lineitem_numeric(s, sf), CORR_THRESHOLD)
-    q["corr_pairs_orders"] = lambda s, sf: profile.corr_pairs(_order_lines(s, sf), CORR_THRESHOLD)
-    q["corr_strong_matrix_orders"] = lambda s, sf: profile.corr_strong_matrix(_order_lines(s, sf), CORR_THRESHOLD)
+    q["corr_pairs_orders"] = lambda s, sf: profile.corr_pairs(_order_lines(s, sf), CORR_THRESHOLD, materialize=True)
+    q["corr_strong_matrix_orders"] = lambda s, sf: profile.corr_strong_matrix(_order_lines(s, sf), CORR_THRESHOLD, materialize=True)
     q["group_size_topk"] = lambda s, sf: profile.group_size_topk(_t(s, sf, "part"), "p_name", 5)
     q["value_counts"] = lambda s, sf: profile.value_counts(_t(s, sf, "orders"))
     # consistency
     q["fd_violations"] = lambda s, sf: quality.fd_violations(_m_part(s, sf))
     q["whitespace_check"] = lambda s, sf: quality.whitespace_check(_m_part(s, sf))
-    q["casing_check"] = lambda s, sf: quality.check_consistency(_m_part(s, sf))["short_name_casing"]
+    q["casing_check"] = lambda s, sf: quality.check_consistency(_m_part(s, sf), checks=["short_name_casing"])["short_name_casing"]
     q["casing_check_strict"] = lambda s, sf: quality.casing_rows_strict(
         _m_part(s, sf), "team_api_id", "team_short_name")
     q["consistency_summary"] = lambda s, sf: quality.check_consistency(_m_part(s, sf))["summary"]

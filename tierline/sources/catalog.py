@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,8 +62,8 @@ def bronze_load(spark: SparkSession, folder: str, names: list[str], database: st
                 semicolon: bool = False) -> DataFrame:
     """Load every ``<name>.csv`` of ``folder`` into ``database``.
 
-    A table that cannot be read or saved is reported with status ``skipped`` and
-    the load continues. Returns (table_name, status, n_rows).
+    A table without a file, or with one that is no table, is reported with status
+    ``skipped`` and the reason, and the load continues; a failing cluster ends it. Returns (table_name, status, n_rows).
     """
     files = list_files(spark, folder, ".csv")
     ensure_database(spark, database, location)
@@ -72,8 +73,8 @@ def bronze_load(spark: SparkSession, folder: str, names: list[str], database: st
             df = read_named_csv(spark, files, name, semicolon=semicolon)
             path = f"{location.rstrip('/')}/{name}" if location else None
             saved[name] = save_table(df, database, name, fmt, path)
-        except Exception as exc:  # reported, not fatal: one bad table must not stop the load
-            skipped.append((name, f"skipped: {type(exc).__name__}", None))
+        except (FileNotFoundError, AnalysisException) as exc:  # absent or not a table; other failures end the load
+            skipped.append((name, f"skipped: {type(exc).__name__}: {exc}", None))
     parts = []
     if saved:
         parts.append(_count_tables(spark, saved).select(
