@@ -3,6 +3,7 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tierline.llm import queries, repeats
@@ -51,3 +52,13 @@ def test_odd_cases(spark, monkeypatch):
     for length in (12, 20, 45):
         assert by_id(repeats.remove_repeats(odd(spark, data), length)) == brute(data, length)
     assert by_id(repeats.remove_repeats(empty(spark))) == []
+
+
+def test_both_names_decide():
+    """Entries that share one of their two names only are different strings."""
+    for stage, first in ((2, [[5], [5]]), (3, [[], []])):
+        a, b = (np.array(f + [7, x], np.uint64).tobytes() for f, x in zip(first, (1, 2)))
+        rows_of = lambda *data: pa.table({"block": list(range(len(data))), "payload": list(data)})
+        work = repeats.owner_round(stage)
+        bits = lambda *data: [x[0] & 1 for x in work((pa.scalar(0),), rows_of(*data))["bits"].to_pylist()]
+        assert bits(a, b) == [0, 0] and bits(a, a) == [1, 1] and bits(a, b, a) == [1, 0, 1]

@@ -22,8 +22,9 @@ number of buckets, which follows the input) and gets back a few bits a name:
 
 A block sends a name twice at most, however often it occurs, so a passage that a
 third of all texts share gives its owner two entries a block. The first round uses
-32 bits below the bucket's (a chance match only goes on to the next round), the
-others 64-bit names, whose odds of a chance match over n names are n*n/2**65.
+32 bits below the bucket's and the second round's sample names 64 bits (a chance match there only goes
+on to the next round). What decides, the surroundings and the suffixes, has names of
+128 bits from two independent hashes: the odds of any chance match over n names are n*n/2**129.
 
 Blocks are written once, bucketed by block, into the shared folder; each round reads them
 without a shuffle of the texts, and its answers are written before the next.
@@ -54,9 +55,8 @@ BUCKET_BYTES = 16 << 20          # input bytes for each name bucket
 SLICE_BYTES = 512 << 10
 
 _RNG = np.random.default_rng(7)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-_UNBASE = pow(_BASE, -1, 2**64)
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)              # two hashes: odd bases, byte values of their own
+_BYTES = [_RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in _BASES]
 
 
 def difference_cover(q: int) -> np.ndarray:
@@ -92,31 +92,36 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class Powers:
     """Powers of the base and of its inverse, grown on demand."""
 
-    def __init__(self):
+    def __init__(self, base: int):
+        self.base, self.unbase = base, pow(base, -1, 2**64)
         self.up = self.down = np.ones(1, np.uint64)
 
     def reach(self, n: int) -> None:
         while len(self.up) < n:
             k = len(self.up)
-            self.up = np.concatenate([self.up, self.up * np.uint64(pow(_BASE, k, 2**64))])
-            self.down = np.concatenate([self.down, self.down * np.uint64(pow(_UNBASE, k, 2**64))])
+            self.up = np.concatenate([self.up, self.up * np.uint64(pow(self.base, k, 2**64))])
+            self.down = np.concatenate([self.down, self.down * np.uint64(pow(self.unbase, k, 2**64))])
 
 
 class Slice:
     """Some texts of a block in one buffer, with names of any of their strings."""
 
-    def __init__(self, texts: list[bytes], powers: Powers):
+    def __init__(self, texts: list[bytes], powers: list[Powers]):
         self.texts = texts
         self.buf = np.frombuffer(b"".join(texts), np.uint8)
         self.lens = np.fromiter(map(len, texts), np.int64, len(texts))
         self.starts = np.cumsum(self.lens) - self.lens
-        powers.reach(len(self.buf) + 1)
-        self.down = powers.down
-        self.sums = np.zeros(len(self.buf) + 1, np.uint64)
-        np.cumsum(_BYTE[self.buf] * powers.up[:len(self.buf)], out=self.sums[1:])
+        self.powers, self.sums = powers, {}
 
-    def names(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        return _mix((self.sums[hi] - self.sums[lo]) * self.down[lo])
+    def names(self, lo: np.ndarray, hi: np.ndarray, which: int = 0) -> np.ndarray:
+        """Names of the strings [lo, hi) by one of the two hashes."""
+        powers, n = self.powers[which], len(self.buf)
+        powers.reach(n + 1)
+        if which not in self.sums:
+            self.sums[which] = np.zeros(n + 1, np.uint64)
+            np.cumsum(_BYTES[which][self.buf] * powers.up[:n], out=self.sums[which][1:])
+        sums = self.sums[which]
+        return _mix((sums[hi] - sums[lo]) * powers.down[lo])
 
 
 class Block:
@@ -127,7 +132,7 @@ class Block:
         self.v, self.cover = cover_for(length)
         self.name_len = length - self.v + 1
         self.shift = np.uint64(64 - int(log2(n_buckets)))
-        self.powers = Powers()
+        self.powers = [Powers(b) for b in _BASES]
 
     def parts(self):
         for lo, hi in slices(self.texts, SLICE_BYTES):
@@ -162,7 +167,7 @@ class Block:
 
     # -- round 2 ------------------------------------------------------------
     def surroundings(self, repeated: np.ndarray):
-        """Of the samples marked: index of slice, place, begin, end, name, name of the surroundings."""
+        """Of the samples marked: index of slice, place, begin, end, name, the two names of the surroundings."""
         at, got = 0, []
         for k, part in enumerate(self.parts()):
             p, begin, end = self.samples(part)
@@ -171,8 +176,9 @@ class Block:
             p, begin, end = p[keep], begin[keep], end[keep]
             lo, hi = np.maximum(begin, p - self.v + 1), np.minimum(end, p + self.length)
             shape = ((p - lo) * 65536 + (hi - p)).astype(np.uint64)
-            got.append((np.full(len(p), k), p, begin, end, part.names(p, p + self.name_len), _mix(part.names(lo, hi) + _mix(shape))))
-        return [np.concatenate(x) for x in zip(*got)] if got else [np.empty(0, np.int64)] * 4 + [np.empty(0, np.uint64)] * 2
+            got.append((np.full(len(p), k), p, begin, end, part.names(p, p + self.name_len),
+                        *(_mix(part.names(lo, hi, w) + _mix(shape)) for w in (0, 1))))
+        return [np.concatenate(x) for x in zip(*got)] if got else [np.empty(0, np.int64)] * 4 + [np.empty(0, np.uint64)] * 3
 
     def around(self, part: Slice, p, begin, end) -> np.ndarray:
         """True at the starts of the strings that contain one of these samples at its offset."""
@@ -184,29 +190,31 @@ class Block:
         return np.cumsum(change[:-1]) > 0
 
     # -- round 3 ------------------------------------------------------------
-    def suffix_names(self, k, p, begin, end) -> np.ndarray:
+    def suffix_names(self, k, p, begin, end) -> list[np.ndarray]:
         got = []
         for i, part in enumerate(self.parts()):
             mine = k == i
             at = np.flatnonzero(self.around(part, p[mine], begin[mine], end[mine]))
-            got.append(part.names(at, at + self.length))
-        return np.concatenate(got) if got else np.empty(0, np.uint64)
+            got.append([part.names(at, at + self.length, w) for w in (0, 1)])
+        return [np.concatenate(x) for x in zip(*got)] if got else [np.empty(0, np.uint64)] * 2
 
 
-def sent(names: np.ndarray, extra: np.ndarray | None = None):
+def changes(keys: list[np.ndarray]) -> np.ndarray:
+    """True where a sorted entry differs from the one before."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return new
+
+
+def sent(*keys: np.ndarray):
     """Order in which entries are sent (equal ones twice at most) and, for every entry, its place in it."""
-    order = np.lexsort((names,) if extra is None else (extra, names))
-    a = names[order]
-    new = np.ones(len(a), bool)
-    new[1:] = a[1:] != a[:-1]
-    if extra is not None:
-        b = extra[order]
-        new[1:] |= b[1:] != b[:-1]
-    second = np.zeros(len(a), bool)
+    order = np.lexsort(keys[::-1])
+    new = changes([k[order] for k in keys])
+    second = np.zeros(len(new), bool)
     second[1:] = ~new[1:] & new[:-1]
     keep = new | second
-    place = np.empty(len(a), np.int64)
-    place[order] = (np.cumsum(keep) - 1 - second)[np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))] if len(a) else 0
+    place = np.empty(len(new), np.int64)
+    place[order] = (np.cumsum(keep) - 1 - second)[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))] if len(new) else 0
     return order[keep], place
 
 
@@ -242,19 +250,19 @@ def block_round(stage: int, length: int, n_buckets: int):
             low = short[out]
             return messages(number, 1, (low >> np.uint64(32)).astype(np.int64), low.astype(np.uint32))
         got = answers(right, 1)
-        k, p, begin, end, name, ctx = b.surroundings(got[place] > 0 if len(short) else np.zeros(0, bool))
-        out, place = sent(name, ctx)
+        k, p, begin, end, name, *ctx = b.surroundings(got[place] > 0 if len(short) else np.zeros(0, bool))
+        out, place = sent(name, *ctx)
         if stage == 2:
-            return messages(number, 2, b.bucket(name[out]), np.stack([name[out], ctx[out]], axis=1))
+            return messages(number, 2, b.bucket(name[out]), np.stack([x[out] for x in (name, *ctx)], axis=1))
         flags = answers(right, 2)[place] if len(name) else np.zeros(0, np.uint8)
         first = np.zeros(len(name), bool)
         first[np.unique(place, return_index=True)[1]] = True           # one sample for each surroundings
         goes_on = first & (flags & 6 == 6)
         suffix = b.suffix_names(k[goes_on], p[goes_on], begin[goes_on], end[goes_on])
-        out, place = sent(suffix)
+        out, place = sent(*suffix)
         if stage == 3:
-            return messages(number, 3, b.bucket(suffix[out]), suffix[out])
-        again = answers(right, 3)[place] > 0 if len(suffix) else np.zeros(0, bool)
+            return messages(number, 3, b.bucket(suffix[0][out]), np.stack([x[out] for x in suffix], axis=1))
+        again = answers(right, 3)[place] > 0 if len(suffix[0]) else np.zeros(0, bool)
         settled = flags & 1 > 0
         rows, at = [], 0
         for i, part in enumerate(b.parts()):
@@ -287,27 +295,23 @@ def owner_round(stage: int):
     def work(key, rows: pa.Table) -> pa.Table:
         blocks, data = rows["block"].to_pylist(), rows["payload"].to_pylist()
         order = sorted(range(len(blocks)), key=blocks.__getitem__)
-        width = {1: 4, 2: 16, 3: 8}[stage]
-        counts = [len(data[i]) // width for i in order]
-        entries = np.frombuffer(b"".join(data[i] for i in order), np.uint32 if stage == 1 else np.uint64)
+        size, parts = {1: (4, 1), 2: (8, 3), 3: (8, 2)}[stage]
+        counts = [len(data[i]) // (size * parts) for i in order]
+        entries = np.frombuffer(b"".join(data[i] for i in order), np.uint32 if size == 4 else np.uint64)
         del data
+        keys = [entries[k::parts] for k in range(parts)]
+        by = np.lexsort(keys[::-1])                                     # stable: the first block stays first
+        keys = [k[by] for k in keys]
+        new = changes(keys)
+        run = np.cumsum(new) - 1
+        repeated = np.bincount(run)[run] > 1
+        bits = np.empty(len(by), np.uint8)
         if stage == 2:
-            name, ctx = entries[0::2], entries[1::2]
-            by = np.lexsort((ctx, name))                                # stable: the first block stays first
-            a, c = name[by], ctx[by]
-            new_name = np.append(True, a[1:] != a[:-1])
-            new = new_name | np.append(True, c[1:] != c[:-1])
-            run, group = np.cumsum(new) - 1, np.cumsum(new_name) - 1
-            settled = np.bincount(run)[run] > 1
+            group = np.cumsum(changes(keys[:1])) - 1
             mixed = np.bincount(group[new])[group] > 1
-            bits = np.empty(len(a), np.uint8)
-            bits[by] = settled + 2 * mixed + 4 * new
+            bits[by] = repeated + 2 * mixed + 4 * new
         else:
-            by = np.argsort(entries, kind="stable")
-            a = entries[by]
-            same = a[1:] == a[:-1]
-            bits = np.empty(len(a), np.uint8)
-            bits[by] = np.append(False, same) | np.append(same, False)
+            bits[by] = repeated
         ends = np.cumsum(counts)
         return pa.table({"block": pa.array([blocks[i] for i in order], pa.int64()),
                          "stage": pa.array([stage] * len(order), pa.int64()),
