@@ -56,8 +56,8 @@ def test_odd_cases(spark, monkeypatch):
 
 def test_both_names_decide():
     """Entries that share one of their two names only are different strings."""
-    for stage, first in ((2, [[5], [5]]), (3, [[], []])):
-        a, b = (np.array(f + [7, x], np.uint64).tobytes() for f, x in zip(first, (1, 2)))
+    for stage, first in ((2, [5, 7, 7]), (3, [7, 7])):
+        a, b = (np.array([*first, x], np.uint32).tobytes() for x in (1, 2))
         rows_of = lambda *data: pa.table({"block": list(range(len(data))), "payload": list(data)})
         work = repeats.owner_round(stage)
         bits = lambda *data: [x[0] & 1 for x in work((pa.scalar(0),), rows_of(*data))["bits"].to_pylist()]

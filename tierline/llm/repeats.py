@@ -21,10 +21,10 @@ number of buckets, which follows the input) and gets back a few bits a name:
    ``length`` bytes, are sorted bucket by bucket.
 
 A block sends a name twice at most, however often it occurs, so a passage that a
-third of all texts share gives its owner two entries a block. The first round uses
-32 bits below the bucket's and the second round's sample names 64 bits (a chance match there only goes
-on to the next round). What decides, the surroundings and the suffixes, has names of
-128 bits from two independent hashes: the odds of any chance match over n names are n*n/2**129.
+third of all texts share gives its owner two entries a block. Sample names are
+32 bits below the bucket's (a chance match only goes on to the next round). What
+decides, the surroundings and the suffixes, has names of 96 bits, 64 of one hash and 32
+of another: the odds of any chance match over n names are n*n/2**97.
 
 Blocks are written once, bucketed by block, into the shared folder; each round reads them
 without a shuffle of the texts, and its answers are written before the next.
@@ -152,6 +152,10 @@ class Block:
         join = lambda xs: np.concatenate(xs) if xs else np.empty(0, np.int64)
         return join(where), join(begin), join(end)
 
+    def shortened(self, names: np.ndarray) -> np.ndarray:
+        """The bucket and 32 bits below it."""
+        return names >> (self.shift - np.uint64(32))
+
     def bucket(self, names: np.ndarray) -> np.ndarray:
         return (names >> self.shift).astype(np.int64) if self.n_buckets > 1 else np.zeros(len(names), np.int64)
 
@@ -163,7 +167,7 @@ class Block:
             p, _, _ = self.samples(part)
             got.append(part.names(p, p + self.name_len))
         names = np.concatenate(got) if got else np.empty(0, np.uint64)
-        return names >> (self.shift - np.uint64(32))
+        return self.shortened(names)
 
     # -- round 2 ------------------------------------------------------------
     def surroundings(self, repeated: np.ndarray):
@@ -176,8 +180,8 @@ class Block:
             p, begin, end = p[keep], begin[keep], end[keep]
             lo, hi = np.maximum(begin, p - self.v + 1), np.minimum(end, p + self.length)
             shape = ((p - lo) * 65536 + (hi - p)).astype(np.uint64)
-            got.append((np.full(len(p), k), p, begin, end, part.names(p, p + self.name_len),
-                        *(_mix(part.names(lo, hi, w) + _mix(shape)) for w in (0, 1))))
+            got.append((np.full(len(p), k), p, begin, end, self.shortened(part.names(p, p + self.name_len)),
+                        _mix(part.names(lo, hi) + _mix(shape)), _mix(part.names(lo, hi, 1) + _mix(shape)) >> np.uint64(32)))
         return [np.concatenate(x) for x in zip(*got)] if got else [np.empty(0, np.int64)] * 4 + [np.empty(0, np.uint64)] * 3
 
     def around(self, part: Slice, p, begin, end) -> np.ndarray:
@@ -191,14 +195,21 @@ class Block:
 
     # -- round 3 ------------------------------------------------------------
     def suffix_names(self, k, p, begin, end) -> list[np.ndarray]:
+        """The two names of the suffixes around these samples."""
         got = []
         for i, part in enumerate(self.parts()):
             mine = k == i
             at = np.flatnonzero(self.around(part, p[mine], begin[mine], end[mine]))
-            got.append([part.names(at, at + self.length, w) for w in (0, 1)])
+            got.append((part.names(at, at + self.length), part.names(at, at + self.length, 1) >> np.uint64(32)))
         return [np.concatenate(x) for x in zip(*got)] if got else [np.empty(0, np.uint64)] * 2
 
 
+def words(*keys: np.ndarray, wide: int) -> np.ndarray:
+    """The keys as columns of 32-bit words: both words of the one at ``wide``, the low one of the others."""
+    cols = [k.view(np.uint32).reshape(-1, 2) if i == wide else k.astype(np.uint32)[:, None] for i, k in enumerate(keys)]
+    return np.concatenate(cols, axis=1)
+
+
 def changes(keys: list[np.ndarray]) -> np.ndarray:
     """True where a sorted entry differs from the one before."""
     new = np.ones(len(keys[0]), bool)
@@ -253,7 +264,7 @@ def block_round(stage: int, length: int, n_buckets: int):
         k, p, begin, end, name, *ctx = b.surroundings(got[place] > 0 if len(short) else np.zeros(0, bool))
         out, place = sent(name, *ctx)
         if stage == 2:
-            return messages(number, 2, b.bucket(name[out]), np.stack([x[out] for x in (name, *ctx)], axis=1))
+            return messages(number, 2, (name[out] >> np.uint64(32)).astype(np.int64), words(name[out], ctx[0][out], ctx[1][out], wide=1))
         flags = answers(right, 2)[place] if len(name) else np.zeros(0, np.uint8)
         first = np.zeros(len(name), bool)
         first[np.unique(place, return_index=True)[1]] = True           # one sample for each surroundings
@@ -261,7 +272,7 @@ def block_round(stage: int, length: int, n_buckets: int):
         suffix = b.suffix_names(k[goes_on], p[goes_on], begin[goes_on], end[goes_on])
         out, place = sent(*suffix)
         if stage == 3:
-            return messages(number, 3, b.bucket(suffix[0][out]), np.stack([x[out] for x in suffix], axis=1))
+            return messages(number, 3, b.bucket(suffix[0][out]), words(*(x[out] for x in suffix), wide=0))
         again = answers(right, 3)[place] > 0 if len(suffix[0]) else np.zeros(0, bool)
         settled = flags & 1 > 0
         rows, at = [], 0
@@ -295,9 +306,9 @@ def owner_round(stage: int):
     def work(key, rows: pa.Table) -> pa.Table:
         blocks, data = rows["block"].to_pylist(), rows["payload"].to_pylist()
         order = sorted(range(len(blocks)), key=blocks.__getitem__)
-        size, parts = {1: (4, 1), 2: (8, 3), 3: (8, 2)}[stage]
-        counts = [len(data[i]) // (size * parts) for i in order]
-        entries = np.frombuffer(b"".join(data[i] for i in order), np.uint32 if size == 4 else np.uint64)
+        parts = {1: 1, 2: 4, 3: 3}[stage]                               # words of an entry
+        counts = [len(data[i]) // (4 * parts) for i in order]
+        entries = np.frombuffer(b"".join(data[i] for i in order), np.uint32)
         del data
         keys = [entries[k::parts] for k in range(parts)]
         by = np.lexsort(keys[::-1])                                     # stable: the first block stays first
