@@ -1,0 +1,83 @@
+"""The pipeline against plain Python, and every stage on the odd cases."""
+
+import re
+from collections import Counter
+from hashlib import sha256
+from math import exp
+
+import corpus_pipeline
+from tierline.llm import near, pieces, quality
+from tierline.llm.common import table
+
+from .cases import SF, by_id, empty, odd, rows
+from .test_near_pii import near_brute
+from .test_scans import leak_brute, load, score_of, viterbi_brute
+
+BROKEN = b"broken \xff\xfe bytes a b c d e f g h i j"          # no UTF-8
+
+
+def plain_score(text, w):
+    """The classifier's score as a sum over the single n-grams."""
+    slots = quality.ngram_slots((text or "").encode(), quality._Hashes()).tolist()
+    dot = w[-1] + sum(w[s] * c * quality.SCALE / len(slots) for s, c in Counter(slots).items())
+    return 1 / (1 + exp(-dot))
+
+
+def plain_stages(data, w, items):
+    """The rows that each of the first four stages keeps."""
+    kept = [[r for r in data if plain_score(r[1], w) >= quality.THRESHOLD]]
+    normal = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    first = {}
+    for i, t in sorted(kept[-1]):
+        first.setdefault(normal(t), i)
+    kept.append([r for r in kept[-1] if first[normal(r[1])] == r[0]])
+    stay = {r[0] for r in near_brute(kept[-1], near.WIDTH) if r[3]}
+    kept.append([r for r in kept[-1] if r[0] in stay])
+    leaked = {r[0] for r in leak_brute(kept[-1], items) if r[5]}
+    kept.append([r for r in kept[-1] if r[0] not in leaked])
+    return kept
+
+
+def test_pipeline_against_plain_python(spark):
+    docs = table(spark, SF, "documents")
+    data = load(spark)
+    w = quality.train(docs, table(spark, SF, "labels"))
+    kept = plain_stages(data, w, load(spark, "benchmark"))
+    assert len(data) > len(kept[0]) > len(kept[1]) > len(kept[3])        # the stages have something to do
+    stage_docs = docs
+    for (_, stage), want in zip(corpus_pipeline.STAGES[:-1], kept):
+        stage_docs = stage(spark, stage_docs, SF)
+        assert stage_docs.columns == docs.columns
+        assert by_id(stage_docs.select("doc_id", "text")) == sorted(want, key=repr)
+    got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SF).collect()}
+    assert sorted(got) == sorted(i for i, _ in kept[-1])
+    v = pieces.load()
+    for i, t in kept[-1]:
+        assert got[i]["round_trip"] and got[i]["n_ids"] == len(got[i]["ids"])
+        assert got[i]["decoded_sha256"] == sha256((t or "").encode()).hexdigest()
+        if len(t or "") < 2000:
+            best = sum(viterbi_brute(word, v)[0] for word in pieces.words_of((t or "").encode()))
+            assert abs(score_of(got[i]["ids"], v) - best) < 1e-6
+
+
+def test_every_stage_on_the_odd_cases(spark):
+    """Nulls, empty and long texts, repeated rows, no rows, clashing names, bytes that are no UTF-8."""
+    broken = odd(spark, [(900, "x")]).drop("text").selectExpr("*", f"cast(X'{BROKEN.hex()}' as string) as text")
+    docs = odd(spark).unionByName(broken).unionByName(broken.selectExpr("901L as doc_id", "* except (doc_id)"))
+    ids = Counter([i for i, _ in rows()] + [900, 901])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.schema == docs.schema
+        assert not Counter(r[0] for r in out.select("doc_id").collect()) - ids
+        assert stage(spark, empty(spark), SF).count() == 0
+    kept = {r[0] for r in corpus_pipeline.exact_stage(spark, docs, SF).select("doc_id").collect()}
+    assert 900 in kept and 901 not in kept
+    kept = {r[0] for r in corpus_pipeline.near_stage(spark, docs, SF).select("doc_id").collect()}
+    assert 900 in kept and 901 not in kept
+    kept = [r[0] for r in corpus_pipeline.decontamination_stage(spark, docs, SF).select("doc_id").collect()]
+    assert {900, 901} <= set(kept)
+    encoded = corpus_pipeline.encoding_stage(spark, docs, SF)
+    assert encoded.count() == docs.count() and encoded.where("not round_trip").count() == 0
+    back = pieces.decode(encoded).where("doc_id = 900").selectExpr("cast(text as binary) as text").first()
+    assert bytes(back["text"]) == BROKEN

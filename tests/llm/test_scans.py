@@ -235,7 +235,8 @@ def test_sql_agrees(spark):
     """The queries that have SQL, against DuckDB on the same table."""
     import duckdb
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
     for key, sql in queries.oracle_sql().items():
         got = queries.queries()[key](spark, SF)
         want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({sql})").fetchall()

@@ -90,6 +90,11 @@ def fold(df: DataFrame, make: Callable[[], tuple[Callable, Callable]], schema: s
     return df.mapInArrow(run, struct)
 
 
+def text_bytes(column: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 bytes of a string column, one text at a time (null: empty)."""
+    return (x.as_py() or b"" for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()))
+
+
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
     """(other columns as lists, the last column as UTF-8 bytes) of bounded slices."""
     for batch in batches:

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, scan, ship
+from .common import id_and_text, scan, ship, text_bytes
 
 WINDOW_WORDS = 10
 GROUP_BYTES = 512 << 10         # benchmark text in one automaton: tens of MB of nodes
@@ -111,7 +111,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS) -> Da
     for k, items in enumerate(lists):
         last = k == len(lists) - 1
         df = scan(df, _pass(ship(docs, items), width, last),
-                  schema if last else "doc_id long, runs array<struct<s:long,e:long>>, items array<string>, text string")
+                  schema if last else "doc_id long, runs array<struct<s:long,e:long>>, items array<string>, text binary")
     return df
 
 
@@ -128,7 +128,7 @@ def _pass(items, width: int, last: bool):
                 out["runs"].append([{"s": s, "e": e} for s, e in runs])
                 out["items"].append(sorted(found | set(ids or ())))
                 out["spans"].append(to_original(text, runs) if last else [])
-                out["text"].append(None if last else text.decode("utf-8", "surrogateescape"))
+                out["text"].append(None if last else text)
             return out
         return work
     return make
@@ -153,7 +153,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS) -> D
             a = automaton(windows(shipped.value, width))
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index("text"))
-                mask = [not hits((t.as_py() or "").encode("utf-8", "surrogateescape"), a)[1] for t in texts]
+                mask = [not hits(t, a)[1] for t in text_bytes(texts)]
                 yield batch.filter(np.array(mask, bool)) if batch.num_rows else batch
         out = out.mapInArrow(keep, out.schema)
     return out

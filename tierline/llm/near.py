@@ -147,7 +147,7 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) ->
             for right, run in groupby(zip(*columns, texts), key=lambda x: x[-1]):      # the second set once a run
                 b = shingles(right, width, hashes)
                 for u, v, left, _ in run:
-                    a = shingles(left.encode("utf-8", "surrogateescape"), width, hashes)
+                    a = shingles(left, width, hashes)
                     linked, both, n_v, places = compare(a, b, threshold)
                     for k, x in zip(out, (u, v, linked, both, n_v, *places)):
                         out[k].append(x)
@@ -156,7 +156,7 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int, threshold: int) ->
 
     sides = (pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("left")), "u")
                   .join(texts.select(F.col("id").alias("v"), F.col("text").alias("right")), "v"))
-    return scan(sides.select("u", "v", "left", "right"), make, _COMPARED)
+    return scan(sides.select("u", "v", F.col("left").cast("binary"), "right"), make, _COMPARED)
 
 
 def core_sizes(texts: DataFrame, width: int) -> DataFrame:

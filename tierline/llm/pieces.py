@@ -168,8 +168,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [decode_ids(x or (), shipped.value).decode("utf-8", "surrogateescape")
-                     for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+            texts = [decode_ids(x or (), shipped.value) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).view(pa.string())], ["doc_id", "text"])
 
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, text string")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, id_and_text, scan, ship
+from .common import crc_remainder, id_and_text, scan, ship, text_bytes
 
 BITS = 18                       # 2**18 weights: 2 MB, the bound of what is broadcast
 SAMPLE_ROWS = 12_000            # labelled rows used for training, at most
@@ -142,7 +142,7 @@ def accepted(docs: DataFrame, w: np.ndarray) -> DataFrame:
         hashes, weights = _Hashes(), shipped.value
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
-            mask = [score_text((t.as_py() or "").encode(), weights, hashes) >= THRESHOLD for t in texts]
+            mask = [score_text(t, weights, hashes) >= THRESHOLD for t in text_bytes(texts)]
             yield batch.filter(np.array(mask, bool)) if batch.num_rows else batch
 
     return docs.mapInArrow(keep, docs.schema)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate, exact, hmm, license, near, pieces, pii, quality, repeats, secrets
 from .common import table
+from .sql import SQL
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,15 +58,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_repeats, op3_quality, op4_license_scan, op5_secret_scan, op6_minhash,
                             op7_decontamination, op8_exact_dedup, op9_language_model, op10_sentencepiece)}
 
-SQL = {
-    "op8_exact_dedup": r"""
-        WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
-             g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
-        SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256
-        FROM n JOIN g ON n.t = g.t""",
-}
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
