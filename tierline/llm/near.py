@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import split_join
 from ..session import cut_lineage
 from .common import id_and_text, scan
 
@@ -234,15 +235,16 @@ def find_near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = T
                           .agg(F.min(F.struct("doc_id", "k0", "k1", "bands")).alias("r"))
                           .select("f1", "f2", "n", F.col("r.doc_id").alias("rep"), "r.k0", "r.k1", "r.bands"), "classes")
     members = classes.select(F.explode("bands").alias("key"), "rep", "k0", "k1")
+    # a key may hold a third of all classes: what is joined to it is written first, so that Spark can split it
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    shared = cut_lineage(members.join(sizes, "key"), "buckets")
+    shared = cut_lineage(split_join(members, sizes, ["key"], "inner"), "buckets")
     # the centre of a key: its class that shares keys with the most classes, in a group of
     # near copies the one that the others were made from
     fame = shared.groupBy("rep").agg(F.sum("size").alias("fame"))
     famous = shared.join(fame, "rep")
     centres = (famous.groupBy("key").agg(F.max(F.struct("fame", "rep", "k0", "k1")).alias("c"))
                .select("key", F.col("c.rep").alias("centre"), F.col("c.k0").alias("ck0"), F.col("c.k1").alias("ck1")))
-    shared = cut_lineage(shared.join(centres, "key"), "stars")
+    shared = cut_lineage(split_join(shared, centres, ["key"], "inner"), "stars")
     pairs = cut_lineage(shared.where((F.col("rep") != F.col("centre")) & (_far("", "c") <= MAX_SKETCH_BITS))
                         .select(F.col("rep").alias("u"), F.col("centre").alias("v")).distinct(), "pairs")
     # whole texts of the classes that share a key with another class
@@ -256,7 +258,7 @@ def find_near_duplicates(docs: DataFrame, width: int = WIDTH, threshold: int = T
         "key", "rep", "k0", "k1", "centre", F.coalesce("component", "rep").alias("part"))
     split = (labelled.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size"))
              .where("lo <> hi and size > 2").select("key"))
-    mixed = cut_lineage(labelled.join(split, "key", "left_semi").where("rep <> centre"), "mixed")
+    mixed = cut_lineage(split_join(labelled, split, ["key"], "left_semi").where("rep <> centre"), "mixed")
     named = mixed.select(F.col("rep").alias("id")).union(mixed.select("centre")).distinct()
     cores = cut_lineage(core_sizes(texts.join(named, "id"), width), "cores")
     # of rows that share a doc_id, the greatest counts: they only have to bound from above
