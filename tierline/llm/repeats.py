@@ -338,13 +338,26 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``docs``."""
+def allow_buckets(spark: SparkSession, n: int) -> None:
+    """Spark refuses bucketed tables beyond a number that is a setting of the session."""
+    key = "spark.sql.sources.bucketing.maxBuckets"
+    if int(spark.conf.get(key)) < n:
+        spark.conf.set(key, n)
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int | None = None,
+                   bucket_bytes: int | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``docs``.
+
+    ``block_bytes`` (BLOCK_BYTES, for executors of 3 GB) is what a task holds as text and ``bucket_bytes``
+    (BUCKET_BYTES) the input behind an owner's bucket: on 100 TB, 256 MB and 512 MB give 400,000 blocks and 262,144 owners.
+    """
     spark = docs.sparkSession
     base = id_and_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, ceil(total / BLOCK_BYTES))
-    n_buckets = 1 << max(0, ceil(log2(max(1, total / BUCKET_BYTES))))
+    n_blocks = max(1, ceil(total / (block_bytes or BLOCK_BYTES)))
+    n_buckets = 1 << max(0, ceil(log2(max(1, total / (bucket_bytes or BUCKET_BYTES)))))
+    allow_buckets(spark, n_blocks)
     folder = shared_scratch(spark, "repeats")
     name = "repeats_" + folder.rsplit("-", 1)[1]
     (base.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)))
