@@ -16,13 +16,16 @@ STANDIN_OFFICES = [("B365", 1), ("BW", 2), ("WH", 3)]
 
 
 def m_lines(lineitem: DataFrame) -> DataFrame:
-    """Per order: player slots (home from open lines, away from filled ones) and odds."""
+    """Per order: player slots (home from open lines, as numbers; away from filled ones,
+    as text) and odds. Player 5 holds at least a third of the slots."""
     ln, ls = F.col("l_linenumber"), F.col("l_linestatus")
-    player = F.col("l_partkey") % 12
+    player = F.when(F.col("l_partkey") % 3 == 0, F.lit(5).cast("bigint")).otherwise(F.col("l_partkey") % 12)
     aggs = []
     for side, status in (("home", "O"), ("away", "F")):
         for i in range(1, N_SLOTS + 1):
-            aggs.append(F.min(F.when((ln == i) & (ls == status), player)).alias(f"{side}_player_{i}"))
+            slot = F.min(F.when((ln == i) & (ls == status), player))
+            slot = F.concat(F.lit("p"), slot.cast("string")) if side == "away" else slot
+            aggs.append(slot.alias(f"{side}_player_{i}"))
     for office, line in STANDIN_OFFICES:
         aggs += [F.min(F.when(ln == line, 1 + F.col("l_quantity") / 10)).alias(f"{office}H"),
                  F.min(F.when(ln == line, 1 + F.col("l_discount") * 40)).alias(f"{office}D"),
@@ -33,12 +36,16 @@ def m_lines(lineitem: DataFrame) -> DataFrame:
 def m_match(orders: DataFrame, customer: DataFrame, nation: DataFrame,
             lineitem: DataFrame) -> DataFrame:
     """One match per order: league from the customer's region, teams and goals
-    from keys, players and odds from the order's lines."""
+    from keys, players and odds from the order's lines. Some dates and seasons are
+    malformed or missing, and one day holds a third of the matches."""
     od = F.col("o_orderdate")
     year, month = F.year(od), F.month(od)
-    season = F.when(month >= 7, F.concat(year.cast("string"), F.lit("/"), (year + 1).cast("string"))) \
-        .otherwise(F.concat((year - 1).cast("string"), F.lit("/"), year.cast("string")))
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
+    none = F.lit(None).cast("string")
+    season = F.when(ok % 71 == 0, "unknown").when(ok % 73 == 0, none).when(ok % 67 == 0, "2014").when(month >= 7, F.concat(year.cast("string"), F.lit("/"), (year + 1).cast("string"))) \
+        .otherwise(F.concat((year - 1).cast("string"), F.lit("/"), year.cast("string")))
+    date = (F.when(ok % 83 == 0, "bad").when(ok % 79 == 0, none).when(ok % 3 == 0, "1995-06-17 00:00:00")
+            .otherwise(od.cast("string")))
     home_goal = (F.when(ok % 97 == 0, F.lit(None).cast("bigint"))
                  .when(ok % 89 == 0, F.lit(-1).cast("bigint")).otherwise(ok % 5))
     # nation is a small file: the planner broadcasts it from its size statistics
@@ -47,7 +54,7 @@ def m_match(orders: DataFrame, customer: DataFrame, nation: DataFrame,
             .join(nat, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(ok.alias("id"), (ok + 480000).alias("match_api_id"),
                     F.col("n_regionkey").alias("league_id"), F.col("n_regionkey").alias("country_id"),
-                    od.cast("string").alias("date"), season.alias("season"),
+                    date.alias("date"), season.alias("season"),
                     (ck % 25).alias("home_team_api_id"), ((ck * 7 + 3) % 25).alias("away_team_api_id"),
                     home_goal.alias("home_team_goal"), ((ok * 3 + ck) % 4).alias("away_team_goal")))
     lines = m_lines(lineitem)
@@ -104,6 +111,12 @@ def m_player(part: DataFrame) -> DataFrame:
     return part.select((F.col("p_partkey") + 1).alias("player_api_id"), F.col("p_name").alias("player_name"))
 
 
+def m_labels(labels: DataFrame) -> DataFrame:
+    """Labels of which some name a document that does not exist."""
+    i = F.col("doc_id")
+    return labels.withColumn("doc_id", F.when(i % 9 == 4, i + 1_000_000_000_000).otherwise(i))
+
+
 def m_player_birthdays(orders: DataFrame) -> DataFrame:
     """Players with a text birthday (some malformed or missing), from ``m_dates``."""
     d = m_dates(orders)

@@ -310,8 +310,8 @@ def _build() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _m_part(s, sf), "team_api_id", "team_short_name")
     q["consistency_summary"] = lambda s, sf: quality.check_consistency(_m_part(s, sf))["summary"]
     # key relationships
-    q["key_checks"] = lambda s, sf: quality.key_checks(_t(s, sf, "labels"), "doc_id", _t(s, sf, "documents"), "doc_id")
-    q["orphan_keys"] = lambda s, sf: quality.orphan_keys(_t(s, sf, "labels"), "doc_id", _t(s, sf, "documents"), "doc_id")
+    q["key_checks"] = lambda s, sf: quality.key_checks(standins.m_labels(_t(s, sf, "labels")), "doc_id", _t(s, sf, "documents"), "doc_id")
+    q["orphan_keys"] = lambda s, sf: quality.orphan_keys(standins.m_labels(_t(s, sf, "labels")), "doc_id", _t(s, sf, "documents"), "doc_id")
     q["join_one_to_one"] = lambda s, sf: quality.join_one_to_one(
         _t(s, sf, "documents"), _t(s, sf, "labels"), "doc_id", "doc_id")
     # layered run into saved tables; read back from the gold layer
