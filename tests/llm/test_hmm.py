@@ -100,3 +100,26 @@ def test_word_probabilities_sum_to_one(spark, monkeypatch):
         mine = [r["c"] for r in counts.collect() if hmm.class_of(bytes(r["word"])) == k and s.index[bytes(r["word"])] >= 2]
         total = total + m.emit[2 + k] * (sum(c + 0.5 for c in mine) + 0.5) / s.class_sum[k]
     assert np.allclose(total, 1)
+
+
+def test_every_round_reads_all_training_texts(spark, monkeypatch):
+    """The distributed training is the one in memory over every training text, however many there are."""
+    monkeypatch.setattr(hmm, "PASSES", 3)
+    made, texts = [], [(i, f"tok{i % 7} tok{i % 11} mark{i} tok{i % 3}") for i in range(1700)]
+    learned, step = {}, hmm.baum_welch
+    monkeypatch.setattr(hmm, "baum_welch", lambda *a: made.append(step(*a)) or made[-1])
+    monkeypatch.setattr(hmm, "learn", lambda *a, f=hmm.learn: learned.setdefault("all", f(*a)))
+    hmm.score(spark.createDataFrame(texts, "doc_id long, text string"))
+    s = learned["all"][1]
+    train = [s.observations(t.encode()) for i, t in texts if crc32(str(i).encode()) % 5 != 1]
+    assert np.array_equal(s.weight, np.bincount(np.concatenate(train), minlength=s.size))
+    want = hmm.initial(train, s.size)
+    assert len(made) == hmm.PASSES
+    for a in ("start", "move", "emit"):
+        assert np.allclose(getattr(made[-1], a), getattr(want, a), rtol=1e-6)
+    assert np.ptp(want.emit, axis=1).max() > 1e-3          # the states differ
+
+
+def test_the_start_sets_states_apart_at_any_size():
+    m = hmm.random_start(np.full(50, 1e15))                 # 100 TB and more
+    assert (np.ptp(m.emit, axis=1) > 1e-3).any()

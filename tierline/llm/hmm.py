@@ -9,8 +9,9 @@ a distribution over all words, however many there are.
 Training: Baum-Welch. Each task runs scaled forward-backward over its texts (in
 segments of ``SEGMENT`` tokens) and emits expected counts by symbol; Spark adds them
 up over the partitions and the driver - which only ever holds symbols x states numbers -
-re-estimates. ``PASSES`` passes read the whole training corpus; they start
-from parameters fitted to a sample of about ``START_DOCS`` texts.
+re-estimates. Every one of the ``PASSES`` rounds reads the whole training corpus; the
+first starts from the corpus-wide symbol counts, set apart between the states by a fixed
+random factor. Texts are turned into symbols once, in a table that all rounds and the scoring read.
 
 Scoring: the scaled forward recursion over each whole text gives its exact
 likelihood, in log10. Counts of the ``KNOWN`` most frequent words go to the tasks as a
@@ -36,10 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import crc_remainder, fold, id_and_text, scan, ship
+from .common import crc_remainder, fold, id_and_text, scan, ship, slices
 
 STATES, OWN, KNOWN, CLASSES = 8, 16_384, 131_072, 256
-SEGMENT, START_DOCS, START_ROUNDS, PASSES = 128, 1_500, 15, 2
+SEGMENT, PASSES = 128, 8
+CHUNK_BYTES = 1 << 20           # symbols (two bytes each) that forward-backward takes at one time
 LONG, FLUSH_WORDS, SEED = 64, 250_000, 11
 
 _FOLD = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
@@ -85,6 +87,9 @@ class Symbols:
         self.end = self.own + CLASSES
         self.size = self.end + 1
         self.symbol = np.array([i if i < self.own else self.own + class_of(w) for i, (w, _) in enumerate(words)] + [-1], np.int64)
+        # training tokens by symbol; the end token has what is left
+        self.weight = np.append(np.concatenate([self.counts[:self.own], classes[:, 0]]), 0.0)
+        self.weight[-1] = total - self.weight.sum()
         self.class_sum = classes[:, 0] + 0.5 * (classes[:, 1] + 1)
         self.total, self.distinct = total, distinct
         self.base_sum = total + 0.5 * (distinct + 1)
@@ -184,16 +189,19 @@ def _zeros(size: int) -> list[np.ndarray]:
     return [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((size, STATES))]
 
 
-def initial(sequences: list[np.ndarray], size: int) -> Model:
-    """Parameters fitted to a sample from a fixed random start."""
+def random_start(weight: np.ndarray) -> Model:
+    """The symbol counts of the whole corpus, times a fixed random factor by symbol and state."""
     rng = np.random.default_rng(SEED)
-    counts = _zeros(size)
-    weight = np.bincount(np.concatenate([np.empty(0, np.int64), *sequences]), minlength=size)
-    m = estimate(np.ones(STATES), 20.0 * np.eye(STATES), weight[:, None] * rng.uniform(0.5, 1.5, (size, STATES)))
-    for _ in range(START_ROUNDS):
+    size = len(weight)
+    return estimate(np.ones(STATES), 20.0 * np.eye(STATES), weight[:, None] * rng.uniform(0.05, 2.0, (size, STATES)))
+
+
+def initial(sequences: list[np.ndarray], size: int) -> Model:
+    """The training over a few sequences in memory: what the tests hold the distributed one against."""
+    m = random_start(np.bincount(np.concatenate([np.empty(0, np.int64), *sequences]), minlength=size).astype(np.float64))
+    for _ in range(PASSES):
         counts = _zeros(size)
-        for i in range(0, len(sequences), 500):
-            expected(m, sequences[i:i + 500], counts)
+        expected(m, sequences, counts)
         m = estimate(*counts)
     return m
 
@@ -222,15 +230,24 @@ def _unpack(rows: list, size: int) -> list[np.ndarray]:
     return counts
 
 
-def baum_welch(train: DataFrame, symbols, size: int, m: Model) -> Model:
-    """One pass over all training texts: expected counts by task, summed by Spark."""
+def packed(symbols: np.ndarray) -> bytes:
+    return symbols.astype("<u2").tobytes()              # OWN + CLASSES + 1 at most
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u2").astype(np.int64)
+
+
+def baum_welch(train: DataFrame, size: int, m: Model) -> Model:
+    """One round over all training texts (column ``symbols``): expected counts by task, summed by Spark."""
     model = ship(train, m)
 
     def make():
         counts = _zeros(size)
 
         def add(columns, texts):
-            expected(model.value, [symbols.value.observations(t) for t in texts], counts)
+            for lo, hi in slices(texts, CHUNK_BYTES):
+                expected(model.value, [unpacked(t) for t in texts[lo:hi]], counts)
             return False
 
         def flush():
@@ -266,32 +283,12 @@ def learn(train: DataFrame, n_train: int) -> tuple[DataFrame, Symbols, int | Non
     return counts, Symbols(words, classes, total, distinct), least
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
-    all_docs = id_and_text(docs).withColumn("held_out", crc_remainder(F.col("doc_id"), 5) == 1)
-    train = all_docs.where("not held_out").select("doc_id", "text")
-    n_train = train.count()
-    counts, symbols, least = learn(train, n_train)
-    shipped = ship(docs, symbols)
-    share = min(1.0, START_DOCS / max(1, n_train))
-    some = train.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) < int(share * (1 << 20)))
-
-    def start(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "text"])
-        s = shipped.value
-        m = initial([s.observations((t or "").encode()) for t in pdf["text"]], s.size)
-        return _pack([m.start, m.move, m.emit])
-
-    # START_DOCS texts on average, however large the corpus
-    rows = some.groupBy(F.lit(0).alias("all")).applyInPandas(start, _COLUMNS).collect()
-    packed = _unpack([tuple(r) for r in rows], symbols.size) if rows else None
-    m = Model(*packed) if rows else estimate(*_zeros(symbols.size))
-    for _ in range(PASSES if n_train else 0):
-        m = baum_welch(train, shipped, symbols.size, m)
-    model = ship(docs, m)
+def encode(all_docs: DataFrame, symbols: Symbols, n_train: int) -> DataFrame:
+    """Every text once, written: its symbols, what the word table says of it, and the words that are not in the table."""
+    shipped = ship(all_docs, symbols)
 
     def make():
-        s, m = shipped.value, model.value
+        s = shipped.value
         log_base = np.log10((s.counts + 0.5) / s.base_sum)
         end_base = float(np.log10((n_train + 0.5) / s.base_sum))
         within = np.array([0.0 if k < s.own else np.log10((c + 0.5) / s.class_sum[k - s.own])
@@ -305,32 +302,57 @@ def score(docs: DataFrame) -> DataFrame:
             for t in texts:
                 words = words_of(t)
                 index, symbol, places = s.look_up(words)
-                seq.append(np.append(symbol, s.end))
+                seq.append(packed(np.append(symbol, s.end)))
                 n_tokens.append(len(words) + 1)
                 n_known.append(int(known[index].sum()) + (n_train > 0))
                 base.append(float(log_base[index].sum()) + end_base)
                 inner.append(float(within[index].sum()))
                 rare.append([words[i] for i in places])
+            return out | {"n_tokens": n_tokens, "n_known": n_known, "base": base, "inner": inner, "rare": rare, "symbols": seq}
+        return work
+
+    rows = all_docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
+    return cut_lineage(scan(rows, make, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
+                                        "inner double, rare array<binary>, symbols binary"), "encoded")
+
+
+def score(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
+    all_docs = id_and_text(docs).withColumn("held_out", crc_remainder(F.col("doc_id"), 5) == 1)
+    train = all_docs.where("not held_out").select("doc_id", "text")
+    n_train = train.count()
+    counts, symbols, least = learn(train, n_train)
+    encoded = encode(all_docs, symbols, n_train)
+    m = random_start(symbols.weight)
+    for _ in range(PASSES if n_train else 0):
+        m = baum_welch(encoded.where("not held_out").select("symbols"), symbols.size, m)
+    model = ship(docs, m)
+    kept = ("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "inner")
+
+    def make():
+        m = model.value
+
+        def work(columns, texts):
+            seq = [unpacked(t) for t in texts]
             lens = np.array([len(x) for x in seq])
             order = np.argsort(-lens, kind="stable")
             at = (np.cumsum(lens) - lens)[order]
             log = np.empty(len(seq))
             log[order] = forward(m, np.concatenate(seq), at, lens[order])
-            return out | {"n_tokens": n_tokens, "n_known": n_known, "base": base, "model": (log + inner).tolist(), "rare": rare}
+            return dict(zip(kept, columns)) | {"log": log}
         return work
 
-    scanned = cut_lineage(scan(all_docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text"), make,
-                               "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
-                               "model double, rare array<binary>"), "scored")
+    scored = scan(encoded.select(*kept, "symbols"), make,
+                  "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, inner double, log double")
     others = counts.where((F.col("c") < F.lit(least)) | (F.length("word") > LONG)) if least is not None else counts
     sums = F.array(*(F.lit(float(x)) for x in symbols.class_sum))
     c = F.coalesce("c", F.lit(0))
-    rare = (scanned.select("row", F.explode("rare").alias("word")).join(others, "word", "left")
+    rare = (encoded.select("row", F.explode("rare").alias("word")).join(others, "word", "left")
             .select("row", (c > 0).cast("long").alias("known"), F.log10((c + 0.5) / F.lit(symbols.base_sum)).alias("base"),
                     F.log10((c + 0.5) / F.get(sums, F.crc32(F.expr("substring(word, -2)")) % CLASSES)).alias("inner"))
             .groupBy("row").agg(F.sum("known").alias("r_known"), F.sum("base").alias("r_base"), F.sum("inner").alias("r_inner")))
     zero = lambda x: F.coalesce(x, F.lit(0))
-    return scanned.join(rare, "row", "left").select(
+    return scored.join(rare, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + zero(F.col("r_known"))).alias("n_known"),
         F.lit(symbols.total).cast("long").alias("train_tokens"),
-        (F.col("base") + zero(F.col("r_base"))).alias("base_score"), (F.col("model") + zero(F.col("r_inner"))).alias("score"))
+        (F.col("base") + zero(F.col("r_base"))).alias("base_score"), (F.col("log") + F.col("inner") + zero(F.col("r_inner"))).alias("score"))
