@@ -135,3 +135,18 @@ def test_pii_terms(spark):
     assert all(x.startswith("email") for x in got[200].split(","))          # one document proves nothing
     clean = {r["doc_id"]: r["text"] for r in pii.sanitised(odd(spark, data)).collect()}
     assert "zeb" not in clean[100].lower() and "<email>" in clean[100] and clean[5] == dict(data)[5] and len(clean) == len(data)
+
+
+def test_pii_terms_of_the_whole_text(spark):
+    """A revealing term far from its entity counts, and goes wherever it stands in the text."""
+    common = "some common words stand here and there in every text of this corpus "
+    data = [(i, common + f"number{i}") for i in range(40)]
+    data += [(100 + i, f"Zebulon; {common * 3} zeb@corp.example zebulon2 {common * 3} ZEBULON, zeb@corp.example.zebulon") for i in range(3)]
+    found = {r["doc_id"]: r for r in pii.report(odd(spark, data)).collect()}
+    text = dict(data)[100]
+    got = [(k, text[int(s):int(e)]) for k, s, e in (x.split(":") for x in found[100]["spans"].split(","))]
+    assert got == [("email", "zeb@corp.example"), ("email", "zeb@corp.example.zebulon"),
+                   ("removed", "Zebulon"), ("removed", "zebulon"), ("removed", "ZEBULON")]
+    assert found[100]["n_removed"] == 3 and found[5]["spans"] == ""
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitised(odd(spark, data)).collect()}
+    assert "zebulon" not in clean[101].lower() and clean[101].count("common") == 6

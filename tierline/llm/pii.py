@@ -4,15 +4,15 @@ Base forms (e-mail, IP address, card, phone) are regular expressions; their
 places are found natively: ``split`` gives the gaps between the matches and
 ``regexp_extract_all`` the matches, so running lengths give the offsets.
 
-Every base match is a protected entity. Terms (words of four letters or more)
-within ``CONTEXT`` code points of it are its context. With document counts over
-the whole corpus - N documents, n_e with the entity, n_t with the term, n_te with
-the term in the entity's context - the term discloses the share
+Every base match is a protected entity. Its context are the terms (words of four
+letters or more) of the whole texts that hold it; what lies in a base match or touches
+it is no term there. With document counts over the whole corpus - N documents, n_e
+with the entity, n_t with the term, n_te with both - the term discloses the share
 
     PMI(t, e) / IC(e) = log(n_te * N / (n_t * n_e)) / log(N / n_e)
 
-of the entity's information content. From ``REMOVE`` on the term is removed beside
-that entity, from ``GENERALISE`` on it is replaced by a general word. A term needs
+of the entity's information content. From ``REMOVE`` on every occurrence of the term
+in the texts with that entity is removed, from ``GENERALISE`` on it is replaced by a general word. A term needs
 ``SUPPORT`` documents with the entity; a pair seen once proves nothing.
 
 Counts are summed on the map side; the joins are equi-joins that Spark can split.
@@ -40,8 +40,10 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _PART = r"0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 
 KINDS = ("email", "ip", "card", "phone", "removed", "generalised")
-CONTEXT = 60
 TERM = r"[A-Za-z\x{80}-\x{10FFFF}]{4,}"
+# in a masked text: a term that touches a span is a part of it, no word beside it
+_MASK = "\x01"
+FREE_TERM = r"(?<![\x01A-Za-z\x{80}-\x{10FFFF}])[A-Za-z\x{80}-\x{10FFFF}]{4,}+(?!\x01)"
 SUPPORT, REMOVE, GENERALISE = 2, 0.9, 0.7
 
 
@@ -91,16 +93,39 @@ def _of_kind(k: int):
     return lambda x: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"))
 
 
-def contexts(text: Column, span: Column) -> Column:
-    """array<struct<s, e, v>>: the whole terms before and after a span, with their places in the text."""
-    lo = F.greatest(span["s"] - CONTEXT, F.lit(0))
-    left = F.substr(text, lo + 1, span["s"] - lo)
-    right = F.substr(text, span["e"] + 1, F.lit(CONTEXT))
-    whole_left = F.filter(located(left, TERM), lambda x: (x["s"] > 0) | (lo == 0))
-    whole_right = F.filter(located(right, TERM), lambda x: (x["e"] < CONTEXT) & (x["s"] > 0))
-    move = lambda xs, by: F.transform(xs, lambda x: F.struct((x["s"] + by).alias("s"), (x["e"] + by).alias("e"), F.lower(x["v"]).alias("v")))
-    # a term that touches the span is a part of it, no word beside it
-    return F.concat(move(F.filter(whole_left, lambda x: x["e"] < F.length(left)), lo), move(whole_right, span["e"]))
+def masked(plain: Column, base: Column) -> Column:
+    """The text (free of marks) with a mark for every code point of a base span; all places stay the same."""
+    spans = F.array_sort(F.transform(base, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc, x):
+        lo = F.greatest(x["s"], acc["at"])
+        return F.struct(F.greatest(x["e"], acc["at"]).alias("at"),
+                        F.concat(acc["out"], F.substr(plain, acc["at"] + 1, lo - acc["at"]),
+                                 F.repeat(F.lit(_MASK), F.greatest(x["e"] - lo, F.lit(0)))).alias("out"))
+
+    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(plain, acc["at"] + 1, F.length(plain))))
+
+
+def distinct_terms(text: Column, pattern: str) -> Column:
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    return F.array_distinct(F.transform(found, F.lower))
+
+
+def term_spans(text: Column, kinds: Column) -> Column:
+    """array<struct<k, s, e, v>>: every free place of the terms of ``kinds`` (map<term, k>) in a masked text."""
+    gaps, found = F.split(text, FREE_TERM, -1), F.regexp_extract_all(text, F.lit(FREE_TERM), F.lit(0))
+    pairs = F.zip_with(found, gaps, lambda v, gap: F.struct(F.length(gap).alias("gap"), F.length(v).alias("n"), F.lower(v).alias("v")))
+    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<k:int,s:int,e:int,v:string>>)").alias("out"))
+
+    def step(acc, p):
+        s = acc["at"] + p["gap"]
+        e = s + F.coalesce(p["n"], F.lit(0))
+        k = F.try_element_at(kinds, p["v"])
+        one = F.struct(k.alias("k"), s.alias("s"), e.alias("e"), p["v"].alias("v"))
+        return F.struct(e.alias("at"), F.when(k.isNotNull(), F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(pairs, start, step)["out"]
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -108,7 +133,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     per_pair = (found.groupBy("entity", "term").agg(F.count_distinct("doc_id", "key").alias("n_te")).where(F.col("n_te") >= SUPPORT))
     candidates = cut_lineage(per_pair, "pii-pairs")
     n_e = found.groupBy("entity").agg(F.count_distinct("doc_id", "key").alias("n_e"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)))
+    words = distinct_terms(F.col("text"), TERM)
     n_t = (docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
            .join(candidates.select("term").distinct(), "term"))         # an inner join stays above the map-side sums
     total = docs.count()
@@ -124,22 +149,24 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     base = id_and_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     base = base.withColumn("key", F.xxhash64("text"))
     scanned = base.withColumn("base", base_spans(F.col("text")))
-    near = F.transform(F.col("base"), lambda x: F.struct(
-        F.concat(x["k"].cast("string"), F.lit(":"), F.lower(F.regexp_replace(x["v"], r"[\x20().-]+(?=[0-9(])", ""))).alias("entity"),
-        contexts(F.col("text"), x).alias("terms")))
-    rows = cut_lineage(scanned.select("doc_id", "key", "base", F.when(F.size("base") > 0, near).alias("near")), "pii-base")
-    terms = (rows.where("near is not null").select("doc_id", "key", "base", F.explode("near").alias("x"))
-             .select("doc_id", "key", "base", "x.entity", F.explode("x.terms").alias("t"))
-             .where(~F.exists("base", lambda b: (b["s"] < F.col("t.e")) & (F.col("t.s") < b["e"])))
-             .select("doc_id", "key", "entity", F.col("t.v").alias("term"), F.col("t.s").alias("s"), F.col("t.e").alias("e")))
-    flagged = (terms.join(disclosing_terms(base, terms), ["entity", "term"])
-               .groupBy("doc_id", "key", "s", "e", "term").agg(F.max("share").alias("share"))
+    scanned = scanned.withColumn("plain", F.when(F.size("base") > 0, F.translate("text", _MASK, " ")))
+    entities = F.array_distinct(F.transform("base", lambda x: F.concat(
+        x["k"].cast("string"), F.lit(":"), F.lower(F.regexp_replace(x["v"], r"[\x20().-]+(?=[0-9(])", "")))))
+    rows = cut_lineage(scanned.select("doc_id", "key", "base", masked(F.col("plain"), F.col("base")).alias("masked"),
+                                      F.when(F.size("base") > 0, entities).alias("entities")), "pii-base")
+    # every entity of a text with every term of the same text
+    found = (rows.where("masked is not null")
+             .select("doc_id", "key", "entities", F.explode(distinct_terms(F.col("masked"), FREE_TERM)).alias("term"))
+             .select("doc_id", "key", "term", F.explode("entities").alias("entity")))
+    kind = F.when(F.col("share") >= REMOVE, 4).otherwise(5)
+    flagged = (found.join(disclosing_terms(base, found), ["entity", "term"])
+               .groupBy("doc_id", "key", "term").agg(F.max("share").alias("share"))
                .groupBy(F.col("doc_id").alias("flag_id"), F.col("key").alias("flag_key"))
-               .agg(F.array_sort(F.collect_list(F.struct(F.when(F.col("share") >= REMOVE, 4).otherwise(5).alias("k"), "s", "e",
-                                                          F.col("term").alias("v")))).alias("terms")))
+               .agg(F.map_from_entries(F.collect_list(F.struct("term", kind.alias("k")))).alias("kinds")))
     same = rows["doc_id"].eqNullSafe(flagged["flag_id"]) & (rows["key"] == flagged["flag_key"])
     none = F.expr("cast(array() as array<struct<k:int,s:int,e:int,v:string>>)")
-    return rows.join(flagged, same, "left").select("doc_id", "key", "base", F.coalesce("terms", none).alias("terms"))
+    terms = F.when(F.col("kinds").isNotNull(), F.array_sort(term_spans(F.col("masked"), F.col("kinds")))).otherwise(none)
+    return rows.join(flagged, same, "left").select("doc_id", "key", "base", terms.alias("terms"))
 
 
 def _joined(spans: Column) -> Column:
