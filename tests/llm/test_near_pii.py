@@ -150,3 +150,17 @@ def test_pii_terms_of_the_whole_text(spark):
     assert found[100]["n_removed"] == 3 and found[5]["spans"] == ""
     clean = {r["doc_id"]: r["text"] for r in pii.sanitised(odd(spark, data)).collect()}
     assert "zebulon" not in clean[101].lower() and clean[101].count("common") == 6
+
+
+def test_pii_counts_every_document_with_the_entity(spark):
+    """Documents without any term beside the entity, rows without id and repeated rows all count in n_e and n_te."""
+    data = [(i, f"filler text number {i}") for i in range(400)]
+    data += [(1000 + i, f"10.0.0.1 {i}") for i in range(100)]              # no term at all
+    data += [(2000 + i, "10.0.0.1 gateway") for i in range(3)] + [(3000 + i, "the gateway") for i in range(3)]
+    data += [(None, f"Zebulon at zeb@corp.example {'x' * k}") for k in range(3)]
+    got = {}
+    for r in pii.report(odd(spark, data)).collect():
+        got.setdefault(r["doc_id"], []).append(r["spans"])
+    # n_e is 103 of 509: 1 + ln(3/6) / ln(509/103) = 0.57, not 1 + ln(3/6) / ln(509/3) = 0.87
+    assert got[2000] == ["ip:0:8"]
+    assert all("removed:0:7" in x for x in got[None]) and len(got[None]) == 3

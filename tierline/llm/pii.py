@@ -128,11 +128,12 @@ def term_spans(text: Column, kinds: Column) -> Column:
     return F.aggregate(pairs, start, step)["out"]
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(term, entity, share) of the pairs whose share reaches GENERALISE; ``found``: doc_id, key, entity, term."""
-    per_pair = (found.groupBy("entity", "term").agg(F.count_distinct("doc_id", "key").alias("n_te")).where(F.col("n_te") >= SUPPORT))
+def disclosing_terms(docs: DataFrame, found: DataFrame, entities: DataFrame) -> DataFrame:
+    """(term, entity, share) of the pairs whose share reaches GENERALISE; ``found``: row, entity, term,
+    and ``entities``: row, entity, each once a document."""
+    per_pair = (found.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT))
     candidates = cut_lineage(per_pair, "pii-pairs")
-    n_e = found.groupBy("entity").agg(F.count_distinct("doc_id", "key").alias("n_e"))
+    n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e"))
     words = distinct_terms(F.col("text"), TERM)
     n_t = (docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
            .join(candidates.select("term").distinct(), "term"))         # an inner join stays above the map-side sums
@@ -147,26 +148,26 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, text key, base spans and term spans: array<struct<k, s, e, v>> by kind, then start."""
     base = id_and_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    base = base.withColumn("key", F.xxhash64("text"))
+    base = base.withColumn("key", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
     scanned = base.withColumn("base", base_spans(F.col("text")))
     scanned = scanned.withColumn("plain", F.when(F.size("base") > 0, F.translate("text", _MASK, " ")))
     entities = F.array_distinct(F.transform("base", lambda x: F.concat(
         x["k"].cast("string"), F.lit(":"), F.lower(F.regexp_replace(x["v"], r"[\x20().-]+(?=[0-9(])", "")))))
-    rows = cut_lineage(scanned.select("doc_id", "key", "base", masked(F.col("plain"), F.col("base")).alias("masked"),
+    rows = cut_lineage(scanned.select("row", "doc_id", "key", "base", masked(F.col("plain"), F.col("base")).alias("masked"),
                                       F.when(F.size("base") > 0, entities).alias("entities")), "pii-base")
     # every entity of a text with every term of the same text
     found = (rows.where("masked is not null")
-             .select("doc_id", "key", "entities", F.explode(distinct_terms(F.col("masked"), FREE_TERM)).alias("term"))
-             .select("doc_id", "key", "term", F.explode("entities").alias("entity")))
+             .select("row", "entities", F.explode(distinct_terms(F.col("masked"), FREE_TERM)).alias("term"))
+             .select("row", "term", F.explode("entities").alias("entity")))
+    holders = rows.where("entities is not null").select("row", F.explode("entities").alias("entity"))
     kind = F.when(F.col("share") >= REMOVE, 4).otherwise(5)
-    flagged = (found.join(disclosing_terms(base, found), ["entity", "term"])
-               .groupBy("doc_id", "key", "term").agg(F.max("share").alias("share"))
-               .groupBy(F.col("doc_id").alias("flag_id"), F.col("key").alias("flag_key"))
+    flagged = (found.join(disclosing_terms(base, found, holders), ["entity", "term"])
+               .groupBy("row", "term").agg(F.max("share").alias("share"))
+               .groupBy("row")
                .agg(F.map_from_entries(F.collect_list(F.struct("term", kind.alias("k")))).alias("kinds")))
-    same = rows["doc_id"].eqNullSafe(flagged["flag_id"]) & (rows["key"] == flagged["flag_key"])
     none = F.expr("cast(array() as array<struct<k:int,s:int,e:int,v:string>>)")
     terms = F.when(F.col("kinds").isNotNull(), F.array_sort(term_spans(F.col("masked"), F.col("kinds")))).otherwise(none)
-    return rows.join(flagged, same, "left").select("doc_id", "key", "base", terms.alias("terms"))
+    return rows.join(flagged, "row", "left").select("doc_id", "key", "base", terms.alias("terms"))
 
 
 def _joined(spans: Column) -> Column:
