@@ -164,3 +164,11 @@ def test_pii_counts_every_document_with_the_entity(spark):
     # n_e is 103 of 509: 1 + ln(3/6) / ln(509/103) = 0.57, not 1 + ln(3/6) / ln(509/3) = 0.87
     assert got[2000] == ["ip:0:8"]
     assert all("removed:0:7" in x for x in got[None]) and len(got[None]) == 3
+
+
+def test_pii_judges_an_entity_of_one_document(spark):
+    """1 - ln(3.5) / ln(N) from GENERALISE on: what stands in one document only is judged as well."""
+    data = [(i, f"common filler text number {i}") for i in range(2000)]
+    data += [(5000, "common text by Zebulon, zeb@corp.example")]
+    found = {r["doc_id"]: r for r in pii.report(odd(spark, data)).collect()}
+    assert found[5000]["spans"] == "email:24:40,generalised:15:22" and found[7]["spans"] == ""

@@ -12,8 +12,10 @@ with the entity, n_t with the term, n_te with both - the term discloses the shar
     PMI(t, e) / IC(e) = log(n_te * N / (n_t * n_e)) / log(N / n_e)
 
 of the entity's information content. From ``REMOVE`` on every occurrence of the term
-in the texts with that entity is removed, from ``GENERALISE`` on it is replaced by a general word. A term needs
-``SUPPORT`` documents with the entity; a pair seen once proves nothing.
+in the texts with that entity is removed, from ``GENERALISE`` on it is replaced by a general word. Pairs of
+every count are judged; few documents prove less, so n_te is taken as
+n_te ** 3 / (n_te ** 2 + ``SHRINK``): a pair seen in one document counts 0.29, in two
+1.23, in three 2.35, in ten 9.76.
 
 Counts are summed on the map side; the joins are equi-joins that Spark can split.
 
@@ -44,7 +46,7 @@ TERM = r"[A-Za-z\x{80}-\x{10FFFF}]{4,}"
 # in a masked text: a term that touches a span is a part of it, no word beside it
 _MASK = "\x01"
 FREE_TERM = r"(?<![\x01A-Za-z\x{80}-\x{10FFFF}])[A-Za-z\x{80}-\x{10FFFF}]{4,}+(?!\x01)"
-SUPPORT, REMOVE, GENERALISE = 2, 0.9, 0.7
+SHRINK, REMOVE, GENERALISE = 2.5, 0.9, 0.7
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -131,14 +133,15 @@ def term_spans(text: Column, kinds: Column) -> Column:
 def disclosing_terms(docs: DataFrame, found: DataFrame, entities: DataFrame) -> DataFrame:
     """(term, entity, share) of the pairs whose share reaches GENERALISE; ``found``: row, entity, term,
     and ``entities``: row, entity, each once a document."""
-    per_pair = (found.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT))
+    per_pair = found.groupBy("entity", "term").agg(F.count("*").alias("n_te"))
     candidates = cut_lineage(per_pair, "pii-pairs")
     n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e"))
     words = distinct_terms(F.col("text"), TERM)
     n_t = (docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
            .join(candidates.select("term").distinct(), "term"))         # an inner join stays above the map-side sums
     total = docs.count()
-    share = (F.log(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
+    n_te = F.col("n_te") * F.col("n_te") * F.col("n_te") / (F.col("n_te") * F.col("n_te") + SHRINK)
+    share = (F.log(n_te * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
              / F.log(F.lit(float(total)) / F.col("n_e")))
     return (candidates.join(n_t, "term").join(n_e, "entity")
             .where(F.col("n_e") < total).withColumn("share", share).where(F.col("share") >= GENERALISE)
