@@ -1,0 +1,75 @@
+"""The filter audit against a plain count of every order."""
+
+import re
+from itertools import permutations
+
+from pyspark.sql import functions as F
+
+from tierline.llm import audit
+
+from .cases import by_id, empty, odd, rows
+
+
+def brute(data, labels):
+    """data: (doc_id, text, source); labels: (doc_id, quality, toxic)."""
+    smallest = {}
+    for i, t, _ in data:
+        if i is not None:
+            smallest[t or ""] = min(i, smallest.get(t or "", i))
+    judged = []
+    for i, t, part in data:
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        fails = {"A": len(w) < 50, "B": 100 * len(set(w)) < 65 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 5 * len(t),
+                 "D": bool(re.search(r"[#$%&*|]", t)), "E": i is not None and i > smallest[t]}
+        judged.append((part or "", {f for f in fails if fails[f]}, any(x == i and q == 1 for x, q, _ in labels if i is not None),
+                       any(x == i and z == 1 for x, _, z in labels if i is not None)))
+    out, shares = {}, {}
+    for part in {j[0] for j in judged}:
+        of = [j[1:] for j in judged if j[0] == part]
+        for order in permutations("ABCDE"):
+            for k, f in enumerate(order):
+                left = [j for j in of if not j[0] & set(order[:k])]
+                gone = [j for j in left if f in j[0]]
+                shares[part, f] = shares.get((part, f), 0) + len(gone)
+                out[part, "".join(order), k + 1] = [
+                    len(left) - len(gone), len(gone), sum(f in j[0] for j in of) - len(gone), sum(j[0] == {f} for j in of),
+                    sum(j[1] for j in gone), sum(j[2] for j in gone)]
+    return sorted(((*k, *v, shares[k[0], k[1][k[2] - 1]]) for k, v in out.items()), key=repr)
+
+
+def fixture(spark):
+    clean = [(500 + i, " ".join(f"v{(i * 13 + k) % 997}" for k in range(60))) for i in range(8)]
+    more = [(510, "AB # " * 60), (511, clean[0][1]), (512, clean[0][1] + " $"), (513, clean[1][1].upper()), (4, clean[2][1]),
+            (514, "same " * 60), (515, "same " * 59 + "|")]
+    data = [(i, t, (None, "web", "web", "news", "")[k % 5]) for k, (i, t) in enumerate(rows() + clean + more)]
+    names = [(i, k % 2, int(k % 3 == 0)) for k, (i, _, _) in enumerate(data)] + [(500, 1, 0), (500, 0, 1), (99999, 1, 1), (None, 1, 1), (7, None, None)]
+    docs = odd(spark, [(i, t) for i, t, _ in data]).drop("n").coalesce(1)
+    order = spark.createDataFrame([(k, s) for k, (_, _, s) in enumerate(data)], "k int, source string").coalesce(1)
+    docs = (docs.withColumn("k", F.monotonically_increasing_id()).join(order, "k")
+            .withColumns({c: F.lit("x") for c in ("row", "part", "prefix", "bit", "digest", "step", "A", "E")}))
+    return docs, spark.createDataFrame(names, "doc_id long, quality int, toxic int"), data, names
+
+
+def test_audit_against_every_order(spark):
+    docs, labels, data, names = fixture(spark)
+    want = brute(data, names)
+    got = by_id(audit.audit(docs, labels))
+    assert len(got) == 3 * 600 and got == want
+    assert {r[0] for r in got} == {"", "web", "news"}
+    assert any(r[4] and r[5] and r[6] and r[7] for r in got) and any(r[8] for r in got)
+
+
+def test_audit_of_little(spark):
+    docs, labels, _, _ = fixture(spark)
+    assert by_id(audit.audit(empty(spark).withColumn("source", F.lit("web")), labels)) == []
+    one = audit.audit(docs.where("doc_id = 503"), labels.limit(0)).collect()
+    assert len(one) == 600 and all(r["kept"] == 1 and r["removed"] == r["redundant"] == r["good_lost"] == r["shapley"] == 0 for r in one)
+
+
+def test_relations_are_ids_of_failing_rows(spark):
+    docs, labels, data, _ = fixture(spark)
+    rel = audit.relations(docs, labels)
+    assert rel["rows"].count() == rel["rows"].select("row").distinct().count() == len(data)
+    assert rel["D"].count() == sum(bool(re.search(r"[#$%&*|]", t or "")) for _, t, _ in data)
+    assert rel["A"].join(rel["rows"], "row", "left_anti").count() == 0

@@ -55,4 +55,28 @@ COPIES = r"""
     SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256
     FROM n JOIN g ON n.t = g.t"""
 
-SQL = {"op2_repeats": REPEATS, "op7_decontamination": LEAKS, "op8_exact_dedup": COPIES}
+# every document at every step of every order
+AUDIT = r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
+    f AS (SELECT r, part, doc_id, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+                 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+                 coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e,
+                 doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic FROM w),
+    fails AS (SELECT *, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+                        || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS failed FROM f),
+    letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+    orders AS (SELECT v.l || w.l || x.l || y.l || z.l AS o FROM letter v, letter w, letter x, letter y, letter z
+               WHERE len(list_distinct([v.l, w.l, x.l, y.l, z.l])) = 5),
+    steps AS (SELECT o, s, substr(o, s, 1) AS l, substr(o, 1, s - 1) AS before FROM orders, range(1, 6) AS t(s)),
+    seen AS (SELECT part, o, s, l, failed, contains(failed, l) AS fails, good, toxic,
+                    len(list_intersect(string_split(before, ''), string_split(failed, ''))) > 0 AND before <> '' AND failed <> '' AS gone
+             FROM fails, steps),
+    counts AS (SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, l, count(*) FILTER (NOT gone AND NOT fails) AS kept,
+                      count(*) FILTER (NOT gone AND fails) AS removed, count(*) FILTER (gone AND fails) AS redundant,
+                      count(*) FILTER (failed = l) AS unique_fails, count(*) FILTER (NOT gone AND fails AND good) AS good_lost,
+                      count(*) FILTER (NOT gone AND fails AND toxic) AS toxic_lost FROM seen GROUP BY ALL)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley FROM counts"""
+
+SQL = {"op2_repeats": REPEATS, "op7_decontamination": LEAKS, "op8_exact_dedup": COPIES, "op11_filter_audit": AUDIT}
