@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, decontaminate, exact, hmm, license, near, pieces, pii, quality, repeats, secrets
+from . import audit, centroids, decontaminate, exact, hmm, language, license, near, pieces, pii, quality, repeats, secrets
 from .common import table
 from .sql import SQL
 
@@ -58,9 +58,18 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pii, op2_repeats, op3_quality, op4_license_scan, op5_secret_scan, op6_minhash,
-                            op7_decontamination, op8_exact_dedup, op9_language_model, op10_sentencepiece, op11_filter_audit)}
+                            op7_decontamination, op8_exact_dedup, op9_language_model, op10_sentencepiece, op11_filter_audit,
+                            op12_centroids, op13_language)}
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

@@ -79,4 +79,31 @@ AUDIT = r"""
     SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
            CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley FROM counts"""
 
-SQL = {"op2_repeats": REPEATS, "op7_decontamination": LEAKS, "op8_exact_dedup": COPIES, "op11_filter_audit": AUDIT}
+
+
+def clusters(k: int = 16, rounds: int = 3) -> str:
+    """Every distance in every round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+    far{r} AS (SELECT x.r, c.c, sum((x.x - c.x) * (x.x - c.x)) AS d FROM x JOIN c{r} AS c USING (i) GROUP BY x.r, c.c),
+    near{r} AS (SELECT r, c, d FROM far{r} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1),
+    mean{r} AS (SELECT c, i, sum(x) AS s, count(*) AS n FROM near{r} JOIN x USING (r) GROUP BY c, i),
+    c{r + 1} AS (SELECT c, i, coalesce((s - ((s % n) + n) % n) // n, c{r}.x) AS x FROM c{r} LEFT JOIN mean{r} USING (c, i))""")
+    return f"""
+    WITH v AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings),
+    e AS (SELECT r, vec_id, unnest(embedding) AS y, unnest(range(len(embedding))) AS i FROM v WHERE len(embedding) = 64),
+    kept AS (SELECT r, vec_id FROM e GROUP BY r, vec_id HAVING count(y) = 64 AND bool_and(isfinite(y))),
+    x AS (SELECT r, i, CAST(floor(64 * CAST(y AS DOUBLE)) AS HUGEINT) AS x FROM e WHERE r IN (SELECT r FROM kept)),
+    lists AS (SELECT r, list(x ORDER BY i) AS l FROM x GROUP BY r),
+    start AS (SELECT r, row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), l) - 1 AS c FROM kept JOIN lists USING (r)
+              QUALIFY c < {k}),
+    c0 AS (SELECT c, i, x FROM x JOIN start USING (r)),{",".join(steps)},
+    name AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+    FROM near{rounds} JOIN kept USING (r) JOIN name USING (c)"""
+
+
+SQL = {"op2_repeats": REPEATS, "op7_decontamination": LEAKS, "op8_exact_dedup": COPIES, "op11_filter_audit": AUDIT,
+       "op12_centroids": clusters()}
