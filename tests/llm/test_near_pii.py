@@ -1,5 +1,8 @@
 import re
+from collections import Counter
 from hashlib import sha256
+from math import log
+from time import time
 
 from tierline.llm import near, pii, queries
 from tierline.llm.common import table
@@ -172,3 +175,87 @@ def test_pii_judges_an_entity_of_one_document(spark):
     data += [(5000, "common text by Zebulon, zeb@corp.example")]
     found = {r["doc_id"]: r for r in pii.report(odd(spark, data)).collect()}
     assert found[5000]["spans"] == "email:24:40,generalised:15:22" and found[7]["spans"] == ""
+
+
+def terms_brute(data):
+    """(row number, term) -> (largest share, n_t), over all pairs of every text."""
+    digits = lambda x: re.sub("[^0-9]", "", x)
+    forms = [(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", lambda x: True, str.lower),
+             (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", lambda x: all(int(p) <= 255 for p in x.split(".")), lambda x: ".".join(str(int(p)) for p in x.split("."))),
+             (r"[0-9](?:[\x20-]?[0-9])+", lambda x: 16 <= len(digits(x)) <= 19 and luhn(digits(x)), digits),
+             (r"\+[0-9][\x20().0-9-]+[0-9]", lambda x: 8 <= len(digits(x)) <= 15, digits)]
+    rows = []
+    for _, t in data:
+        t = t or ""
+        found = [(k, m) for k, (p, ok, _) in enumerate(forms) for m in re.finditer(p, t) if ok(m.group())]
+        chars = list(t.replace("\x01", " "))
+        for _, m in found:
+            chars[m.start():m.end()] = "\x01" * (m.end() - m.start())
+        words = re.findall(r"(?<![\x01A-Za-z\x80-\U0010ffff])[A-Za-z\x80-\U0010ffff]{4,}(?![\x01A-Za-z\x80-\U0010ffff])", "".join(chars))
+        rows.append(({(k, forms[k][2](m.group())) for k, m in found}, {w.lower() for w in words}))
+    n, n_t = len(rows), Counter(w for _, words in rows for w in words)
+    n_e, n_te = Counter(e for found, _ in rows for e in found), Counter((e, w) for found, words in rows for e in found for w in words)
+    best = {}
+    for (e, w), c in n_te.items():
+        if n_e[e] < n:
+            best[e, w] = log(c ** 3 / (c * c + pii.SHRINK) * n / (n_t[w] * n_e[e])) / log(n / n_e[e])
+    out = {}
+    for k, (found, words) in enumerate(rows):
+        for w in words:
+            top = max((best[e, w] for e in found if (e, w) in best), default=0)
+            if top >= pii.GENERALISE:
+                out[k, w] = (round(top, 9), n_t[w])
+    return out
+
+
+def test_pii_pairs_against_all_pairs(spark):
+    import random
+    rng = random.Random(11)
+    data = rows() + [(None, "Zebulon zeb@corp.example"), (5, "Zebulon zeb@corp.example")]
+    for i in range(400):
+        words = [f"word{chr(97 + int(26 * rng.random() ** 3))}{chr(97 + int(9 * rng.random() ** 2))}" for _ in range(rng.randrange(1, 30))]
+        if rng.random() < 0.4:
+            k = int(20 * rng.random() ** 2)
+            words += [f"user{k}@corp.example", f"friend{chr(97 + k)}x"] * rng.randrange(1, 3)
+        if rng.random() < 0.2:
+            words += [f"10.0.{int(4 * rng.random())}.0{rng.randrange(3)}", "gateway"]
+        if rng.random() < 0.1:
+            words += ["+49 30 1234 567", "4111 1111 1111 1111", "dial"]
+        data.append((1000 + i, " ".join(rng.sample(words, len(words)))))
+    docs = odd(spark, data).coalesce(1)                       # rows are numbered in their order
+    found = pii.disclosing_terms(docs, pii.scanned(docs)).collect()
+    got = {(r["row"], r["term"]): (round(r["share"], 9), r["n_t"]) for r in found}
+    want = terms_brute(data)
+    assert got == want and len(want) > 150 and len(found) == len(got)
+    assert len({r["n_te"] for r in found}) > 3 and min(r["n_e"] for r in found) == 1 < max(r["n_e"] for r in found)
+
+
+def test_pii_entities_by_kind(spark):
+    """An IP address keeps its dots, a card does not keep its blanks; a name counts the same in all texts, addresses aside."""
+    common = "some common words stand here and there"
+    data = [(i, f"{common} number{i}") for i in range(40)] + [(100 + i, f"{common} Zebulon 10.0.0.255") for i in range(3)]
+    more = [(300 + i, f"{common} 100.0.2.55") for i in range(100)]
+    kinds = [{r["doc_id"]: r["spans"] for r in pii.report(odd(spark, x)).collect()}[100] for x in (data, data + more)]
+    assert all(x.split(",")[1].startswith("removed") for x in kinds)
+    named = [(300 + i, f"{common} zebulon@corp{i}.example") for i in range(60)]
+    assert "removed" in {r["doc_id"]: r["spans"] for r in pii.report(odd(spark, data + named)).collect()}[100]
+    cards = [(100, f"{common} Yolanda 4111 1111 1111 1111"), (101, f"{common} Yolanda 4111111111111111"), (102, f"{common} Yolanda 4111-1111-1111-1111")]
+    rows_of = pii.scanned(odd(spark, cards)).select("entities").collect()
+    assert len({bytes(r[0][0]) for r in rows_of}) == 1
+    assert pii.scanned(odd(spark, cards)).schema["base"].dataType.elementType.names == ["k", "s", "e"]      # no values are written
+
+
+def test_pii_long_lists(spark):
+    """1,600 addresses and 6,400 words in one text, its copy, and 8,000 addresses in another: no pair of all with all."""
+    letters = lambda k: "".join(chr(97 + k // 26 ** j % 26) for j in range(4))
+    one = " ".join(f"{letters(4 * k)} {letters(4 * k + 1)} {letters(4 * k + 2)} {letters(4 * k + 3)} u{k}@corp.example" for k in range(1600))
+    data = [(i, f"common filler text number {i}") for i in range(2000)]
+    data += [(5000, one), (5001, one), (5002, " ".join(f"v{k}@corp.example" for k in range(8000)))]
+    docs = odd(spark, data)
+    pii.report(docs.limit(50)).collect()
+    began = time()
+    found = {r["doc_id"]: r for r in pii.report(docs).collect()}
+    took = time() - began
+    assert found[5000]["n_email"] == 1600 and found[5002]["n_email"] == 8000
+    assert found[5000]["n_removed"] + found[5000]["n_generalised"] == 6400 and found[5000]["spans"] == found[5001]["spans"]
+    assert took < 30, took

@@ -4,9 +4,10 @@ Base forms (e-mail, IP address, card, phone) are regular expressions; their
 places are found natively: ``split`` gives the gaps between the matches and
 ``regexp_extract_all`` the matches, so running lengths give the offsets.
 
-Every base match is a protected entity. Its context are the terms (words of four
+Every base match is a protected entity (an address in lower case, an IP address without
+leading zeros, the digits of a card or phone). Its context are the terms (words of four
 letters or more) of the whole texts that hold it; what lies in a base match or touches
-it is no term there. With document counts over the whole corpus - N documents, n_e
+it is no term, there and in every count. With document counts over the whole corpus - N documents, n_e
 with the entity, n_t with the term, n_te with both - the term discloses the share
 
     PMI(t, e) / IC(e) = log(n_te * N / (n_t * n_e)) / log(N / n_e)
@@ -17,7 +18,18 @@ every count are judged; few documents prove less, so n_te is taken as
 n_te ** 3 / (n_te ** 2 + ``SHRINK``): a pair seen in one document counts 0.29, in two
 1.23, in three 2.35, in ten 9.76.
 
-Counts are summed on the map side; the joins are equi-joins that Spark can split.
+Nothing is paired that cannot matter, with the result of pairing everything:
+
+* Entities of the same documents are one class, and so are terms of the same documents
+  and the same n_t. A list of contacts that stands in one text (or in copies of it) is one class.
+* n_te is n_h at most (the documents with entities that hold the term) and n_e at most. The share that this
+  allows at best decides first which terms are looked at, then which classes of a text meet.
+* Where an entity or a term has a single document, n_te is 1, and the share is the larger
+  the smaller n_e is: only the rarest entity of the text is paired.
+
+Left is one row a text for each pair of classes that both recur and may reach ``GENERALISE``.
+Classes go by two 64-bit hashes over their documents. Counts are summed on the map side; tables
+looked up by a key are written first, so that Spark can split a hot key of the other side.
 
 Defined cases: null and empty texts have no spans; an entity in every document has no
 information to disclose; repeated rows give equal rows (they count as documents);
@@ -27,6 +39,8 @@ points, the end is exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,18 +63,42 @@ FREE_TERM = r"(?<![\x01A-Za-z\x{80}-\x{10FFFF}])[A-Za-z\x{80}-\x{10FFFF}]{4,}+(?
 SHRINK, REMOVE, GENERALISE = 2.5, 0.9, 0.7
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """Running sums or maxima (``op``; 0 is neutral) of array<int>. Appending copies an array, so chunks
+    of about the square root of its size are run through apart, then carried on."""
+    none = F.expr("cast(array() as array<int>)")
+
+    def append(acc, x):
+        return F.concat(acc, F.array(op(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)), x)))
+
+    def carried(chunks):
+        before = F.aggregate(chunks, F.array(F.lit(0)), lambda acc, c: F.concat(
+            acc, F.array(op(F.element_at(acc, F.lit(-1)), F.element_at(c, F.lit(-1))))))
+        return F.flatten(F.zip_with(chunks, F.slice(before, F.lit(1), F.size(chunks)),
+                                    lambda c, carry: F.transform(c, lambda x: op(carry, x))))
+
+    def chunked(v):
+        width = F.ceil(F.sqrt(F.size(v))).cast("int")
+        starts = F.sequence(F.lit(1), F.size(v), width)
+        return let(F.transform(starts, lambda at: F.aggregate(F.slice(v, at, width), none, append)), carried)
+
+    return let(values, lambda v: F.when(F.size(v) > 0, chunked(v)).otherwise(none))
+
+
 def located(text: Column, pattern: str) -> Column:
     """array<struct<s, e, v>>: the leftmost non-overlapping matches and their places."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.zip_with(found, gaps, lambda v, gap: F.struct(gap.alias("gap"), v.alias("v")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<s:int,e:int,v:string>>)").alias("out"))
-
-    def step(acc, p):
-        s = acc["at"] + F.length(p["gap"])
-        e = s + F.coalesce(F.length(p["v"]), F.lit(0))
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), p["v"].alias("v")))).alias("out"))
+    def places(p):
+        lengths = F.zip_with(p["found"], F.slice(p["gaps"], F.lit(1), F.size(p["found"])), lambda v, gap: F.length(gap) + F.length(v))
+        return F.zip_with(p["found"], running(lengths, lambda a, b: a + b),
+                          lambda v, e: F.struct((e - F.length(v)).alias("s"), e.alias("e"), v.alias("v")))
 
-    return F.filter(F.aggregate(pairs, start, step)["out"], lambda x: x["v"].isNotNull())
+    return let(F.struct(F.split(text, pattern, -1).alias("gaps"),
+                        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")), places)
 
 
 def luhn(value: Column) -> Column:
@@ -95,18 +133,37 @@ def _of_kind(k: int):
     return lambda x: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"))
 
 
+def rebuilt(text: Column, spans: Column, label: Callable[[Column, Column], Column]) -> Column:
+    """The text with ``label(span, end of the spans before it)`` for every span of array<struct<s, e, ..>>, sorted by s.
+    Pieces are cut from 4-byte code points, whose places need no counting."""
+    mark = F.unhex(F.lit("0000FEFF"))           # a decoder eats one mark at the beginning
+
+    def piece(wide, start, n_bytes):
+        return F.decode(F.concat(mark, F.substr(wide, start * 4 + 1, n_bytes)), "UTF-32")
+
+    def joined(p):
+        last = F.coalesce(F.try_element_at(p["ends"], F.lit(-1)), F.lit(0))
+
+        def part(x, i):
+            before = F.when(i > 0, F.get(p["ends"], i - 1)).otherwise(0)
+            return F.concat(piece(p["wide"], before, F.greatest(x["s"] - before, F.lit(0)) * 4), label(x, before))
+
+        return F.concat(F.array_join(F.transform(p["spans"], part), ""), piece(p["wide"], last, F.length(p["wide"])))
+
+    return let(spans, lambda xs: let(F.struct(
+        F.encode(text, "UTF-32").alias("wide"), xs.alias("spans"), running(F.transform(xs, lambda x: x["e"]), F.greatest).alias("ends")), joined))
+
+
 def masked(plain: Column, base: Column) -> Column:
     """The text (free of marks) with a mark for every code point of a base span; all places stay the same."""
     spans = F.array_sort(F.transform(base, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return rebuilt(plain, spans, lambda x, before: F.repeat(F.lit(_MASK), F.greatest(x["e"] - F.greatest(x["s"], before), F.lit(0))))
 
-    def step(acc, x):
-        lo = F.greatest(x["s"], acc["at"])
-        return F.struct(F.greatest(x["e"], acc["at"]).alias("at"),
-                        F.concat(acc["out"], F.substr(plain, acc["at"] + 1, lo - acc["at"]),
-                                 F.repeat(F.lit(_MASK), F.greatest(x["e"] - lo, F.lit(0)))).alias("out"))
 
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(plain, acc["at"] + 1, F.length(plain))))
+def free_words(text: Column, base: Column) -> Column:
+    """array<struct<s, e, term>>: the terms outside the base spans."""
+    words = located(masked(F.translate(text, _MASK, " "), base), FREE_TERM)
+    return F.transform(words, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lower(x["v"]).alias("term")))
 
 
 def distinct_terms(text: Column, pattern: str) -> Column:
@@ -114,63 +171,78 @@ def distinct_terms(text: Column, pattern: str) -> Column:
     return F.array_distinct(F.transform(found, F.lower))
 
 
-def term_spans(text: Column, kinds: Column) -> Column:
-    """array<struct<k, s, e, v>>: every free place of the terms of ``kinds`` (map<term, k>) in a masked text."""
-    gaps, found = F.split(text, FREE_TERM, -1), F.regexp_extract_all(text, F.lit(FREE_TERM), F.lit(0))
-    pairs = F.zip_with(found, gaps, lambda v, gap: F.struct(F.length(gap).alias("gap"), F.length(v).alias("n"), F.lower(v).alias("v")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<k:int,s:int,e:int,v:string>>)").alias("out"))
-
-    def step(acc, p):
-        s = acc["at"] + p["gap"]
-        e = s + F.coalesce(p["n"], F.lit(0))
-        k = F.try_element_at(kinds, p["v"])
-        one = F.struct(k.alias("k"), s.alias("s"), e.alias("e"), p["v"].alias("v"))
-        return F.struct(e.alias("at"), F.when(k.isNotNull(), F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(pairs, start, step)["out"]
-
-
-def disclosing_terms(docs: DataFrame, found: DataFrame, entities: DataFrame) -> DataFrame:
-    """(term, entity, share) of the pairs whose share reaches GENERALISE; ``found``: row, entity, term,
-    and ``entities``: row, entity, each once a document."""
-    per_pair = found.groupBy("entity", "term").agg(F.count("*").alias("n_te"))
-    candidates = cut_lineage(per_pair, "pii-pairs")
-    n_e = entities.groupBy("entity").agg(F.count("*").alias("n_e"))
-    words = distinct_terms(F.col("text"), TERM)
-    n_t = (docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-           .join(candidates.select("term").distinct(), "term"))         # an inner join stays above the map-side sums
-    total = docs.count()
-    n_te = F.col("n_te") * F.col("n_te") * F.col("n_te") / (F.col("n_te") * F.col("n_te") + SHRINK)
-    share = (F.log(n_te * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
-             / F.log(F.lit(float(total)) / F.col("n_e")))
-    return (candidates.join(n_t, "term").join(n_e, "entity")
-            .where(F.col("n_e") < total).withColumn("share", share).where(F.col("share") >= GENERALISE)
-            .select("entity", "term", "share"))
+def entity(x: Column) -> Column:
+    """A protected entity's 128-bit name: its kind and its normal form."""
+    digits = F.regexp_replace(x["v"], "[^0-9]", "")
+    normal = (F.when(x["k"] == 0, F.lower(x["v"])).when(x["k"] == 1, F.regexp_replace(x["v"], r"(?<![0-9])0+(?=[0-9])", ""))
+              .otherwise(digits))
+    return F.unhex(F.substr(F.sha2(F.encode(F.concat(x["k"].cast("string"), F.lit(":"), normal), "UTF-8"), 256), F.lit(1), F.lit(32)))
+
+
+def scanned(docs: DataFrame) -> DataFrame:
+    """row, doc_id, key, base, entities and, of texts with base spans, words. A written table without the matches themselves."""
+    base = id_and_text(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    base = base.withColumn("base", base_spans(F.col("text")))
+    places = F.transform("base", lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e")))
+    held = F.size("base") > 0
+    return cut_lineage(base.select(
+        "row", "doc_id", F.xxhash64("text").alias("key"), places.alias("base"), F.array_distinct(F.transform("base", entity)).alias("entities"),
+        F.when(held, free_words(F.col("text"), F.col("base"))).alias("words")), "pii-base")
+
+
+def share(n_te: Column, n_t: Column, n_e: Column, total: int) -> Column:
+    """The disclosed share of an entity's information content."""
+    n = n_te.cast("double")
+    shrunk = n * n * n / (n * n + SHRINK)
+    return F.try_divide(F.log(shrunk * float(total) / (n_t * n_e)), F.log(F.lit(float(total)) / n_e))
+
+
+def _documents() -> list[Column]:
+    """Two hashes over the rows of a group."""
+    return [F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64(F.lit(7), "row")).alias("y")]
+
+
+def disclosing_terms(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """row, term, share, n_te, n_e, n_t: every term of a text whose largest share, over the entities of that text,
+    reaches GENERALISE, with the counts behind it."""
+    total = rows.count()
+    holders = rows.select("row", F.explode("entities").alias("entity"))
+    classes = cut_lineage(holders.groupBy("entity").agg(F.count("*").alias("n_e"), *_documents()).where(F.col("n_e") < total), "pii-entities")
+    most = classes.agg(F.max("n_e")).first()[0] or 1
+    held = cut_lineage(holders.join(classes, "entity").select("row", "n_e", F.col("x").alias("ex"), F.col("y").alias("ey")).distinct(), "pii-held")
+    rarest = held.groupBy("row").agg(F.min("n_e").alias("rarest"))
+
+    found = rows.where("words is not null").select("row", F.explode(F.array_distinct(F.transform("words", lambda x: x["term"]))).alias("term"))
+    plain = id_and_text(docs).select(F.coalesce("text", F.lit("")).alias("text")).where(F.size(base_spans(F.col("text"))) == 0)
+    elsewhere = plain.select(F.explode(distinct_terms(F.col("text"), TERM)).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    terms = (found.groupBy("term").agg(F.count("*").alias("n_h"), *_documents()).join(elsewhere, "term", "left")
+             .select("term", "n_h", (F.col("n_h") + F.coalesce("n", F.lit(0))).alias("n_t"), "x", "y"))
+    at_best = F.least("n_h", F.lit(most))           # of all n_e, this many allows the largest share
+    terms = cut_lineage(terms.where(share(at_best, F.col("n_t"), at_best, total) >= GENERALISE), "pii-terms")
+    words = cut_lineage(found.join(terms, "term"), "pii-words")
+
+    of_term = ["n_t", "n_h", "x", "y"]
+    n_te = F.least("n_h", "n_e")
+    may = (share(n_te, F.col("n_t"), F.col("n_e"), total) >= GENERALISE) & ((F.col("n_e") == F.col("rarest")) | (n_te > 1))
+    pairs = cut_lineage(words.select("row", *of_term).distinct().join(held.join(rarest, "row"), "row").where(may).drop("rarest"), "pii-pairs")
+    by_pair = ["n_e", "ex", "ey", *of_term]
+    judged = (pairs.groupBy(*by_pair).agg(F.count("*").alias("n_te"))
+              .withColumn("share", share(F.col("n_te"), F.col("n_t"), F.col("n_e"), total)).where(F.col("share") >= GENERALISE))
+    best = (pairs.join(cut_lineage(judged, "pii-judged"), by_pair).groupBy("row", *of_term)
+            .agg(F.max(F.struct("share", "n_te", "n_e")).alias("best")))
+    return words.join(cut_lineage(best, "pii-best"), ["row", *of_term]).select("row", "term", "best.*", "n_t")
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, text key, base spans and term spans: array<struct<k, s, e, v>> by kind, then start."""
-    base = id_and_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    base = base.withColumn("key", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
-    scanned = base.withColumn("base", base_spans(F.col("text")))
-    scanned = scanned.withColumn("plain", F.when(F.size("base") > 0, F.translate("text", _MASK, " ")))
-    entities = F.array_distinct(F.transform("base", lambda x: F.concat(
-        x["k"].cast("string"), F.lit(":"), F.lower(F.regexp_replace(x["v"], r"[\x20().-]+(?=[0-9(])", "")))))
-    rows = cut_lineage(scanned.select("row", "doc_id", "key", "base", masked(F.col("plain"), F.col("base")).alias("masked"),
-                                      F.when(F.size("base") > 0, entities).alias("entities")), "pii-base")
-    # every entity of a text with every term of the same text
-    found = (rows.where("masked is not null")
-             .select("row", "entities", F.explode(distinct_terms(F.col("masked"), FREE_TERM)).alias("term"))
-             .select("row", "term", F.explode("entities").alias("entity")))
-    holders = rows.where("entities is not null").select("row", F.explode("entities").alias("entity"))
+    """doc_id, text key, base spans and term spans: array<struct<k, s, e>> by kind, then start."""
+    rows = scanned(docs)
     kind = F.when(F.col("share") >= REMOVE, 4).otherwise(5)
-    flagged = (found.join(disclosing_terms(base, found, holders), ["entity", "term"])
-               .groupBy("row", "term").agg(F.max("share").alias("share"))
-               .groupBy("row")
-               .agg(F.map_from_entries(F.collect_list(F.struct("term", kind.alias("k")))).alias("kinds")))
-    none = F.expr("cast(array() as array<struct<k:int,s:int,e:int,v:string>>)")
-    terms = F.when(F.col("kinds").isNotNull(), F.array_sort(term_spans(F.col("masked"), F.col("kinds")))).otherwise(none)
-    return rows.join(flagged, "row", "left").select("doc_id", "key", "base", terms.alias("terms"))
+    flagged = cut_lineage(disclosing_terms(docs, rows).select("row", "term", kind.alias("k")), "pii-flagged")
+    places = rows.where("words is not null").select("row", F.explode("words").alias("w")).select("row", "w.*")
+    spans = (places.join(flagged, ["row", "term"]).groupBy("row")
+             .agg(F.array_sort(F.collect_list(F.struct("k", "s", "e"))).alias("terms")))
+    none = F.expr("cast(array() as array<struct<k:int,s:int,e:int>>)")
+    return rows.join(spans, "row", "left").select("doc_id", "key", "base", F.coalesce("terms", none).alias("terms"))
 
 
 def _joined(spans: Column) -> Column:
@@ -192,16 +264,9 @@ def sanitised(docs: DataFrame) -> DataFrame:
     """doc_id, text: base spans as <kind>, removed terms gone, generalised ones as <term>."""
     found = find_personal_data(docs).distinct()
     base = id_and_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
-    labels = F.array(F.lit("<email>"), F.lit("<ip>"), F.lit("<card>"), F.lit("<phone>"), F.lit(""), F.lit("<term>"))
     spans = F.array_sort(F.transform(F.concat("base", "terms"), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, x):
-        gap = F.substr(F.col("text"), acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        return F.struct(F.greatest(x["e"], acc["at"]).alias("at"),
-                        F.when(x["e"] <= acc["at"], acc["out"]).otherwise(F.concat(acc["out"], gap, labels[x["k"]])).alias("out"))
-
+    labels = F.array(F.lit("<email>"), F.lit("<ip>"), F.lit("<card>"), F.lit("<phone>"), F.lit(""), F.lit("<term>"))
     same = base["doc_id"].eqNullSafe(found["doc_id"]) & (base["key"] == found["key"])
-    return base.join(found.select(found["doc_id"], found["key"], spans.alias("spans")), same).select(
-        base["doc_id"], F.aggregate("spans", start, step, lambda acc: F.concat(
-            acc["out"], F.substr(F.col("text"), acc["at"] + 1, F.length("text")))).alias("text"))
+    both = base.join(found.select(found["doc_id"], found["key"], spans.alias("spans")), same)
+    return both.select(base["doc_id"], rebuilt(F.col("text"), F.col("spans"), lambda x, before: F.when(
+        x["e"] > before, labels[x["k"]]).otherwise("")).alias("text"))
