@@ -6,16 +6,19 @@ belongs to one of ``CLASSES`` classes by its last two bytes, and a state emits i
 the class's probability times the word's share within the class. So the model is
 a distribution over all words, however many there are.
 
-Training: Baum-Welch. Each task runs scaled forward-backward over its texts (in
-segments of ``SEGMENT`` tokens) and emits expected counts by symbol; Spark adds them
+Training: Baum-Welch. Each task runs scaled forward-backward over its whole texts, many
+side by side, and emits expected counts by symbol; Spark adds them
 up over the partitions and the driver - which only ever holds symbols x states numbers -
 re-estimates. Every one of the ``PASSES`` rounds reads the whole training corpus; the
 first starts from the corpus-wide symbol counts, set apart between the states by a fixed
 random factor. Texts are turned into symbols once, in a table that all rounds and the scoring read.
+Memory does not grow with a text's length: forward vectors are kept at the borders of windows of steps only, and
+a window's own are worked out again on the way back. Texts over ``LONG_TEXT`` tokens are held back (two
+bytes a token) until ``HELD_BYTES`` of them, or the task's last, can go side by side.
 
 Scoring: the scaled forward recursion over each whole text gives its exact
-likelihood, in log10. Counts of the ``KNOWN`` most frequent words go to the tasks as a
-table of bounded size; a text's rarer words are joined with the counts by word, which
+likelihood, in log10. Counts of about ``KNOWN`` most frequent words (of those with the last count
+among them, the ones with the smallest hashes) go to the tasks as a table of bounded size; a text's rarer words are joined with the counts by word, which
 Spark can split, and summed by text.
 
 Defined cases: null and empty texts are the end token alone; rows without doc_id have the
@@ -33,15 +36,17 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import crc_remainder, fold, id_and_text, scan, ship, slices
 
 STATES, OWN, KNOWN, CLASSES = 8, 16_384, 131_072, 256
-SEGMENT, PASSES = 128, 8
+PASSES = 8
 CHUNK_BYTES = 1 << 20           # symbols (two bytes each) that forward-backward takes at one time
+LONG_TEXT, HELD_BYTES = 1024, 8 << 20
+WINDOW_CELLS = 1 << 19          # symbols whose forward vectors are held at one time: 64 bytes each, and as much for their emissions
 LONG, FLUSH_WORDS, SEED = 64, 250_000, 11
 
 _FOLD = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
@@ -143,46 +148,59 @@ def forward(m: Model, flat: np.ndarray, at: np.ndarray, lens: np.ndarray) -> np.
 
 
 def expected(m: Model, sequences: list[np.ndarray], counts: list[np.ndarray]) -> None:
-    """Adds the expected counts (start, move, emit) of the sequences' segments to ``counts``."""
-    at, lens, first, base = [], [], [], 0
-    for s in sequences:
-        cut = np.arange(0, len(s), SEGMENT)
-        at.append(cut + base)
-        lens.append(np.minimum(SEGMENT, len(s) - cut))
-        first.append(cut == 0)
-        base += len(s)
-    if not at:
+    """Adds the expected counts (start, move, emit) of whole sequences to ``counts``."""
+    sequences = sorted((x for x in sequences if len(x)), key=len, reverse=True)
+    if not sequences:
         return
-    flat, at, lens, first = np.concatenate(sequences), *map(np.concatenate, (at, lens, first))
-    order = np.argsort(-lens, kind="stable")
-    at, lens, first = at[order], lens[order], first[order]
+    flat, lens = np.concatenate(sequences), np.array([len(x) for x in sequences])
+    at = np.cumsum(lens) - lens
     n = _active(lens)
-    ends = np.cumsum(n)
-    places = np.concatenate([at[:k] + t for t, k in enumerate(n)])
-    obs = flat[places]
-    emit = m.emit[obs]
-    alpha = np.empty((len(obs), len(m.start)))
-    scale = np.empty(len(obs))
-    a = np.broadcast_to(m.start, (len(at), len(m.start)))
-    for t, (k, e) in enumerate(zip(n, ends)):
-        a = (a[:k] @ m.move if t else a[:k]) * emit[e - k:e]
-        s = a.sum(axis=1)
-        a = a / s[:, None]
-        alpha[e - k:e], scale[e - k:e] = a, s
+    ends = np.concatenate([[0], np.cumsum(n)])
+    cuts = [0]
+    while cuts[-1] < len(n):
+        cuts.append(min(len(n), max(cuts[-1] + 1, int(np.searchsorted(ends, ends[cuts[-1]] + WINDOW_CELLS, "right")) - 1)))
+
+    def window(lo: int, hi: int, a: np.ndarray):
+        """Symbols, emissions, forward vectors and scales of steps lo to hi; ``a``: the vectors of the step before."""
+        first = np.repeat(ends[lo:hi], n[lo:hi])
+        obs = flat[at[np.arange(ends[lo], ends[hi]) - first] + np.repeat(np.arange(lo, hi), n[lo:hi])]
+        emit = m.emit[obs]
+        alpha, scale = np.empty_like(emit), np.empty(len(obs))
+        e = 0
+        for t in range(lo, hi):
+            k = n[t]
+            here = alpha[e:e + k]
+            np.multiply(a[:k] @ m.move if t else a[:k], emit[e:e + k], out=here)
+            s = here.sum(axis=1, out=scale[e:e + k])
+            here /= s[:, None]
+            a, e = here, e + k
+        return obs, emit, alpha, scale
+
+    borders = [np.broadcast_to(m.start, (len(at), len(m.start)))]
+    for lo, hi in zip(cuts, cuts[1:]):
+        made = window(lo, hi, borders[-1])
+        borders.append(made[2][-n[hi - 1]:].copy())
     beta = np.ones((len(at), len(m.start)))
     move = np.zeros_like(m.move)
-    for t in range(len(n) - 1, -1, -1):
-        k, e = n[t], ends[t]
-        w = emit[e - k:e] * beta[:k] / scale[e - k:e, None] if t else None
-        if t:
-            move += alpha[e - k - n[t - 1]:e - k][:k].T @ w
-        alpha[e - k:e] *= beta[:k]
-        if t:
-            beta[:k] = w @ m.move.T
-    counts[0] += alpha[:n[0]][first].sum(axis=0)
+    for lo, hi, before in reversed(list(zip(cuts, cuts[1:], borders))):
+        obs, emit, alpha, scale = made if hi == len(n) else window(lo, hi, before)
+        emit /= scale[:, None]
+        e = len(obs)
+        for t in range(hi - 1, lo - 1, -1):
+            k = n[t]
+            if t:
+                w = emit[e - k:e] * beta[:k]
+                last = alpha[e - k - n[t - 1]:e - k] if t > lo else before
+                move += last[:k].T @ w
+                alpha[e - k:e] *= beta[:k]
+                np.matmul(w, m.move.T, out=beta[:k])
+            else:
+                alpha[:k] *= beta[:k]
+                counts[0] += alpha[:k].sum(axis=0)
+            e -= k
+        for i in range(len(m.start)):
+            counts[2][:, i] += np.bincount(obs, alpha[:, i], len(m.emit))
     counts[1] += move * m.move
-    for i in range(len(m.start)):
-        counts[2][:, i] += np.bincount(obs, alpha[:, i], len(m.emit))
 
 
 def _zeros(size: int) -> list[np.ndarray]:
@@ -243,14 +261,23 @@ def baum_welch(train: DataFrame, size: int, m: Model) -> Model:
     model = ship(train, m)
 
     def make():
-        counts = _zeros(size)
+        counts, held = _zeros(size), []
+
+        def learn_held():
+            expected(model.value, [unpacked(t) for t in held], counts)
+            held.clear()
 
         def add(columns, texts):
-            for lo, hi in slices(texts, CHUNK_BYTES):
-                expected(model.value, [unpacked(t) for t in texts[lo:hi]], counts)
+            held.extend(t for t in texts if len(t) > 2 * LONG_TEXT)
+            if sum(map(len, held)) > HELD_BYTES:
+                learn_held()
+            short = [t for t in texts if len(t) <= 2 * LONG_TEXT]
+            for lo, hi in slices(short, CHUNK_BYTES):
+                expected(model.value, [unpacked(t) for t in short[lo:hi]], counts)
             return False
 
         def flush():
+            learn_held()
             return {c: x.to_numpy() for c, x in _pack(counts).items()}
         return add, flush
 
@@ -259,28 +286,35 @@ def baum_welch(train: DataFrame, size: int, m: Model) -> Model:
     return estimate(*_unpack([tuple(r) for r in total.collect()], size))      # size rows: OWN + CLASSES + 10 at most
 
 
-def learn(train: DataFrame, n_train: int) -> tuple[DataFrame, Symbols, int | None]:
-    """All counts (a table), the shipped symbols, and the count from which words are in them."""
+def frequent_words(counts: DataFrame) -> Column:
+    """Whether a word (word, c) is one of about KNOWN most frequent ones: by a histogram of bounded size, and
+    where the words of its last step are too many, by their hashes."""
+    step = F.when(F.col("c") < 1024, F.col("c")).otherwise(F.floor(F.pow(2.0, F.floor(F.log2("c") * 16) / 16))).cast("long")
+    room, parts, short = KNOWN, 1 << 20, F.length("word") <= LONG
+    found = F.lit(False)
+    for r in sorted(counts.where(short).groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        if r["n"] <= room:
+            found, room = step >= F.lit(r["step"]), room - r["n"]
+        else:
+            found |= (step == F.lit(r["step"])) & (F.pmod(F.xxhash64("word"), F.lit(parts)) < int(room / r["n"] * parts))
+            break
+    return found & short
+
+
+def learn(train: DataFrame, n_train: int) -> tuple[DataFrame, Symbols, Column]:
+    """All counts (a table), the shipped symbols, and which words are in them."""
     counts = cut_lineage(count_tokens(train), "token-counts")
     sums = counts.agg(F.sum("c"), F.count("*")).first()
     total, distinct = (sums[0] or 0) + n_train, sums[1] + (n_train > 0)
-    # the count from which at most KNOWN words are frequent, from a histogram of bounded size
-    steps = F.when(F.col("c") < 1024, F.col("c")).otherwise(F.floor(F.pow(2.0, F.floor(F.log2("c") * 16) / 16)))
-    n, least = 0, None
-    for r in sorted(counts.groupBy(steps.cast("long").alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True):
-        n += r["n"]
-        if n > KNOWN:
-            break
-        least = r["step"]
-    frequent = counts.where((F.col("c") >= F.lit(least)) & (F.length("word") <= LONG)) if least is not None else counts.where("false")
-    words = sorted(((bytes(r["word"]), r["c"]) for r in frequent.collect()), key=lambda x: (-x[1], x[0]))
+    known = frequent_words(counts)
+    words = sorted(((bytes(r["word"]), r["c"]) for r in counts.where(known).collect()), key=lambda x: (-x[1], x[0]))
     classes = np.zeros((CLASSES, 2))
     by_class = F.crc32(F.expr("substring(word, -2)")) % CLASSES
     for r in counts.groupBy(by_class.alias("k")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
         classes[r["k"]] = r["c"], r["n"]
     for w, c in words[:OWN]:
         classes[class_of(w)] -= c, 1
-    return counts, Symbols(words, classes, total, distinct), least
+    return counts, Symbols(words, classes, total, distinct), known
 
 
 def encode(all_docs: DataFrame, symbols: Symbols, n_train: int) -> DataFrame:
@@ -321,7 +355,7 @@ def score(docs: DataFrame) -> DataFrame:
     all_docs = id_and_text(docs).withColumn("held_out", crc_remainder(F.col("doc_id"), 5) == 1)
     train = all_docs.where("not held_out").select("doc_id", "text")
     n_train = train.count()
-    counts, symbols, least = learn(train, n_train)
+    counts, symbols, known = learn(train, n_train)
     encoded = encode(all_docs, symbols, n_train)
     m = random_start(symbols.weight)
     for _ in range(PASSES if n_train else 0):
@@ -344,7 +378,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     scored = scan(encoded.select(*kept, "symbols"), make,
                   "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, inner double, log double")
-    others = counts.where((F.col("c") < F.lit(least)) | (F.length("word") > LONG)) if least is not None else counts
+    others = counts.where(~known)
     sums = F.array(*(F.lit(float(x)) for x in symbols.class_sum))
     c = F.coalesce("c", F.lit(0))
     rare = (encoded.select("row", F.explode("rare").alias("word")).join(others, "word", "left")
