@@ -1,15 +1,18 @@
 """SentencePiece encoding and decoding with a shared-prefix Viterbi.
 
-A text is cut at blanks into words, each marked with a leading U+2581. The
-distinct marked words of a slice of documents are sorted, which lays them out as
+A text, with one blank put before it, is cut into units: a run of blanks and the word after it, each blank written as U+2581. The
+distinct units of a slice of documents are sorted, which lays them out as
 the depth-first order of their trie, and segmented one after the other: the
-forward scores of the prefix shared with the word before are reused. A word's
+forward scores of the prefix shared with the unit before are reused. A unit's
 best segmentation maximises the summed piece scores; the pieces' order in the
-vocabulary stands for their frequency (score = -log(rank + 2)). Characters
+vocabulary stands for their frequency (score = -log(rank + 2)). Pieces are runs of blanks, or begin with
+one blank or none; as no piece goes on after a word's last letter, the best units make the best text. Characters
 without a piece become byte pieces, so decoding restores every text exactly.
 
-One pass without a shuffle; a task holds a slice of texts and at most
-``CACHE_WORDS`` segmented words. The vocabulary (bounded by its file) is read by
+One pass without a shuffle; a task holds a slice of texts and segmented units of at most about
+``CACHE_BYTES``. Units over ``LONG_UNIT`` characters (a text without blanks is one) are never remembered, and
+their search gives out what all its open paths agree on every ``LONG_UNIT`` characters, so that it holds no more than
+that and a few times the longest piece. The vocabulary (bounded by its file) is read by
 the driver from a path that is a parameter, and shipped.
 
 Defined cases: null and empty texts have no ids and decode to the empty text; a
@@ -19,6 +22,7 @@ space are kept; repeated rows give equal rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from hashlib import sha256
 from itertools import chain
 from math import log
@@ -33,25 +37,34 @@ from .common import id_and_text, scan, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_WORDS = 150_000
+LITERAL = "\ud800"              # stands for a U+2581 of the text itself; no text can hold it
+CACHE_BYTES = 64 << 20
+UNIT_BYTES, CHARACTER_BYTES = 200, 40       # about what a remembered unit takes, and each of its characters
+LONG_UNIT = 1 << 16
 BYTE_PENALTY = 10.0             # a byte piece costs this much more than the rarest piece
 
 
+_UNIT, _MARKS = re.compile(f"{MARK}+[^{MARK}]*"), re.compile(f"{MARK}*")
+
+
 class Vocabulary:
-    """Pieces by place: ``head`` starts a marked word, ``body`` continues it."""
+    """Pieces by place: ``head`` starts a marked word, ``body`` continues it, ``runs`` are blanks only (by their number)."""
 
     def __init__(self, pieces: list[tuple[str, int]], byte_ids: list[int]):
         self.byte_ids = byte_ids
         self.head: dict[str, tuple[float, int]] = {}
         self.body: dict[str, tuple[float, int]] = {}
+        self.runs: dict[int, tuple[float, int]] = {}
         self.spelling: dict[int, bytes] = {i: bytes([b]) for b, i in enumerate(byte_ids)}
         for rank, (piece, i) in enumerate(pieces):
             if MARK not in piece:
                 self.body[piece] = (-log(rank + 2), i)
             elif piece.rfind(MARK) == 0:
                 self.head[piece] = (-log(rank + 2), i)
-            else:
-                continue
+            elif piece.count(MARK) < len(piece):
+                raise ValueError(f"the piece {piece!r} goes on after a word's end")
+            if piece.count(MARK) == len(piece):
+                self.runs[len(piece)] = (-log(rank + 2), i)
             self.spelling[i] = piece.replace(MARK, " ").encode()
         self.byte_score = -log(len(pieces) + 2) - BYTE_PENALTY
         self.ends: dict = {}            # trie of the body pieces read backwards; at key 0 the piece's (score, ids)
@@ -61,6 +74,7 @@ class Vocabulary:
                 node = node.setdefault(c, {})
             node[0] = (score, (i,))
         self.longest = max(map(len, chain(self.head, self.body)), default=1)
+        self.reach = max(self.longest, *self.runs, 1)       # no piece is longer
 
 
 def load(model: str = MODEL) -> Vocabulary:
@@ -73,68 +87,126 @@ def load(model: str = MODEL) -> Vocabulary:
                       [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
 
 
-def segment(words: list[str], v: Vocabulary) -> dict[str, tuple[int, ...]]:
-    """Best segmentation of every word, in sorted order with shared forward scores."""
+def advance(unit: str, marks: int, lo: int, hi: int, v: Vocabulary, best: list[float], back: list, gone: int = 0) -> None:
+    """Viterbi for the prefixes of ``lo`` to ``hi`` - 1 characters; the unit begins with ``marks`` blanks. best[j - gone]: score of the best path to
+    character j, back[j - gone]: where its last piece begins and that piece's ids."""
+    head, body, ends, longest = v.head, v.body, v.ends, v.longest
+    word = marks - 1                                  # the last blank belongs to the word's first piece, or not
+    for j in range(lo, min(hi, marks + 1)):           # inside the run of blanks
+        top, came = -1e300, None
+        for n, (score, i) in v.runs.items():
+            if n <= j and best[j - n - gone] + score > top:
+                top, came = best[j - n - gone] + score, (j - n, (i,))
+        if 1 not in v.runs and best[j - 1 - gone] + v.byte_score > top:
+            top, came = best[j - 1 - gone] + v.byte_score, (j - 1, (v.byte_ids[32],))
+        best.append(top)
+        back.append(came)
+    for j in range(max(lo, marks + 1), hi):
+        top, came = -1e300, None
+        node, i = ends, j
+        while i > marks:                              # pieces that end here, from the shortest on
+            i -= 1
+            node = node.get(unit[i])
+            if node is None:
+                break
+            hit = node.get(0)
+            if hit is not None and best[i - gone] + hit[0] > top:
+                top, came = best[i - gone] + hit[0], (i, hit[1])
+        if j - word <= longest:                       # a piece that starts the word
+            hit = head.get(unit[word:j])
+            if hit is not None and best[word - gone] + hit[0] > top:
+                top, came = best[word - gone] + hit[0], (word, (hit[1],))
+        c = unit[j - 1]
+        if c not in body:                             # no piece of its own: spelt in bytes
+            raw = MARK.encode() if c == LITERAL else c.encode("utf-8", "surrogateescape")
+            if best[j - 1 - gone] + v.byte_score * len(raw) > top:
+                top, came = best[j - 1 - gone] + v.byte_score * len(raw), (j - 1, tuple(v.byte_ids[b] for b in raw))
+        best.append(top)
+        back.append(came)
+
+
+def walk(back: list, start: int, end: int, gone: int = 0) -> list:
+    """The ids of the path from character ``end`` back to ``start``, in order."""
+    path = []
+    while end > start:
+        end, ids = back[end - gone]
+        path.append(ids)
+    return list(chain.from_iterable(reversed(path)))
+
+
+def segment(units: list[str], v: Vocabulary) -> dict[str, tuple[int, ...]]:
+    """Best segmentation of every unit, in sorted order with shared forward scores."""
     out: dict[str, tuple[int, ...]] = {}
-    best: list[float] = [0.0]                     # best[j]: score of the best path to character j
-    back: list[tuple[int, tuple[int, ...]]] = [(0, ())]
+    best: list[float] = [0.0]
+    back: list = [(0, ())]
     before = ""
-    head, body, ends, longest = v.head, v.body, v.ends, v.longest
-    for word in sorted(words):
+    for unit in sorted(units):
         shared = 0
-        for a, b in zip(before, word):
+        for a, b in zip(before, unit):
             if a != b:
                 break
             shared += 1
         del best[shared + 1:], back[shared + 1:]
-        for j in range(shared + 1, len(word) + 1):
-            top, came = -1e300, None
-            node, i = ends, j
-            while i > 1:                              # pieces that end here, from the shortest on
-                i -= 1
-                node = node.get(word[i])
-                if node is None:
-                    break
-                hit = node.get(0)
-                if hit is not None and best[i] + hit[0] > top:
-                    top, came = best[i] + hit[0], (i, hit[1])
-            if j <= longest:                          # a piece that starts the word
-                hit = head.get(word[:j])
-                if hit is not None and hit[0] > top:
-                    top, came = hit[0], (0, (hit[1],))
-            if (body if j > 1 else head).get(word[j - 1]) is None:      # no piece of its own: spelt in bytes
-                raw = word[j - 1].encode("utf-8", "surrogateescape")
-                if best[j - 1] + v.byte_score * len(raw) > top:
-                    top, came = best[j - 1] + v.byte_score * len(raw), (j - 1, tuple(v.byte_ids[b] for b in raw))
-            best.append(top)
-            back.append(came)
-        path, j = [], len(word)
-        while j:
-            j, ids = back[j]
-            path.append(ids)
-        out[word] = tuple(chain.from_iterable(reversed(path)))
-        before = word
+        advance(unit, _MARKS.match(unit).end(), shared + 1, len(unit) + 1, v, best, back)
+        out[unit] = tuple(walk(back, 0, len(unit)))
+        before = unit
     return out
 
 
+def segment_long(unit: str, v: Vocabulary) -> list[int]:
+    """The same for one unit of any length, in bounded memory: later pieces reach back ``reach`` characters at most, so
+    what all paths from these share is settled."""
+    out: list[int] = []
+    best, back, gone, marks = [0.0], [(0, ())], 0, _MARKS.match(unit).end()
+    for lo in range(1, len(unit) + 1, LONG_UNIT):
+        hi = min(lo + LONG_UNIT, len(unit) + 1)
+        advance(unit, marks, lo, hi, v, best, back, gone)
+        open_ends = set(range(max(gone, hi - 1 - v.reach), hi))
+        while len(open_ends) > 1:
+            last = max(open_ends)
+            open_ends.remove(last)
+            open_ends.add(back[last - gone][0] if last > gone else gone)
+        settled = min(open_ends)
+        out += walk(back, gone, settled, gone)
+        del best[:settled - gone], back[:settled - gone]
+        gone = settled
+    return out + walk(back, gone, len(unit), gone)
+
+
 def words_of(text: bytes) -> list[str]:
-    return [MARK + w for w in text.decode("utf-8", "surrogateescape").split(" ")] if text else []
+    """The units of a text."""
+    if not text:
+        return []
+    plain = text.decode("utf-8", "surrogateescape").replace(MARK, LITERAL)
+    if "  " in plain or plain[0] == " ":
+        return _UNIT.findall(MARK + plain.replace(" ", MARK))
+    return [MARK + w for w in plain.split(" ")]
 
 
 class Encoder:
-    """Segments slices of texts; remembers a bounded number of words."""
+    """Segments slices of texts; remembers units of a bounded size."""
 
     def __init__(self, v: Vocabulary):
-        self.v, self.known = v, {}
+        self.v, self.known, self.size = v, {}, 0
 
     def encode(self, texts: list[bytes]) -> list[list[int]]:
         cut = [words_of(t) for t in texts]
-        fresh = set(chain.from_iterable(cut)).difference(self.known)
-        if len(self.known) + len(fresh) > CACHE_WORDS:
-            self.known = {}
-            fresh = set(chain.from_iterable(cut))
-        self.known |= segment(list(fresh), self.v)
-        return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in cut]
+        units = set(chain.from_iterable(cut))
+        long = {u: segment_long(u, self.v) for u in units if len(u) > LONG_UNIT}
+        fresh = units.difference(self.known, long)
+        size = sum(UNIT_BYTES + CHARACTER_BYTES * len(u) for u in fresh)
+        if self.size + size > CACHE_BYTES:
+            self.known, self.size = {}, 0
+            fresh = units.difference(long)
+            size = sum(UNIT_BYTES + CHARACTER_BYTES * len(u) for u in fresh)
+        found = segment(list(fresh), self.v)
+        if size <= CACHE_BYTES:
+            self.known |= found
+            self.size += size
+            found = self.known
+        if long:
+            found = found | long
+        return [list(chain.from_iterable(map(found.__getitem__, words))) for words in cut]
 
 
 def decode_ids(ids, v: Vocabulary) -> bytes:
