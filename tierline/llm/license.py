@@ -4,7 +4,8 @@ Markup: plain words are mandatory, ``[[ ... ]]`` is optional (may nest),
 ``<<0-6>>`` is replaceable by that many words of any kind. A template compiles
 to a small nondeterministic automaton over words (:func:`compile_template`); a place
 in a text is accepted when the automaton reaches its end there, so the mandatory
-wording matches exactly. One pass over whole texts, no shuffle.
+wording matches exactly. Licences are whole texts: a grant whose later conditions were changed gets no label.
+A label may have several templates. One pass over whole texts, no shuffle.
 
 Defined cases: null and empty texts have no words, no labels, score 0; repeated
 rows give equal rows; other columns are ignored. ``score`` is the share of a
@@ -23,20 +24,57 @@ from .common import id_and_text, scan
 # fixed values: the base phrases and their labels
 BASE = {"mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-# notices and grants in markup, by the label they prove
-TEMPLATES = {
+_SUBJECT = "without warranty of any kind express or implied including but not limited to the warranties of merchantability"
+_BSD_END = ("this software is provided by <<1-12>> as is and any express or implied warranties including but not limited to the "
+            "implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<1-12>> be liable "
+            "for any direct indirect incidental special exemplary or consequential damages including but not limited to "
+            "procurement of substitute goods or services loss of use data or profits or business interruption however caused "
+            "and on any theory of liability whether in contract strict liability or tort including negligence or otherwise "
+            "arising in any way out of the use of this software even if advised of the possibility of such damage")
+_BSD_BEGIN = ("redistribution and use in source and binary forms with or without modification are permitted provided that the "
+              "following conditions are met [[1]] redistributions of source code must retain the above copyright notice this list "
+              "of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above copyright "
+              "notice this list of conditions and the following disclaimer in the documentation and or other materials provided "
+              "with the distribution")
+
+# whole licence texts, and notices that are complete in themselves, in markup, by the label they prove
+TEMPLATES: dict[str, str | tuple[str, ...]] = {
+    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+                "documentation files the software to deal in the software without restriction including without limitation the "
+                "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+                "persons to whom the software is furnished to do so subject to the following conditions the above copyright "
+                "notice and this permission notice [[including the next paragraph]] shall be included in all copies or "
+                f"substantial portions of the software the software is provided as is {_SUBJECT} fitness for a particular purpose "
+                "and noninfringement in no event shall <<1-8>> be liable for any claim damages or other liability whether in an "
+                "action of contract tort or otherwise arising from out of or in connection with the software or the use or other "
+                "dealings in the software [[except as contained in this notice <<1-60>>]]",
+    "bsd-2-text": f"{_BSD_BEGIN} {_BSD_END}",
+    "bsd-3-text": f"{_BSD_BEGIN} [[3]] neither the name of <<1-12>> nor the names of [[its]] [[any]] [[other]] contributors may be used to "
+                  f"endorse or promote products derived from this software without specific prior written permission {_BSD_END}",
+    "isc-text": "permission to use copy modify [[and]] [[or]] distribute this software for any purpose with or without fee is hereby "
+                "granted provided that the above copyright notice and this permission notice appear in all copies the software is "
+                "provided as is and <<1-8>> [[disclaim]] [[disclaims]] all warranties with regard to this software including all implied "
+                "warranties of merchantability and fitness in no event shall <<1-8>> be liable for any special direct indirect or "
+                "consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action "
+                "of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "zlib-text": "this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+                 "for any damages arising from the use of this software permission is granted to anyone to use this software for any "
+                 "purpose including commercial applications and to alter it and redistribute it freely subject to the following "
+                 "restrictions [[1]] the origin of this software must not be misrepresented you must not claim that you wrote the "
+                 "original software if you use this software in a product an acknowledgment in the product documentation would be "
+                 "appreciated but is not required [[2]] altered source versions must be plainly marked as such and must not be "
+                 "misrepresented as being the original software [[3]] this notice may not be removed or altered from any source distribution",
+    "apache-2-text": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the "
+                     "license you may obtain a copy of the license at [[http]] [[https]] www apache org licenses license 2 0 unless "
+                     "required by applicable law or agreed to in writing software distributed under the license is distributed on an "
+                     "as is basis without warranties or conditions of any kind either express or implied see the license for the "
+                     "specific language governing permissions and limitations under the license",
     "mit-notice": "[[released]] [[licensed]] under the [[terms of the]] mit license",
-    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this "
-                 "<<1-4>> [[and associated documentation files]] [[the software]] to deal in the <<1-3>> without restriction",
     "apache-2-notice": "licensed under the apache license version 2 [[0]] [[the license]]",
-    "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted "
-                 "provided that the following conditions are met",
-    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee "
-                 "is hereby granted provided that the above copyright notice",
     "gpl-notice": "under the terms of the gnu [[lesser]] [[affero]] general public license as published by the "
                   "free software foundation",
     "gpl-version": "gnu [[lesser]] [[affero]] general public license [[as published by <<0-6>>]] version <<1-1>>",
-    "mpl-2-notice": "subject to the terms of the mozilla public license v [[ersion]] 2 0",
+    "mpl-2-notice": ("subject to the terms of the mozilla public license v 2 0", "subject to the terms of the mozilla public license version 2 0"),
     "cc-by-nc-notice": "licensed under [[a]] [[the]] [[creative commons]] cc by nc [[sa]] [[nd]] <<0-2>> [[international]] [[license]]",
     "cc-by-notice": "licensed under [[a]] [[the]] creative commons attribution <<0-4>> license",
     "proprietary": "copyright [[c]] <<1-6>> all rights reserved",
@@ -124,9 +162,10 @@ def compile_template(markup: str) -> Automaton:
     return a
 
 
-def compiled(templates: dict[str, str]) -> list[tuple[str, Automaton, bytes]]:
-    """(label, automaton, its longest mandatory word): a text without that word cannot match."""
-    made = [(label, compile_template(text)) for label, text in templates.items()]
+def compiled(templates: dict[str, str | tuple[str, ...]]) -> list[tuple[str, Automaton, bytes]]:
+    """(label, automaton, its longest mandatory word) of every template: a text without that word cannot match."""
+    made = [(label, compile_template(text)) for label, texts in templates.items()
+            for text in ((texts,) if isinstance(texts, str) else texts)]
     return [(label, a, max(a.mandatory, key=len)) for label, a in made]
 
 
@@ -145,7 +184,7 @@ def count_words(text: bytes) -> int:
     return int(inside[:1].sum() + (inside[1:] & ~inside[:-1]).sum())
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str | tuple[str, ...]] = TEMPLATES) -> DataFrame:
     """One row per document; ``places`` lists the accepted places as label:start:end."""
 
     def make():
