@@ -1,10 +1,11 @@
 """Secret scan: known forms of keys, and windows of high entropy in candidate strings.
 
 Base forms are regular expressions (leftmost, not overlapping, by kind). The
-entropy method slides a window over every candidate string, keeps the counts of
-its characters incrementally, and flags windows whose Shannon entropy exceeds the
-threshold of the string's character class; strings on the allow-list and strings
-that overlap a base span add nothing. One pass over whole texts, no shuffle.
+entropy method cuts every candidate string into maximal runs of one character class - hexadecimal digits,
+letters, letters and digits, all of base 64 - slides a window over each, keeps the counts of
+its characters incrementally, and flags windows whose Shannon entropy reaches the
+threshold of that class. So a prefix, or what a key is joined to, does not change how the key itself is
+judged. Runs on the allow-list add nothing, nor do spans that overlap a base span. One pass over whole texts, no shuffle.
 
 Defined cases: null and empty texts have no spans; repeated rows give equal rows;
 other columns are ignored; spans count code points, the end is exclusive.
@@ -22,11 +23,12 @@ from .common import id_and_text, scan
 
 KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
-#: bits per character of a window, by the smallest class that holds the string
-THRESHOLDS = {"hex": 3.0, "alnum": 3.75, "base64": 3.75}
+#: bits per character of a window, by the class of its run. Few signs can say less; letters
+#: alone also spell words and names, whose windows stay below 4
+THRESHOLDS = {"hex": 3.0, "letters": 4.0, "alnum": 3.75, "base64": 3.75}
 ALLOWED = (r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",        # a UUID
            r"[0-9]{4}-[0-9]{2}-[0-9]{2}T?[0-9-]*",                                  # a date
-           r"[A-Za-z]*[_/+=-]*", r"[0-9_/+=-]+",                                    # only letters, only digits
+           r"[A-Za-z]*[_/+=-]+", r"[0-9_/+=-]+",                                    # a word and marks, digits and marks
            r"(?:[A-Za-z]+[0-9]{0,4}[/_+=-]+)+[A-Za-z]*[0-9]{0,4}")                  # words joined by marks
 
 # fixed values: the base forms
@@ -36,37 +38,65 @@ _HEX = re.compile(r"[0-9a-f]+")
 
 _HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}")
-_CLASSES = (("hex", re.compile(r"[0-9a-fA-F]+\Z")), ("alnum", re.compile(r"[0-9A-Za-z]+\Z")))
+_MARKS = re.compile(r"[+/_=-]")
+_ALNUM, _HEX_RUN = re.compile(rf"[A-Za-z0-9]{{{WINDOW},}}"), re.compile(rf"[0-9A-Fa-f]{{{WINDOW},}}")
+_LETTERS = re.compile(r"[A-Za-z]+")
 _C_LOG_C = [0.0] + [c * log2(c) for c in range(1, WINDOW + 2)]
 
 
-def entropy_spans(text: str, allowed: list, thresholds: dict[str, float]) -> list[tuple[int, int]]:
-    """Maximal unions of windows above their class's threshold."""
+def windows_above(s: str, least: float) -> list[tuple[int, int]]:
+    """Maximal unions of windows of ``s`` with an entropy of ``least`` or more."""
     spans = []
+    counts: dict[str, int] = {}
+    total, start, end = 0.0, -1, -1                     # total: sum of c * log2(c) over the window
+    most = WINDOW * (log2(WINDOW) - least) + 1e-9
+    for i, c in enumerate(s):
+        k = counts.get(c, 0)
+        counts[c] = k + 1
+        total += _C_LOG_C[k + 1] - _C_LOG_C[k]
+        if i >= WINDOW:
+            old = s[i - WINDOW]
+            k = counts[old]
+            counts[old] = k - 1
+            total += _C_LOG_C[k - 1] - _C_LOG_C[k]
+        if i >= WINDOW - 1 and total <= most:
+            if i - WINDOW + 1 > end:
+                if start >= 0:
+                    spans.append((start, end))
+                start = i - WINDOW + 1
+            end = i + 1
+    if start >= 0:
+        spans.append((start, end))
+    return spans
+
+
+def class_runs(candidate: str) -> list[tuple[str, int, int]]:
+    """(class, start, end) of the maximal runs of every class in a candidate; a run of hexadecimal digits within a
+    longer run is judged for itself, runs of a wider class that add no sign to a smaller one are not."""
+    runs = [("base64", 0, len(candidate))] if _MARKS.search(candidate) else []
+    for m in _ALNUM.finditer(candidate):
+        if _LETTERS.fullmatch(m.group()):
+            runs.append(("letters", *m.span()))
+        elif not _HEX_RUN.fullmatch(m.group()):
+            runs.append(("alnum", *m.span()))
+    return runs + [("hex", *m.span()) for m in _HEX_RUN.finditer(candidate)]
+
+
+def entropy_spans(text: str, allowed: list, thresholds: dict[str, float]) -> list[tuple[int, int]]:
+    """Unions of the windows above their class's threshold, in order."""
+    found = []
     for m in _CANDIDATE.finditer(text):
         s = m.group()
-        if any(p.fullmatch(s) for p in allowed):
-            continue
-        least = thresholds[next((n for n, p in _CLASSES if p.match(s)), "base64")]
-        counts: dict[str, int] = {}
-        total, start, end = 0.0, -1, -1                 # total: sum of c * log2(c) over the window
-        for i, c in enumerate(s):
-            k = counts.get(c, 0)
-            counts[c] = k + 1
-            total += _C_LOG_C[k + 1] - _C_LOG_C[k]
-            if i >= WINDOW:
-                old = s[i - WINDOW]
-                k = counts[old]
-                counts[old] = k - 1
-                total += _C_LOG_C[k - 1] - _C_LOG_C[k]
-            if i >= WINDOW - 1 and log2(WINDOW) - total / WINDOW >= least:
-                if i - WINDOW + 1 > end:
-                    if start >= 0:
-                        spans.append((m.start() + start, m.start() + end))
-                    start = i - WINDOW + 1
-                end = i + 1
-        if start >= 0:
-            spans.append((m.start() + start, m.start() + end))
+        for name, start, end in class_runs(s):
+            run = s[start:end]
+            if not any(p.fullmatch(run) for p in allowed):
+                found += [(m.start() + start + a, m.start() + start + b) for a, b in windows_above(run, thresholds[name])]
+    spans: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if spans and a <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
+        else:
+            spans.append((a, b))
     return spans
 
 
