@@ -2,10 +2,13 @@
 
 Texts are normalised to lower-cased words with one blank between and around
 them; every window of ten item words is a pattern, so a hit is a run of whole
-words. The automaton is read-only in every task; each document is scanned
-once and the hit words are mapped back to code points of the original text.
-The benchmark goes to the tasks in groups of at most ``GROUP_BYTES`` text, each
-one narrow pass that adds to the hits; a usual benchmark is one group.
+words. Each document is scanned once by an automaton and the hit words are mapped back to code points of the
+original text in one pass.
+
+A usual benchmark is one group, one automaton, one pass without a shuffle. A larger one is written to the shared folder in
+groups of about ``GROUP_BYTES``, dealt by a hash of its items (long items in overlapping parts of ``PART_WORDS`` words); then the groups are taken one
+after the other: the driver holds one group's text, a task one group's automaton, and each pass writes the hits of the documents
+that have some. Runs and items are put together by document at the end.
 
 Defined cases: null or empty texts and items have no words and no windows; an
 item without id is unused; an id given twice is one item with the windows of
@@ -15,17 +18,21 @@ both rows; repeated documents give equal rows; an empty benchmark hits nothing.
 from __future__ import annotations
 
 import re
-from hashlib import sha256
+from collections.abc import Iterator
+from math import ceil
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage, shared_scratch
 from .common import id_and_text, scan, ship, text_bytes
 
 WINDOW_WORDS = 10
 GROUP_BYTES = 512 << 10         # benchmark text in one automaton: tens of MB of nodes
+PART_WORDS = 5000
 
 _FOLD = bytes((i + 32 if 65 <= i <= 90 else i) if chr(i).isascii() and chr(i).isalnum() or i > 127 else 32
               for i in range(256))
@@ -81,59 +88,90 @@ def merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def to_original(text: bytes, runs: list[tuple[int, int]]) -> list[str]:
-    """Runs of words as start:end in code points of the text as it was."""
-    at = [m.span() for m in _WORD.finditer(text)]
-    point = lambda b: len(text[:b].decode("utf-8", "surrogateescape"))
-    return [f"{point(at[s][0])}:{point(at[e - 1][1])}" for s, e in runs]
-
-
-def groups(benchmark: DataFrame, limit: int = GROUP_BYTES) -> list[list[tuple[str, bytes]]]:
-    """The items in lists of at most ``limit`` bytes, read one partition at a time."""
-    out, size = [[]], 0
-    rows = benchmark.select(benchmark["item_id"].cast("string").alias("i"),
-                            F.coalesce(benchmark["text"].cast("string"), F.lit("")).alias("t"))
-    for r in rows.where("i is not null").toLocalIterator():
-        text = r["t"].encode("utf-8", "surrogateescape")
-        if out[-1] and size + len(text) > limit:
-            out.append([])
-            size = 0
-        out[-1].append((r["i"], text))
-        size += len(text)
-    return out
+    """Runs of words (in order) as start:end in code points of the text as it was; every byte is decoded once."""
+    out, at, point = [], 0, 0
+    want = iter([k for s, e in runs for k in (s, e - 1)])
+    k, first = next(want, None), True
+    for n, m in enumerate(_WORD.finditer(text)):
+        while n == k:
+            to = m.start() if first else m.end()
+            point += len(text[at:to].decode("utf-8", "surrogateescape"))
+            at = to
+            out.append(point)
+            k, first = next(want, None), not first
+        if k is None:
+            break
+    return [f"{s}:{e}" for s, e in zip(out[::2], out[1::2])]
+
+
+def groups(benchmark: DataFrame, limit: int = GROUP_BYTES, *, width: int = WINDOW_WORDS) -> Iterator[list[tuple[str, bytes]]]:
+    """The items, one group of about ``limit`` bytes at a time; long items come in parts that share all windows."""
+    items = benchmark.select(benchmark["item_id"].cast("string").alias("i"),
+                             F.coalesce(benchmark["text"].cast("string"), F.lit("")).alias("t")).where("i is not null")
+    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    n_groups = ceil(total / limit)
+    if n_groups <= 1:
+        yield [(r["i"], r["t"].encode("utf-8", "surrogateescape")) for r in items.where("t <> ''").collect()]     # limit bytes at most
+        return
+    def cut(batches):
+        for batch in batches:
+            ids, texts = [], []
+            for i, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+                words = words_of(t)
+                for at in range(0, max(1, len(words) - width + 1) if words else 0, PART_WORDS):
+                    ids.append(i)
+                    texts.append(b" ".join(words[at:at + PART_WORDS + width - 1]))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.binary())], names=["i", "t"])
+
+    parts = cut_lineage(items.mapInArrow(cut, "i string, t binary").withColumn(
+        "part_of", F.pmod(F.xxhash64("i", "t"), F.lit(n_groups))), "benchmark-groups")
+    for k in range(n_groups):
+        yield [(r["i"], bytes(r["t"])) for r in parts.where(F.col("part_of") == k).collect()]
+
+
+_HITS = "n_words long, runs array<struct<s:long,e:long>>, spans array<string>, items array<string>"
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
     """doc_id, n_words, runs (word runs hit), spans (the same in the original text), items."""
-    schema = "doc_id long, n_words long, runs array<struct<s:long,e:long>>, spans array<string>, items array<string>"
-    df = id_and_text(docs).select("doc_id", F.expr("cast(null as array<struct<s:long,e:long>>)").alias("runs"),
-                                  F.expr("cast(null as array<string>)").alias("items"), "text")
-    lists = groups(benchmark)
-    for k, items in enumerate(lists):
-        last = k == len(lists) - 1
-        df = scan(df, _pass(ship(docs, items), width, last),
-                  schema if last else "doc_id long, runs array<struct<s:long,e:long>>, items array<string>, text binary")
-    return df
-
-
-def _pass(items, width: int, last: bool):
+    left = groups(benchmark, width=width)
+    items, following = next(left), next(left, None)
+    if following is None:
+        return scan(id_and_text(docs), _pass(ship(docs, items), width), f"doc_id long, {_HITS}")
+    rows = cut_lineage(id_and_text(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "documents")
+    folder, k = shared_scratch(rows.sparkSession, "hits"), 0
+    while items is not None:
+        hit = scan(rows.select("row", "text"), _pass(ship(docs, items), width, "row"), f"row long, {_HITS}").where("size(runs) > 0")
+        hit.select("row", "runs", "items").write.parquet(f"{folder}/{k}")
+        items, following, k = following, next(left, None), k + 1
+    found = rows.sparkSession.read.parquet(*(f"{folder}/{i}" for i in range(k))).groupBy("row").agg(
+        F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    joined = rows.join(cut_lineage(found, "hits"), "row", "left")
+    none = F.expr("cast(array() as array<string>)")
+    return scan(joined.select("doc_id", "runs", F.coalesce("items", none).alias("items"), "text"), _together, f"doc_id long, {_HITS}")
+
+
+def _pass(items, width: int, key: str = "doc_id"):
     def make():
         a = automaton(windows(items.value, width))
 
         def work(columns, texts):
-            out = {"doc_id": columns[0], "n_words": [], "runs": [], "spans": [], "items": [], "text": []}
-            for before, ids, text in zip(columns[1], columns[2], texts):
-                n, runs, found = hits(text, a)
-                runs = merge(runs + [(r["s"], r["e"]) for r in before or ()])
-                out["n_words"].append(n)
-                out["runs"].append([{"s": s, "e": e} for s, e in runs])
-                out["items"].append(sorted(found | set(ids or ())))
-                out["spans"].append(to_original(text, runs) if last else [])
-                out["text"].append(None if last else text)
-            return out
+            got = [hits(t, a) for t in texts]
+            return {key: columns[0], "n_words": [n for n, _, _ in got], "runs": [[{"s": s, "e": e} for s, e in runs] for _, runs, _ in got],
+                    "spans": [to_original(t, runs) if key == "doc_id" else [] for t, (_, runs, _) in zip(texts, got)],
+                    "items": [sorted(found) for _, _, found in got]}
         return work
     return make
 
 
+def _together():
+    def work(columns, texts):
+        runs = [merge([(r["s"], r["e"]) for r in x or ()]) for x in columns[1]]
+        return {"doc_id": columns[0], "n_words": [len(words_of(t)) for t in texts], "runs": [[{"s": s, "e": e} for s, e in x] for x in runs],
+                "spans": [to_original(t, x) for t, x in zip(texts, runs)], "items": columns[2]}
+    return work
+
+
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The digest per document: counts, items, whether it is contaminated."""
     m = mark(docs, benchmark)
@@ -144,9 +182,10 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no window of the benchmark."""
-    out = docs
-    for items in groups(benchmark):
+    """The rows of ``docs``, all columns, that hold no window of the benchmark. With several groups, what is left is written between them."""
+    out, left = docs, groups(benchmark, width=width)
+    items = next(left)
+    while items is not None:
         shipped = ship(docs, items)
 
         def keep(batches, shipped=shipped):
@@ -155,5 +194,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS) -> D
                 texts = batch.column(batch.schema.get_field_index("text"))
                 mask = [not hits(t, a)[1] for t in text_bytes(texts)]
                 yield batch.filter(np.array(mask, bool)) if batch.num_rows else batch
-        out = out.mapInArrow(keep, out.schema)
+        out, items = out.mapInArrow(keep, out.schema), next(left, None)
+        if items is not None:
+            out = cut_lineage(out, "clean")
     return out
