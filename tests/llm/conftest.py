@@ -10,6 +10,7 @@ from tierline.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="tierline-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app_name="tierline-tests", shuffle_partitions=4,
+                      extra_conf={"spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"})   # many short plans: compile less
     yield s
     s.stop()

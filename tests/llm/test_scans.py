@@ -40,6 +40,48 @@ def test_exact_with_colliding_hashes_and_doubling(spark):
     assert by_id(weak) == exact_brute(rows())
 
 
+def test_exact_directory_splits_only_overfull_buckets(spark):
+    """A skewed hash: most hashes share 20 leading bits, others are spread; one hash alone is too much for a bucket."""
+    import random
+    rng = random.Random(2)
+    top = lambda x: x - (1 << 64) if x >> 63 else x
+    hashes = {top((0xABCDE << 44) + rng.getrandbits(44)): 1 for _ in range(900)} | {top(rng.getrandbits(64)): 1 for _ in range(300)} | {77: 500}
+    got = exact.directory(spark.createDataFrame(list(hashes.items()), "h long, weight long"), 40).orderBy("bucket").collect()
+    held = {r["bucket"]: [h for h in hashes if r["depth"] == 0 or (h % (1 << 64)) >> (64 - r["depth"]) == r["prefix"]] for r in got}
+    assert sorted(h for hs in held.values() for h in hs) == sorted(hashes)                 # each hash in one bucket
+    assert all(r["weight"] == sum(hashes[h] for h in held[r["bucket"]]) for r in got)
+    assert all(r["weight"] <= 40 or len(held[r["bucket"]]) == 1 for r in got)
+    for r in got:                                                                          # every split was of an overfull bucket
+        up = sum(w for h, w in hashes.items() if (h % (1 << 64)) >> (65 - r["depth"]) == r["prefix"] >> 1)
+        assert up > 40
+    assert len({r["depth"] for r in got}) > 5 and max(r["depth"] for r in got) > 20
+    first = [min((h % (1 << 64)) for h in held[r["bucket"]]) for r in got]
+    owners = [r["owner"] for r in got]
+    assert first == sorted(first) and owners == sorted(owners) and len(set(owners)) > 10     # owners have ranges of hashes
+    few = exact.directory(spark.createDataFrame([(5, 3), (-5, 3)], "h long, weight long"), 40).collect()
+    assert [(r["depth"], r["prefix"], r["weight"]) for r in few] == [(0, 0, 6)]
+
+
+@pytest.mark.parametrize("bucket_entries", [3, 50, 100_000])
+def test_exact_with_skewed_hashes_and_hot_copies(spark, bucket_entries):
+    """Few leading bits, colliding chains, copies above and below the mark for hot ones."""
+    from pyspark.sql import functions as F
+    data = rows() + [(1000 + i, "hot \t copy") for i in range(300)] + [(None, "hot copy")] + [(2000 + i, f"t{i % 90}") for i in range(200)]
+    for hash_fn in (lambda t: F.shiftrightunsigned(F.xxhash64(t), 20), lambda t: F.pmod(F.xxhash64(t), F.lit(5)), lambda t: F.lit(-1).cast("long")):
+        assert by_id(exact.find_duplicates(odd(spark, data), hash_fn, bucket_entries)) == exact_brute(data)
+
+
+def test_exact_index_lines_come_from_chains(spark):
+    """One line a text, in the bucket of its hash, also where all texts share a hash."""
+    from pyspark.sql import functions as F
+    base = odd(spark).select("doc_id", exact.normalised(F.col("text")).alias("text")).withColumn("h", F.pmod(F.xxhash64("text"), F.lit(3)))
+    lines = base.select("doc_id", "h", exact.digest(F.col("text")).alias("digest"), F.octet_length("text").alias("n_bytes"))
+    index = exact.build_index(base, lines, 4).collect()
+    texts = {t for _, t in base.select("h", "text").collect()}
+    assert len(index) == len(texts) and sum(r["group_size"] for r in index) == len(rows())
+    assert len({(r["bucket"], r["h"]) for r in index}) == 3 < len(index)
+
+
 def test_exact_on_documents(spark):
     assert by_id(queries.op8_exact_dedup(spark, SF)) == exact_brute(load(spark))
     kept = by_id(exact.unique_rows(table(spark, SF, "documents")).select("doc_id"))
@@ -174,25 +216,74 @@ def test_decontamination_odd_cases(spark):
 
 # ---- op10 -----------------------------------------------------------------
 def viterbi_brute(word, v):
+    """Any piece at any place."""
+    pieces_of = {**v.body, **v.head, **{"▁" * n: x for n, x in v.runs.items()}}
     best = {0: (0.0, ())}
     for j in range(1, len(word) + 1):
         got = []
         for i in range(j):
-            hit = (v.body if i else v.head).get(word[i:j])
+            hit = pieces_of.get(word[i:j])
             if hit:
                 got.append((best[i][0] + hit[0], best[i][1] + (hit[1],)))
-        if (v.body if j > 1 else v.head).get(word[j - 1]) is None:
-            raw = word[j - 1].encode()
+        if word[j - 1] not in pieces_of:
+            raw = ("▁" if word[j - 1] == pieces.LITERAL else word[j - 1]).encode()
             got.append((best[j - 1][0] + v.byte_score * len(raw), best[j - 1][1] + tuple(v.byte_ids[b] for b in raw)))
         best[j] = max(got, key=lambda x: x[0])
     return best[len(word)]
 
 
 def score_of(ids, v):
-    flat = {i: s for d in (v.head, v.body) for s, i in d.values()}
+    flat = {i: s for d in (v.head, v.body, v.runs) for s, i in d.values()}
     return sum(flat.get(i, v.byte_score) for i in ids)
 
 
+def test_pieces_of_blanks_and_long_units(monkeypatch):
+    """Runs of blanks use their pieces, alone and before a word; units of any length give the best path part by part."""
+    import random
+    v, rng = pieces.load(), random.Random(4)
+    assert sorted(v.runs) == [*range(1, 15), 16] and all(i in v.spelling for _, i in v.runs.values())
+    texts = ["    indented", "a  b   c", "  ", " ", "x " * 3 + " " * 40 + "y", "▁ ▁▁a ▁", "tab\t  \n  end ", " " * 100, "日本語" * 40, "a▁b  ▁"]
+    texts += ["".join(rng.choice(["  ", " ", "the", "ab", "日", "▁", "e", "\n", "ing"]) for _ in range(60)) for _ in range(40)]
+    for t in texts:
+        units = pieces.words_of(t.encode())
+        assert "".join(units).replace("▁", " ").replace(pieces.LITERAL, "▁") == " " + t
+        whole = "".join(units)
+        ids = pieces.Encoder(v).encode([t.encode()])[0]
+        assert abs(score_of(ids, v) - viterbi_brute(whole, v)[0]) < 1e-6        # the best units are the best text
+        assert pieces.decode_ids(ids, v) == t.encode()
+        for n in (1, 3, 20, 64):
+            monkeypatch.setattr(pieces, "LONG_UNIT", n)
+            for u in units:
+                assert abs(score_of(pieces.segment_long(u, v), v) - score_of(pieces.segment([u], v)[u], v)) < 1e-6
+            assert pieces.decode_ids(pieces.Encoder(v).encode([t.encode()])[0], v) == t.encode()
+    assert len(pieces.Encoder(v).encode([b" " * 40 + b"x"])[0]) <= 5
+
+
+def test_pieces_memory(monkeypatch):
+    """Texts without blanks: neither the units remembered nor the search grow with what has gone by."""
+    import random
+    import tracemalloc
+    v, rng = pieces.load(), random.Random(4)
+    e, peaks = pieces.Encoder(v), []
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 1 << 20)
+    monkeypatch.setattr(pieces, "LONG_UNIT", 5000)
+    text = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(n)).encode()
+    for _ in range(3):
+        tracemalloc.start()
+        for _ in range(30):
+            assert pieces.decode_ids(e.encode([t := text(1500)])[0], v) == t
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert e.size <= 1 << 20 and e.size >= sum(len(w) for w in e.known)
+    assert max(peaks) < 12 << 20
+    tracemalloc.start()
+    t = text(60_000)
+    ids = e.encode([t])[0]
+    assert pieces.decode_ids(ids, v) == t and not any(len(w) > 5000 for w in e.known)
+    assert tracemalloc.get_traced_memory()[1] < 30 << 20
+    tracemalloc.stop()
+
+
 def test_pieces(spark):
     v = pieces.load()
     words = sorted({w for _, t in rows() + load(spark)[:20] for w in pieces.words_of((t or "").encode()) if len(w) < 200})

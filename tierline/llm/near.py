@@ -42,7 +42,7 @@ WIDTH = 5                       # words in a shingle
 THRESHOLD = 80                  # per cent
 PERMUTATIONS, BANDS = 128, 32
 MAX_SKETCH_BITS = 36            # at similarity 0.8 the sketches differ in 12.8 bits, deviation 3.4
-CACHE_WORDS = 200_000
+CACHE_WORDS, CACHE_LETTERS = 200_000, 64       # word hashes remembered by a task, of words of so many bytes at most
 
 _FOLD = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _RNG = np.random.default_rng(20240229)
@@ -56,7 +56,9 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHE_LETTERS:
+            self[word] = h
         return h
 
 

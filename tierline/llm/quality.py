@@ -30,7 +30,7 @@ EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.001, 0.01
 SCALE = 8.0                     # n-gram shares of a text add up to this much
 THRESHOLD = 0.7
-CACHE_WORDS = 200_000           # word hashes remembered by a task
+CACHE_WORDS, CACHE_LETTERS = 200_000, 64       # word hashes remembered by a task, of words of so many bytes at most
 
 _TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
 _SHAPES = ((re.compile(rb"[0-9]+\Z"), b"digits"), (re.compile(rb"[^0-9A-Za-z\x80-\xff]"), b""),
@@ -45,7 +45,9 @@ class _Hashes(dict):
         if len(self) >= CACHE_WORDS:
             self.clear()
         shape = next((name or word for pattern, name in _SHAPES if pattern.match(word)), b"lower")
-        self[word] = value = crc32(word) << 32 | crc32(b"shape " + shape)
+        value = crc32(word) << 32 | crc32(b"shape " + shape)
+        if len(word) <= CACHE_LETTERS:
+            self[word] = value
         return value
 
 
