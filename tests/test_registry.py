@@ -62,3 +62,19 @@ def test_query_matches_oracle(spark, duck, key):
         return
     want = duck.sql(entry.oracle_sql()[key]).df()
     assert _digest(got) == _digest(want)
+
+
+def test_entry_stands_without_the_training_data_queries(monkeypatch):
+    """A missing subpackage, pipeline or library leaves the other queries as they are, with a warning."""
+    import importlib
+    import sys
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)          # importing it now raises ImportError
+    before = sys.modules.pop("__spark_entry__", None)
+    try:
+        with pytest.warns(UserWarning, match="training-data queries are left out"):
+            entry = importlib.import_module("__spark_entry__")
+        assert set(entry.queries()) == set(entry.oracle_sql()) == set(registry.queries())
+    finally:
+        sys.modules.pop("__spark_entry__", None)
+        if before is not None:
+            sys.modules["__spark_entry__"] = before

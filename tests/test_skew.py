@@ -169,3 +169,23 @@ def test_hot_lineup_view(spark):
         got = sorted(map(tuple, v.collect()), key=str)
         plan = _final_plan(v)
     assert got == want and "skew=true" in plan
+
+
+def test_hot_foreign_key(spark):
+    """A third of the facts have one key that the other table lacks: still all reported. What stands on the right of an anti join
+    is a saved set of keys, never the facts. (Rows of one bare key compress to so little that their partition is no load.)"""
+    facts = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(-7)).when(F.col("id") % 100 == 1, F.lit(None)).otherwise(F.col("id") % 2000).alias("k"),
+                                      F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    keys = spark.range(0, 4000, 2).select(F.col("id").alias("p"))
+    with conf(spark, SKEW_CONF):
+        out = quality.orphan_keys(facts, "k", keys, "p")
+        got = {tuple(r) for r in out.groupBy("side", "key").count().collect()}
+        hot = facts.select("k").where("k = -7").count()
+        assert ("fk_orphan", -7, hot) in got
+        assert sum(n for s, _, n in got if s == "fk_orphan") == sum(
+            1 for r in facts.select("k").collect() if r.k is None or r.k % 2 or r.k < 0)
+        assert sum(n for s, _, n in got if s == "pk_unreferenced") == 2000 - len({r.k for r in facts.collect() if r.k is not None and r.k >= 0 and r.k % 2 == 0})
+        unreferenced = quality.orphan_keys(facts, "k", keys, "p").where("side = 'pk_unreferenced'")
+        assert unreferenced.count() == sum(n for s, _, n in got if s == "pk_unreferenced") < 2000
+        plan = _final_plan(unreferenced)
+        assert "LeftAnti" in plan and "tierline-ke" in plan

@@ -53,6 +53,31 @@ def test_save_audit_views_json(spark):
     assert inv == [("t1", 1, 3)]  # the view is not a table
 
 
+@pytest.mark.parametrize("managed", [False, True])
+def test_a_failing_save_leaves_the_old_rows(spark, managed):
+    path = None if managed else shared_scratch(spark, "t-swap") + "/t"
+    db, name = catalog.ensure_database(spark, "swap_t"), f"t_{'managed' if managed else 'path'}"
+    save = lambda df: catalog.save_table(df, db, name, path=path)
+    rows = lambda: sorted(map(tuple, spark.table(f"{db}.{name}").collect()))
+    save(spark.range(3).selectExpr("id", "'old' as s"))
+    catalog.create_persistent_view(spark, f"{db}.v_{name}", f"SELECT max(s) AS s FROM {db}.{name}")
+    before = spark.table(f"{db}.{name}")
+    broken = spark.range(1000).selectExpr("id", "if(id = 999, raise_error('no'), 'new') as s")
+    with pytest.raises(Exception, match="no"):
+        save(broken)
+    assert rows() == [(0, "old"), (1, "old"), (2, "old")]
+    save(spark.table(f"{db}.{name}").selectExpr("id + 10 as id", "'new' as s"))        # reads what it replaces
+    assert rows() == [(10, "new"), (11, "new"), (12, "new")] and spark.table(f"{db}.v_{name}").first().s == "new"
+    assert before.count() == 3                                                       # an older reader is not cut off
+    save(spark.range(2).selectExpr("id", "'newer' as s"))
+    assert rows() == [(0, "newer"), (1, "newer")]
+    save(spark.range(1).selectExpr("cast(id as string) as k"))                        # other columns
+    assert rows() == [("0",)] and spark.table(f"{db}.{name}").columns == ["k"]
+    save(spark.range(2).selectExpr("cast(id as string) as k"))
+    assert rows() == [("0",), ("1",)]
+    assert [t.name for t in spark.catalog.listTables(db) if "next" in t.name] == []
+
+
 def test_shared_scratch_under_checkpoint_dir(spark):
     ckpt = spark.sparkContext.getCheckpointDir()
     assert ckpt and shared_scratch(spark, "x").startswith(ckpt.rstrip("/"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import has_edge_whitespace
+from ..session import cut_lineage
 from .columns import qname, quoted
 from .joins import semi_join_null_safe, split_join
 
@@ -160,11 +161,15 @@ def key_checks(fk: DataFrame, fk_col: str, pk: DataFrame, pk_col: str) -> DataFr
 
 
 def orphan_keys(fk: DataFrame, fk_col: str, pk: DataFrame, pk_col: str) -> DataFrame:
-    """(side, key): foreign-key rows without a match, and unreferenced key rows."""
+    """(side, key): foreign-key rows without a match, and unreferenced key rows.
+
+    The right side of either anti join is a set of keys, made on the map side and saved first: a key
+    that a third of the rows share is one row there, and on the left Spark can split it."""
     of_fk, of_pk = fk.select(quoted(fk_col).alias("key")), pk.select(quoted(pk_col).alias("key"))
+    fk_keys, pk_keys = (cut_lineage(k.distinct(), "keys") for k in (of_fk, of_pk))
     # a NULL key on both sides is a match, as in key_checks
-    orphans = of_fk.join(of_pk, of_fk["key"].eqNullSafe(of_pk["key"]), "left_anti")
-    unref = of_pk.join(of_fk, of_pk["key"].eqNullSafe(of_fk["key"]), "left_anti")
+    orphans = of_fk.join(pk_keys, of_fk["key"].eqNullSafe(pk_keys["key"]), "left_anti")
+    unref = of_pk.join(fk_keys, of_pk["key"].eqNullSafe(fk_keys["key"]), "left_anti")
     return (orphans.select(F.lit("fk_orphan").alias("side"), "key")
             .unionByName(unref.select(F.lit("pk_unreferenced").alias("side"), "key")))
 

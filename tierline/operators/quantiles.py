@@ -10,22 +10,24 @@ round, not a long chain of halvings. A rank is found when its interval holds a
 single value, or when it is the first or the last of its interval.
 
 A round always shrinks an interval (its two ends fall into different bins), and
-the same steps run at every size. Only one row per open rank reaches the driver.
+the same steps run at every size. The first round makes one cell of a row's column, later ones
+drop the rows that lie in no open interval before anything is unpivoted. Only one row per open rank reaches the driver.
 NULL and NaN are missing; infinities have bins of their own.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.reference_data import literal_rows
-from .columns import present, to_long
+from .columns import present
 
-BINS = 1024
+BINS = 4096
 
 _RANKS = T.StructType([
     T.StructField("rank_no", T.IntegerType()),
@@ -55,19 +57,27 @@ def _first_bin(x, lo: float | None, hi: float | None):
     return (F.when(x == F.lit(-math.inf), F.lit(-1)).when(x == F.lit(math.inf), F.lit(BINS)).otherwise(inner))
 
 
+def _any_open(df: DataFrame, intervals: list[tuple]) -> Column:
+    """Whether a row has a value in some interval."""
+    return reduce(lambda a, b: a | b, [present(df, c).isNotNull() if whole else present(df, c).cast("double").between(F.lit(lo), F.lit(hi))
+                                       for c, lo, hi, whole in intervals])
+
+
 def _round(df: DataFrame, intervals: list[tuple], ranks: list[tuple]) -> list:
     """One counting round. ``intervals``: (col, lo, hi, whole column?); ``ranks``:
     (rank_no, interval_no, offset of the rank from the interval's start). Returns per
     rank its bin's smallest and largest value, count, and the rows before the bin."""
-    cells = []
-    for col, lo, hi, whole in intervals:
+    # the intervals of a column share no value, so a row has one cell for it at most
+    cells: dict[str, Column] = {}
+    for no, (col, lo, hi, whole) in enumerate(intervals):
         x = present(df, col).cast("double")
         inside = x.isNotNull() if whole else x.between(F.lit(lo), F.lit(hi))
-        cells.append(F.when(inside, F.struct((_first_bin(x, lo, hi) if whole else _bin(x, lo, hi)).alias("bin"),
-                                             x.alias("v"))))
-    long = (to_long(df, [(str(i), c) for i, c in enumerate(cells)], "cell", name_col="interval_name")
-            .where(F.col("cell").isNotNull())
-            .select(F.col("interval_name").cast("int").alias("interval_no"), "cell.bin", "cell.v"))
+        cell = F.struct(F.lit(no).alias("interval_no"), (_first_bin(x, lo, hi) if whole else _bin(x, lo, hi)).alias("bin"), x.alias("v"))
+        cells[col] = cells[col].when(inside, cell) if col in cells else F.when(inside, cell)
+    names = [f"c{k}" for k in range(len(cells))]
+    # rows without an open cell go before they are unpivoted
+    wide = df.where(_any_open(df, intervals)).select(*[c.alias(n) for n, c in zip(names, cells.values())])
+    long = wide.unpivot([], names, "column", "cell").where(F.col("cell").isNotNull()).select("cell.*")
     counted = long.groupBy("interval_no", "bin").agg(
         F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     # at most BINS + 2 rows per interval

@@ -53,6 +53,11 @@ def dim_period(match: DataFrame, events: DataFrame) -> DataFrame:
     dates_m = match.where(F.col("match_date").isNotNull()).select(F.to_date("match_date").alias("date"))
     dates_e = events.select(F.col("date_key").alias("date"))
     dates = dates_m.unionByName(dates_e).distinct()
+    return period_rows(dates)
+
+
+def period_rows(dates: DataFrame) -> DataFrame:
+    """Calendar columns for a frame of distinct ``date`` values."""
     return dates.select(F.col("date").cast("string").alias("id_period"),
                         F.year("date").alias("year"), F.month("date").alias("month"),
                         F.dayofmonth("date").alias("day"), "date",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,9 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (local tests) a folder inside Spark's warehouse is registered instead: the
-    warehouse is shared by the driver and all executors, a temporary folder of
-    one machine is not.
+    (local runs and tests) a folder inside Spark's warehouse is registered instead. On a cluster
+    the warehouse may by default be a folder of the driver's machine, so there the setting is required.
     """
     try:
         sc = spark.sparkContext
@@ -87,6 +87,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         configured = f"{warehouse}/tierline-scratch"
     if sc is None:

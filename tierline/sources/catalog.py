@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,9 @@ from ..plans.reference_data import literal_rows
 from .files import list_files, read_named_csv
 
 
+_VERSION = "__v-"                # between a table's folder and what tells its versions apart
+
+
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> str:
     """``CREATE DATABASE IF NOT EXISTS`` (optionally at a shared location)."""
     loc = f" LOCATION '{location}'" if location else ""
@@ -22,12 +26,37 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
 
 def save_table(df: DataFrame, database: str, name: str, fmt: str = "parquet",
                path: str | None = None) -> str:
-    """Overwrite ``database.name`` with ``df`` (CREATE OR REPLACE TABLE ... AS SELECT)."""
-    writer = df.write.mode("overwrite").format(fmt)
-    if path:
-        writer = writer.option("path", path)
+    """Overwrite ``database.name`` with ``df`` (CREATE OR REPLACE TABLE ... AS SELECT).
+
+    The old table stays until the new one stands: rows are written to a folder of their own beside
+    the old ones, then the catalog's entry is moved there in one step. A write that fails leaves the table as it
+    was, readers keep the files they have begun to read, and ``df`` may read the table it replaces. Where columns
+    or format differ, the entry cannot be moved: a second one is made first, then takes the
+    name. Read such tables by name, not by folder; older folders stay (the folder's retention is not
+    the library's). Delta tables replace themselves in one step.
+    """
+    spark = df.sparkSession
     qualified = f"`{database}`.`{name}`"
-    writer.saveAsTable(qualified)
+    if fmt == "delta" or not spark.catalog.tableExists(qualified):
+        writer = df.write.mode("overwrite").format(fmt)
+        if fmt == "delta":
+            writer = writer.option("overwriteSchema", "true")
+        if path:
+            writer = writer.option("path", path)
+        writer.saveAsTable(qualified)
+        return qualified
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}").collect()
+             if r.col_name in ("Provider", "Location")}
+    version = f"{(path or facts['Location']).rstrip('/').split(_VERSION)[0]}{_VERSION}{uuid.uuid4().hex[:12]}"
+    df.write.format(fmt).save(version)
+    if facts.get("Provider", "").lower() == fmt.lower() and spark.table(qualified).schema.simpleString() == df.schema.simpleString():
+        spark.sql(f"ALTER TABLE {qualified} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(qualified)
+        return qualified
+    following = f"{name}_next_{version[-12:]}"
+    spark.catalog.createTable(f"{database}.{following}", path=version, source=fmt, schema=df.schema)
+    spark.sql(f"DROP TABLE {qualified}")
+    spark.sql(f"ALTER TABLE `{database}`.`{following}` RENAME TO {qualified}")
     return qualified
 
 

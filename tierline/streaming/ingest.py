@@ -17,11 +17,12 @@ restarted query resumes where it stopped.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans import silver
+from ..plans import gold, silver
 
 
 def landing_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet",
@@ -43,26 +44,19 @@ def events_long_stream(matches: DataFrame) -> DataFrame:
     return ev
 
 
-def period_rows(dates: DataFrame) -> DataFrame:
-    """Calendar columns for a frame of distinct ``date`` values."""
-    return dates.select(F.col("date").cast("string").alias("id_period"),
-                        F.year("date").alias("year"), F.month("date").alias("month"),
-                        F.dayofmonth("date").alias("day"), "date",
-                        F.lit(None).cast("int").alias("minute"), F.lit(None).cast("int").alias("seconds"),
-                        F.col("date").cast("timestamp").alias("timestamp"))
-
-
 def new_periods_writer(target: str):
     """foreachBatch function appending the batch's unseen days to ``target``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         days = silver.silver_match(batch).select(F.to_date("match_date").alias("date")).distinct()
-        path = spark._jvm.org.apache.hadoop.fs.Path(target)
-        if path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+        try:
             known = spark.read.parquet(target).select(F.col("date").alias("known"))
             days = days.join(known, days["date"].eqNullSafe(known["known"]), "left_anti")
-        period_rows(days).write.mode("append").parquet(target)
+        except AnalysisException as missing:                   # before the first batch there is no target
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+        gold.period_rows(days).write.mode("append").parquet(target)
 
     return write
 
