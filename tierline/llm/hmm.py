@@ -164,18 +164,22 @@ def expected(m: Model, sequences: list[np.ndarray], counts: list[np.ndarray]) ->
         """Symbols, emissions, forward vectors and scales of steps lo to hi; ``a``: the vectors of the step before."""
         first = np.repeat(ends[lo:hi], n[lo:hi])
         obs = flat[at[np.arange(ends[lo], ends[hi]) - first] + np.repeat(np.arange(lo, hi), n[lo:hi])]
-        emit = m.emit[obs]
+        emit = np.take(m.emit, obs, axis=0, mode="clip")        # the quick way; no symbol is out of range
         alpha, scale = np.empty_like(emit), np.empty(len(obs))
         e = 0
         for t in range(lo, hi):
             k = n[t]
             here = alpha[e:e + k]
-            np.multiply(a[:k] @ m.move if t else a[:k], emit[e:e + k], out=here)
-            s = here.sum(axis=1, out=scale[e:e + k])
-            here /= s[:, None]
+            if t:
+                np.matmul(a[:k], m.move, out=here)
+                here *= emit[e:e + k]
+            else:
+                np.multiply(a, emit[:k], out=here)
+            here /= np.dot(here, ones, out=scale[e:e + k])[:, None]
             a, e = here, e + k
         return obs, emit, alpha, scale
 
+    ones, onward = np.ones(len(m.start)), np.ascontiguousarray(m.move.T)
     borders = [np.broadcast_to(m.start, (len(at), len(m.start)))]
     for lo, hi in zip(cuts, cuts[1:]):
         made = window(lo, hi, borders[-1])
@@ -193,7 +197,7 @@ def expected(m: Model, sequences: list[np.ndarray], counts: list[np.ndarray]) ->
                 last = alpha[e - k - n[t - 1]:e - k] if t > lo else before
                 move += last[:k].T @ w
                 alpha[e - k:e] *= beta[:k]
-                np.matmul(w, m.move.T, out=beta[:k])
+                np.matmul(w, onward, out=beta[:k])
             else:
                 alpha[:k] *= beta[:k]
                 counts[0] += alpha[:k].sum(axis=0)
