@@ -40,7 +40,9 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        # broadcast only sides proven small by statistics / AQE measurements
+        # broadcast only sides proven small by statistics / AQE measurements; files of ids and flags are
+        # many times larger in memory than on disk, so their sizes count eightfold
+        "spark.sql.sources.fileCompressionFactor": "8.0",
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     }
