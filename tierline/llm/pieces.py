@@ -39,7 +39,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 LITERAL = "\ud800"              # stands for a U+2581 of the text itself; no text can hold it
 CACHE_BYTES = 64 << 20
-UNIT_BYTES, CHARACTER_BYTES = 200, 40       # about what a remembered unit takes, and each of its characters
+UNIT_BYTES, CHARACTER_BYTES, ID_BYTES = 200, 4, 8       # about what a remembered unit takes, each of its characters and its ids
 LONG_UNIT = 1 << 16
 BYTE_PENALTY = 10.0             # a byte piece costs this much more than the rarest piece
 
@@ -87,21 +87,22 @@ def load(model: str = MODEL) -> Vocabulary:
                       [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
 
 
-def advance(unit: str, marks: int, lo: int, hi: int, v: Vocabulary, best: list[float], back: list, gone: int = 0) -> None:
-    """Viterbi for the prefixes of ``lo`` to ``hi`` - 1 characters; the unit begins with ``marks`` blanks. best[j - gone]: score of the best path to
-    character j, back[j - gone]: where its last piece begins and that piece's ids."""
+def advance(unit: str, marks: int, lo: int, v: Vocabulary, best: list[float], back: list) -> None:
+    """Viterbi for the prefixes of ``lo`` and more characters; the unit begins with ``marks`` blanks. best[j]: score of
+    the best path to character j, back[j]: where its last piece begins and that piece's ids."""
     head, body, ends, longest = v.head, v.body, v.ends, v.longest
     word = marks - 1                                  # the last blank belongs to the word's first piece, or not
-    for j in range(lo, min(hi, marks + 1)):           # inside the run of blanks
+    last_head = word + longest if marks else 0
+    for j in range(lo, min(len(unit), marks) + 1):    # inside the run of blanks
         top, came = -1e300, None
         for n, (score, i) in v.runs.items():
-            if n <= j and best[j - n - gone] + score > top:
-                top, came = best[j - n - gone] + score, (j - n, (i,))
-        if 1 not in v.runs and best[j - 1 - gone] + v.byte_score > top:
-            top, came = best[j - 1 - gone] + v.byte_score, (j - 1, (v.byte_ids[32],))
+            if n <= j and best[j - n] + score > top:
+                top, came = best[j - n] + score, (j - n, (i,))
+        if 1 not in v.runs and best[j - 1] + v.byte_score > top:
+            top, came = best[j - 1] + v.byte_score, (j - 1, (v.byte_ids[32],))
         best.append(top)
         back.append(came)
-    for j in range(max(lo, marks + 1), hi):
+    for j in range(max(lo, marks + 1), len(unit) + 1):
         top, came = -1e300, None
         node, i = ends, j
         while i > marks:                              # pieces that end here, from the shortest on
@@ -110,26 +111,26 @@ def advance(unit: str, marks: int, lo: int, hi: int, v: Vocabulary, best: list[f
             if node is None:
                 break
             hit = node.get(0)
-            if hit is not None and best[i - gone] + hit[0] > top:
-                top, came = best[i - gone] + hit[0], (i, hit[1])
-        if j - word <= longest:                       # a piece that starts the word
+            if hit is not None and best[i] + hit[0] > top:
+                top, came = best[i] + hit[0], (i, hit[1])
+        if j <= last_head:                            # a piece that starts the word
             hit = head.get(unit[word:j])
-            if hit is not None and best[word - gone] + hit[0] > top:
-                top, came = best[word - gone] + hit[0], (word, (hit[1],))
+            if hit is not None and best[word] + hit[0] > top:
+                top, came = best[word] + hit[0], (word, (hit[1],))
         c = unit[j - 1]
         if c not in body:                             # no piece of its own: spelt in bytes
             raw = MARK.encode() if c == LITERAL else c.encode("utf-8", "surrogateescape")
-            if best[j - 1 - gone] + v.byte_score * len(raw) > top:
-                top, came = best[j - 1 - gone] + v.byte_score * len(raw), (j - 1, tuple(v.byte_ids[b] for b in raw))
+            if best[j - 1] + v.byte_score * len(raw) > top:
+                top, came = best[j - 1] + v.byte_score * len(raw), (j - 1, tuple(v.byte_ids[b] for b in raw))
         best.append(top)
         back.append(came)
 
 
-def walk(back: list, start: int, end: int, gone: int = 0) -> list:
-    """The ids of the path from character ``end`` back to ``start``, in order."""
+def walk(back: list, end: int) -> list[int]:
+    """The ids of the path to character ``end``, in order."""
     path = []
-    while end > start:
-        end, ids = back[end - gone]
+    while end:
+        end, ids = back[end]
         path.append(ids)
     return list(chain.from_iterable(reversed(path)))
 
@@ -147,8 +148,8 @@ def segment(units: list[str], v: Vocabulary) -> dict[str, tuple[int, ...]]:
                 break
             shared += 1
         del best[shared + 1:], back[shared + 1:]
-        advance(unit, _MARKS.match(unit).end(), shared + 1, len(unit) + 1, v, best, back)
-        out[unit] = tuple(walk(back, 0, len(unit)))
+        advance(unit, _MARKS.match(unit).end(), shared + 1, v, best, back)
+        out[unit] = tuple(walk(back, len(unit)))
         before = unit
     return out
 
@@ -158,19 +159,21 @@ def segment_long(unit: str, v: Vocabulary) -> list[int]:
     what all paths from these share is settled."""
     out: list[int] = []
     best, back, gone, marks = [0.0], [(0, ())], 0, _MARKS.match(unit).end()
-    for lo in range(1, len(unit) + 1, LONG_UNIT):
-        hi = min(lo + LONG_UNIT, len(unit) + 1)
-        advance(unit, marks, lo, hi, v, best, back, gone)
-        open_ends = set(range(max(gone, hi - 1 - v.reach), hi))
+    while True:
+        part = unit[gone:gone + len(best) - 1 + LONG_UNIT]
+        advance(part, max(0, marks - gone), len(best), v, best, back)
+        if gone + len(part) == len(unit):
+            return out + walk(back, len(part))
+        open_ends = set(range(max(0, len(part) - v.reach), len(part) + 1))
         while len(open_ends) > 1:
             last = max(open_ends)
             open_ends.remove(last)
-            open_ends.add(back[last - gone][0] if last > gone else gone)
-        settled = min(open_ends)
-        out += walk(back, gone, settled, gone)
-        del best[:settled - gone], back[:settled - gone]
-        gone = settled
-    return out + walk(back, gone, len(unit), gone)
+            open_ends.add(back[last][0])
+        settled = open_ends.pop()
+        out += walk(back, settled)
+        best = best[settled:]
+        back = [(max(0, i - settled), ids) for i, ids in back[settled:]]
+        gone += settled
 
 
 def words_of(text: bytes) -> list[str]:
@@ -193,17 +196,16 @@ class Encoder:
         cut = [words_of(t) for t in texts]
         units = set(chain.from_iterable(cut))
         long = {u: segment_long(u, self.v) for u in units if len(u) > LONG_UNIT}
-        fresh = units.difference(self.known, long)
-        size = sum(UNIT_BYTES + CHARACTER_BYTES * len(u) for u in fresh)
-        if self.size + size > CACHE_BYTES:
-            self.known, self.size = {}, 0
-            fresh = units.difference(long)
-            size = sum(UNIT_BYTES + CHARACTER_BYTES * len(u) for u in fresh)
-        found = segment(list(fresh), self.v)
-        if size <= CACHE_BYTES:
+        found = segment(list(units.difference(self.known, long)), self.v)
+        size = sum(UNIT_BYTES + CHARACTER_BYTES * len(u) + ID_BYTES * len(ids) for u, ids in found.items())
+        if self.size + size <= CACHE_BYTES:
             self.known |= found
             self.size += size
             found = self.known
+        else:                                   # begin anew, with the units of this slice if they are not too many
+            met = {u: self.known[u] for u in units.intersection(self.known)}
+            self.known, self.size = (found, size) if size <= CACHE_BYTES else ({}, 0)
+            found = found | met
         if long:
             found = found | long
         return [list(chain.from_iterable(map(found.__getitem__, words))) for words in cut]
