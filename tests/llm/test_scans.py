@@ -326,7 +326,7 @@ def test_sql_agrees(spark):
     """The queries that have SQL, against DuckDB on the same table."""
     import duckdb
     con = duckdb.connect()
-    for name in ("documents", "benchmark"):
+    for name in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
     for key, sql in queries.oracle_sql().items():
         got = queries.queries()[key](spark, SF)
