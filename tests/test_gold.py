@@ -118,3 +118,42 @@ def test_streaming_from_csv_landing(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     want = silver.events_long(silver.silver_match(m))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def _shuffles(df):
+    """Shuffles by key in the plan of ``df`` (broadcasts are none)."""
+    import contextlib
+    import io
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        df.explain()
+    return plan.getvalue().count("Exchange hashpartitioning")
+
+
+def test_lineup_names_deals_slots_out_once(spark, tmp_path):
+    """Names of a saved bridge: one shuffle, by the packed id."""
+    m = silver.silver_match(_match(spark, ROWS))
+    gold.lineup_bridge(gold.lineup_dim(gold.lineup_map(gold.lineups_base(m)))).write.parquet(str(tmp_path / "bridge"))
+    players = spark.createDataFrame([(3, "C"), (5, "E"), (9, " ")], "id_player long, player_name string")
+    names = gold.lineup_names(spark.read.parquet(str(tmp_path / "bridge")), players)
+    assert _shuffles(names) == 1
+    assert names.schema.simpleString() == "struct<id_lineup:string,players_names:array<string>>"
+
+
+def test_lineup_names_counts_unknown_and_unnamed_slots_apart(spark):
+    bridge = spark.createDataFrame([("x", 0, 0), ("x", 0, 7), ("x", 0, None), ("x", 1, 5), ("x", 1, 5), (None, 0, 0)],
+                                   "id_lineup string, position int, id_player int")
+    players = spark.createDataFrame([(0, "Zero"), (0, "Nil"), (5, "E"), (5, "F")], "id_player int, player_name string")
+    got = {r.id_lineup: r.players_names for r in gold.lineup_names(bridge, players).collect()}
+    # player 0 twice for its two rows; a player without a row and a slot without a player once each
+    assert got == {"x": ["0"] * 4 + ["E", "E", "F", "F"], None: ["0", "0"]}
+
+
+def test_packed_ids_are_the_ids_and_shorter(spark):
+    from tierline.functions.lineup import pack_id, unpack_id
+    ids = [hashlib.sha256(b"1").hexdigest(), hashlib.sha256(b"1").hexdigest().upper(), "ab" * 32, "ab" * 31, "ab" * 32 + "\n", "g" * 64,
+           "é" * 32, "hot", "", "\x01", "\x00", None]
+    rows = (spark.createDataFrame([(i,) for i in ids], "id_lineup string").select("id_lineup", pack_id())
+            .select(F.col("id_lineup").alias("was"), "packed", unpack_id()).collect())
+    assert [r.id_lineup for r in rows] == [r.was for r in rows] == ids
+    assert len({bytes(r.packed) for r in rows if r.packed is not None}) == len(ids) - 1 and len(rows[0].packed) == 33
