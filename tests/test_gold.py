@@ -157,3 +157,22 @@ def test_packed_ids_are_the_ids_and_shorter(spark):
             .select(F.col("id_lineup").alias("was"), "packed", unpack_id()).collect())
     assert [r.id_lineup for r in rows] == [r.was for r in rows] == ids
     assert len({bytes(r.packed) for r in rows if r.packed is not None}) == len(ids) - 1 and len(rows[0].packed) == 33
+
+
+def test_fact_match_gives_every_line_up_of_a_side_once(spark, tmp_path):
+    """Repeated rows of the map are made distinct, NULL ids find nothing, and the lookup is not written for the join."""
+    m = silver.silver_match(_match(spark, [*ROWS, *ROWS[:1]]))
+    lmap = gold.lineup_map(gold.lineups_base(m))
+    other = lmap.limit(1).withColumn("id_lineup", F.lit("another"))
+    lmap = lmap.unionByName(other).unionByName(other).unionByName(other.withColumn("id_match", F.lit(None).cast(other.schema["id_match"].dataType)))
+    lmap.write.parquet(str(tmp_path / "lmap"))
+    lmap = spark.read.parquet(str(tmp_path / "lmap"))
+    plain = gold.fact_match(m, lmap).drop("id_lineup").distinct().join(
+        lmap.select("id_match", "local", "id_lineup").distinct(), ["id_match", "local"], "left")
+    got = gold.fact_match(m, lmap)
+    assert {tuple(r) for r in got.select(plain.columns).collect()} == {tuple(r) for r in plain.collect()}
+    per_side = {tuple(r)[:2]: r["count"] for r in got.groupBy("id_match", "local").count().collect()}
+    first = other.first()
+    assert "tierline-cut" not in got._jdf.queryExecution().executedPlan().toString()
+    assert per_side[(first.id_match, first.local)] == 4      # two equal matches, two line-ups
+    assert "packed" not in got.columns and got.where("id_lineup = 'another'").count() == 2
