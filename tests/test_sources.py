@@ -116,6 +116,23 @@ def test_layered_run_from_csv(spark, tmp_path):
     assert view.count() == registry.RAW_QUERIES["v_match_lineup_names"](spark, sf).count()
 
 
+def test_layered_run_saves_hashes_at_half_their_length(spark, tmp_path):
+    """Saved tables are zstd files; the view joins by packed ids and gives the rows of the plain join."""
+    from tierline import registry
+    from tierline.plans import medallion
+    sf = "/root/testdata/sf0.001"
+    src = {k: v for k, v in registry.medallion_sources(spark, sf).items() if k in ("match", "team", "player")}
+    layers = medallion.run_all(spark, src, str(tmp_path / "tables"), "zs_", targets=["v_match_lineup_names"])
+    gold = layers["gold"]
+    assert all(f.endswith(".zstd.parquet") for layer in layers.values() for t in layer.saved for f in layer.table(t).inputFiles())
+    view = gold.table("v_match_lineup_names")
+    plain = (gold.table("fact_match").join(gold.table("lineup_names"), "id_lineup", "left").join(gold.table("dim_team"), "id_team", "left")
+             .select("id_match", "local", "id_lineup", "team_name", "players_names"))
+    assert view.schema == plain.schema
+    assert sorted(map(str, view.collect())) == sorted(map(str, plain.collect()))
+    assert "packed" in view._jdf.queryExecution().executedPlan().toString()
+
+
 def test_cli(spark, tmp_path, capsys):
     from tierline.__main__ import main
     from tierline import registry
